@@ -1,23 +1,23 @@
 """Scalar functions against Python's Decimal, pandas and datetime."""
 
 import random
-from datetime import date
+from datetime import date, datetime
 from decimal import ROUND_HALF_EVEN, Decimal, InvalidOperation, localcontext
 
 import pandas as pd
 from pyspark.sql import functions as F
 
-from tillbridge.functions.dates import parse_datetime, parse_iso_date
+from tillbridge.functions.dates import parse_iso_date, with_datetime, with_source_datetime
 from tillbridge.functions.numeric import (
-    long_units_to_numeric, multiply_divide_decimal, multiply_divide_long, parse_amount,
-    parse_rate, round_half_even, to_units, units_to_numeric,
+    long_units_to_numeric, multiply_divide_decimal, multiply_divide_long, round_half_even,
+    to_units, units_to_numeric, with_amount, with_rate,
 )
 from tillbridge.functions.text import WHITE_SPACE, canonical_code, is_missing, strip
 
 
-def evaluate(spark, values, *expressions, schema="i int, x string"):
+def evaluate(spark, values, *expressions, schema="i int, x string", prepare=lambda f: f):
     rows = [(i, v) for i, v in enumerate(values)]
-    frame = spark.createDataFrame(rows, schema).repartition(8)
+    frame = prepare(spark.createDataFrame(rows, schema).repartition(8))
     out = frame.select("i", *[e.alias(f"r{n}") for n, e in enumerate(expressions)])
     got = sorted(out.collect())
     return [r[1] if len(expressions) == 1 else tuple(r)[1:] for r in got]
@@ -100,14 +100,15 @@ def test_canonical_code(spark):
 
 def test_amount_literals_match_decimal(spark):
     values = literals(1, 8000)
-    got = evaluate(spark, values, parse_amount(strip(F.col("x"))))
+    got = evaluate(spark, values, F.col("v"), prepare=lambda f: with_amount(
+        f.withColumn("s", strip(F.col("x"))), "s", "v"))
     wrong = [(v, g, expected_amount(v)) for v, g in zip(values, got) if g != expected_amount(v)]
     assert not wrong
 
 
 def test_rate_literals_match_decimal(spark):
     values = literals(2, 8000)
-    got = evaluate(spark, values, parse_rate(F.col("x")))
+    got = evaluate(spark, values, F.col("v"), prepare=lambda f: with_rate(f, "x", "v"))
     # A rate that underflows through an exponent beyond int range is NULL instead of 0;
     # both are invalid rates.
     wrong = [(v, g, expected_rate(v)) for v, g in zip(values, got)
@@ -136,10 +137,22 @@ def test_datetime_matches_pandas(spark):
             rnd.choice(["0", "00", "59", "60", "61", "62"])))
     want = pd.to_datetime(
         pd.Series(values), format="%Y-%m-%d %H:%M:%S", errors="coerce").astype(str)
-    got = evaluate(spark, values, parse_datetime(F.col("x")).cast("string"))
+    got = evaluate(spark, values, F.col("v").cast("string"),
+                   prepare=lambda f: with_datetime(f, "x", "v"))
     wrong = [(v, g, w) for v, g, w in zip(values, got, want) if (g or "NaT") != w]
     assert not wrong
 
+    def strict(text):
+        try:
+            return str(datetime.strptime(text, "%Y-%m-%d %H:%M:%S"))
+        except ValueError:
+            return None
+
+    got = evaluate(spark, values, F.col("v").cast("string"),
+                   prepare=lambda f: with_source_datetime(f, "x", "v"))
+    wrong = [(v, g, strict(v)) for v, g in zip(values, got) if g != strict(v)]
+    assert not wrong
+
 
 def test_iso_date_matches_python(spark):
     rnd = random.Random(4)
@@ -177,7 +190,7 @@ def test_long_multiply_divide(spark):
     rows = [(rnd.randint(0, 10 ** rnd.randint(1, 16)), rnd.randint(10**4, 10**6),
              rnd.choice([10**4, 2 * 10**4, rnd.randint(10**4, 10**6)])) for _ in range(5000)]
     frame = spark.createDataFrame(rows, "a long, m long, d long")
-    got = frame.select("a", "m", "d", multiply_divide_long(F.col("a"), F.col("m"), F.col("d"))).collect()
+    got = multiply_divide_long(frame, ("q", "a", "m", "d")).collect()
     assert not [r for r in got if r[3] != exact(r[0], r[1], r[2])]
 
 
@@ -190,7 +203,7 @@ def test_decimal_multiply_divide(spark):
         over = rnd.choice([10**9, 2 * 10**9, by, rnd.randint(10**6, 10 ** rnd.randint(7, 19) - 1)])
         rows.append((Decimal(a), Decimal(by), Decimal(over)))
     frame = spark.createDataFrame(rows, "a decimal(38,0), m decimal(38,0), d decimal(38,0)")
-    got = frame.select("a", "m", "d", multiply_divide_decimal(F.col("a"), F.col("m"), F.col("d"))).collect()
+    got = multiply_divide_decimal(frame, ("q", "a", "m", "d")).collect()
     for a, m, d, result in got:
         want = exact(int(a), int(m), int(d))
         assert result == (want if want < 10**38 else None), (a, m, d)
@@ -199,9 +212,10 @@ def test_decimal_multiply_divide(spark):
 def test_units_round_trip(spark):
     values = [Decimal(t) for t in (
         "0.000000000", "0.000000001", "1.500000000", "99999999999999999999999999999.999999999")]
-    x = F.col("x")
-    got = evaluate(spark, values, units_to_numeric(to_units(x)),
-                   long_units_to_numeric(F.least(to_units(x), F.lit(10**18)).cast("bigint")),
-                   schema="i int, x decimal(38,9)")
+    units = to_units("x")
+    got = evaluate(
+        spark, values, F.expr(units_to_numeric(units)),
+        F.expr(long_units_to_numeric(f"CAST(least({units}, 1000000000000000000BD) AS BIGINT)")),
+        schema="i int, x decimal(38,9)")
     assert [g[0] for g in got] == values
     assert [g[1] for g in got[:3]] == values[:3]

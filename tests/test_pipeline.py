@@ -163,6 +163,8 @@ def test_stores_are_verified_not_altered(spark, store):
     drifted = Store(store.prefix, store.location + "-elsewhere")
     with pytest.raises(ContractError, match="location"):
         ensure_namespace(spark, drifted, "raw")
+    spark.sql(f"DROP TABLE {store.table(RAW_FX_RATES)}")
+    assert ensure_table(spark, store, RAW_FX_RATES) == "created"
     table = store.table(FACT)
     spark.sql(f"DROP TABLE {table}")
     spark.sql(f"CREATE TABLE {table} (txn string, batch_date date) USING parquet PARTITIONED BY (batch_date)")

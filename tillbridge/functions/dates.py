@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from tillbridge.functions.numeric import with_steps
 from tillbridge.functions.text import WHITE_SPACE, strip
 
-_STRICT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}\z"
+_PADDED = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}\z"
 # Unpadded fields, a blank-padded day, any run of white space between date and time,
 # and seconds 60 and 61, which roll over into the next minute.
 _UNPADDED = (
@@ -19,42 +20,39 @@ _EARLIEST = "1677-09-21 00:12:44"
 _LATEST = "2262-04-11 23:47:16"
 
 
-def parse_datetime(text: Column) -> Column:
-    """``yyyy-MM-dd HH:mm:ss`` text to ``timestamp_ntz``; anything else is NULL.
+def with_datetime(rows: DataFrame, text: str, out: str) -> DataFrame:
+    """Add ``out``: ``yyyy-MM-dd HH:mm:ss`` text as ``timestamp_ntz``, else NULL.
 
     Seconds 60 and 61 roll over into the next minute, and values outside the
-    nanosecond clock are NULL.
+    nanosecond clock are NULL. ``text`` is a stripped column.
     """
-    value = _datetime(text)
-    return F.when(
-        value.between(F.lit(_EARLIEST).cast("timestamp_ntz"),
-                      F.lit(_LATEST).cast("timestamp_ntz")),
-        value)
+    return with_steps(_with_datetime(rows, text, "any_time"), {
+        out: f"""CASE WHEN any_time BETWEEN TIMESTAMP_NTZ'{_EARLIEST}'
+            AND TIMESTAMP_NTZ'{_LATEST}' THEN any_time END"""}).drop("any_time")
 
 
-def parse_source_datetime(text: Column) -> Column:
-    """As :func:`parse_datetime` for source validation: the text is taken untrimmed,
+def with_source_datetime(rows: DataFrame, text: str, out: str) -> DataFrame:
+    """As :func:`with_datetime` for source validation: the text is taken untrimmed,
     seconds end at 59, and years run from 1 to 9999."""
-    value = _datetime(text)
-    return F.when(
-        (value >= F.lit("0001-01-01 00:00:00").cast("timestamp_ntz"))
-        & ~F.coalesce(text, F.lit("")).rlike(r":6[01]\z"),
-        value)
+    return with_steps(_with_datetime(rows, text, "any_time"), {
+        out: rf"""CASE WHEN any_time >= TIMESTAMP_NTZ'0001-01-01 00:00:00'
+            AND NOT {text} RLIKE r':6[01]\z' THEN any_time END"""}).drop("any_time")
 
 
-def _datetime(text: Column) -> Column:
-    # The padded form takes one pattern test and Spark's own cast. Only rows that fail
-    # it reach the slower second pattern.
-    def part(i: int) -> Column:
-        return strip(F.regexp_extract(text, _UNPADDED, i)).try_cast("int")
+def _with_datetime(rows: DataFrame, text: str, out: str) -> DataFrame:
+    # The padded form takes one pattern test and Spark's own cast. Only the others get
+    # the second pattern: its input is NULL for all other rows.
+    def part(i: int) -> str:
+        return f"try_cast(trim(regexp_extract(_odd, r'{_UNPADDED}', {i})) AS INT)"
 
-    minute = F.try_make_timestamp_ntz(
-        part(1), part(2), part(3), part(4), part(5), F.lit(0))
-    unpadded = F.when(
-        text.rlike(_UNPADDED),
-        minute + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), part(6)))
-    padded = F.when(text.rlike(_STRICT), text.try_cast("timestamp_ntz"))
-    return F.coalesce(padded, unpadded)
+    return with_steps(
+        rows,
+        {"_padded": rf"""CASE WHEN {text} RLIKE r'{_PADDED}'
+            THEN try_cast({text} AS TIMESTAMP_NTZ) END"""},
+        {"_odd": f"CASE WHEN _padded IS NULL AND {text} RLIKE r'{_UNPADDED}' THEN {text} END"},
+        {out: f"""coalesce(_padded,
+            try_make_timestamp_ntz({', '.join(map(part, range(1, 6)))}, 0)
+            + make_dt_interval(0, 0, 0, {part(6)}))"""})
 
 
 def parse_iso_date(c: Column) -> Column:

@@ -3,13 +3,14 @@
 Nothing here uses floating point. Spark's own decimal division and string cast round
 half-up, so values that need half-even rounding are built from integer quotients and
 remainders.
+
+Longer computations are SQL text in steps: every step is used several times by the next,
+and one nested expression would repeat it each time.
 """
 
 from __future__ import annotations
 
-from decimal import Decimal
-
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tillbridge.functions.text import strip
 
@@ -17,143 +18,168 @@ NUMERIC = "decimal(38,9)"
 MAX_SCALE = 9
 MAX_INTEGER_DIGITS = 29
 
-_PLAIN = r"^[+-]?[0-9]{1,29}(\.[0-9]{1,9})?\z"
-_LITERAL = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
-
-
-def div(a: Column, b: Column) -> Column:
-    """Integer quotient of two bigint columns."""
-    return F.call_function("div", a, b)
-
 
-class _Literal:
-    """Digits, scale and size of a decimal literal, as written (not as valued)."""
+def with_steps(rows: DataFrame, *steps: dict[str, str], drop: str = "_") -> DataFrame:
+    """Add the columns of each step, SQL text by name; a step sees the ones before it.
 
-    def __init__(self, text: Column):
-        # Underscores between or around digits are legal separators.
-        self.text = F.regexp_replace(text, "_", "")
-        self.is_number = self.text.rlike(_LITERAL)
-        mantissa = F.regexp_replace(self.text, "[eE].*$", "")
-        fraction = F.length(F.regexp_extract(mantissa, r"\.([0-9]*)", 1))
-        exponent_text = F.regexp_extract(self.text, r"[eE]([+-]?[0-9]+)\z", 1)
-        # An exponent beyond int range leaves NULL, which fails every later test.
-        self.exponent = F.when(exponent_text == "", F.lit(0)).otherwise(
-            exponent_text.try_cast("int")).cast("bigint")
-        significant = F.regexp_replace(F.regexp_replace(mantissa, "[^0-9]", ""), "^0+", "")
-        self.digits = F.when(significant == "", F.lit("0")).otherwise(significant)
-        self.scale = fraction - self.exponent
-        self.integer_digits = F.when(
-            self.scale <= 0, F.length(self.digits) - self.scale,
-        ).otherwise(F.greatest(F.length(self.digits) - self.scale, F.lit(0)))
-
-
-def parse_amount(text: Column) -> Column:
-    """Amount text (already stripped) to ``decimal(38,9)``, NULL when not storable.
+    Columns of the steps that start with ``drop`` are dropped at the end.
+    """
+    helpers = []
+    for step in steps:
+        rows = rows.selectExpr("*", *[f"{sql} AS {name}" for name, sql in step.items()])
+        helpers += [name for name in step if name.startswith(drop)]
+    return rows.drop(*helpers)
+
+
+# Digits, scale and size of the decimal literal in _text, as written (not as valued).
+# All NULL where _text is, so unusual rows alone pay for them. Underscores between or
+# around digits are legal separators. An exponent beyond int range leaves NULL, which
+# fails every later test.
+_LITERAL_STEPS = (
+    {"_bare": "regexp_replace(_text, '_', '')"},
+    {"_literal": r"""CASE WHEN _bare RLIKE
+        r'^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\z' THEN _bare END"""},
+    {"_mantissa": "regexp_replace(_literal, '[eE].*', '')",
+     "_exponent": r"regexp_extract(_literal, r'[eE]([+-]?[0-9]+)\z', 1)"},
+    {"_stripped": "regexp_replace(regexp_replace(_mantissa, '[^0-9]', ''), '^0+', '')",
+     "_scale": r"""length(regexp_extract(_mantissa, r'\.([0-9]*)', 1))
+        - CASE WHEN _exponent = '' THEN 0L ELSE CAST(try_cast(_exponent AS INT) AS BIGINT) END"""},
+    {"_digits": "CASE WHEN _stripped = '' THEN '0' ELSE _stripped END"},
+    {"_size": "length(_digits)"},
+    {"_integer_digits":
+        "CASE WHEN _scale <= 0 THEN _size - _scale ELSE greatest(_size - _scale, 0) END"},
+)
+
+
+def with_amount(rows: DataFrame, text: str, out: str) -> DataFrame:
+    """Add ``out``: amount text (already stripped) as ``decimal(38,9)``, NULL when not
+    storable.
 
     The literal decides: more than nine decimals or 29 integer digits as written are
-    invalid, even where the value itself would fit.
+    invalid, even where the value itself would fit. A plain number takes one pattern
+    test and one cast; other literals are taken apart.
     """
-    literal = _Literal(text)
-    general = F.when(
-        literal.is_number
-        & (literal.scale <= MAX_SCALE)
-        & (literal.integer_digits <= MAX_INTEGER_DIGITS),
-        literal.text.try_cast(NUMERIC))
-    return F.when(text.rlike(_PLAIN), text.try_cast(NUMERIC)).otherwise(general)
+    return with_steps(
+        rows,
+        {"_plain": rf"{text} RLIKE r'^[+-]?[0-9]{{1,29}}(\.[0-9]{{1,9}})?\z'"},
+        {"_text": f"CASE WHEN NOT _plain AND {text} <> '' THEN {text} END"},
+        *_LITERAL_STEPS,
+        {out: f"""CASE WHEN _plain THEN try_cast({text} AS {NUMERIC})
+            WHEN _scale <= {MAX_SCALE} AND _integer_digits <= {MAX_INTEGER_DIGITS}
+            THEN try_cast(_literal AS {NUMERIC}) END"""})
 
 
-def parse_rate(c: Column) -> Column:
-    """Rate text to ``decimal(38,9)``: excess decimals are rounded half-even, more than
-    29 integer digits (before or after rounding), blanks and non-numbers are NULL.
+def with_rate(rows: DataFrame, text: str, out: str) -> DataFrame:
+    """Add ``out``: rate text as ``decimal(38,9)``. Excess decimals are rounded half-even;
+    more than 29 integer digits (before or after rounding), blanks and non-numbers are
+    NULL.
 
     The rounding works on the digit string, so literals of any length stay exact.
     """
-    literal = _Literal(strip(c))
-    as_written = literal.text.try_cast(NUMERIC)
-
-    drop = (literal.scale - MAX_SCALE).cast("int")
-    size = F.length(literal.digits)
-    padded = F.concat(F.lit("0"), literal.digits)
-    head = F.substring(padded, F.lit(1), size + 1 - drop)
-    tail = F.substring(padded, size + 2 - drop, drop)
-    half = F.rpad(F.lit("5"), drop, F.lit("0"))
-    odd = F.substring(head, -1, 1).isin("1", "3", "5", "7", "9")
-    up = F.when((tail > half) | ((tail == half) & odd), F.lit(1)).otherwise(F.lit(0))
-    units = F.try_add(head.try_cast("decimal(38,0)"), up.cast("decimal(1,0)"))
-    sign = F.when(literal.text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    rounded = F.when(
-        drop > size, F.lit(0).cast(NUMERIC),
-    ).otherwise(F.concat(sign, _units_text(units)).try_cast(NUMERIC))
-
-    return F.when(
-        literal.is_number & (literal.integer_digits <= MAX_INTEGER_DIGITS),
-        F.when(literal.scale <= MAX_SCALE, as_written).otherwise(rounded))
-
-
-def _units_text(units: Column) -> Column:
-    """Non-negative count of 1e-9 units as decimal text."""
-    text = F.lpad(units.cast("string"), 39, "0")
-    return F.concat(F.substring(text, 1, 30), F.lit("."), F.substring(text, 31, 9))
+    return with_steps(
+        rows.withColumn("_text", strip(F.col(text))),
+        *_LITERAL_STEPS,
+        {"_cut": f"CAST(_scale - {MAX_SCALE} AS INT)", "_padded": "concat('0', _digits)"},
+        {"_head": "substring(_padded, 1, _size + 1 - _cut)",
+         "_tail": "substring(_padded, _size + 2 - _cut, _cut)",
+         "_half": "rpad('5', least(_cut, _size + 1), '0')"},
+        {"_up": """CASE WHEN _tail > _half
+            OR (_tail = _half AND right(_head, 1) IN ('1', '3', '5', '7', '9'))
+            THEN 1BD ELSE 0BD END"""},
+        {"_units": "try_add(try_cast(_head AS decimal(38,0)), _up)"},
+        {out: f"""CASE WHEN _integer_digits <= {MAX_INTEGER_DIGITS} THEN
+            CASE WHEN _scale <= {MAX_SCALE} THEN try_cast(_literal AS {NUMERIC})
+                 WHEN _cut > _size THEN CAST(0 AS {NUMERIC})
+                 ELSE try_cast(concat(CASE WHEN _literal LIKE '-%' THEN '-' ELSE '' END,
+                                      {_units_text('_units')}) AS {NUMERIC}) END END"""},
+    ).drop("_text")
+
+
+def _units_text(units: str) -> str:
+    """SQL for a non-negative count of 1e-9 units as decimal text."""
+    text = f"lpad(CAST({units} AS STRING), 39, '0')"
+    return f"concat(substring({text}, 1, 30), '.', substring({text}, 31, 9))"
 
 
 def round_half_even(c: Column, scale: int) -> Column:
     return F.bround(c, scale)
 
 
-def to_units(amount: Column) -> Column:
-    """``decimal(38,9)`` as a whole number of 1e-9 units, ``decimal(38,0)``."""
-    billion = F.lit(Decimal(10) ** 9).cast("decimal(10,0)")
-    whole = F.floor(amount).cast("decimal(29,0)")
-    fraction = ((amount % F.lit(Decimal(1)).cast("decimal(1,0)")) * billion).cast("decimal(10,0)")
-    return (whole * billion + fraction).cast("decimal(38,0)")
-
-
-def multiply_divide_long(a: Column, by: Column, over: Column) -> Column:
-    """``a * by / over`` rounded half-even, all bigint, ``a`` not negative.
+def to_units(amount: str) -> str:
+    """SQL for a ``decimal(38,9)`` as a whole number of 1e-9 units, ``decimal(38,0)``."""
+    whole = f"CAST(floor({amount}) AS decimal(29,0))"
+    fraction = f"CAST(({amount} % 1BD) * 1000000000BD AS decimal(10,0))"
+    return f"CAST({whole} * 1000000000BD + {fraction} AS decimal(38,0))"
 
-    Splitting ``a`` by ``over`` first keeps every intermediate near the size of the
-    result instead of the size of the product.
-    """
-    rest = (a % over) * by
-    quotient = div(a, over) * by + div(rest, over)
-    remainder = rest % over
-    return quotient + _half_even(remainder, over, quotient % 2).cast("bigint")
 
+def units_to_numeric(units: str) -> str:
+    """SQL for ``decimal(38,0)`` units of 1e-9, not negative, as ``decimal(38,9)``."""
+    return f"try_cast({_units_text(units)} AS {NUMERIC})"
 
-def multiply_divide_decimal(a: Column, by: Column, over: Column) -> Column:
-    """As :func:`multiply_divide_long` for ``decimal(38,0)``, NULL on overflow.
 
-    Exact for any ``a`` while ``by`` and ``over`` have at most 19 digits and ``over``
-    at least seven, so that the quotient fits the 32 integer digits Spark keeps.
-    """
-    by = by.cast("decimal(19,0)")
-    over = over.cast("decimal(19,0)")
-    low = a % over
-    rest = F.try_multiply(low, by).cast("decimal(38,0)")
-    remainder = rest % over
-    high = _exact_quotient(a - low, over)
-    quotient = F.try_add(
-        F.try_multiply(high, by), _exact_quotient(rest - remainder, over),
-    ).try_cast("decimal(38,0)")
-    up = _half_even(remainder, over, quotient % F.lit(Decimal(2)).cast("decimal(1,0)"))
-    return F.try_add(quotient, up.cast("decimal(1,0)")).try_cast("decimal(38,0)")
+def long_units_to_numeric(units: str) -> str:
+    """As :func:`units_to_numeric` for bigint units, without the detour over text."""
+    return f"CAST(CAST({units} AS decimal(19,0)) * 0.000000001BD AS {NUMERIC})"
 
 
-def _exact_quotient(a: Column, b: Column) -> Column:
-    return F.try_divide(a.cast("decimal(38,0)"), b).try_cast("decimal(38,0)")
+def _half_even(remainder: str, over: str, odd: str) -> str:
+    return (f"CASE WHEN {remainder} > {over} - {remainder} OR "
+            f"({remainder} = {over} - {remainder} AND {odd} = 1) THEN 1 ELSE 0 END")
 
 
-def _half_even(remainder: Column, over: Column, odd: Column) -> Column:
-    rest = over - remainder
-    return F.when((remainder > rest) | ((remainder == rest) & (odd == 1)), F.lit(1)).otherwise(F.lit(0))
+def _merged(quotients, *makers) -> list[dict[str, str]]:
+    return [{name: sql for q in quotients for name, sql in make(*q).items()} for make in makers]
 
 
-def units_to_numeric(units: Column) -> Column:
-    """``decimal(38,0)`` units of 1e-9, not negative, back to ``decimal(38,9)``."""
-    return _units_text(units).try_cast(NUMERIC)
+def multiply_divide_long(rows: DataFrame, *quotients: tuple[str, str, str, str]) -> DataFrame:
+    """For each ``(out, a, by, over)`` add ``out = a * by / over`` rounded half-even.
 
+    All bigint columns, ``a`` not negative. Splitting ``a`` by ``over`` first keeps every
+    intermediate near the size of the result instead of the size of the product.
+    """
+    return with_steps(rows, *_merged(
+        quotients,
+        lambda out, a, by, over: {
+            f"_{out}_high": f"({a} div {over}) * {by}",
+            f"_{out}_rest": f"({a} % {over}) * {by}"},
+        lambda out, a, by, over: {
+            f"_{out}_whole": f"_{out}_high + (_{out}_rest div {over})",
+            f"_{out}_rem": f"_{out}_rest % {over}"},
+        lambda out, a, by, over: {
+            out: f"_{out}_whole + {_half_even(f'_{out}_rem', over, f'_{out}_whole % 2')}"}))
+
+
+def multiply_divide_decimal(rows: DataFrame, *quotients: tuple[str, str, str, str]) -> DataFrame:
+    """As :func:`multiply_divide_long` for ``decimal(38,0)``, NULL on overflow.
 
-def long_units_to_numeric(units: Column) -> Column:
-    """As :func:`units_to_numeric` for bigint units, without the detour over text."""
-    unit = F.lit(Decimal("0.000000001")).cast("decimal(10,9)")
-    return (units.cast("decimal(19,0)") * unit).cast(NUMERIC)
+    Exact for any ``a`` while ``by`` and ``over`` have at most 19 digits and ``over``
+    at least seven, so that the quotient fits the 32 integer digits Spark keeps. Rows
+    with a NULL ``a`` skip the arithmetic.
+    """
+    whole = "decimal(38,0)"
+
+    def quotient(a: str, b: str) -> str:
+        return f"try_cast(try_divide(CAST({a} AS {whole}), {b}) AS {whole})"
+
+    return with_steps(rows, *_merged(
+        quotients,
+        lambda out, a, by, over: {
+            f"_{out}_a": f"CAST({a} AS {whole})",
+            f"_{out}_by": f"CAST({by} AS decimal(19,0))",
+            f"_{out}_over": f"CAST({over} AS decimal(19,0))"},
+        lambda out, a, by, over: {
+            f"_{out}_part": f"_{out}_a % _{out}_over"},
+        lambda out, a, by, over: {
+            f"_{out}_rest": f"CAST(_{out}_part * _{out}_by AS {whole})",
+            f"_{out}_split": quotient(f"_{out}_a - _{out}_part", f"_{out}_over")},
+        lambda out, a, by, over: {
+            f"_{out}_rem": f"_{out}_rest % _{out}_over",
+            f"_{out}_high": f"try_cast(try_multiply(_{out}_split, _{out}_by) AS {whole})"},
+        lambda out, a, by, over: {
+            f"_{out}_low": quotient(f"_{out}_rest - _{out}_rem", f"_{out}_over")},
+        lambda out, a, by, over: {
+            f"_{out}_sum": f"try_cast(try_add(_{out}_high, _{out}_low) AS {whole})"},
+        lambda out, a, by, over: {
+            f"_{out}_up": _half_even(f"_{out}_rem", f"_{out}_over", f"_{out}_sum % 2BD")},
+        lambda out, a, by, over: {
+            out: f"try_cast(try_add(_{out}_sum, CAST(_{out}_up AS decimal(1,0))) AS {whole})"}))

@@ -10,8 +10,10 @@ from tillbridge.contracts import (
     ACCEPTED, BASE_REASONS, CURRENCIES, DUPLICATE_CONFLICT, DUPLICATE_REPLAY, QUARANTINE,
     RAW_TRANSACTIONS, REGIONS, require_columns,
 )
-from tillbridge.functions.dates import parse_datetime
-from tillbridge.functions.numeric import multiply_divide_decimal, parse_amount, to_units, units_to_numeric
+from tillbridge.functions.dates import with_datetime
+from tillbridge.functions.numeric import (
+    multiply_divide_decimal, to_units, units_to_numeric, with_amount,
+)
 from tillbridge.functions.text import canonical_code, strip
 from tillbridge.operators.hotkeys import hot_keys
 from tillbridge.sources.scan import instant
@@ -31,10 +33,12 @@ def canonicalize(raw: DataFrame) -> DataFrame:
     require_columns(raw, RAW_TRANSACTIONS.columns, "raw transactions")
     typed = raw.select(*RAW_TRANSACTIONS.columns).withColumns({
         "txn_id": strip(F.col("txn")),
-        "transaction_dt": parse_datetime(strip(F.col("dtts"))),
-        "amount_numeric": parse_amount(strip(F.col("amount"))),
         "currency_code": canonical_code(F.col("currency")),
+        "_dtts": strip(F.col("dtts")),
+        "_amount": strip(F.col("amount")),
     })
+    typed = with_datetime(typed, "_dtts", "transaction_dt")
+    typed = with_amount(typed, "_amount", "amount_numeric").drop("_dtts", "_amount")
     parsed_dt, amount = F.col("transaction_dt"), F.col("amount_numeric")
     rules = {
         "MISSING_TXN": F.col("txn_id") == "",
@@ -66,16 +70,19 @@ def mark_duplicates(canonical: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame
     key = F.xxhash64("batch_date", "txn_id")
     payload = F.struct(*_PAYLOAD)
     order = F.struct("source_file", "source_row_number")
+    # Invalid rows enter the verdicts as NULL. A filter would be pushed below the parsing
+    # steps and repeat them.
+    valid_payload, valid_order = F.when(valid, payload), F.when(valid, order)
 
     # Counting ids needs two raw columns only; invalid rows may make an id look hot,
     # which costs nothing but the choice of method.
     hot = hot_keys(
         canonical, F.when(F.col("txn_id") != "", key), hot_rows)
-    verdicts = canonical.where(valid).join(
+    verdicts = canonical.join(
         F.broadcast(hot), key == F.col("hot_key"), "left_semi",
     ).groupBy("batch_date", "txn_id").agg(
-        (F.min(payload) != F.max(payload)).alias("hot_conflict"),
-        F.min(order).alias("hot_first"))
+        (F.min(valid_payload) != F.max(valid_payload)).alias("hot_conflict"),
+        F.min(valid_order).alias("hot_first"))
 
     spread = F.when(valid & F.col("hot_conflict").isNull(), F.lit(None)).otherwise(
         F.xxhash64("source_row_id"))
@@ -146,10 +153,8 @@ def flag_outliers(accepted: DataFrame, factor: int = 5) -> DataFrame:
         F.sum("amount").cast("decimal(38,9)").alias("total"), F.count("*").alias("n"))
     # Sum and count are scaled alike so that the divisor has the digits the exact
     # division asks for.
-    scale = F.lit(10**6)
-    threshold = multiply_divide_decimal(
-        to_units(F.col("total")), scale * factor, F.col("n") * scale)
-    limits = stats.select(
-        "batch_date", "currency", units_to_numeric(threshold).alias("outlier_threshold"))
+    limits = multiply_divide_decimal(
+        stats, ("threshold", to_units("total"), f"{factor * 10**6}L", f"(n * {10**6}L)"),
+    ).selectExpr("batch_date", "currency", f"{units_to_numeric('threshold')} AS outlier_threshold")
     return accepted.join(F.broadcast(limits), ["batch_date", "currency"]).withColumn(
         "is_outlier", F.col("amount") > F.col("outlier_threshold"))

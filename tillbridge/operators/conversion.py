@@ -6,12 +6,12 @@ from datetime import datetime
 from decimal import ROUND_HALF_EVEN, Decimal, localcontext
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tillbridge.contracts import ACCEPTED, BASE_CURRENCY, CURRENCIES, FACT, require_columns
 from tillbridge.functions.numeric import (
-    NUMERIC, div, long_units_to_numeric, multiply_divide_decimal, multiply_divide_long, to_units,
-    units_to_numeric,
+    NUMERIC, long_units_to_numeric, multiply_divide_decimal, multiply_divide_long, to_units,
+    units_to_numeric, with_steps,
 )
 from tillbridge.functions.text import strip
 from tillbridge.sources.scan import instant
@@ -29,65 +29,49 @@ def rate_terms(effective_fx: DataFrame) -> DataFrame:
     when the rates have more than four decimals. ``decimal_ok``: whether decimal
     arithmetic is exact for these rates.
     """
-    usd, eur = F.col("usd_thb_rate"), F.col("eur_thb_rate")
-    one = F.lit(Decimal(1)).cast(NUMERIC)
-
-    def fine(rate):
-        return (rate * F.lit(Decimal(_FINE)).cast("decimal(5,0)")).try_cast("decimal(28,0)").try_cast("bigint")
-
-    step = F.lit(Decimal("0.0001")).cast("decimal(4,4)")
-    top = F.lit(Decimal(100_000)).cast(NUMERIC)
-    coarse = (usd % step == 0) & (eur % step == 0) & (usd < top) & (eur < top)
-    low = F.least(one, usd, eur)
-    high = F.greatest(one, usd, eur)
-    limit = div(F.lit(9 * 10**9) * fine(low), fine(high))
-    small, large = F.lit(Decimal("0.001")), F.lit(Decimal(10) ** 10)
-    return effective_fx.withColumns({
-        "long_thb": F.lit(_FINE).cast("bigint"),
-        "long_usd": F.when(coarse, fine(usd)),
-        "long_eur": F.when(coarse, fine(eur)),
-        "long_limit": F.when(coarse, limit).otherwise(F.lit(0)).cast(NUMERIC),
-        "units_thb": to_units(one),
-        "units_usd": to_units(usd),
-        "units_eur": to_units(eur),
-        "decimal_ok": (low >= small) & (high < large),
-    })
+    def fine(rate: str) -> str:
+        return f"CAST(CAST({rate} AS decimal(9,4)) * {_FINE}BD AS BIGINT)"
+
+    return with_steps(
+        effective_fx,
+        {"_low": "least(1BD, usd_thb_rate, eur_thb_rate)",
+         "_high": "greatest(1BD, usd_thb_rate, eur_thb_rate)"},
+        {"_coarse": "_high < 100000 AND usd_thb_rate % 0.0001BD = 0 AND eur_thb_rate % 0.0001BD = 0",
+         "decimal_ok": "_low >= 0.001 AND _high < 10000000000"},
+        {"long_thb": f"{_FINE}L",
+         **{f"long_{c}": f"CASE WHEN _coarse THEN {fine(f'{c}_thb_rate')} END" for c in ("usd", "eur")},
+         "long_limit": f"""CAST(CASE WHEN _coarse
+            THEN (9000000000 * {fine('_low')}) div {fine('_high')} ELSE 0 END AS {NUMERIC})""",
+         "units_thb": "CAST(1000000000 AS decimal(38,0))",
+         "units_usd": to_units("usd_thb_rate"),
+         "units_eur": to_units("eur_thb_rate")})
 
 
 _TERMS = ("long_thb", "long_usd", "long_eur", "long_limit", "units_thb", "units_usd",
           "units_eur", "decimal_ok")
 
 
-def _of_currency(prefix: str) -> Column:
-    chosen = F.lit(None)
-    for code in CURRENCIES:
-        chosen = F.when(F.col("currency") == code, F.col(f"{prefix}_{code.lower()}")).otherwise(chosen)
-    return chosen
-
-
 def _converted(rows: DataFrame) -> DataFrame:
     """Add the three amounts; NULL where one does not fit ``decimal(38,9)``."""
-    amount = F.col("amount")
-    small = amount <= F.col("long_limit")
-    billion = F.lit(Decimal(10) ** 9).cast("decimal(10,0)")
-    long_units = F.when(small, (amount * billion).cast("bigint"))
-    rows = rows.withColumns({
-        "_long_amount": long_units,
-        "_long_rate": _of_currency("long"),
-        "_units_rate": _of_currency("units"),
+    def rate(kind: str) -> str:
+        whens = " ".join(f"WHEN '{c}' THEN {kind}_{c.lower()}" for c in CURRENCIES)
+        return f"CASE currency {whens} END"
+
+    rows = with_steps(rows, {
+        "small": "CASE WHEN amount <= long_limit THEN CAST(amount * 1000000000BD AS BIGINT) END",
+        "large": f"CASE WHEN amount > long_limit THEN {to_units('amount')} END",
+        "long_rate": rate("long"),
+        "units_rate": rate("units"),
     })
-    columns = {}
-    for target in _TARGETS:
-        by_long = long_units_to_numeric(multiply_divide_long(
-            F.col("_long_amount"), F.col("_long_rate"), F.col(f"long_{target}")))
-        by_decimal = units_to_numeric(multiply_divide_decimal(
-            to_units(amount), F.col("_units_rate"), F.col(f"units_{target}")))
-        own = F.col("currency") == target.upper()
-        columns[f"amount_{target}"] = (
-            F.when(own, amount)
-            .when(F.col("_long_amount").isNotNull(), by_long)
-            .otherwise(by_decimal))
-    return rows.withColumns(columns).drop("_long_amount", "_long_rate", "_units_rate")
+    rows = multiply_divide_long(
+        rows, *[(f"small_{t}", "small", "long_rate", f"long_{t}") for t in _TARGETS])
+    rows = multiply_divide_decimal(
+        rows, *[(f"large_{t}", "large", "units_rate", f"units_{t}") for t in _TARGETS])
+    return with_steps(rows, {
+        f"amount_{t}": f"""CASE WHEN currency = '{t.upper()}' THEN amount
+            WHEN small IS NOT NULL THEN {long_units_to_numeric(f'small_{t}')}
+            ELSE {units_to_numeric(f'large_{t}')} END"""
+        for t in _TARGETS})
 
 
 _WIDE_RESULT = T.StructType(
@@ -146,17 +130,19 @@ def fact_rows(accepted: DataFrame, effective_fx: DataFrame, created_at: datetime
 
 
 def overflows(accepted: DataFrame, effective_fx: DataFrame) -> DataFrame:
-    """Accepted rows with an amount that does not fit after conversion.
+    """Per date, the accepted rows with an amount that does not fit after conversion.
 
     Up to the bigint limit of its date no amount can overflow, so only the few rows above
-    are converted.
+    are converted. The misfits are counted, not filtered: a filter would be pushed below
+    the conversion and repeat it.
     """
     limits = rate_terms(effective_fx.where("fx_status = 'OK'")).select(
         "batch_date", F.col("long_limit").alias("_limit"))
     large = accepted.join(F.broadcast(limits), "batch_date").where(
         F.col("amount") > F.col("_limit")).drop("_limit")
-    return convert(large, effective_fx).where(
-        "amount_thb is null or amount_usd is null or amount_eur is null")
+    return convert(large, effective_fx).groupBy("batch_date").agg(F.count_if(
+        F.col("amount_thb").isNull() | F.col("amount_usd").isNull() | F.col("amount_eur").isNull(),
+    ).alias("overflows"))
 
 
 def accepted_violations(accepted: DataFrame, effective_fx: DataFrame) -> DataFrame:
@@ -181,6 +167,5 @@ def accepted_violations(accepted: DataFrame, effective_fx: DataFrame) -> DataFra
         F.sum(F.when(~blank, F.col("copies") - 1).otherwise(F.lit(0))).alias("repeated_ids"),
         F.sum("bad_amounts").alias("bad_amounts"),
         F.sum("bad_currencies").alias("bad_currencies"))
-    too_large = overflows(accepted, effective_fx).groupBy("batch_date").agg(
-        F.count("*").alias("overflows"))
-    return counts.join(too_large, "batch_date", "left").fillna(0, ["overflows"])
+    return counts.join(overflows(accepted, effective_fx), "batch_date", "left").fillna(
+        0, ["overflows"])

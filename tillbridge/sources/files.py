@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable
 from datetime import date
+from functools import reduce
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -145,11 +146,12 @@ def file_hashes(spark: SparkSession, files: DataFrame, *patterns: str,
         frames.append(content.where(F.col("length") <= one_row_limit).select(
             "path", "length", F.sha2("content", 256).alias("sha256")))
     large = files.where(F.col("length") > one_row_limit).select("path", "length")
-    hashed = large.repartition("path").mapInPandas(
-        _hash_stream, "path string, length long, sha256 string")
-    for frame in frames:
-        hashed = hashed.unionByName(frame)
-    return hashed
+    if not large.isEmpty():
+        frames.append(large.repartition("path").mapInPandas(
+            _hash_stream, "path string, length long, sha256 string"))
+    if not frames:
+        return spark.createDataFrame([], "path string, length long, sha256 string")
+    return reduce(DataFrame.unionByName, frames)
 
 
 def verify_checksums(hashed: DataFrame, registered: DataFrame) -> DataFrame:
