@@ -7,7 +7,7 @@ from decimal import ROUND_HALF_EVEN, Decimal, InvalidOperation, localcontext
 import pandas as pd
 from pyspark.sql import functions as F
 
-from tillbridge.functions.dates import parse_iso_date, with_datetime, with_source_datetime
+from tillbridge.functions.dates import with_datetime, with_iso_date, with_source_datetime
 from tillbridge.functions.numeric import (
     long_units_to_numeric, multiply_divide_decimal, multiply_divide_long, round_half_even,
     to_units, units_to_numeric, with_amount, with_rate,
@@ -169,7 +169,7 @@ def test_iso_date_matches_python(spark):
         except ValueError:
             return None
 
-    got = evaluate(spark, values, parse_iso_date(F.col("x")))
+    got = evaluate(spark, values, F.col("v"), prepare=lambda f: with_iso_date(f, "x", "v"))
     wrong = [(v, g, expected(v)) for v, g in zip(values, got) if g != expected(v)]
     assert not wrong
 
@@ -203,7 +203,7 @@ def test_decimal_multiply_divide(spark):
         over = rnd.choice([10**9, 2 * 10**9, by, rnd.randint(10**6, 10 ** rnd.randint(7, 19) - 1)])
         rows.append((Decimal(a), Decimal(by), Decimal(over)))
     frame = spark.createDataFrame(rows, "a decimal(38,0), m decimal(38,0), d decimal(38,0)")
-    got = multiply_divide_decimal(frame, ("q", "a", "m", "d")).collect()
+    got = frame.selectExpr("*", f"{multiply_divide_decimal('a', 'm', 'd')} AS q").collect()
     for a, m, d, result in got:
         want = exact(int(a), int(m), int(d))
         assert result == (want if want < 10**38 else None), (a, m, d)

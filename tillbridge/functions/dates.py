@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from tillbridge.functions.numeric import with_steps
+from tillbridge.functions.numeric import let, with_steps
 from tillbridge.functions.text import WHITE_SPACE, strip
 
 _PADDED = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}\z"
 # Unpadded fields, a blank-padded day, any run of white space between date and time,
 # and seconds 60 and 61, which roll over into the next minute.
 _UNPADDED = (
-    r"^([0-9]{4})-(1[0-2]|0?[1-9])-(3[01]|[12][0-9]|[0 ]?[1-9])"
+    r"^([0-9]{4})-(1[0-2]|0?[1-9])-(?:(3[01]|[12][0-9]|0?[1-9])| ([1-9]))"
     rf"[{WHITE_SPACE}]+"
     r"(2[0-3]|[01]?[0-9]):([0-5]?[0-9]):(6[01]|[0-5]?[0-9])\z"
 )
@@ -40,40 +40,36 @@ def with_source_datetime(rows: DataFrame, text: str, out: str) -> DataFrame:
 
 
 def _with_datetime(rows: DataFrame, text: str, out: str) -> DataFrame:
-    # The padded form takes one pattern test and Spark's own cast. Only the others get
-    # the second pattern: its input is NULL for all other rows.
-    def part(i: int) -> str:
-        return f"try_cast(trim(regexp_extract(_odd, r'{_UNPADDED}', {i})) AS INT)"
-
+    # The padded form takes one pattern test and Spark's own cast. Only the others get the
+    # second pattern, which brings them into that form, seconds apart.
+    minute = f"try_cast(regexp_replace({text}, r'{_UNPADDED}', '$1-$2-$3$4 $5:$6:00') AS TIMESTAMP_NTZ)"
+    second = f"try_cast(regexp_extract({text}, r'{_UNPADDED}', 7) AS INT)"
     return with_steps(
         rows,
-        {"_padded": rf"""CASE WHEN {text} RLIKE r'{_PADDED}'
-            THEN try_cast({text} AS TIMESTAMP_NTZ) END"""},
-        {"_odd": f"CASE WHEN _padded IS NULL AND {text} RLIKE r'{_UNPADDED}' THEN {text} END"},
-        {out: f"""coalesce(_padded,
-            try_make_timestamp_ntz({', '.join(map(part, range(1, 6)))}, 0)
-            + make_dt_interval(0, 0, 0, {part(6)}))"""})
+        {"_padded": f"CASE WHEN {text} RLIKE r'{_PADDED}' THEN try_cast({text} AS TIMESTAMP_NTZ) END"},
+        {out: f"""CASE WHEN _padded IS NOT NULL THEN _padded
+            WHEN {text} RLIKE r'{_UNPADDED}'
+            THEN {minute} + make_dt_interval(0, 0, 0, {second}) END"""})
 
 
-def parse_iso_date(c: Column) -> Column:
-    """ISO 8601 date text to ``date``: calendar (``2025-07-22``, ``20250722``) or week
-    form (``2025-W30-2``, ``2025W302``, day optional). Anything else is NULL."""
-    text = strip(c)
-    plain = F.regexp_replace(text, "-", "")
-    calendar = F.when(
-        text.rlike(r"^[0-9]{4}(-[0-9]{2}-[0-9]{2}|[0-9]{4})\z"),
-        F.concat_ws("-", F.substring(plain, 1, 4), F.substring(plain, 5, 2),
-                    F.substring(plain, 7, 2)).try_cast("date"))
-    year = F.substring(plain, 1, 4)
-    week = F.substring(plain, 6, 2).try_cast("int")
-    day = F.coalesce(F.substring(plain, 8, 1).try_cast("int"), F.lit(1))
+def with_iso_date(rows: DataFrame, text: str, out: str) -> DataFrame:
+    """Add ``out``: ISO 8601 date text as ``date``, in calendar (``2025-07-22``,
+    ``20250722``) or week form (``2025-W30-2``, ``2025W302``, day optional), else NULL."""
+    iso = "_iso"
+    plain = f"replace({iso}, '-', '')"
     # 4 January always lies in ISO week 1, 28 December in the last one.
-    fourth = F.concat(year, F.lit("-01-04")).try_cast("date")
-    weeks = F.weekofyear(F.concat(year, F.lit("-12-28")).try_cast("date"))
-    monday = F.date_sub(fourth, F.weekday(fourth))
-    by_week = F.when(
-        text.rlike(r"^[0-9]{4}(-W[0-9]{2}(-[1-7])?|W[0-9]{2}[1-7]?)\z")
-        & week.between(1, weeks),
-        F.date_add(monday, (week - 1) * 7 + day - 1))
-    value = F.coalesce(calendar, by_week)
-    return F.when(value >= F.lit("0001-01-01").cast("date"), value)
+    monday = let("fourth", "try_cast(concat(left(p, 4), '-01-04') AS DATE)",
+                 "date_sub(fourth, weekday(fourth))")
+    weeks = "weekofyear(try_cast(concat(left(p, 4), '-12-28') AS DATE))"
+    by_week = let("p", plain, let("week", "CAST(substring(p, 6, 2) AS INT)", f"""
+        CASE WHEN week BETWEEN 1 AND {weeks} THEN date_add(
+            {monday}, (week - 1) * 7 + CAST(coalesce(nullif(substring(p, 8, 1), ''), '1') AS INT) - 1)
+        END"""))
+    compact = "concat_ws('-', left(_iso, 4), substring(_iso, 5, 2), substring(_iso, 7, 2))"
+    return with_steps(
+        rows.withColumn(iso, strip(F.col(text))),
+        {"_day": f"""CASE
+            WHEN {iso} RLIKE r'^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}\z' THEN try_cast({iso} AS DATE)
+            WHEN {iso} RLIKE r'^[0-9]{{8}}\z' THEN try_cast({compact} AS DATE)
+            WHEN {iso} RLIKE r'^[0-9]{{4}}(-W[0-9]{{2}}(-[1-7])?|W[0-9]{{2}}[1-7]?)\z' THEN {by_week} END"""},
+        {out: "CASE WHEN _day >= DATE'0001-01-01' THEN _day END"}).drop(iso)

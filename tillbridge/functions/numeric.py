@@ -4,8 +4,9 @@ Nothing here uses floating point. Spark's own decimal division and string cast r
 half-up, so values that need half-even rounding are built from integer quotients and
 remainders.
 
-Longer computations are SQL text in steps: every step is used several times by the next,
-and one nested expression would repeat it each time.
+The common case of each function is one or two plain expressions that stay inside a
+generated stage. The rare cases are written with :func:`let`, which is evaluated only for
+rows that need it and keeps the generated code small enough for the JVM to compile.
 """
 
 from __future__ import annotations
@@ -31,24 +32,26 @@ def with_steps(rows: DataFrame, *steps: dict[str, str], drop: str = "_") -> Data
     return rows.drop(*helpers)
 
 
-# Digits, scale and size of the decimal literal in _text, as written (not as valued).
-# All NULL where _text is, so unusual rows alone pay for them. Underscores between or
-# around digits are legal separators. An exponent beyond int range leaves NULL, which
-# fails every later test.
-_LITERAL_STEPS = (
-    {"_bare": "regexp_replace(_text, '_', '')"},
-    {"_literal": r"""CASE WHEN _bare RLIKE
-        r'^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\z' THEN _bare END"""},
-    {"_mantissa": "regexp_replace(_literal, '[eE].*', '')",
-     "_exponent": r"regexp_extract(_literal, r'[eE]([+-]?[0-9]+)\z', 1)"},
-    {"_stripped": "regexp_replace(regexp_replace(_mantissa, '[^0-9]', ''), '^0+', '')",
-     "_scale": r"""length(regexp_extract(_mantissa, r'\.([0-9]*)', 1))
-        - CASE WHEN _exponent = '' THEN 0L ELSE CAST(try_cast(_exponent AS INT) AS BIGINT) END"""},
-    {"_digits": "CASE WHEN _stripped = '' THEN '0' ELSE _stripped END"},
-    {"_size": "length(_digits)"},
-    {"_integer_digits":
-        "CASE WHEN _scale <= 0 THEN _size - _scale ELSE greatest(_size - _scale, 0) END"},
-)
+def let(name: str, value: str, body: str) -> str:
+    """SQL that computes ``value`` once and uses it as ``name`` in ``body``."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+# Plain literals: any leading zeros, up to 29 more integer digits, up to nine decimals.
+_PLAIN = r"^[+-]?(?=[.]?[0-9])0*[0-9]{0,29}([.][0-9]{0,9})?\z"
+_NUMBER = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]{1,9})?\z"
+
+
+def _scale(literal: str) -> str:
+    """SQL for the decimals of a literal as written, less its exponent."""
+    exponent = f"try_cast(regexp_extract({literal}, r'[eE](.*)', 1) AS INT)"
+    return f"length(regexp_extract({literal}, r'[.]([0-9]*)', 1)) - coalesce({exponent}, 0)"
+
+
+def _digits(literal: str) -> str:
+    """SQL for the digits of a literal from the first one that is not 0; ``0`` for zero."""
+    bare = f"regexp_replace(regexp_replace({literal}, r'[eE].*|[^0-9]', ''), '^0+(?=.)', '')"
+    return bare
 
 
 def with_amount(rows: DataFrame, text: str, out: str) -> DataFrame:
@@ -56,17 +59,18 @@ def with_amount(rows: DataFrame, text: str, out: str) -> DataFrame:
     storable.
 
     The literal decides: more than nine decimals or 29 integer digits as written are
-    invalid, even where the value itself would fit. A plain number takes one pattern
-    test and one cast; other literals are taken apart.
+    invalid, even where the value itself would fit. Underscores between or around digits
+    are legal separators. Only literals with an exponent are taken apart.
     """
+    literal = "_literal"
+    fits = (f"({_scale(literal)}) <= {MAX_SCALE} AND "
+            f"length({_digits(literal)}) - ({_scale(literal)}) <= {MAX_INTEGER_DIGITS}")
     return with_steps(
         rows,
-        {"_plain": rf"{text} RLIKE r'^[+-]?[0-9]{{1,29}}(\.[0-9]{{1,9}})?\z'"},
-        {"_text": f"CASE WHEN NOT _plain AND {text} <> '' THEN {text} END"},
-        *_LITERAL_STEPS,
-        {out: f"""CASE WHEN _plain THEN try_cast({text} AS {NUMERIC})
-            WHEN _scale <= {MAX_SCALE} AND _integer_digits <= {MAX_INTEGER_DIGITS}
-            THEN try_cast(_literal AS {NUMERIC}) END"""})
+        {literal: f"translate({text}, '_', '')"},
+        {out: f"""CASE WHEN {literal} RLIKE r'{_PLAIN}'
+            OR ({literal} RLIKE r'[eE]' AND {literal} RLIKE r'{_NUMBER}' AND {fits})
+            THEN try_cast({literal} AS {NUMERIC}) END"""})
 
 
 def with_rate(rows: DataFrame, text: str, out: str) -> DataFrame:
@@ -76,23 +80,26 @@ def with_rate(rows: DataFrame, text: str, out: str) -> DataFrame:
 
     The rounding works on the digit string, so literals of any length stay exact.
     """
+    literal = "_literal"
+    # drop: digits to cut off the end; size: digits there are.
+    up = """CASE WHEN tail > half OR (tail = half AND right(head, 1) IN ('1', '3', '5', '7', '9'))
+        THEN 1BD ELSE 0BD END"""
+    sign = f"CASE WHEN {literal} LIKE '-%' THEN '-' ELSE '' END"
+    rounded = let("head", "substring(concat('0', digits), 1, size + 1 - cut)", let(
+        "tail", "substring(concat('0', digits), size + 2 - cut, cut)", let(
+            "half", "rpad('5', cut, '0')", let(
+                "units", f"try_add(try_cast(head AS decimal(38,0)), {up})",
+                f"try_cast(concat({sign}, {_units_text('units')}) AS {NUMERIC})"))))
+    general = let("digits", _digits(literal), let("size", "length(digits)", let(
+        "cut", f"{_scale(literal)} - {MAX_SCALE}",
+        f"""CASE WHEN size - (cut + {MAX_SCALE}) > {MAX_INTEGER_DIGITS} THEN NULL
+            WHEN cut <= 0 THEN try_cast({literal} AS {NUMERIC})
+            WHEN cut > size THEN CAST(0 AS {NUMERIC})
+            ELSE {rounded} END""")))
     return with_steps(
-        rows.withColumn("_text", strip(F.col(text))),
-        *_LITERAL_STEPS,
-        {"_cut": f"CAST(_scale - {MAX_SCALE} AS INT)", "_padded": "concat('0', _digits)"},
-        {"_head": "substring(_padded, 1, _size + 1 - _cut)",
-         "_tail": "substring(_padded, _size + 2 - _cut, _cut)",
-         "_half": "rpad('5', least(_cut, _size + 1), '0')"},
-        {"_up": """CASE WHEN _tail > _half
-            OR (_tail = _half AND right(_head, 1) IN ('1', '3', '5', '7', '9'))
-            THEN 1BD ELSE 0BD END"""},
-        {"_units": "try_add(try_cast(_head AS decimal(38,0)), _up)"},
-        {out: f"""CASE WHEN _integer_digits <= {MAX_INTEGER_DIGITS} THEN
-            CASE WHEN _scale <= {MAX_SCALE} THEN try_cast(_literal AS {NUMERIC})
-                 WHEN _cut > _size THEN CAST(0 AS {NUMERIC})
-                 ELSE try_cast(concat(CASE WHEN _literal LIKE '-%' THEN '-' ELSE '' END,
-                                      {_units_text('_units')}) AS {NUMERIC}) END END"""},
-    ).drop("_text")
+        rows.withColumn(literal, F.translate(strip(F.col(text)), "_", "")),
+        {out: f"""CASE WHEN {literal} RLIKE r'{_PLAIN}' THEN try_cast({literal} AS {NUMERIC})
+            WHEN {literal} RLIKE r'{_NUMBER}' THEN {general} END"""}).drop(literal)
 
 
 def _units_text(units: str) -> str:
@@ -149,37 +156,22 @@ def multiply_divide_long(rows: DataFrame, *quotients: tuple[str, str, str, str])
             out: f"_{out}_whole + {_half_even(f'_{out}_rem', over, f'_{out}_whole % 2')}"}))
 
 
-def multiply_divide_decimal(rows: DataFrame, *quotients: tuple[str, str, str, str]) -> DataFrame:
-    """As :func:`multiply_divide_long` for ``decimal(38,0)``, NULL on overflow.
+def multiply_divide_decimal(a: str, by: str, over: str) -> str:
+    """SQL for ``a * by / over`` rounded half-even, as ``decimal(38,0)``, NULL on overflow.
 
-    Exact for any ``a`` while ``by`` and ``over`` have at most 19 digits and ``over``
-    at least seven, so that the quotient fits the 32 integer digits Spark keeps. Rows
-    with a NULL ``a`` skip the arithmetic.
+    Exact for any ``a`` of 38 digits while ``by`` and ``over`` have at most 19 digits and
+    ``over`` at least seven, so that the quotient fits the 32 integer digits Spark keeps.
+    For rows that :func:`multiply_divide_long` cannot take.
     """
     whole = "decimal(38,0)"
 
-    def quotient(a: str, b: str) -> str:
-        return f"try_cast(try_divide(CAST({a} AS {whole}), {b}) AS {whole})"
+    def quotient(x: str, y: str) -> str:
+        return f"try_cast(try_divide(CAST({x} AS {whole}), {y}) AS {whole})"
 
-    return with_steps(rows, *_merged(
-        quotients,
-        lambda out, a, by, over: {
-            f"_{out}_a": f"CAST({a} AS {whole})",
-            f"_{out}_by": f"CAST({by} AS decimal(19,0))",
-            f"_{out}_over": f"CAST({over} AS decimal(19,0))"},
-        lambda out, a, by, over: {
-            f"_{out}_part": f"_{out}_a % _{out}_over"},
-        lambda out, a, by, over: {
-            f"_{out}_rest": f"CAST(_{out}_part * _{out}_by AS {whole})",
-            f"_{out}_split": quotient(f"_{out}_a - _{out}_part", f"_{out}_over")},
-        lambda out, a, by, over: {
-            f"_{out}_rem": f"_{out}_rest % _{out}_over",
-            f"_{out}_high": f"try_cast(try_multiply(_{out}_split, _{out}_by) AS {whole})"},
-        lambda out, a, by, over: {
-            f"_{out}_low": quotient(f"_{out}_rest - _{out}_rem", f"_{out}_over")},
-        lambda out, a, by, over: {
-            f"_{out}_sum": f"try_cast(try_add(_{out}_high, _{out}_low) AS {whole})"},
-        lambda out, a, by, over: {
-            f"_{out}_up": _half_even(f"_{out}_rem", f"_{out}_over", f"_{out}_sum % 2BD")},
-        lambda out, a, by, over: {
-            out: f"try_cast(try_add(_{out}_sum, CAST(_{out}_up AS decimal(1,0))) AS {whole})"}))
+    total = (f"try_cast(try_add(try_cast(try_multiply({quotient('a - part', 'o')}, m) AS {whole}), "
+             f"{quotient('rest - rem', 'o')}) AS {whole})")
+    up = f"CAST({_half_even('rem', 'o', 'total % 2BD')} AS decimal(1,0))"
+    body = let("part", "a % o", let("rest", f"CAST(part * m AS {whole})", let(
+        "rem", "rest % o", let("total", total, f"try_cast(try_add(total, {up}) AS {whole})"))))
+    return let("a", f"CAST({a} AS {whole})", let("m", f"CAST({by} AS decimal(19,0))", let(
+        "o", f"CAST({over} AS decimal(19,0))", body)))

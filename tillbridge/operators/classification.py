@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillbridge.contracts import (
     ACCEPTED, BASE_REASONS, CURRENCIES, DUPLICATE_CONFLICT, DUPLICATE_REPLAY, QUARANTINE,
@@ -25,10 +25,11 @@ _PAYLOAD = ("transaction_dt", "amount_numeric", "currency_code", "region")
 
 
 def canonicalize(raw: DataFrame) -> DataFrame:
-    """Add typed values and the ordered list of base reasons to raw rows.
+    """Add typed values and the failed base rules to raw rows.
 
-    New columns: ``txn_id``, ``transaction_dt``, ``amount_numeric``, ``currency_code``,
-    ``base_reasons``. The raw columns stay as they are.
+    New columns: ``txn_id``, ``transaction_dt``, ``amount_numeric``, ``currency_code``, and
+    ``reason_flags``, one bit per rule: a number is cheaper to compute, shuffle and test
+    than a list, see :func:`base_reasons`. The raw columns stay as they are.
     """
     require_columns(raw, RAW_TRANSACTIONS.columns, "raw transactions")
     typed = raw.select(*RAW_TRANSACTIONS.columns).withColumns({
@@ -39,34 +40,39 @@ def canonicalize(raw: DataFrame) -> DataFrame:
     })
     typed = with_datetime(typed, "_dtts", "transaction_dt")
     typed = with_amount(typed, "_amount", "amount_numeric").drop("_dtts", "_amount")
-    parsed_dt, amount = F.col("transaction_dt"), F.col("amount_numeric")
     rules = {
-        "MISSING_TXN": F.col("txn_id") == "",
-        "INVALID_DTTS": parsed_dt.isNull(),
-        "DTTS_BATCH_DATE_MISMATCH": parsed_dt.cast("date") != F.col("batch_date"),
-        "INVALID_AMOUNT": amount.isNull(),
-        "NEGATIVE_AMOUNT": amount < 0,
-        "INVALID_CURRENCY": ~F.col("currency_code").isin(*CURRENCIES),
-        "INVALID_REGION": ~F.coalesce(F.col("region").isin(*REGIONS), F.lit(False)),
+        "MISSING_TXN": "txn_id = ''",
+        "INVALID_DTTS": "transaction_dt IS NULL",
+        "DTTS_BATCH_DATE_MISMATCH": "CAST(transaction_dt AS DATE) <> batch_date",
+        "INVALID_AMOUNT": "amount_numeric IS NULL",
+        "NEGATIVE_AMOUNT": "amount_numeric < 0",
+        "INVALID_CURRENCY": f"currency_code NOT IN {CURRENCIES}",
+        "INVALID_REGION": f"NOT coalesce(region IN {REGIONS}, false)",
     }
-    return typed.withColumn(
-        "base_reasons",
-        F.array_compact(F.array(*[F.when(rules[code], F.lit(code)) for code in BASE_REASONS])))
+    bits = " + ".join(f"IF({rules[code]}, {1 << n}, 0)" for n, code in enumerate(BASE_REASONS))
+    return typed.withColumn("reason_flags", F.expr(bits))
+
+
+def base_reasons(flags: Column) -> Column:
+    """Reason codes of the set bits, in reporting order."""
+    return F.array_compact(F.array(*[
+        F.when(flags.bitwiseAND(F.lit(1 << n)) != 0, F.lit(code))
+        for n, code in enumerate(BASE_REASONS)]))
 
 
 def mark_duplicates(canonical: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add ``duplicate_reason``: NULL, ``DUPLICATE_CONFLICT`` or ``DUPLICATE_REPLAY``.
 
-    Rows with base reasons neither get a duplicate reason nor influence one. Scope is
+    Rows that fail a base rule neither get a duplicate reason nor influence one. Scope is
     one ``batch_date``. Differing payloads make every copy a conflict; equal ones are
     replays of the copy with the lowest ``(source_file, source_row_number)``.
 
     One shuffle and one sort by ``(batch_date, txn_id)`` serve all other keys. Rows of a
-    hot id are judged by a pre-aggregated verdict that is broadcast (at most a thousand
-    ids), and rows with base reasons by none, so both are spread over all partitions by
+    hot id are judged by a pre-aggregated verdict that is broadcast (a bounded
+    number of ids), and rows that fail a base rule by none, so both are spread over all partitions by
     their own row id.
     """
-    valid = F.size("base_reasons") == 0
+    valid = F.col("reason_flags") == 0
     key = F.xxhash64("batch_date", "txn_id")
     payload = F.struct(*_PAYLOAD)
     order = F.struct("source_file", "source_row_number")
@@ -109,11 +115,11 @@ def classify(raw: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     marked = mark_duplicates(canonicalize(raw), hot_rows)
     reasons = F.when(
         F.col("duplicate_reason").isNotNull(), F.array("duplicate_reason"),
-    ).otherwise(F.col("base_reasons"))
+    ).otherwise(base_reasons(F.col("reason_flags")))
     return marked.withColumns({
         "reason_codes": reasons,
-        "accepted": (F.size("base_reasons") == 0) & F.col("duplicate_reason").isNull(),
-    }).drop("base_reasons", "duplicate_reason")
+        "accepted": (F.col("reason_flags") == 0) & F.col("duplicate_reason").isNull(),
+    }).drop("reason_flags", "duplicate_reason")
 
 
 def accepted_rows(classified: DataFrame, classified_at: datetime) -> DataFrame:
@@ -153,8 +159,8 @@ def flag_outliers(accepted: DataFrame, factor: int = 5) -> DataFrame:
         F.sum("amount").cast("decimal(38,9)").alias("total"), F.count("*").alias("n"))
     # Sum and count are scaled alike so that the divisor has the digits the exact
     # division asks for.
-    limits = multiply_divide_decimal(
-        stats, ("threshold", to_units("total"), f"{factor * 10**6}L", f"(n * {10**6}L)"),
-    ).selectExpr("batch_date", "currency", f"{units_to_numeric('threshold')} AS outlier_threshold")
+    threshold = multiply_divide_decimal(to_units("total"), f"{factor * 10**6}L", f"n * {10**6}L")
+    limits = stats.selectExpr("batch_date", "currency", f"{threshold} AS units").selectExpr(
+        "batch_date", "currency", f"{units_to_numeric('units')} AS outlier_threshold")
     return accepted.join(F.broadcast(limits), ["batch_date", "currency"]).withColumn(
         "is_outlier", F.col("amount") > F.col("outlier_threshold"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tillbridge.contracts import ACCEPTED, BASE_CURRENCY, CURRENCIES, FACT, require_columns
 from tillbridge.functions.numeric import (
-    NUMERIC, long_units_to_numeric, multiply_divide_decimal, multiply_divide_long, to_units,
+    NUMERIC, let, long_units_to_numeric, multiply_divide_decimal, multiply_divide_long, to_units,
     units_to_numeric, with_steps,
 )
 from tillbridge.functions.text import strip
@@ -59,19 +59,21 @@ def _converted(rows: DataFrame) -> DataFrame:
 
     rows = with_steps(rows, {
         "small": "CASE WHEN amount <= long_limit THEN CAST(amount * 1000000000BD AS BIGINT) END",
-        "large": f"CASE WHEN amount > long_limit THEN {to_units('amount')} END",
         "long_rate": rate("long"),
         "units_rate": rate("units"),
     })
     rows = multiply_divide_long(
         rows, *[(f"small_{t}", "small", "long_rate", f"long_{t}") for t in _TARGETS])
-    rows = multiply_divide_decimal(
-        rows, *[(f"large_{t}", "large", "units_rate", f"units_{t}") for t in _TARGETS])
+    large = let("units", multiply_divide_decimal(to_units("amount"), "units_rate", "target"),
+                units_to_numeric("units"))
+    targets = ", ".join(f"units_{t}" for t in _TARGETS)
+    rows = with_steps(rows, {
+        "large": f"CASE WHEN amount > long_limit THEN transform(array({targets}), target -> {large}) END"})
     return with_steps(rows, {
         f"amount_{t}": f"""CASE WHEN currency = '{t.upper()}' THEN amount
             WHEN small IS NOT NULL THEN {long_units_to_numeric(f'small_{t}')}
-            ELSE {units_to_numeric(f'large_{t}')} END"""
-        for t in _TARGETS})
+            ELSE large[{n}] END"""
+        for n, t in enumerate(_TARGETS)})
 
 
 _WIDE_RESULT = T.StructType(
@@ -99,8 +101,8 @@ def convert(accepted: DataFrame, effective_fx: DataFrame) -> DataFrame:
     value. Rows of dates without usable rates are left out: see ``fx_status``. An amount
     that does not fit ``decimal(38,9)`` is NULL, for the caller to reject its date.
 
-    Nearly all rows take the bigint path, amounts beyond its limit the decimal one, both
-    in generated code. Python is reached only by dates whose rates are outside
+    Nearly all rows take the bigint path, in generated code; amounts beyond its limit take
+    the decimal one. Python is reached only by dates whose rates are outside
     0.001 to 1e10; with none, that branch's broadcast side is empty and is dropped at
     run time. The rates have one row per date.
     """

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tillbridge.contracts import FOREIGN_CURRENCIES, RAW_FX_RATES, require_columns
-from tillbridge.functions.dates import parse_iso_date
+from tillbridge.functions.dates import with_iso_date
 from tillbridge.functions.numeric import with_rate
 from tillbridge.functions.text import canonical_code
 
@@ -17,10 +17,9 @@ def publications(raw_fx: DataFrame) -> DataFrame:
     combine before the shuffle, so a publication with any number of rows is harmless.
     """
     require_columns(raw_fx, RAW_FX_RATES.columns, "raw FX rates")
-    rows = with_rate(raw_fx.select(
-        "rate_date", "mid_rate",
-        canonical_code(F.col("currency")).alias("code"),
-        parse_iso_date(F.col("rate_date_raw")).alias("stated")), "mid_rate", "rate")
+    rows = with_iso_date(with_rate(raw_fx.select(
+        "rate_date", "rate_date_raw", "mid_rate", canonical_code(F.col("currency")).alias("code"),
+    ), "mid_rate", "rate"), "rate_date_raw", "stated")
     good_rate = F.coalesce(F.col("rate") > 0, F.lit(False))
     same_date = F.coalesce(F.col("stated") == F.col("rate_date"), F.lit(False))
     shape = rows.groupBy("rate_date").agg(

@@ -309,7 +309,8 @@ def fn_round_half_even(spark, sf_dir):
 def cls_base_reasons(spark, sf_dir):
     rows = cls.canonicalize(derive.raw_transactions(spark, sf_dir))
     return plain(rows.select(
-        "source_row_id", "txn_id", "transaction_dt", "amount_numeric", "currency_code", "base_reasons"))
+        "source_row_id", "txn_id", "transaction_dt", "amount_numeric", "currency_code",
+        cls.base_reasons(F.col("reason_flags")).alias("base_reasons")))
 
 
 def cls_classified(spark, sf_dir):
