@@ -68,7 +68,7 @@ def with_iso_date(rows: DataFrame, text: str, out: str) -> DataFrame:
     compact = "concat_ws('-', left(_iso, 4), substring(_iso, 5, 2), substring(_iso, 7, 2))"
     return with_steps(
         rows.withColumn(iso, strip(F.col(text))),
-        {"_day": f"""CASE
+        {"_day": rf"""CASE
             WHEN {iso} RLIKE r'^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}\z' THEN try_cast({iso} AS DATE)
             WHEN {iso} RLIKE r'^[0-9]{{8}}\z' THEN try_cast({compact} AS DATE)
             WHEN {iso} RLIKE r'^[0-9]{{4}}(-W[0-9]{{2}}(-[1-7])?|W[0-9]{{2}}[1-7]?)\z' THEN {by_week} END"""},

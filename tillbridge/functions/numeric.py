@@ -63,14 +63,18 @@ def with_amount(rows: DataFrame, text: str, out: str) -> DataFrame:
     are legal separators. Only literals with an exponent are taken apart.
     """
     literal = "_literal"
-    fits = (f"({_scale(literal)}) <= {MAX_SCALE} AND "
-            f"length({_digits(literal)}) - ({_scale(literal)}) <= {MAX_INTEGER_DIGITS}")
+    cast = f"try_cast({literal} AS {NUMERIC})"
+    # Branches, not AND and OR: Spark computes what occurs twice in those up front, for
+    # every row.
+    scale = f"({_scale(literal)})"
+    scientific = f"""CASE WHEN {scale} <= {MAX_SCALE} THEN
+        CASE WHEN length({_digits(literal)}) - {scale} <= {MAX_INTEGER_DIGITS} THEN {cast} END END"""
     return with_steps(
         rows,
         {literal: f"translate({text}, '_', '')"},
-        {out: f"""CASE WHEN {literal} RLIKE r'{_PLAIN}'
-            OR ({literal} RLIKE r'[eE]' AND {literal} RLIKE r'{_NUMBER}' AND {fits})
-            THEN try_cast({literal} AS {NUMERIC}) END"""})
+        {out: f"""CASE WHEN {literal} RLIKE r'{_PLAIN}' THEN {cast}
+            WHEN {literal} RLIKE r'[eE]' THEN
+                CASE WHEN {literal} RLIKE r'{_NUMBER}' THEN {scientific} END END"""})
 
 
 def with_rate(rows: DataFrame, text: str, out: str) -> DataFrame:

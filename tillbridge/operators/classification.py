@@ -67,47 +67,52 @@ def mark_duplicates(canonical: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame
     one ``batch_date``. Differing payloads make every copy a conflict; equal ones are
     replays of the copy with the lowest ``(source_file, source_row_number)``.
 
-    One shuffle and one sort by ``(batch_date, txn_id)`` serve all other keys. Rows of a
-    hot id are judged by a pre-aggregated verdict that is broadcast (a bounded
-    number of ids), and rows that fail a base rule by none, so both are spread over all partitions by
-    their own row id.
+    One shuffle and one sort by ``(batch_date, txn_id)`` serve nearly all ids. Ids with a
+    large share of the rows, found by a sketch beforehand, are judged by pre-aggregation.
+    Their rows, and rows that fail a base rule, need no neighbours and are spread over all
+    partitions by their own row id.
     """
     valid = F.col("reason_flags") == 0
     key = F.xxhash64("batch_date", "txn_id")
     payload = F.struct(*_PAYLOAD)
     order = F.struct("source_file", "source_row_number")
-    # Invalid rows enter the verdicts as NULL. A filter would be pushed below the parsing
-    # steps and repeat them.
-    valid_payload, valid_order = F.when(valid, payload), F.when(valid, order)
-
-    # Counting ids needs two raw columns only; invalid rows may make an id look hot,
-    # which costs nothing but the choice of method.
-    hot = hot_keys(
-        canonical, F.when(F.col("txn_id") != "", key), hot_rows)
-    verdicts = canonical.join(
-        F.broadcast(hot), key == F.col("hot_key"), "left_semi",
-    ).groupBy("batch_date", "txn_id").agg(
-        (F.min(valid_payload) != F.max(valid_payload)).alias("hot_conflict"),
-        F.min(valid_order).alias("hot_first"))
-
-    spread = F.when(valid & F.col("hot_conflict").isNull(), F.lit(None)).otherwise(
-        F.xxhash64("source_row_id"))
-    judged = canonical.join(F.broadcast(verdicts), ["batch_date", "txn_id"], "left").withColumn(
-        "_spread", spread)
+    # Invalid rows may make an id look hot; that only picks the method.
+    hot = hot_keys(canonical, F.when(F.col("txn_id") != "", key), hot_rows)
+
+    alone, judged = ~valid, canonical
+    if hot:
+        verdicts = _hot_verdicts(canonical, key.isin(hot), payload, order)
+        judged = canonical.join(F.broadcast(verdicts), ["batch_date", "txn_id"], "left")
+        alone = alone | F.col("hot_conflict").isNotNull()
     ordered = Window.partitionBy("batch_date", "txn_id", "_spread").orderBy(
         "source_file", "source_row_number")
     whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    windowed = judged.withColumns({
-        "_copy": F.row_number().over(ordered),
+    judged = judged.withColumn("_spread", F.when(alone, F.xxhash64("source_row_id"))).withColumns({
+        "_replay": F.row_number().over(ordered) > 1,
         "_conflict": F.min(payload).over(whole) != F.max(payload).over(whole),
     })
-    conflict = F.coalesce("hot_conflict", "_conflict")
-    replay = F.when(F.col("hot_conflict").isNull(), F.col("_copy") > 1).otherwise(
-        F.col("hot_first") != order)
-    return windowed.withColumn(
+    conflict, replay = F.col("_conflict"), F.col("_replay")
+    if hot:
+        conflict = F.coalesce("hot_conflict", conflict)
+        replay = F.when(F.col("hot_conflict").isNull(), replay).otherwise(F.col("hot_first") != order)
+    return judged.withColumn(
         "duplicate_reason",
         F.when(valid & conflict, DUPLICATE_CONFLICT).when(valid & replay, DUPLICATE_REPLAY),
-    ).drop("_copy", "_conflict", "_spread", "hot_conflict", "hot_first")
+    ).drop("_spread", "_replay", "_conflict", "hot_conflict", "hot_first")
+
+
+def _hot_verdicts(canonical: DataFrame, is_hot: Column, payload: Column, order: Column) -> DataFrame:
+    """Whether a hot id is in conflict, and its first copy. One row per hot id, so that a
+    broadcast is safe; the rows combine before the shuffle.
+
+    Invalid rows enter as NULL. A filter would be pushed below the parsing steps and
+    repeat them.
+    """
+    valid = F.col("reason_flags") == 0
+    valid_payload, valid_order = F.when(valid, payload), F.when(valid, order)
+    return canonical.where(is_hot).groupBy("batch_date", "txn_id").agg(
+        (F.min(valid_payload) != F.max(valid_payload)).alias("hot_conflict"),
+        F.min(valid_order).alias("hot_first"))
 
 
 def classify(raw: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:

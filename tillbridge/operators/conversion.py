@@ -102,9 +102,9 @@ def convert(accepted: DataFrame, effective_fx: DataFrame) -> DataFrame:
     that does not fit ``decimal(38,9)`` is NULL, for the caller to reject its date.
 
     Nearly all rows take the bigint path, in generated code; amounts beyond its limit take
-    the decimal one. Python is reached only by dates whose rates are outside
-    0.001 to 1e10; with none, that branch's broadcast side is empty and is dropped at
-    run time. The rates have one row per date.
+    the decimal one. Python is reached only by dates whose rates are outside 0.001 to
+    1e10, and that branch is planned only if there are any. The rates have one
+    row per date; pass :func:`tillbridge.operators.fx.snapshots` of them.
     """
     require_columns(accepted, ACCEPTED.columns, "accepted transactions")
     usable = rate_terms(effective_fx.where("fx_status = 'OK'"))
@@ -115,6 +115,8 @@ def convert(accepted: DataFrame, effective_fx: DataFrame) -> DataFrame:
     native = _converted(accepted.join(F.broadcast(regular), "batch_date")).select(*columns)
 
     extreme = usable.where("not decimal_ok").select("batch_date", *lineage)
+    if extreme.isEmpty():
+        return native
     rate = (
         F.when(F.col("currency") == BASE_CURRENCY, F.lit(Decimal(1)).cast(NUMERIC))
         .when(F.col("currency") == "USD", F.col("usd_thb_rate"))
@@ -132,7 +134,7 @@ def fact_rows(accepted: DataFrame, effective_fx: DataFrame, created_at: datetime
 
 
 def overflows(accepted: DataFrame, effective_fx: DataFrame) -> DataFrame:
-    """Per date, the accepted rows with an amount that does not fit after conversion.
+    """Per date, the rows in a known currency whose amount does not fit once converted.
 
     Up to the bigint limit of its date no amount can overflow, so only the few rows above
     are converted. The misfits are counted, not filtered: a filter would be pushed below
@@ -141,7 +143,7 @@ def overflows(accepted: DataFrame, effective_fx: DataFrame) -> DataFrame:
     limits = rate_terms(effective_fx.where("fx_status = 'OK'")).select(
         "batch_date", F.col("long_limit").alias("_limit"))
     large = accepted.join(F.broadcast(limits), "batch_date").where(
-        F.col("amount") > F.col("_limit")).drop("_limit")
+        (F.col("amount") > F.col("_limit")) & F.col("currency").isin(*CURRENCIES)).drop("_limit")
     return convert(large, effective_fx).groupBy("batch_date").agg(F.count_if(
         F.col("amount_thb").isNull() | F.col("amount_usd").isNull() | F.col("amount_eur").isNull(),
     ).alias("overflows"))

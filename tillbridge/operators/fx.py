@@ -71,6 +71,11 @@ def resolve_effective_fx(dates: DataFrame, published: DataFrame) -> DataFrame:
         F.coalesce(F.col("p.fx_status"), F.lit("NO_PUBLICATION")).alias("fx_status"))
 
 
+def snapshots(effective: DataFrame) -> DataFrame:
+    """The resolved rates as a local frame: one row per date, evaluated once."""
+    return effective.sparkSession.createDataFrame(effective.toArrow(), effective.schema)
+
+
 def calendar_dates(bounds: DataFrame) -> DataFrame:
     """Every calendar date between the least and greatest ``batch_date``."""
     return bounds.agg(F.min("batch_date").alias("a"), F.max("batch_date").alias("b")).where(

@@ -33,9 +33,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def base_rows(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
     """``k`` (unique), ``t`` and ``c`` (cents) of every row of a base table."""
     key, time, money = BASES[base]
-    return table(spark, sf_dir, base).selectExpr(
+    rows = table(spark, sf_dir, base).selectExpr(
         f"{key} AS k", f"CAST({time} AS TIMESTAMP_NTZ) AS t",
         f"CAST(round({money} * 100) AS BIGINT) AS c")
+    # A table of one small file would leave all other cores idle.
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
 
 
 def delivered(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:

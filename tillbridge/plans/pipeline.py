@@ -21,7 +21,7 @@ from tillbridge.contracts import (
 from tillbridge.errors import BatchError
 from tillbridge.operators.classification import HOT_ROWS, accepted_rows, classify, quarantine_rows
 from tillbridge.operators.conversion import accepted_violations, fact_rows
-from tillbridge.operators.fx import publications, resolve_effective_fx
+from tillbridge.operators.fx import publications, resolve_effective_fx, snapshots
 from tillbridge.operators.reconcile import full_chain, id_differences
 from tillbridge.plans.publication import SUCCESS
 from tillbridge.session import write_and_read
@@ -226,12 +226,9 @@ def build_fact(spark: SparkSession, store: Store, dates: Iterable[date],
     days = _Dates.of(dates)
     accepted = read_partitions(spark, store, ACCEPTED, days.requested)
     history = read_through(spark, store, RAW_FX_RATES, days.requested[-1])
-    resolved = resolve_effective_fx(
-        sources.date_frame(spark, days.requested), publications(history))
-    # One row per requested date; kept as literals, as it is used several times below.
-    snapshots = resolved.collect()
-    effective = spark.createDataFrame(snapshots, resolved.schema)
-    fx = {r.batch_date: r for r in snapshots}
+    effective = snapshots(resolve_effective_fx(
+        sources.date_frame(spark, days.requested), publications(history)))
+    fx = {r.batch_date: r for r in effective.collect()}
     for d in days.requested:
         if fx[d].fx_status != "OK":
             days.fail(d, f"FX {fx[d].fx_status}")

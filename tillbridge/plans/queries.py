@@ -55,9 +55,13 @@ def _effective(spark, sf_dir, base="orders"):
         derive.batch_dates(spark, sf_dir, base), fx.publications(derive.raw_fx(spark, sf_dir, base)))
 
 
+def _snapshots(spark, sf_dir, base="orders"):
+    return fx.snapshots(_effective(spark, sf_dir, base))
+
+
 def _fact(spark, sf_dir, base="orders"):
     return conversion.fact_rows(
-        _accepted(spark, sf_dir, base), _effective(spark, sf_dir, base), derive.AT)
+        _accepted(spark, sf_dir, base), _snapshots(spark, sf_dir, base), derive.AT)
 
 
 # --- sources -----------------------------------------------------------------------
@@ -375,7 +379,7 @@ def fx_daily_dim(spark, sf_dir):
 # --- conversion --------------------------------------------------------------------
 
 def fact_convert(spark, sf_dir):
-    converted = conversion.convert(_accepted(spark, sf_dir), _effective(spark, sf_dir))
+    converted = conversion.convert(_accepted(spark, sf_dir), _snapshots(spark, sf_dir))
     return plain(converted.select(
         "source_row_id", "currency", "amount", "amount_thb", "amount_usd", "amount_eur"))
 
@@ -384,7 +388,7 @@ def fact_convert_large(spark, sf_dir):
     """Amounts a million million times larger, beyond bigint arithmetic."""
     accepted = _accepted(spark, sf_dir).withColumn(
         "amount", F.expr("CAST(amount * 1000000000000BD AS decimal(38,9))"))
-    converted = conversion.convert(accepted, _effective(spark, sf_dir))
+    converted = conversion.convert(accepted, _snapshots(spark, sf_dir))
     return plain(converted.select(
         "source_row_id", "currency", "amount", "amount_thb", "amount_usd", "amount_eur"))
 
@@ -402,7 +406,7 @@ def fact_prechecks(spark, sf_dir):
         F.col("amount_numeric").alias("amount"), F.col("currency_code").alias("currency"),
         F.col("txn_id").alias("txn"), "transaction_dt", "region", "source_file", "source_checksum",
         "source_row_number", "batch_date", "ingested_at", F.col("ingested_at").alias("classified_at"))
-    return plain(conversion.accepted_violations(doubtful, _effective(spark, sf_dir)))
+    return plain(conversion.accepted_violations(doubtful, _snapshots(spark, sf_dir)))
 
 
 # --- reconciliation ----------------------------------------------------------------
