@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.checkpoint.dir", str(root / "checkpoints"))
         .config("spark.sql.warehouse.dir", str(root / "warehouse"))
         .getOrCreate()

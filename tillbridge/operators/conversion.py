@@ -25,7 +25,7 @@ _FINE = 10_000
 def rate_terms(effective_fx: DataFrame) -> DataFrame:
     """Add the integer rates that the conversions use, per date.
 
-    ``long_limit``: the largest amount for which bigint arithmetic cannot overflow, 0
+    ``long_limit``: the largest amount for which bigint arithmetic cannot overflow, -1
     when the rates have more than four decimals. ``decimal_ok``: whether decimal
     arithmetic is exact for these rates.
     """
@@ -41,7 +41,7 @@ def rate_terms(effective_fx: DataFrame) -> DataFrame:
         {"long_thb": f"{_FINE}L",
          **{f"long_{c}": f"CASE WHEN _coarse THEN {fine(f'{c}_thb_rate')} END" for c in ("usd", "eur")},
          "long_limit": f"""CAST(CASE WHEN _coarse
-            THEN (9000000000 * {fine('_low')}) div {fine('_high')} ELSE 0 END AS {NUMERIC})""",
+            THEN (9000000000 * {fine('_low')}) div {fine('_high')} ELSE -1 END AS {NUMERIC})""",
          "units_thb": "CAST(1000000000 AS decimal(38,0))",
          "units_usd": to_units("usd_thb_rate"),
          "units_eur": to_units("eur_thb_rate")})

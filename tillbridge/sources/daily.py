@@ -56,7 +56,8 @@ def split_to_daily(spark: SparkSession, monthly_root: str, out: str) -> DataFram
     ).select(*columns, "business_date", "region").observe(
         counted, F.count("*").alias("rows"),
     ).write.partitionBy("business_date", "region").options(
-        header=True, compression="gzip", escape='"', emptyValue="", encoding="UTF-8").csv(out)
+        header=True, compression="gzip", escape='"', emptyValue="", encoding="UTF-8",
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(out)
     written = list_files(spark, f"{out}/business_date=*/region=*/*.csv.gz")
     return written.agg(
         F.lit(len(locations)).cast("long").alias("input_files"),
