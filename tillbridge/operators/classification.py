@@ -84,10 +84,15 @@ def mark_duplicates(canonical: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame
         verdicts = _hot_verdicts(canonical, key.isin(hot), payload, order)
         judged = canonical.join(F.broadcast(verdicts), ["batch_date", "txn_id"], "left")
         alone = alone | F.col("hot_conflict").isNotNull()
-    ordered = Window.partitionBy("batch_date", "txn_id", "_spread").orderBy(
+    # The hash leads the sort, where it decides nearly every comparison as a number; the
+    # columns behind it keep the grouping exact.
+    ordered = Window.partitionBy("_key", "_alone", "batch_date", "txn_id").orderBy(
         "source_file", "source_row_number")
     whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    judged = judged.withColumn("_spread", F.when(alone, F.xxhash64("source_row_id"))).withColumns({
+    judged = judged.withColumns({
+        "_alone": alone,
+        "_key": F.when(alone, F.xxhash64("source_row_id")).otherwise(key),
+    }).withColumns({
         "_replay": F.row_number().over(ordered) > 1,
         "_conflict": F.min(payload).over(whole) != F.max(payload).over(whole),
     })
@@ -98,7 +103,7 @@ def mark_duplicates(canonical: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame
     return judged.withColumn(
         "duplicate_reason",
         F.when(valid & conflict, DUPLICATE_CONFLICT).when(valid & replay, DUPLICATE_REPLAY),
-    ).drop("_spread", "_replay", "_conflict", "hot_conflict", "hot_first")
+    ).drop("_key", "_alone", "_replay", "_conflict", "hot_conflict", "hot_first")
 
 
 def _hot_verdicts(canonical: DataFrame, is_hot: Column, payload: Column, order: Column) -> DataFrame:

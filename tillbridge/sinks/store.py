@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tillbridge.contracts import NAMESPACES, TABLES, TableContract
 from tillbridge.errors import ContractError
 
-_REQUIRED = "required_columns"
+# File tables keep no NOT NULL; the comment of a column records it.
+_REQUIRED = "required"
 # Largest row count of a stored frame that is broadcast, checked by counting it.
 BROADCAST_ROWS = 50_000
 # Splits the output of one task, so that a large source file is not one large table file.
@@ -54,10 +55,8 @@ def _path(uri: str) -> str:
 
 
 def _shape(spark: SparkSession, table: str):
-    properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
-    required = set(filter(None, properties.get(_REQUIRED, "").split(",")))
     columns = spark.catalog.listColumns(table)
-    shape = sorted((c.name, c.dataType, c.name in required) for c in columns)
+    shape = sorted((c.name, c.dataType, c.description == _REQUIRED) for c in columns)
     return shape, [c.name for c in columns if c.isPartition]
 
 
@@ -69,13 +68,13 @@ def ensure_table(spark: SparkSession, store: Store, contract: TableContract) ->
         stored = [n for n in contract.columns if n != contract.partition_column]
         columns = ", ".join(
             f"{n} {contract.schema[n].dataType.simpleString()}"
+            + ("" if contract.schema[n].nullable else f" COMMENT '{_REQUIRED}'")
             for n in [*stored, contract.partition_column])
         folder = store.folder(contract.namespace)
         at = "" if folder is None else f" LOCATION '{folder}/{contract.name}'"
         spark.sql(
             f"CREATE TABLE {table} ({columns}) USING parquet "
-            f"PARTITIONED BY ({contract.partition_column}){at} "
-            f"TBLPROPERTIES ('{_REQUIRED}'='{','.join(sorted(contract.required))}')")
+            f"PARTITIONED BY ({contract.partition_column}){at}")
         # An empty append makes the folder; partitions of an earlier session that are
         # already there are picked up again.
         spark.table(table).limit(0).write.insertInto(table)
