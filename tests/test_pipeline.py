@@ -167,7 +167,8 @@ def test_stores_are_verified_not_altered(spark, store):
     assert ensure_table(spark, store, RAW_FX_RATES) == "created"
     table = store.table(FACT)
     spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"CREATE TABLE {table} (txn string, batch_date date) USING parquet PARTITIONED BY (batch_date)")
+    spark.sql(f"CREATE TABLE {table} (txn string, batch_date date) USING parquet "
+              f"PARTITIONED BY (batch_date) LOCATION '{store.location}/other'")
     with pytest.raises(ContractError, match="columns differ"):
         ensure_table(spark, store, FACT)
 

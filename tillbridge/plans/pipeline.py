@@ -87,7 +87,7 @@ def _verified(spark, files: DataFrame, patterns: list[str], registered: DataFram
     return write_and_read(sources.verify_checksums(hashed, registered), label)
 
 
-def _append_files(spark, store, contract, read, verified: DataFrame, day: str, dates) -> dict[date, int]:
+def _append_files(spark, store, contract, read, verified: DataFrame, dates) -> dict[date, int]:
     """Append the rows of verified files. Dates with stored rows are read and looked up
     apart from the others, so each file is parsed once."""
     before = partition_counts(spark, store, contract, dates)
@@ -138,7 +138,7 @@ def load_raw(spark: SparkSession, store: Store, root: str, dates: Iterable[date]
             tx_inserted = _append_files(
                 spark, store, RAW_TRANSACTIONS,
                 lambda s, where, known: read_transactions(s, where, known, at),
-                verified, "batch_date", days.good)
+                verified, days.good)
             tx_source = _rows_of_files(spark, store, RAW_TRANSACTIONS, verified, days.good)
     tx_stored = partition_counts(spark, store, RAW_TRANSACTIONS, days.requested)
 
@@ -158,7 +158,7 @@ def load_raw(spark: SparkSession, store: Store, root: str, dates: Iterable[date]
                 fx_inserted = _append_files(
                     spark, store, RAW_FX_RATES,
                     lambda s, where, known: read_fx(s, where, known, at),
-                    verified, "rate_date", published)
+                    verified, published)
                 fx_source = _rows_of_files(spark, store, RAW_FX_RATES, verified, published)
     fx_stored = partition_counts(spark, store, RAW_FX_RATES, days.requested)
 
