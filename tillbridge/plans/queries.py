@@ -278,8 +278,8 @@ def fn_parse_timestamp(spark, sf_dir):
 
 def fn_parse_numeric(spark, sf_dir):
     """Line prices written in ten ways; literals, not values, decide what is storable."""
-    rows = derive.table(spark, sf_dir, "lineitem").selectExpr(
-        "CAST(round(l_extendedprice * 100) AS BIGINT) AS c", "(l_orderkey * 7 + l_linenumber) % 10 AS kind")
+    rows = derive.spread(derive.table(spark, sf_dir, "lineitem").selectExpr(
+        "CAST(round(l_extendedprice * 100) AS BIGINT) AS c", "(l_orderkey * 7 + l_linenumber) % 10 AS kind"))
     texts = rows.selectExpr(
         "kind", "c", "concat(c div 100, '.', lpad(c % 100, 2, '0')) AS p").selectExpr("kind", """
         CASE CAST(kind AS INT)
@@ -302,7 +302,8 @@ def fn_round_half_even(spark, sf_dir):
     """Price times discount and tax, exact to six decimals, rounded to four."""
     cents = [f"CAST(CAST(round({c} * 100) AS BIGINT) AS decimal(12,0)) * 0.01BD AS {n}"
              for c, n in (("l_extendedprice", "p"), ("l_discount", "d"), ("l_tax", "t"))]
-    rows = derive.table(spark, sf_dir, "lineitem").selectExpr("l_returnflag", "l_linestatus", *cents)
+    rows = derive.spread(
+        derive.table(spark, sf_dir, "lineitem").selectExpr("l_returnflag", "l_linestatus", *cents))
     value = round_half_even((F.col("p") * F.col("d") * F.col("t")).cast("decimal(30,6)"), 4)
     return plain(rows.groupBy("l_returnflag", "l_linestatus").agg(
         F.count("*").alias("rows"), F.sum(value).cast("decimal(38,4)").alias("total")))
