@@ -2,14 +2,29 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tillbridge.llm.common import table
 
 
+def op8_probminhash(spark, sf_dir):
+    from tillbridge.llm import near_duplicates
+
+    return near_duplicates.classes(table(spark, sf_dir, "documents")).withColumn(
+        "is_kept", F.expr("doc_id <=> class_id AND digest = class_digest"))
+
+
+def op9_language(spark, sf_dir):
+    from tillbridge.llm import language
+
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op10_hmm_scores(spark, sf_dir):
     from tillbridge.llm import markov
 
     return markov.score_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op10_hmm_scores,)}
+QUERIES = {f.__name__: f for f in (op8_probminhash, op9_language, op10_hmm_scores)}
 ORACLES: dict[str, str] = {}
