@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +18,8 @@ _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_SEPARATOR = np.ones(256, bool)  # all of ASCII but letters and digits
+_SEPARATOR[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 
@@ -79,7 +81,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return table_of(_MULTIPLIER), table_of(_INVERSE)
 
 
-def slices(texts: pa.Array | pa.ChunkedArray, most: int = SLICE_BYTES):
+def slices(texts: pa.Array | pa.ChunkedArray, most: int = SLICE_BYTES, lower: bool = False):
     """(first row, array) parts of about ``most`` bytes; a longer text is a part of its own."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
@@ -88,21 +90,23 @@ def slices(texts: pa.Array | pa.ChunkedArray, most: int = SLICE_BYTES):
     at = 0
     while at < len(texts):
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1)
-        yield at, texts.slice(at, to - at)
+        part = texts.slice(at, to - at)
+        yield at, pc.utf8_lower(part) if lower else part
         at = to
 
 
-def word_hashes(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: pa.Array, punctuation: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words of a large_string array, and each text's offsets into them.
 
-    Words are runs of bytes other than ASCII white space; A-Z are lower-cased if asked for.
+    Words are runs of bytes other than ASCII white space, A-Z lower-cased; without
+    ``punctuation`` all ASCII characters but letters and digits separate words.
     """
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
     if offsets[-1] == offsets[0]:
         return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
     data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
     offsets = offsets - offsets[0]
-    word = ~_SPACE[data]
+    word = ~(_SPACE if punctuation else _SEPARATOR)[data]
     first, last = word.copy(), word.copy()
     first[1:] &= ~word[:-1]
     last[:-1] &= ~word[1:]
@@ -118,7 +122,7 @@ def word_hashes(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.nda
         part = data[s[0]:e[-1] + 1]
         size = 1 << max(16, int(len(part) - 1).bit_length())
         powers, inverses = _powers(size)
-        terms = _BYTE[_LOWER[part] if lower else part] * powers[:len(part)]
+        terms = _BYTE[_LOWER[part]] * powers[:len(part)]
         sums = np.cumsum(terms)
         s, e = s - s[0], e - s[0]
         hashes[at:to] = mix((sums[e] - sums[s] + terms[s]) * inverses[s] + (e - s).astype(np.uint64))
@@ -139,14 +143,5 @@ def ngrams(words: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarra
     return mix(rolled[places]), ends
 
 
-def in_python(frame: DataFrame, function, schema: str) -> DataFrame:
-    """``mapInArrow``; the function gets and gives record batches."""
-    return frame.mapInArrow(function, schema)
-
-
 def crc_mod(column, modulus: int):
     return F.crc32(F.encode(F.col(column).cast("string"), "UTF-8")) % modulus
-
-
-def identifier(name: str) -> str:
-    return re.sub(r"\W", "_", name)

@@ -1,6 +1,6 @@
 """Near duplicates by ProbMinHash: weighted word shingles, banding, exact verification.
 
-A text's elements are its shingles of five words (ASCII lower case; texts of fewer words have
+A text's elements are its shingles of five words (lower-cased, separated by white space; texts of fewer words have
 one shingle), weighted by their number of occurrences. Every element is a Poisson process
 whose rate is its weight; its arrivals fall on random components of the signature, and a
 component keeps the element that arrives first. An element is followed no further than the
@@ -94,7 +94,7 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
 def _sign(bands, rows, words):
     def run(batches):
         for batch in batches:
-            for at, part in slices(batch.column("text")):
+            for at, part in slices(batch.column("text"), lower=True):
                 codes, counts, offsets = shingles(*word_hashes(part), words)
                 keys = band_keys(signatures(codes, counts, offsets, bands * rows), bands, rows)
                 held = np.diff(offsets) > 0
@@ -110,7 +110,7 @@ def _sign(bands, rows, words):
 def _sets(words):
     def run(batches):
         for batch in batches:
-            for at, part in slices(batch.column("text")):
+            for at, part in slices(batch.column("text"), lower=True):
                 codes, counts, offsets = shingles(*word_hashes(part), words)
                 counts = counts.astype(np.int32)
                 pairs = list(zip(offsets[:-1], offsets[1:]))

@@ -7,6 +7,12 @@ from pyspark.sql import functions as F
 from tillbridge.llm.common import table
 
 
+def op7_decontamination(spark, sf_dir):
+    from tillbridge.llm import contamination
+
+    return contamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_probminhash(spark, sf_dir):
     from tillbridge.llm import near_duplicates
 
@@ -26,5 +32,5 @@ def op10_hmm_scores(spark, sf_dir):
     return markov.score_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op8_probminhash, op9_language, op10_hmm_scores)}
+QUERIES = {f.__name__: f for f in (op7_decontamination, op8_probminhash, op9_language, op10_hmm_scores)}
 ORACLES: dict[str, str] = {}
