@@ -7,6 +7,15 @@ from pyspark.sql import functions as F
 from tillbridge.llm.common import table
 
 
+def op5_packing(spark, sf_dir):
+    import public_tokenizers
+
+    from tillbridge.llm import packing
+
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op7_decontamination(spark, sf_dir):
     from tillbridge.llm import contamination
 
@@ -32,5 +41,5 @@ def op10_hmm_scores(spark, sf_dir):
     return markov.score_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op7_decontamination, op8_probminhash, op9_language, op10_hmm_scores)}
+QUERIES = {f.__name__: f for f in (op5_packing, op7_decontamination, op8_probminhash, op9_language, op10_hmm_scores)}
 ORACLES: dict[str, str] = {}
