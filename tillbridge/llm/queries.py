@@ -7,6 +7,13 @@ from pyspark.sql import functions as F
 from tillbridge.llm.common import table
 
 
+def op4_warc(spark, sf_dir):
+    from tillbridge.llm import warc
+
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_packing(spark, sf_dir):
     import public_tokenizers
 
@@ -41,5 +48,5 @@ def op10_hmm_scores(spark, sf_dir):
     return markov.score_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_packing, op7_decontamination, op8_probminhash, op9_language, op10_hmm_scores)}
+QUERIES = {f.__name__: f for f in (op4_warc, op5_packing, op7_decontamination, op8_probminhash, op9_language, op10_hmm_scores)}
 ORACLES: dict[str, str] = {}
