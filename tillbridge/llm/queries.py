@@ -7,6 +7,12 @@ from pyspark.sql import functions as F
 from tillbridge.llm.common import table
 
 
+def op2_secrets(spark, sf_dir):
+    from tillbridge.llm import secrets
+
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
 def op4_warc(spark, sf_dir):
     from tillbridge.llm import warc
 
@@ -23,6 +29,12 @@ def op5_packing(spark, sf_dir):
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op6_pii(spark, sf_dir):
+    from tillbridge.llm import pii
+
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark, sf_dir):
     from tillbridge.llm import contamination
 
@@ -48,5 +60,5 @@ def op10_hmm_scores(spark, sf_dir):
     return markov.score_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_warc, op5_packing, op7_decontamination, op8_probminhash, op9_language, op10_hmm_scores)}
+QUERIES = {f.__name__: f for f in (op2_secrets, op4_warc, op5_packing, op6_pii, op7_decontamination, op8_probminhash, op9_language, op10_hmm_scores)}
 ORACLES: dict[str, str] = {}
