@@ -13,6 +13,12 @@ def op2_secrets(spark, sf_dir):
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op3_url_filter(spark, sf_dir):
+    from tillbridge.llm import urls
+
+    return urls.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
 def op4_warc(spark, sf_dir):
     from tillbridge.llm import warc
 
@@ -60,5 +66,5 @@ def op10_hmm_scores(spark, sf_dir):
     return markov.score_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_secrets, op4_warc, op5_packing, op6_pii, op7_decontamination, op8_probminhash, op9_language, op10_hmm_scores)}
+QUERIES = {f.__name__: f for f in (op2_secrets, op3_url_filter, op4_warc, op5_packing, op6_pii, op7_decontamination, op8_probminhash, op9_language, op10_hmm_scores)}
 ORACLES: dict[str, str] = {}
