@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tillbridge.session import shared_folder
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 SLICE_BYTES = 1 << 20  # text bytes handled at once by the numpy kernels
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
@@ -44,7 +45,12 @@ class Scratch:
 
     def keep(self, frame: DataFrame, name: str) -> DataFrame:
         folder = self.folder(name)
-        frame.write.parquet(folder)
+        before = self.spark.conf.get(CLEANUP, "false")
+        self.spark.conf.set(CLEANUP, "true")  # the table stands in for the shuffles behind it
+        try:
+            frame.write.parquet(folder)
+        finally:
+            self.spark.conf.set(CLEANUP, before)
         kept = self.spark.read.schema(frame.schema).parquet(folder)
         self.folders[id(kept)] = folder
         kept._scratch = self  # the ids stay unique while the frames live

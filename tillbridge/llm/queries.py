@@ -7,6 +7,13 @@ from pyspark.sql import functions as F
 from tillbridge.llm.common import table
 
 
+def op1_neighbours(spark, sf_dir):
+    from tillbridge.llm import neighbours
+
+    rows = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest_rows(rows, rows.where("vec_id % 50 = 0"))
+
+
 def op2_secrets(spark, sf_dir):
     from tillbridge.llm import secrets
 
@@ -66,5 +73,5 @@ def op10_hmm_scores(spark, sf_dir):
     return markov.score_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_secrets, op3_url_filter, op4_warc, op5_packing, op6_pii, op7_decontamination, op8_probminhash, op9_language, op10_hmm_scores)}
+QUERIES = {f.__name__: f for f in (op1_neighbours, op2_secrets, op3_url_filter, op4_warc, op5_packing, op6_pii, op7_decontamination, op8_probminhash, op9_language, op10_hmm_scores)}
 ORACLES: dict[str, str] = {}
