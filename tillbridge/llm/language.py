@@ -22,10 +22,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tillbridge.llm.common import crc_mod
 
 PROFILE = 400
+LEAST_SCORE = 0.2  # below, a text's n-grams hardly occur in any language learned
 MOST_LANGUAGES = 2000
 UNKNOWN = "und"
 BLANK = 0x20
@@ -116,7 +118,7 @@ def learn(labelled: DataFrame, size: int = PROFILE) -> dict[str, np.ndarray]:
 
 
 def predict(frame: DataFrame, profiles: dict[str, np.ndarray], size: int = PROFILE) -> DataFrame:
-    """The frame, whose text column is replaced by lang_pred and score.
+    """The frame, whose column text_ is replaced by lang_pred and score.
 
     The score is 1 less the distance to the chosen profile over the largest possible one.
     """
@@ -126,13 +128,13 @@ def predict(frame: DataFrame, profiles: dict[str, np.ndarray], size: int = PROFI
     for k, profile in enumerate(profiles.values()):
         places[np.searchsorted(grams, profile), k] = np.arange(len(profile))
     shared = frame.sparkSession.sparkContext.broadcast((languages, grams, places))
-    others = [f for f in frame.schema.fields if f.name != "text"]
+    others = [f for f in frame.schema.fields if f.name != "text_"]
 
     def run(batches):
         languages, grams, places = shared.value
         for batch in batches:
             predicted, scores = [], []
-            for text in batch.column("text"):
+            for text in batch.column("text_"):
                 codes, counts = gram_counts(text.as_py()) if languages else ((), ())
                 if not len(codes):
                     predicted.append(UNKNOWN)
@@ -151,8 +153,8 @@ def predict(frame: DataFrame, profiles: dict[str, np.ndarray], size: int = PROFI
                 [*[batch.column(f.name) for f in others], pa.array(predicted, pa.string()), pa.array(scores, pa.float64())],
                 [*[f.name for f in others], "lang_pred", "score"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in others)
-    return frame.mapInArrow(run, schema + ", lang_pred string, score double")
+    return frame.mapInArrow(run, StructType([
+        *others, StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
 
 
 def identify(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lang: str = "lang",
@@ -160,4 +162,20 @@ def identify(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lan
     """Predict all rows from profiles of the rows outside the held-out fold."""
     held = F.coalesce(crc_mod(id_column, folds) == held_fold, F.lit(False)).alias("held_out")
     profiles = learn(docs.where(~held).select(F.col(lang).alias("lang"), F.col(text).alias("text")), size)
-    return predict(docs.select(F.col(id_column), held, F.col(text).alias("text")), profiles, size)
+    return predict(docs.select(F.col(id_column), held, F.col(text).alias("text_")), profiles, size)
+
+
+def keep_identified(docs: DataFrame, text: str = "text", lang: str = "lang", size: int = PROFILE,
+                    least_score: float = LEAST_SCORE) -> DataFrame:
+    """The rows of docs, with their own columns, whose language is told with at least this score.
+
+    Profiles are learned from all rows that name a language. If none does, only texts without a
+    letter go, as nothing can be told of the others.
+    """
+    profiles = learn(docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")), size)
+    if not profiles:
+        return docs.where(F.col(text).rlike(r"\p{L}"))
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text).alias("text_"))
+    told = predict(row, profiles, size).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
+    return told.select("row.*")
+

@@ -133,9 +133,12 @@ def redact(text: Column, spans_: Column) -> Column:
 
 def clean(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with personal data replaced in the text; all rows and columns stay."""
-    found = detect(docs, text, prefix="_pii_")
-    every = F.concat(*[F.col(f"_pii_{kind}") for kind in RULES])
-    return found.withColumn(text, redact(F.col(f"`{text}`"), every)).drop(*[f"_pii_{kind}" for kind in RULES])
+    prefix = "_pii_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix = "_" + prefix
+    found = detect(docs, text, prefix)
+    every = F.concat(*[F.col(f"{prefix}{kind}") for kind in RULES])
+    return found.withColumn(text, redact(F.col(f"`{text}`"), every)).drop(*[f"{prefix}{kind}" for kind in RULES])
 
 
 def report(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
