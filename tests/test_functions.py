@@ -1,8 +1,10 @@
 """Scalar functions against Python's Decimal, pandas and datetime."""
 
 import random
+import re
 from datetime import date, datetime
-from decimal import ROUND_HALF_EVEN, Decimal, InvalidOperation, localcontext
+from decimal import Context, Decimal, InvalidOperation
+from fractions import Fraction
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -15,6 +17,9 @@ from tillbridge.functions.numeric import (
 from tillbridge.functions.text import WHITE_SPACE, canonical_code, is_missing, strip
 
 
+WIDE = Context(prec=2000)
+
+
 def evaluate(spark, values, *expressions, schema="i int, x string", prepare=lambda f: f):
     rows = [(i, v) for i, v in enumerate(values)]
     frame = prepare(spark.createDataFrame(rows, schema).repartition(8))
@@ -23,40 +28,46 @@ def evaluate(spark, values, *expressions, schema="i int, x string", prepare=lamb
     return [r[1] if len(expressions) == 1 else tuple(r)[1:] for r in got]
 
 
-def digits_and_scale(value: Decimal):
-    _, digits, exponent = value.as_tuple()
-    if exponent >= 0:
-        return len(digits) + exponent, 0
-    return max(len(digits) + exponent, 0), -exponent
+NUMBER = re.compile(r"[+-]?(\d*)(?:\.(\d*))?(?:[eE]([+-]?\d+))?")
+
 
+def bare(text):
+    return text.strip().replace("_", "").strip()
 
-def python_decimal(text):
+
+def places(text):
+    """Digits before and after the decimal point that the literal spells out, or None."""
     if not text.strip().isascii():
         return None
     try:
-        value = Decimal(text.strip())
+        if not Decimal(text.strip()).is_finite():
+            return None
     except InvalidOperation:
         return None
-    return value if value.is_finite() else None
+    plain = bare(text)
+    whole, fraction, power = NUMBER.fullmatch(plain).groups()
+    shift = int(power or 0)
+    significant = (whole + (fraction or "")).lstrip("0") or "0"
+    after = len(fraction or "") - shift
+    return max(len(significant) - after, 0), max(after, 0)
 
 
 def expected_amount(text):
-    value = python_decimal(text)
-    if value is None:
-        return None
-    integer_digits, scale = digits_and_scale(value)
-    return None if scale > 9 or integer_digits > 29 else value
+    found = places(text)
+    return Decimal(bare(text)) if found and found[0] <= 29 and found[1] <= 9 else None
 
 
 def expected_rate(text):
-    value = python_decimal(text)
-    if value is None:
+    found = places(text)
+    if found is None:
         return None
-    with localcontext() as context:
-        context.prec = 2000
-        if value.as_tuple().exponent < -9:
-            value = value.quantize(Decimal("1e-9"), rounding=ROUND_HALF_EVEN)
-    return None if digits_and_scale(value)[0] > 29 else value
+    plain = bare(text)
+    if found[1] <= 9:
+        return Decimal(plain) if found[0] <= 29 else None
+    if found[1] > 2000:  # far below any digit that is kept
+        return Decimal(0)
+    billionths = round(Fraction(plain) * 10**9)  # to even on a tie
+    return None if abs(billionths) >= 10**38 else Decimal(billionths).scaleb(-9, WIDE)
 
 
 def literals(seed, n):

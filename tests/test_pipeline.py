@@ -2,6 +2,7 @@
 
 from datetime import date
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from tillbridge.contracts import (
 )
 from tillbridge.errors import BatchError, ContractError
 from tillbridge.plans.pipeline import build_fact, classify_and_load, load_raw, run_batches
-from tillbridge.plans.publication import create_public_views
+from tillbridge.plans.publication import create_public_views, latest_runs
 from tillbridge.sinks.store import Store, append_new, ensure_namespace, ensure_store, ensure_table
 
 NEXT = date(2025, 7, 23)
@@ -120,12 +121,36 @@ def test_altered_fx_leaves_transactions_stored(spark, store, landed):
     assert spark.table(store.table(RAW_FX_RATES)).count() == 0
 
 
-def test_header_mismatch_fails(spark, store, landed):
-    write_gz(landed / f"transactions/business_date={DAY}/sales_bkk_{DAY:%Y%m%d}.csv.gz",
-             f"txn,amount,dtts,currency\nT,1,{DAY} 09:30:00,THB\n")
-    with pytest.raises(Exception, match="(?i)header"):
-        load_raw(spark, store, str(landed), [DAY], register(spark, landed), AT)
-    assert spark.table(store.table(RAW_TRANSACTIONS)).count() == 0
+def test_malformed_file_fails_its_own_date(spark, store, landed):
+    write_gz(landed / f"transactions/business_date={NEXT}/sales_bkk_{NEXT:%Y%m%d}.csv.gz",
+             f"txn,amount,dtts,currency\nT,1,{NEXT} 09:30:00,THB\n")
+    known = register(spark, landed)
+    runs = {r.batch_date: r for r in run_batches(
+        spark, store, str(landed), [DAY, NEXT], known, "run-1", None, AT, on_error="return")}
+    assert runs[DAY].status == "SUCCESS" and runs[DAY].raw_rows == 11
+    assert runs[NEXT].status == "FAILED" and "cannot load" in runs[NEXT].error
+    raw = spark.table(store.table(RAW_TRANSACTIONS)).select("batch_date").distinct().collect()
+    assert [r.batch_date for r in raw] == [DAY]
+    audit = {(r.batch_date, r.status): r.n for r in spark.table(store.table(FILE_AUDIT)).groupBy(
+        "batch_date", "status").agg(F.count("*").alias("n")).collect()}
+    assert audit == {(DAY, "LOADED"): 6, (NEXT, "NOT_LOADED"): 5}
+    with pytest.raises(BatchError, match="cannot load"):
+        load_raw(spark, store, str(landed), [NEXT], known, AT)
+
+
+def test_stray_file_fails_the_date(spark, store, landed):
+    write_gz(landed / f"transactions/business_date={DAY}/sub/EXTRA", "x")
+    summary = load_raw(spark, store, str(landed), [DAY, NEXT], register(spark, landed), AT, on_error="return")
+    assert "UNEXPECTED" in summary[0].error and summary[1].status == "SUCCESS"
+
+
+def test_stored_rows_must_equal_the_files(spark, store, landed):
+    known = register(spark, landed)
+    load_raw(spark, store, str(landed), [DAY], known, AT)
+    extra = spark.table(store.table(RAW_TRANSACTIONS)).limit(1).withColumn("source_row_id", F.lit("other"))
+    append_new(extra, store, RAW_TRANSACTIONS, [DAY])
+    summary = load_raw(spark, store, str(landed), [DAY], known, AT, on_error="return")[0]
+    assert summary.tx_source_rows == 11 and summary.error == "transactions: source 11, stored 12"
 
 
 def test_no_fx_publication_fails_the_date(spark, store, landed):
@@ -155,7 +180,40 @@ def test_run_batches_audits_and_publishes(spark, store, landed):
     assert spark.table(store.table(PIPELINE_RUNS)).count() == 3
     audit = spark.table(store.table(FILE_AUDIT)).where("run_id = 'run-1'")
     assert audit.where("status = 'LOADED'").count() == 11
-    assert audit.agg(F.sum("loaded_rows")).first()[0] == 18
+    assert tuple(audit.agg(F.sum("loaded_rows"), F.sum("expected_rows")).first()) == (18, 18)
+
+
+def test_later_run_decides_whatever_its_name(spark, store, landed):
+    known = register(spark, landed)
+    bad = spark.createDataFrame([(DAY, 1)], "batch_date date, rows long")
+    run_batches(spark, store, str(landed), [DAY], known, "run-9", None, AT)
+    run_batches(spark, store, str(landed), [DAY], known, "run-10", bad, AT, on_error="return")
+    latest = latest_runs(spark.table(store.table(PIPELINE_RUNS))).first()
+    assert (latest.run_id, latest.status) == ("run-10", "FAILED")
+    left = [p for p in Path(spark.conf.get("spark.checkpoint.dir")).glob("*-*")
+            if p.name.split("-")[0] in ("classified", "transactions", "fx", "counted")]
+    assert left == []
+
+
+def test_append_goes_by_name(spark, store, landed):
+    load_raw(spark, store, str(landed), [DAY], register(spark, landed), AT)
+    rows = spark.table(store.table(RAW_TRANSACTIONS))
+    turned = rows.select(*reversed(rows.columns)).withColumn("source_row_id", F.concat("source_row_id", F.lit("x")))
+    append_new(turned, store, RAW_TRANSACTIONS, [DAY])
+    back = spark.table(store.table(RAW_TRANSACTIONS)).drop("source_row_id", "ingested_at")
+    assert back.groupBy(*back.columns).count().where("count <> 2").isEmpty()
+
+
+def test_columns_in_another_order_are_refused(spark, store):
+    table = store.table(RAW_TRANSACTIONS)
+    columns = [f"{c.name} {c.dataType}" + (" COMMENT 'required'" if c.description else "")
+               for c in spark.catalog.listColumns(table)]
+    columns[0], columns[1] = columns[1], columns[0]
+    spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"CREATE TABLE {table} ({', '.join(columns)}) USING parquet "
+              f"PARTITIONED BY (batch_date) LOCATION '{store.location}/turned'")
+    with pytest.raises(ContractError, match="columns differ"):
+        ensure_table(spark, store, RAW_TRANSACTIONS)
 
 
 def test_stores_are_verified_not_altered(spark, store):

@@ -105,16 +105,14 @@ def test_completeness(spark):
     assert completeness(spark, full + parts) == [("DUPLICATE", "bkk")]
 
 
-def test_checksums_small_and_streamed(spark, tmp_path):
+def test_checksums(spark, tmp_path):
     write_day(tmp_path, DAY, {"bkk": [f"T{n},{DAY} 10:00:00,1,THB" for n in range(5000)]})
     known = register(spark, tmp_path)
     pattern = f"{tmp_path}/transactions/*/*.csv.gz"
-    listing = files.list_files(spark, pattern)
-    for limit in (files.ONE_ROW_LIMIT, 200, 0):
-        hashed = files.file_hashes(spark, listing, pattern, one_row_limit=limit).withColumn(
-            "source_file", paths.source_name(F.col("path")))
-        done = files.verify_checksums(hashed, known)
-        assert done.count() == 5 and done.where("problem is not null").count() == 0
+    hashed = files.file_hashes(spark, pattern, f"{tmp_path}/nowhere/*").withColumn(
+        "source_file", paths.source_name(F.col("path")))
+    done = files.verify_checksums(hashed, known)
+    assert done.count() == 5 and done.where("problem is not null").count() == 0
     wrong = known.withColumn("source_checksum", F.when(F.col("source_file").contains("north_"), "0")
                              .when(F.col("source_file").contains("south"), "").otherwise(F.col("source_checksum")))
     done = {r.source_file.split("_")[-2]: r.problem for r in files.verify_checksums(
@@ -123,6 +121,28 @@ def test_checksums_small_and_streamed(spark, tmp_path):
                     "central": None, "northeast": None}
 
 
+def test_discovery_sees_every_name(spark, tmp_path):
+    write_day(tmp_path, DAY, {})
+    folder = tmp_path / paths.transaction_folder(DAY)
+    for name in ("EXTRA", "_hidden.csv.gz", "sub/sales_bkk_20250722.csv.gz"):
+        write_gz(folder / name, HEADER)
+    found = files.discover_transactions(spark, str(tmp_path), [DAY, NEXT])
+    assert found.count() == 8
+    problems = files.completeness(files.date_frame(spark, [DAY]), found).collect()
+    assert sorted((r.problem, r.source_file.split("/", 2)[2]) for r in problems) == [
+        ("UNEXPECTED", "EXTRA"), ("UNEXPECTED", "_hidden.csv.gz"), ("UNEXPECTED", "sub/sales_bkk_20250722.csv.gz")]
+
+
+def test_many_dates_are_one_scan(spark, tmp_path):
+    days = [DAY + timedelta(days=n) for n in range(20)]
+    for day in days:
+        write_day(tmp_path, day, {})
+    listed = files.discover_transactions(spark, str(tmp_path), days)
+    hashed = files.file_hashes(spark, *[r.path for r in listed.collect()])
+    plan = hashed._jdf.queryExecution().executedPlan().toString()
+    assert hashed.count() == 100 and plan.count("FileScan") == 1 and "Union" not in plan
+
+
 def test_missing_folder_lists_nothing(spark, tmp_path):
     assert files.list_files(spark, f"{tmp_path}/nowhere/*.csv").count() == 0
     assert files.discover_fx(spark, str(tmp_path), [DAY]).count() == 0
@@ -135,14 +155,39 @@ def test_split_to_daily(spark, tmp_path):
     out = tmp_path / "out/transactions"
     done = daily.split_to_daily(spark, str(tmp_path / "in"), str(out)).first()
     assert tuple(done) == (2, 4, 10, 3)
-    rows = scan_csv(spark, f"{out}/*/*/*.csv.gz", TRANSACTION_HEADER).withColumn("name", paths.source_name(F.col("path")))
+    rows = scan_csv(spark, f"{out}/*/*.csv.gz", TRANSACTION_HEADER).withColumn("name", paths.source_name(F.col("path")))
     got = rows.select("txn", "amount", "currency", "source_row_number", paths.region_of(F.col("name")).alias("r"),
                       paths.day_of(F.col("name")).alias("d")).orderBy("r", "d", "source_row_number").collect()
     assert [r.txn for r in got] == ["T0", "T3", "T6", "T1", "T4", "T7", "T2", "T5", "T8", "S"]
     assert (got[4].amount, got[4].currency, got[4].d) == ("N/A", " t,b ", NEXT)
     assert got[-1].amount == ""
-    with gzip.open(next((out / "business_date=2025-07-22/region=south").glob("*.gz")), "rt") as f:
+    assert sorted(p.name for p in out.iterdir()) == [f"business_date=2025-07-{d}" for d in (22, 23, 24)]
+    with gzip.open(out / "business_date=2025-07-22/sales_south_20250722.csv.gz", "rt") as f:
         assert f.readline() == HEADER
+    with pytest.raises(SourceError, match="cannot write"):
+        daily.split_to_daily(spark, str(tmp_path / "in"), str(out))
+
+
+def test_split_validate_manifest_and_land(spark, tmp_path):
+    for region in REGIONS:
+        write_gz(tmp_path / f"in/sales_{region}_202507.csv.gz", HEADER + "".join(
+            f"{region}{n},2025-07-{22 + n % 2} 10:00:00,{n},THB\n" for n in range(5)))
+    root = tmp_path / "data/daily_regional_sales"
+    daily.split_to_daily(spark, str(tmp_path / "in"), str(root))
+    assert daily.validate_daily(spark, str(root)).count() == 0
+    manifest = daily.source_manifest(spark, str(root))
+    daily.enforce_corpus(manifest, (2, 10, 25, "2025-07-22", "2025-07-23"))
+    write_manifest(manifest, str(tmp_path / "m"))
+    (tmp_path / "data/daily_source_manifest.csv").write_bytes(next((tmp_path / "m").glob("*.csv")).read_bytes())
+    write_fx(tmp_path / "fx/fx_daily", DAY)
+    (tmp_path / "fx/fx_daily/fx").rename(tmp_path / "fx/x")
+    (tmp_path / "fx/x/2025").rename(tmp_path / "fx/fx_daily/2025")
+    (tmp_path / "fx/manifest.csv").write_text("x")
+    local = landing.landing_inventory(spark, str(tmp_path))
+    assert local.where("kind = 'transaction'").count() == 10
+    landed = local.select("object_name", "sha256").where("kind <> 'fx'")
+    assert {r.action: r.files for r in landing.landing_summary(landing.landing_decision(local, landed)).collect()} == {
+        "SKIP": 12, "UPLOAD": 1}
 
 
 @pytest.mark.parametrize("name, line", [

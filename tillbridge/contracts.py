@@ -172,6 +172,7 @@ PIPELINE_RUNS = TableContract(
     "ops", "pipeline_runs",
     _struct("""
         run_id string!
+        run_sequence long!
         batch_date date!
         status string!
         raw_rows long

@@ -16,6 +16,7 @@ from tillbridge.functions.numeric import (
 )
 from tillbridge.functions.text import canonical_code, strip
 from tillbridge.operators.hotkeys import hot_keys
+from tillbridge.sinks.store import broadcast_if_small
 from tillbridge.sources.scan import instant
 
 # A transaction id with more rows than this in one batch is resolved by pre-aggregation.
@@ -67,8 +68,8 @@ def mark_duplicates(canonical: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame
     one ``batch_date``. Differing payloads make every copy a conflict; equal ones are
     replays of the copy with the lowest ``(source_file, source_row_number)``.
 
-    One shuffle and one sort by ``(batch_date, txn_id)`` serve nearly all ids. Ids with a
-    large share of the rows, found by a sketch beforehand, are judged by pre-aggregation.
+    One shuffle and one sort by ``(batch_date, txn_id)`` serve nearly all ids. Ids of
+    ``hot_rows`` rows or more, counted beforehand, are judged by pre-aggregation.
     Their rows, and rows that fail a base rule, need no neighbours and are spread over all
     partitions by their own row id.
     """
@@ -80,9 +81,10 @@ def mark_duplicates(canonical: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame
     hot = hot_keys(canonical, F.when(F.col("txn_id") != "", key), hot_rows)
 
     alone, judged = ~valid, canonical
-    if hot:
-        verdicts = _hot_verdicts(canonical, key.isin(hot), payload, order)
-        judged = canonical.join(F.broadcast(verdicts), ["batch_date", "txn_id"], "left")
+    any_hot = not hot.isEmpty()
+    if any_hot:
+        verdicts = broadcast_if_small(_hot_verdicts(canonical, key, hot, payload, order))
+        judged = canonical.join(verdicts, ["batch_date", "txn_id"], "left")
         alone = alone | F.col("hot_conflict").isNotNull()
     # The hash leads the sort, where it decides nearly every comparison as a number; the
     # columns behind it keep the grouping exact.
@@ -97,7 +99,7 @@ def mark_duplicates(canonical: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame
         "_conflict": F.min(payload).over(whole) != F.max(payload).over(whole),
     })
     conflict, replay = F.col("_conflict"), F.col("_replay")
-    if hot:
+    if any_hot:
         conflict = F.coalesce("hot_conflict", conflict)
         replay = F.when(F.col("hot_conflict").isNull(), replay).otherwise(F.col("hot_first") != order)
     return judged.withColumn(
@@ -106,16 +108,18 @@ def mark_duplicates(canonical: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame
     ).drop("_key", "_alone", "_replay", "_conflict", "hot_conflict", "hot_first")
 
 
-def _hot_verdicts(canonical: DataFrame, is_hot: Column, payload: Column, order: Column) -> DataFrame:
-    """Whether a hot id is in conflict, and its first copy. One row per hot id, so that a
-    broadcast is safe; the rows combine before the shuffle.
+def _hot_verdicts(canonical: DataFrame, key: Column, hot: DataFrame, payload: Column,
+                  order: Column) -> DataFrame:
+    """Whether a hot id is in conflict, and its first copy. One row per hot id; the rows
+    combine before the shuffle.
 
     Invalid rows enter as NULL. A filter would be pushed below the parsing steps and
     repeat them.
     """
     valid = F.col("reason_flags") == 0
     valid_payload, valid_order = F.when(valid, payload), F.when(valid, order)
-    return canonical.where(is_hot).groupBy("batch_date", "txn_id").agg(
+    rows = canonical.join(broadcast_if_small(hot), key == F.col("k"), "left_semi")
+    return rows.groupBy("batch_date", "txn_id").agg(
         (F.min(valid_payload) != F.max(valid_payload)).alias("hot_conflict"),
         F.min(valid_order).alias("hot_first"))
 

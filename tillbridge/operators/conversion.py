@@ -98,7 +98,7 @@ def convert(accepted: DataFrame, effective_fx: DataFrame) -> DataFrame:
     """Accepted rows with three amounts and the rate lineage of their date.
 
     THB is the bridge; each target is rounded once, half-even, from the unrounded THB
-    value. Rows of dates without usable rates are left out: see ``fx_status``. An amount
+    value. Rows of dates without usable rates are left out; :func:`excluded_dates` reports them. An amount
     that does not fit ``decimal(38,9)`` is NULL, for the caller to reject its date.
 
     Nearly all rows take the bigint path, in generated code; amounts beyond its limit take
@@ -127,6 +127,13 @@ def convert(accepted: DataFrame, effective_fx: DataFrame) -> DataFrame:
     return native.unionByName(wide)
 
 
+def excluded_dates(accepted: DataFrame, effective_fx: DataFrame) -> DataFrame:
+    """Dates that :func:`convert` leaves out, with the reason and their accepted rows."""
+    unusable = effective_fx.where("fx_status <> 'OK'").select("batch_date", "fx_status")
+    return accepted.groupBy("batch_date").agg(F.count("*").alias("excluded_rows")).join(
+        F.broadcast(unusable), "batch_date").select("batch_date", "fx_status", "excluded_rows")
+
+
 def fact_rows(accepted: DataFrame, effective_fx: DataFrame, created_at: datetime) -> DataFrame:
     """Rows of the fact table."""
     return convert(accepted, effective_fx).withColumn(

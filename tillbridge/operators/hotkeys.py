@@ -1,28 +1,16 @@
-"""Find keys that hold a large share of all rows, cheaply and ahead of a shuffle."""
+"""Find keys that hold many rows, ahead of a shuffle of whole rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Keys fall into groups by value, each with a sketch of its own, so that sketches merge in
-# parallel. A sketch of this size misses no key above about 0.4 % of its group's rows, and
-# the longest list of a group that overflows still holds its 50 heaviest keys. Together at
-# most 1600 keys come back.
-GROUPS = 32
-TRACKED = 1_000
-LISTED = 50
 
+def hot_keys(rows: DataFrame, key: Column, min_rows: int) -> DataFrame:
+    """Column ``k``: every key that occurs in ``min_rows`` rows or more; usually none.
 
-def hot_keys(rows: DataFrame, key: Column, min_rows: int) -> list[int]:
-    """Keys that occur in about ``min_rows`` rows or more; usually none.
-
-    ``key`` is a bigint expression, NULL for rows to leave out. Runs one job that reads
-    the columns of the key; only sketches are exchanged, no row is shuffled. A
-    frequent-items sketch may miss light keys and never decides a result: callers treat
-    hot and other keys by two exact methods, and plan the first only if there are any.
+    ``key`` is a bigint expression, NULL for rows to leave out. Counts combine before
+    the shuffle, so a hot key sends one number per task. At most one key in ``min_rows``
+    rows comes back, and it stays a frame.
     """
-    sketches = rows.select(key.alias("k")).where("k is not null").groupBy(
-        F.pmod("k", F.lit(GROUPS)).alias("g"),
-    ).agg(F.expr(f"approx_top_k(k, {LISTED}, {TRACKED})").alias("top"))
-    listed = sketches.select(F.explode("top").alias("t")).where(F.col("t.count") >= min_rows)
-    return [row.item for row in listed.select("t.item").collect()]
+    return rows.select(key.alias("k")).where("k is not null").groupBy("k").agg(
+        F.count("*").alias("n")).where(F.col("n") >= min_rows).select("k")

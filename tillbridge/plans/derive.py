@@ -36,13 +36,7 @@ def base_rows(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
     rows = table(spark, sf_dir, base).selectExpr(
         f"{key} AS k", f"CAST({time} AS TIMESTAMP_NTZ) AS t",
         f"CAST(round({money} * 100) AS BIGINT) AS c")
-    return spread(rows)
-
-
-def spread(rows: DataFrame) -> DataFrame:
-    """Use all cores for a table of fewer files; a larger one is spread as it is."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
+    return rows
 
 
 def delivered(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:

@@ -277,9 +277,10 @@ ORACLES = {
           txn, dtts, amount, currency
         FROM raw WHERE region <> 'unknown'""", _EVENTS),
     "src_partition_read": _with(
-        "SELECT batch_date::VARCHAR AS batch_date, source_row_id FROM raw", _EVENTS),
+        "SELECT batch_date::VARCHAR AS batch_date, source_row_id FROM raw WHERE isodow(batch_date) = 1", _EVENTS),
     "src_read_through": _with(
-        "SELECT rate_date::VARCHAR AS rate_date, currency, mid_rate, source_row_id FROM raw_fx", _EVENTS, _FX),
+        "SELECT rate_date::VARCHAR AS rate_date, currency, mid_rate, source_row_id FROM raw_fx "
+        "WHERE rate_date <= (SELECT max(batch_date) FROM dates) - 30", _EVENTS, _FX),
     "sink_anti_join": _with(
         "SELECT batch_date::VARCHAR AS batch_date, source_row_id FROM accepted", _ORDERS, _CLASSIFIED),
     "sink_idempotent_append": _with("""
@@ -384,6 +385,10 @@ calendar AS (
           source_checksum, source_row_number, source_row_id, batch_date::VARCHAR AS batch_date, {_AMOUNTS},
           fx_rate_date::VARCHAR AS fx_rate_date, {_text('usd')} AS usd_thb_rate, {_text('eur')} AS eur_thb_rate,
           is_carried_forward, staleness_days FROM fact""", *_FULL),
+    "fact_excluded_dates": _with("""
+        SELECT batch_date::VARCHAR AS batch_date, fx_status, count(*) AS excluded_rows
+        FROM accepted JOIN effective USING (batch_date) WHERE fx_status <> 'OK' GROUP BY ALL""",
+        _ORDERS, _CLASSIFIED, _FX, _effective()),
     "fact_prechecks": _with("""
         , ids AS (
           SELECT batch_date, CASE WHEN txn_id = '' THEN '' ELSE batch_date || '-' || txn_id END AS id, count(*) AS n,
@@ -397,9 +402,15 @@ calendar AS (
     "set_except_both": _with("""
         SELECT batch_date::VARCHAR AS batch_date, source_row_id, 'LEFT_ONLY' AS side
         FROM classified WHERE NOT accepted""", _ORDERS, _CLASSIFIED),
+    "set_except_right": _with("""
+        SELECT batch_date::VARCHAR AS batch_date, source_row_id,
+          CASE WHEN accepted THEN 'RIGHT_ONLY' ELSE 'LEFT_ONLY' END AS side
+        FROM classified JOIN effective USING (batch_date)
+        WHERE accepted <> (fx_status = 'OK')""", _ORDERS, _CLASSIFIED, _FX, _effective()),
     "rec_classification": _with("""
         SELECT batch_date::VARCHAR AS batch_date, count(*) AS raw_rows, count(*) FILTER (accepted) AS accepted_rows,
-          count(*) FILTER (NOT accepted) AS quarantine_rows, true AS reconciled
+          count(*) FILTER (NOT accepted) AS quarantine_rows,
+          count(*) = count(*) FILTER (accepted) + count(*) FILTER (NOT accepted) AS reconciled
         FROM classified GROUP BY ALL""", _ORDERS, _CLASSIFIED),
     "rec_fact": _with("""
         SELECT a.batch_date::VARCHAR AS batch_date, a.n AS accepted_rows, coalesce(f.n, 0) AS fact_rows,
@@ -436,3 +447,4 @@ calendar AS (
     "pub_daily_sales": _with(
         f"SELECT batch_date::VARCHAR AS batch_date, {_TOTALS} FROM shown GROUP BY batch_date", *_FULL, _RUNS),
 }
+ORACLES["cls_hot_ids"] = ORACLES["cls_classified"]

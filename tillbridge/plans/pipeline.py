@@ -12,11 +12,13 @@ from collections.abc import Iterable
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from tillbridge.contracts import (
-    ACCEPTED, FACT, FILE_AUDIT, PIPELINE_RUNS, QUARANTINE, RAW_FX_RATES, RAW_TRANSACTIONS,
-    REGIONS,
+    ACCEPTED, FACT, FILE_AUDIT, FX_HEADER, PIPELINE_RUNS, QUARANTINE, RAW_FX_RATES,
+    RAW_TRANSACTIONS, REGIONS, TRANSACTION_HEADER,
 )
 from tillbridge.errors import BatchError
 from tillbridge.operators.classification import HOT_ROWS, accepted_rows, classify, quarantine_rows
@@ -24,13 +26,14 @@ from tillbridge.operators.conversion import accepted_violations, fact_rows
 from tillbridge.operators.fx import publications, resolve_effective_fx, snapshots
 from tillbridge.operators.reconcile import full_chain, id_differences
 from tillbridge.plans.publication import SUCCESS
-from tillbridge.session import write_and_read
+from tillbridge.session import stored
 from tillbridge.sinks.store import (
-    Store, append, append_new, broadcast_if_small, partition_counts, read_partitions, read_through,
+    Store, append, append_new, broadcast_if_small, partition_counts, read_partitions,
+    read_through, scalar,
 )
 from tillbridge.sources import files as sources
 from tillbridge.sources import paths
-from tillbridge.sources.scan import read_fx, read_transactions
+from tillbridge.sources.scan import read_fx, read_transactions, scan_csv
 
 FAILED = "FAILED"
 EMPTY = "EMPTY"
@@ -80,37 +83,72 @@ def _fail_by_file(days: _Dates, problems: DataFrame) -> None:
         days.fail(row.batch_date, row.first if row.n == 1 else f"{row.first} and {row.n - 1} more")
 
 
-def _verified(spark, files: DataFrame, patterns: list[str], registered: DataFrame, label: str) -> DataFrame:
-    """Hash the files once, compare, and keep the outcome, one row per file."""
-    hashed = sources.file_hashes(spark, files, *patterns).withColumn(
+def _hashed(spark, files: DataFrame, registered: DataFrame) -> DataFrame:
+    """Hash the listed files and compare; one row per file. At most a few files per date
+    pass the checks before, so their paths are few."""
+    locations = [r.path for r in files.select("path").collect()]
+    hashed = sources.file_hashes(spark, *locations).withColumn(
         "source_file", paths.source_name(F.col("path")))
-    return write_and_read(sources.verify_checksums(hashed, registered), label)
+    return sources.verify_checksums(hashed, registered)
 
 
-def _append_files(spark, store, contract, read, verified: DataFrame, dates) -> dict[date, int]:
+def _cause(error: Exception) -> str:
+    lines = [line.strip() for line in str(error).splitlines() if line.strip()]
+    causes = [line for line in lines if line.startswith("Caused by:")]
+    return " ".join((causes or lines or [type(error).__name__])[0].split())[:300]
+
+
+def _append_dates(spark, store, contract, read, verified: DataFrame, dates) -> dict[date, int]:
+    wanted = verified.where(F.col("batch_date").isin(dates))
+    locations = [r.path for r in wanted.select("path").toLocalIterator()]
+    rows = read(spark, locations, broadcast_if_small(wanted.select("source_file", "source_checksum")))
+    return append_new(rows, store, contract, dates)
+
+
+def _append_files(spark, store, contract, read, verified: DataFrame, days: _Dates, dates) -> dict[date, int]:
     """Append the rows of verified files. Dates with stored rows are read and looked up
-    apart from the others, so each file is parsed once."""
+    apart from the others, so each file is parsed once. A malformed file fails the job of
+    all dates; then each date is loaded by itself, and only its own date fails."""
     before = partition_counts(spark, store, contract, dates)
     inserted = {}
     for group in ([d for d in dates if not before[d]], [d for d in dates if before[d]]):
-        if group:
-            wanted = verified.where(F.col("batch_date").isin(group))
-            locations = [r.path for r in wanted.select("path").toLocalIterator()]
-            rows = read(spark, locations, broadcast_if_small(
-                wanted.select("source_file", "source_checksum")))
-            inserted.update(append_new(rows, store, contract, group))
+        if not group:
+            continue
+        try:
+            inserted.update(_append_dates(spark, store, contract, read, verified, group))
+        except (PySparkException, Py4JJavaError):
+            for d in group:
+                try:
+                    inserted.update(_append_dates(spark, store, contract, read, verified, [d]))
+                except (PySparkException, Py4JJavaError) as error:
+                    days.fail(d, f"cannot load: {_cause(error)}")
     return inserted
 
 
-def _rows_of_files(spark, store, contract, verified: DataFrame, dates) -> dict[date, int]:
-    """Stored rows per date that stem from the verified files. The append is atomic and
-    keyed by file, checksum and row number, so these are the source rows."""
+def _count_source(spark, header, verified: DataFrame, dates) -> DataFrame:
+    """Rows of each file, counted in the files themselves: ``source_file``,
+    ``source_checksum``, ``batch_date``, ``rows``."""
+    wanted = verified.where(F.col("batch_date").isin(dates))
+    locations = [r.path for r in wanted.select("path").toLocalIterator()]
+    rows = scan_csv(spark, locations, header, numbered=False).groupBy(
+        paths.source_name(F.col("path")).alias("source_file")).agg(F.count("*").alias("rows"))
+    return wanted.select("source_file", "source_checksum", "batch_date").join(
+        rows, "source_file", "left").fillna(0, ["rows"])
+
+
+def _check_counts(spark, store, contract, days: _Dates, counted: DataFrame, dates) -> dict[date, int]:
+    """Source rows per date; a date whose stored rows of these files differ in number fails."""
     day = contract.partition_column
-    counts = read_partitions(spark, store, contract, dates, [day, "source_file", "source_checksum"]).join(
-        broadcast_if_small(verified.select("source_file", "source_checksum")),
-        ["source_file", "source_checksum"], "left_semi",
-    ).groupBy(day).agg(F.count("*"))
-    return {**dict.fromkeys(dates, 0), **{d: n for d, n in counts.collect()}}
+    expected = {r.batch_date: r.rows for r in counted.groupBy("batch_date").agg(
+        F.sum("rows").alias("rows")).collect()}
+    stored = {d: n for d, n in read_partitions(
+        spark, store, contract, dates, [day, "source_file", "source_checksum"],
+    ).join(broadcast_if_small(counted.select("source_file", "source_checksum")),
+           ["source_file", "source_checksum"], "left_semi").groupBy(day).agg(F.count("*")).collect()}
+    for d in dates:
+        if expected.get(d, 0) != stored.get(d, 0):
+            days.fail(d, f"{contract.name}: source {expected.get(d, 0)}, stored {stored.get(d, 0)}")
+    return {d: expected.get(d, 0) for d in dates}
 
 
 def load_raw(spark: SparkSession, store: Store, root: str, dates: Iterable[date],
@@ -119,27 +157,36 @@ def load_raw(spark: SparkSession, store: Store, root: str, dates: Iterable[date]
     """Load the five regional files and the optional FX file of each date, unchanged.
 
     ``registered`` holds ``source_file`` and ``source_checksum`` of everything landed.
-    Transactions are appended before FX files are looked at.
+    Transactions are appended before FX files are looked at. A date whose files are
+    incomplete, altered or malformed, or whose stored rows differ in number from those in
+    the files, fails by itself.
     """
-    at = _now(ingested_at)
     days = _Dates.of(dates)
+    summary, _ = _load_raw(spark, store, root, days, registered, _now(ingested_at))
+    return days.finish("raw load", summary, on_error)
+
 
+def _load_raw(spark, store, root, days: _Dates, registered, at) -> tuple[list[Row], list[Row]]:
+    """Summary rows, and the counted source files."""
     found = sources.discover_transactions(spark, root, days.requested)
     _fail_by_file(days, sources.completeness(sources.date_frame(spark, days.requested), found))
-    tx_source, tx_inserted = {}, {}
+    tx_source, tx_inserted, counted = {}, {}, []
     if days.good:
-        patterns = [f"{root}/{paths.transaction_folder(d)}/{tail}" for d in days.good
-                    for tail in ("*.csv.gz", "region=*/*.csv.gz")]
         listed = found.where(paths.day_of(F.col("source_file")).isin(days.good))
-        verified = _verified(spark, listed, patterns, registered, "transactions").withColumn(
+        checked = _hashed(spark, listed, registered).withColumn(
             "batch_date", paths.day_of(F.col("source_file")))
-        _fail_by_file(days, verified.where("problem is not null").withColumn("region", F.lit("")))
-        if days.good:
-            tx_inserted = _append_files(
-                spark, store, RAW_TRANSACTIONS,
-                lambda s, where, known: read_transactions(s, where, known, at),
-                verified, days.good)
-            tx_source = _rows_of_files(spark, store, RAW_TRANSACTIONS, verified, days.good)
+        with stored({"transactions": checked}) as kept:
+            verified = kept["transactions"]
+            _fail_by_file(days, verified.where("problem is not null").withColumn("region", F.lit("")))
+            if days.good:
+                tx_inserted = _append_files(
+                    spark, store, RAW_TRANSACTIONS,
+                    lambda s, where, known: read_transactions(s, where, known, at),
+                    verified, days, days.good)
+            if days.good:
+                with stored({"counted": _count_source(spark, TRANSACTION_HEADER, verified, days.good)}) as c:
+                    tx_source = _check_counts(spark, store, RAW_TRANSACTIONS, days, c["counted"], days.good)
+                    counted += c["counted"].collect()
     tx_stored = partition_counts(spark, store, RAW_TRANSACTIONS, days.requested)
 
     fx_source, fx_inserted, fx_state = {}, {}, {}
@@ -149,17 +196,22 @@ def load_raw(spark: SparkSession, store: Store, root: str, dates: Iterable[date]
         fx_state = {r.batch_date: r.fx_status for r in state.collect()}
         published = [d for d in days.good if fx_state[d] == "LOADED"]
         if published:
-            verified = _verified(
-                spark, fx_found, [f"{root}/{paths.fx_file(d)}" for d in published],
-                registered, "fx").withColumn("batch_date", paths.fx_day_of(F.col("source_file")))
-            _fail_by_file(days, verified.where("problem is not null").withColumn("region", F.lit("")))
-            published = [d for d in published if d in days.good]
-            if published:
-                fx_inserted = _append_files(
-                    spark, store, RAW_FX_RATES,
-                    lambda s, where, known: read_fx(s, where, known, at),
-                    verified, published)
-                fx_source = _rows_of_files(spark, store, RAW_FX_RATES, verified, published)
+            checked = _hashed(spark, fx_found, registered).withColumn(
+                "batch_date", paths.fx_day_of(F.col("source_file")))
+            with stored({"fx": checked}) as kept:
+                verified = kept["fx"]
+                _fail_by_file(days, verified.where("problem is not null").withColumn("region", F.lit("")))
+                published = [d for d in published if d in days.good]
+                if published:
+                    fx_inserted = _append_files(
+                        spark, store, RAW_FX_RATES,
+                        lambda s, where, known: read_fx(s, where, known, at),
+                        verified, days, published)
+                published = [d for d in published if d in days.good]
+                if published:
+                    with stored({"counted": _count_source(spark, FX_HEADER, verified, published)}) as c:
+                        fx_source = _check_counts(spark, store, RAW_FX_RATES, days, c["counted"], published)
+                        counted += c["counted"].collect()
     fx_stored = partition_counts(spark, store, RAW_FX_RATES, days.requested)
 
     summary = [
@@ -170,7 +222,7 @@ def load_raw(spark: SparkSession, store: Store, root: str, dates: Iterable[date]
             fx_source_rows=fx_source.get(d, 0), fx_inserted_rows=fx_inserted.get(d, 0),
             fx_partition_rows=fx_stored[d], error=days.errors.get(d))
         for d in days.requested]
-    return days.finish("raw load", summary, on_error)
+    return summary, counted
 
 
 def classify_and_load(spark: SparkSession, store: Store, dates: Iterable[date],
@@ -185,8 +237,11 @@ def classify_and_load(spark: SparkSession, store: Store, dates: Iterable[date],
     days = _Dates.of(dates)
     raw_counts = partition_counts(spark, store, RAW_TRANSACTIONS, days.requested)
     raw = read_partitions(spark, store, RAW_TRANSACTIONS, days.requested)
-    classified = write_and_read(classify(raw, hot_rows), "classified", ["accepted"])
+    with stored({"classified": classify(raw, hot_rows)}, ["accepted"]) as kept:
+        return _load_classified(spark, store, days, kept["classified"], raw_counts, at, on_error)
+
 
+def _load_classified(spark, store, days: _Dates, classified: DataFrame, raw_counts, at, on_error) -> list[Row]:
     made = {(r.batch_date, r.accepted): r.n for r in classified.groupBy("batch_date", "accepted").agg(
         F.count("*").alias("n")).collect()}
     for d in days.requested:
@@ -277,12 +332,14 @@ def run_batches(spark: SparkSession, store: Store, root: str, dates: Iterable[da
                 at: datetime | None = None, on_error: str = "raise") -> list[Row]:
     """All three jobs, the full-chain gate, and the audit rows that publication reads.
 
-    ``manifest`` has ``batch_date`` and ``rows`` per source file. Without one, the raw
-    rows themselves stand in for it.
+    ``manifest`` has ``batch_date`` and ``rows`` per source file. Without one, the rows
+    counted in the files themselves stand in for it. Audit rows are written whatever fails.
     """
     started = _now(at)
     days = _Dates.of(dates)
     counts = {}
+    runs_table = spark.table(store.table(PIPELINE_RUNS))
+    sequence = scalar(runs_table.agg(F.coalesce(F.max("run_sequence"), F.lit(0)))) + 1
 
     def step(rows: list[Row]) -> None:
         for r in rows:
@@ -290,15 +347,19 @@ def run_batches(spark: SparkSession, store: Store, root: str, dates: Iterable[da
             if r.error:
                 days.fail(r.batch_date, r.error)
 
-    step(load_raw(spark, store, root, days.requested, registered, at, on_error="return"))
+    summary, counted = _load_raw(spark, store, root, days, registered, started)
+    files = spark.createDataFrame(
+        [tuple(r) for r in counted],
+        "source_file string, source_checksum string, batch_date date, rows long")
+    step(summary)
     if days.good:
         step(classify_and_load(spark, store, days.good, at, on_error="return"))
     if days.good:
         step(build_fact(spark, store, days.good, at, on_error="return"))
     if days.good:
         raw = read_partitions(spark, store, RAW_TRANSACTIONS, days.good, ["batch_date", "source_row_id"])
-        expected = raw.select("batch_date", F.lit(1).alias("rows")) if manifest is None else (
-            manifest.where(F.col("batch_date").isin(days.good)))
+        expected = (files.where(paths.day_of(F.col("source_file")).isNotNull()) if manifest is None
+                    else manifest).where(F.col("batch_date").isin(days.good))
         gate = full_chain(
             expected, raw,
             read_partitions(spark, store, ACCEPTED, days.good, ["batch_date"]),
@@ -308,13 +369,13 @@ def run_batches(spark: SparkSession, store: Store, root: str, dates: Iterable[da
         for row in gate.where("not quality_gate").collect():
             days.fail(row.batch_date, f"quality gate: {row.asDict()}")
 
-    _audit_files(spark, store, root, days, registered, run_id)
+    _audit_files(spark, store, root, days, registered, files, run_id)
     ended = datetime.now(timezone.utc) if at is None else at
     runs = []
     for d in days.requested:
         c = counts.get(d, {})
         status = FAILED if d in days.errors else SUCCESS if c.get("raw_rows") else EMPTY
-        runs.append((run_id, d, status, c.get("raw_rows"), c.get("accepted_rows"),
+        runs.append((run_id, sequence, d, status, c.get("raw_rows"), c.get("accepted_rows"),
                      c.get("quarantine_rows"), c.get("fact_rows"), started, ended,
                      int((ended - started).total_seconds()), days.errors.get(d)))
     frame = spark.createDataFrame(runs, _nullable(PIPELINE_RUNS.schema))
@@ -326,24 +387,26 @@ def _nullable(schema):
     return type(schema)([type(f)(f.name, f.dataType, True) for f in schema])
 
 
-def _audit_files(spark, store, root, days: _Dates, registered: DataFrame, run_id: str) -> None:
-    """One audit row per source file of this run."""
+def _audit_files(spark, store, root, days: _Dates, registered: DataFrame, files: DataFrame, run_id: str) -> None:
+    """One audit row per source file found; ``expected_rows`` are those counted in the file,
+    NULL for a file that was not read."""
     name = F.col("source_file")
     found = sources.discover_transactions(spark, root, days.requested).select(
         F.lit("transaction").alias("source_kind"), "source_file",
         paths.day_of(name).alias("batch_date"),
-    ).unionByName(sources.discover_fx(spark, root, days.requested).select(
+    ).where("batch_date is not null").unionByName(sources.discover_fx(spark, root, days.requested).select(
         F.lit("fx").alias("source_kind"), "source_file", "batch_date"))
     known = registered.groupBy("source_file").agg(F.max("source_checksum").alias("source_checksum"))
-    stored = read_partitions(
+    loaded = read_partitions(
         spark, store, RAW_TRANSACTIONS, days.requested, ["source_file", "source_checksum"],
     ).unionByName(read_partitions(
         spark, store, RAW_FX_RATES, days.requested, ["source_file", "source_checksum"],
     )).groupBy("source_file", "source_checksum").agg(F.count("*").alias("loaded_rows"))
     audit = found.join(known, "source_file", "left").join(
-        stored, ["source_file", "source_checksum"], "left").select(
+        loaded, ["source_file", "source_checksum"], "left").join(
+        files.select("source_file", F.col("rows").alias("expected_rows")), "source_file", "left").select(
         F.lit(run_id).alias("run_id"), "source_kind", "source_file", "source_checksum",
-        F.lit(None).cast("long").alias("expected_rows"),
+        "expected_rows",
         F.coalesce("loaded_rows", F.lit(0)).alias("loaded_rows"),
         F.when(F.col("loaded_rows") > 0, "LOADED").otherwise("NOT_LOADED").alias("status"),
         "batch_date")

@@ -11,10 +11,10 @@ SUCCESS = "SUCCESS"
 
 
 def latest_runs(runs: DataFrame) -> DataFrame:
-    """The last run of each date; the run id decides between equal end times."""
-    last = F.struct("ended_at", "run_id")
+    """The last run of each date, by ``run_sequence``, which every run raises by one."""
     return runs.groupBy("batch_date").agg(
-        F.max_by("status", last).alias("status"), F.max_by("run_id", last).alias("run_id"))
+        F.max_by("status", "run_sequence").alias("status"),
+        F.max_by("run_id", "run_sequence").alias("run_id"))
 
 
 def published(rows: DataFrame, runs: DataFrame) -> DataFrame:
@@ -33,7 +33,7 @@ def create_public_views(spark: SparkSession, store: Store) -> list[str]:
         CREATE OR REPLACE VIEW {transactions} AS
         SELECT * FROM {fact} WHERE batch_date IN (
             SELECT batch_date FROM {runs} GROUP BY batch_date
-            HAVING max_by(status, struct(ended_at, run_id)) = '{SUCCESS}')""")
+            HAVING max_by(status, run_sequence) = '{SUCCESS}')""")
     spark.sql(f"""
         CREATE OR REPLACE VIEW {daily} AS
         SELECT batch_date, count(*) AS transactions,

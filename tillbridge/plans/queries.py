@@ -19,9 +19,9 @@ from tillbridge.sinks.store import (
     read_through,
 )
 from tillbridge.contracts import RAW_FX_RATES, RAW_TRANSACTIONS, REGIONS, TRANSACTION_HEADER
-from tillbridge.session import new_folder
+from tillbridge.session import new_folder, write_and_read
 from tillbridge.sources import daily, files, landing, paths
-from tillbridge.sources.scan import scan_csv
+from tillbridge.sources.scan import row_identity, scan_csv
 
 
 def plain(frame: DataFrame) -> DataFrame:
@@ -42,6 +42,17 @@ def _classified(spark, sf_dir, base="orders"):
     return cls.classify(derive.raw_transactions(spark, sf_dir, base))
 
 
+def _kept(spark, sf_dir, base="orders"):
+    """Classified rows, stored once for queries that use them more than once."""
+    return write_and_read(_classified(spark, sf_dir, base), "classified", ["accepted"])
+
+
+def _halves(kept):
+    """Raw, accepted and quarantined rows of stored classified ones."""
+    raw = kept.select(*RAW_TRANSACTIONS.columns)
+    return raw, cls.accepted_rows(kept, derive.AT), cls.quarantine_rows(kept, derive.AT)
+
+
 def _accepted(spark, sf_dir, base="orders"):
     return cls.accepted_rows(_classified(spark, sf_dir, base), derive.AT)
 
@@ -68,7 +79,8 @@ def _fact(spark, sf_dir, base="orders"):
 
 def src_row_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = derive.raw_transactions(spark, sf_dir)
-    return rows.select("source_file", "source_checksum", "source_row_number", "source_row_id")
+    identity = row_identity(F.col("source_file"), F.col("source_checksum"), F.col("source_row_number"))
+    return rows.select("source_file", "source_checksum", "source_row_number", identity.alias("source_row_id"))
 
 
 def src_path_fields(spark, sf_dir):
@@ -207,21 +219,21 @@ def _dates(frame, column="batch_date"):
 
 
 def src_partition_read(spark, sf_dir):
-    """A stored raw table read back by partition, two columns of it."""
+    """A stored raw table read back by partition: its Mondays, two columns of them."""
     rows = derive.raw_transactions(spark, sf_dir, "events")
     store = _stored(spark, RAW_TRANSACTIONS)
     dates = _dates(derive.batch_dates(spark, sf_dir, "events"))
     append_new(rows, store, RAW_TRANSACTIONS, dates, spread=True)
     return plain(read_partitions(
-        spark, store, RAW_TRANSACTIONS, dates, ["batch_date", "source_row_id"]))
+        spark, store, RAW_TRANSACTIONS, [d for d in dates if d.weekday() == 0], ["batch_date", "source_row_id"]))
 
 
 def src_read_through(spark, sf_dir):
-    """Stored FX history up to the last business date."""
+    """Stored FX history up to 30 days before the last business date."""
     rows = derive.raw_fx(spark, sf_dir, "events")
     store = _stored(spark, RAW_FX_RATES)
     append_new(rows, store, RAW_FX_RATES, _dates(rows, "rate_date"), spread=True)
-    last = derive.batch_dates(spark, sf_dir, "events").agg(F.max("batch_date")).first()[0]
+    last = derive.batch_dates(spark, sf_dir, "events").agg(F.date_sub(F.max("batch_date"), 30)).first()[0]
     return plain(read_through(
         spark, store, RAW_FX_RATES, last, ["rate_date", "currency", "mid_rate", "source_row_id"]))
 
@@ -230,8 +242,8 @@ def src_read_through(spark, sf_dir):
 
 def sink_anti_join(spark, sf_dir):
     """Quarantined ids removed from the raw rows."""
-    raw = derive.raw_transactions(spark, sf_dir)
-    return plain(anti_filter(raw, _quarantine(spark, sf_dir)).select("batch_date", "source_row_id"))
+    raw, _, quarantine = _halves(_kept(spark, sf_dir))
+    return plain(anti_filter(raw, quarantine).select("batch_date", "source_row_id"))
 
 
 def sink_idempotent_append(spark, sf_dir):
@@ -278,8 +290,8 @@ def fn_parse_timestamp(spark, sf_dir):
 
 def fn_parse_numeric(spark, sf_dir):
     """Line prices written in ten ways; literals, not values, decide what is storable."""
-    rows = derive.spread(derive.table(spark, sf_dir, "lineitem").selectExpr(
-        "CAST(round(l_extendedprice * 100) AS BIGINT) AS c", "(l_orderkey * 7 + l_linenumber) % 10 AS kind"))
+    rows = derive.table(spark, sf_dir, "lineitem").selectExpr(
+        "CAST(round(l_extendedprice * 100) AS BIGINT) AS c", "(l_orderkey * 7 + l_linenumber) % 10 AS kind")
     texts = rows.selectExpr(
         "kind", "c", "concat(c div 100, '.', lpad(c % 100, 2, '0')) AS p").selectExpr("kind", """
         CASE CAST(kind AS INT)
@@ -302,8 +314,7 @@ def fn_round_half_even(spark, sf_dir):
     """Price times discount and tax, exact to six decimals, rounded to four."""
     cents = [f"CAST(CAST(round({c} * 100) AS BIGINT) AS decimal(12,0)) * 0.01BD AS {n}"
              for c, n in (("l_extendedprice", "p"), ("l_discount", "d"), ("l_tax", "t"))]
-    rows = derive.spread(
-        derive.table(spark, sf_dir, "lineitem").selectExpr("l_returnflag", "l_linestatus", *cents))
+    rows = derive.table(spark, sf_dir, "lineitem").selectExpr("l_returnflag", "l_linestatus", *cents)
     value = round_half_even((F.col("p") * F.col("d") * F.col("t")).cast("decimal(30,6)"), 4)
     return plain(rows.groupBy("l_returnflag", "l_linestatus").agg(
         F.count("*").alias("rows"), F.sum(value).cast("decimal(38,4)").alias("total")))
@@ -322,6 +333,12 @@ def cls_classified(spark, sf_dir):
     return plain(_classified(spark, sf_dir).select("source_row_id", "batch_date", "accepted", "reason_codes"))
 
 
+def cls_hot_ids(spark, sf_dir):
+    """As cls_classified, with every id of two rows or more judged by pre-aggregation."""
+    rows = cls.classify(derive.raw_transactions(spark, sf_dir), hot_rows=2)
+    return plain(rows.select("source_row_id", "batch_date", "accepted", "reason_codes"))
+
+
 def cls_accepted(spark, sf_dir):
     return plain(_accepted(spark, sf_dir).drop("ingested_at", "classified_at"))
 
@@ -353,7 +370,7 @@ def cls_balance(spark, sf_dir):
 
 
 def cls_outliers(spark, sf_dir):
-    flagged = cls.flag_outliers(_accepted(spark, sf_dir, "events"))
+    flagged = cls.flag_outliers(_halves(_kept(spark, sf_dir, "events"))[1])
     return plain(flagged.select("source_row_id", "amount", "outlier_threshold", "is_outlier"))
 
 
@@ -398,6 +415,11 @@ def fact_full(spark, sf_dir):
     return plain(_fact(spark, sf_dir).drop("ingested_at", "classified_at", "fact_created_at"))
 
 
+def fact_excluded_dates(spark, sf_dir):
+    """Dates whose accepted rows are not converted, as no exchange rate is usable."""
+    return plain(conversion.excluded_dates(_accepted(spark, sf_dir), _effective(spark, sf_dir)))
+
+
 def fact_prechecks(spark, sf_dir):
     """Raw rows passed off as accepted ones: repeated ids, bad amounts and currencies."""
     rows = _classified(spark, sf_dir)
@@ -414,24 +436,33 @@ def fact_prechecks(spark, sf_dir):
 
 def set_except_both(spark, sf_dir):
     """Ids of raw rows against ids of accepted rows, both directions."""
-    return plain(reconcile.id_differences(derive.raw_transactions(spark, sf_dir), _accepted(spark, sf_dir)))
+    raw, accepted, _ = _halves(_kept(spark, sf_dir))
+    return plain(reconcile.id_differences(raw, accepted))
+
+
+def set_except_right(spark, sf_dir):
+    """Rows of dates with usable rates against accepted rows: either side has ids of its own."""
+    raw, accepted, _ = _halves(_kept(spark, sf_dir))
+    usable = _effective(spark, sf_dir).where("fx_status = 'OK'").select("batch_date")
+    return plain(reconcile.id_differences(raw.join(usable, "batch_date", "left_semi"), accepted))
 
 
 def rec_classification(spark, sf_dir):
-    return plain(reconcile.classification_balance(
-        derive.raw_transactions(spark, sf_dir), _accepted(spark, sf_dir), _quarantine(spark, sf_dir)))
+    return plain(reconcile.classification_balance(*_halves(_kept(spark, sf_dir))))
 
 
 def rec_fact(spark, sf_dir):
-    return plain(reconcile.fact_balance(_accepted(spark, sf_dir), _fact(spark, sf_dir)))
+    _, accepted, _ = _halves(_kept(spark, sf_dir))
+    return plain(reconcile.fact_balance(
+        accepted, conversion.fact_rows(accepted, _snapshots(spark, sf_dir), derive.AT)))
 
 
 def _chain(spark, sf_dir):
     manifest = derive.delivered(spark, sf_dir, "orders").groupBy("batch_date", "source_file").agg(
         F.count("*").alias("rows"))
-    return reconcile.full_chain(
-        manifest, derive.raw_transactions(spark, sf_dir), _accepted(spark, sf_dir),
-        _quarantine(spark, sf_dir), _fact(spark, sf_dir))
+    raw, accepted, quarantine = _halves(_kept(spark, sf_dir))
+    fact = conversion.fact_rows(accepted, _snapshots(spark, sf_dir), derive.AT)
+    return reconcile.full_chain(manifest, raw, accepted, quarantine, fact)
 
 
 def rec_full_chain(spark, sf_dir):
@@ -453,8 +484,8 @@ def mart_currency_summary(spark, sf_dir):
 
 
 def mart_data_quality(spark, sf_dir):
-    return plain(marts.data_quality(
-        _classified(spark, sf_dir, "events"), cls.flag_outliers(_accepted(spark, sf_dir, "events"))))
+    kept = _kept(spark, sf_dir, "events")
+    return plain(marts.data_quality(kept, cls.flag_outliers(_halves(kept)[1])))
 
 
 def _runs(spark, sf_dir):
@@ -464,7 +495,7 @@ def _runs(spark, sf_dir):
     return days.selectExpr("batch_date", "n", "explode(array(1, 2)) AS attempt").selectExpr(
         "concat('run-', attempt) AS run_id", "batch_date",
         "IF(attempt = 1 OR n % 7 = 0, 'FAILED', 'SUCCESS') AS status",
-        "timestampadd(HOUR, attempt, TIMESTAMP'2026-01-02 00:00:00') AS ended_at")
+        "CAST(attempt AS BIGINT) AS run_sequence")
 
 
 def pub_latest_runs(spark, sf_dir):

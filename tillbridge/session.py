@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -24,13 +26,13 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting gets a temporary folder; on a
-    cluster such a folder would be visible to one machine only.
+    Only a session that is a single process and lacks the setting, as in tests, gets a
+    temporary folder; on a cluster such a folder would be visible to one machine only.
     """
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="tillbridge-")
     spark.conf.set(CHECKPOINT_DIR, folder)
@@ -51,3 +53,26 @@ def write_and_read(df, label: str, partition_by=()):
     folder = new_folder(spark, label)
     df.write.partitionBy(*partition_by).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Delete an intermediate folder, wherever it lies."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def stored(frames: dict, partition_by=()):
+    """Frames kept as tables while the block runs: ``label -> frame`` becomes
+    ``label -> frame that reads the table``. The tables are deleted at its end."""
+    spark = next(iter(frames.values())).sparkSession
+    folders = {label: new_folder(spark, label) for label in frames}
+    try:
+        read = {}
+        for label, frame in frames.items():
+            frame.write.partitionBy(*partition_by).parquet(folders[label])
+            read[label] = spark.read.schema(frame.schema).parquet(folders[label])
+        yield read
+    finally:
+        for folder in folders.values():
+            drop_folder(spark, folder)

@@ -56,20 +56,21 @@ def _path(uri: str) -> str:
 
 def _shape(spark: SparkSession, table: str):
     columns = spark.catalog.listColumns(table)
-    shape = sorted((c.name, c.dataType, c.description == _REQUIRED) for c in columns)
+    shape = [(c.name, c.dataType, c.description == _REQUIRED) for c in columns]
     return shape, [c.name for c in columns if c.isPartition]
 
 
 def ensure_table(spark: SparkSession, store: Store, contract: TableContract) -> str:
-    """``created``, or ``verified`` when columns, types, required columns and partition
-    column equal the contract. Nothing that exists is altered."""
+    """``created``, or ``verified`` when columns in their order, types, required columns
+    and partition column equal the contract. Nothing that exists is altered."""
     table = store.table(contract)
+    ordered = [*[n for n in contract.columns if n != contract.partition_column],
+               contract.partition_column]
     if not spark.catalog.tableExists(table):
-        stored = [n for n in contract.columns if n != contract.partition_column]
         columns = ", ".join(
             f"{n} {contract.schema[n].dataType.simpleString()}"
             + ("" if contract.schema[n].nullable else f" COMMENT '{_REQUIRED}'")
-            for n in [*stored, contract.partition_column])
+            for n in ordered)
         folder = store.folder(contract.namespace)
         at = "" if folder is None else f" LOCATION '{folder}/{contract.name}'"
         spark.sql(
@@ -82,8 +83,7 @@ def ensure_table(spark: SparkSession, store: Store, contract: TableContract) ->
         return "created"
     shape, partition = _shape(spark, table)
     required = set(contract.required)
-    expected = sorted(
-        (f.name, f.dataType.simpleString(), f.name in required) for f in contract.schema)
+    expected = [(n, contract.schema[n].dataType.simpleString(), n in required) for n in ordered]
     if shape != expected:
         raise ContractError(f"{table}: columns differ from the contract")
     if partition != [contract.partition_column]:
@@ -145,11 +145,12 @@ def checked(frame: DataFrame, contract: TableContract) -> DataFrame:
 
 
 def append(frame: DataFrame, store: Store, contract: TableContract) -> None:
-    """Append rows in contract form. Files of one date are written by few tasks only if
-    the caller clusters the rows, see :func:`clustered`."""
-    stored = [n for n in contract.columns if n != contract.partition_column]
-    checked(frame, contract).select(*stored, contract.partition_column).write.option(
-        "maxRecordsPerFile", _RECORDS_PER_FILE).insertInto(store.table(contract))
+    """Append rows in contract form, by column name: they are put into the order the
+    table itself has, as an insert goes by position. Files of one date are written by few
+    tasks only if the caller clusters the rows, see :func:`clustered`."""
+    table = store.table(contract)
+    checked(frame, contract).select(*frame.sparkSession.table(table).columns).write.option(
+        "maxRecordsPerFile", _RECORDS_PER_FILE).insertInto(table)
 
 
 def clustered(frame: DataFrame, contract: TableContract) -> DataFrame:

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+import re
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillbridge.contracts import REGIONS, SOURCE_MANIFEST, TRANSACTION_HEADER
 from tillbridge.errors import SourceError
+from tillbridge.session import drop_folder
 from tillbridge.functions.dates import with_source_datetime
 from tillbridge.sources import paths
-from tillbridge.sources.files import file_hashes, list_files
+from tillbridge.sources.files import file_hashes, list_files, move_file
 from tillbridge.sources.scan import scan_csv
 
 # Business dates, files, rows, first and last date of the full corpus.
@@ -36,11 +40,13 @@ def daily_rows(monthly: DataFrame) -> DataFrame:
 
 
 def split_to_daily(spark: SparkSession, monthly_root: str, out: str) -> DataFrame:
-    """Split monthly regional files into ``business_date=*/region=*`` gzip CSV files.
+    """Split monthly regional files into ``business_date=D/sales_{region}_{yyyymmdd}.csv.gz``,
+    the layout that validation, manifest, landing and raw load read.
 
-    Each scan task writes the days of the files it reads, rows unchanged and in order,
-    so no row is shuffled and a hot day or region stays spread as its input was. Returns
-    one row: ``input_files``, ``output_files``, ``rows_written``, ``business_dates``.
+    The rows of a date and region meet in one task, which writes them unchanged and in
+    source order. Spark picks file names, so the files are renamed afterwards, one call
+    per file. Returns one row: ``input_files``, ``output_files``, ``rows_written``,
+    ``business_dates``.
     """
     files = list_files(spark, monthly_root, recursive=True).where(
         file_name(F.col("path")).rlike(r"\Asales_.*\.csv\.gz\z"))
@@ -48,22 +54,25 @@ def split_to_daily(spark: SparkSession, monthly_root: str, out: str) -> DataFram
     if not locations:
         raise SourceError(f"no regional gzip CSV files below {monthly_root}")
     columns = TRANSACTION_HEADER.names
-    # Rows are counted while they are written; the write is one stage without a shuffle,
-    # so a retried task is counted once.
-    counted = Observation()
-    daily_rows(scan_csv(spark, locations, TRANSACTION_HEADER)).sortWithinPartitions(
+    written = f"{out.rstrip('/')}/_split-{uuid.uuid4().hex}"
+    daily_rows(scan_csv(spark, locations, TRANSACTION_HEADER)).repartition(
+        "business_date", "region").sortWithinPartitions(
         "business_date", "region", "path", "source_row_number",
-    ).select(*columns, "business_date", "region").observe(
-        counted, F.count("*").alias("rows"),
-    ).write.partitionBy("business_date", "region").options(
+    ).select(*columns, "business_date", "region").write.partitionBy("business_date", "region").options(
         header=True, compression="gzip", escape='"', emptyValue="", encoding="UTF-8",
-        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(out)
-    written = list_files(spark, f"{out}/business_date=*/region=*/*.csv.gz")
-    return written.agg(
-        F.lit(len(locations)).cast("long").alias("input_files"),
-        F.count("*").alias("output_files"),
-        F.lit(counted.get["rows"]).cast("long").alias("rows_written"),
-        F.countDistinct(F.regexp_extract("path", paths.DAY_FOLDER, 1)).alias("business_dates"))
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(written)
+    days, outputs = set(), []
+    for path in [r.path for r in list_files(spark, f"{written}/*/*/*.csv.gz").select("path").toLocalIterator()]:
+        day, region = re.search(r"/business_date=([^/]+)/region=([^/]+)/", path).groups()
+        target = f"{out.rstrip('/')}/business_date={day}/sales_{region}_{day.replace('-', '')}.csv.gz"
+        move_file(spark, path, target)
+        days.add(day)
+        outputs.append(target)
+    drop_folder(spark, written)
+    rows = scan_csv(spark, outputs, TRANSACTION_HEADER, numbered=False).count()
+    return spark.createDataFrame(
+        [(len(locations), len(outputs), rows, len(days))],
+        "input_files long, output_files long, rows_written long, business_dates long")
 
 
 def file_statistics(rows: DataFrame, *keys) -> DataFrame:
@@ -134,7 +143,7 @@ def validate_daily(spark: SparkSession, root: str) -> DataFrame:
     pattern, files = _corpus(spark, root)
     if files.isEmpty():
         raise SourceError(f"no daily batch directories below {root}")
-    rows = scan_csv(spark, pattern, TRANSACTION_HEADER).withColumns({
+    rows = scan_csv(spark, pattern, TRANSACTION_HEADER, numbered=False).withColumns({
         "file_path": F.regexp_extract("path", r"([^/]+/[^/]+)\z", 1),
         "business_date": F.regexp_extract("path", r"business_date=([^/]+)/", 1),
     })
@@ -145,9 +154,9 @@ def source_manifest(spark: SparkSession, root: str) -> DataFrame:
     """One row per daily file, ordered by date and region."""
     pattern, files = _corpus(spark, root)
     relative = F.regexp_extract("path", r"([^/]+/[^/]+)\z", 1)
-    rows = scan_csv(spark, pattern, TRANSACTION_HEADER).withColumn("file_path", relative)
+    rows = scan_csv(spark, pattern, TRANSACTION_HEADER, numbered=False).withColumn("file_path", relative)
     stats = file_statistics(rows, "file_path")
-    hashed = file_hashes(spark, files, pattern).withColumn("file_path", relative)
+    hashed = file_hashes(spark, pattern).withColumn("file_path", relative)
     return hashed.join(stats, "file_path", "left").select(
         F.regexp_extract("file_path", paths.DAY_FOLDER, 1).alias("business_date"),
         paths.matched(file_name(F.col("file_path")), paths.DAILY_NAME).alias("region"),

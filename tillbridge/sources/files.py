@@ -2,22 +2,15 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterable
 from datetime import date
-from functools import reduce
 
-import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillbridge.contracts import REGIONS
+from tillbridge.errors import SourceError
 from tillbridge.sources import paths
 
-# A file this size still fits one row of the binary source; larger ones are streamed.
-ONE_ROW_LIMIT = 256 * 1024 * 1024
-_CHUNK = 1024 * 1024
-
 
 def date_frame(spark: SparkSession, dates: Iterable[date]) -> DataFrame:
     """One row per requested business date."""
@@ -27,32 +20,67 @@ def date_frame(spark: SparkSession, dates: Iterable[date]) -> DataFrame:
 def list_files(spark: SparkSession, *patterns: str, recursive: bool = False) -> DataFrame:
     """``path``, ``length`` of the files under the given globs; none is no error.
 
-    The content column is never selected here, so no file is opened.
+    All patterns are one scan. The content column is never selected here, so no file is
+    opened. Names that start with a dot or an underscore are not files to Spark.
     """
+    found = _binary(spark, patterns, recursive)
+    if found is None:
+        return spark.createDataFrame([], "path string, length long")
+    return found.select("path", "length")
+
+
+def _binary(spark: SparkSession, patterns, recursive=False) -> DataFrame | None:
+    present = [p for p in patterns if _exists(spark, p)]
+    if not present:
+        return None
     reader = spark.read.format("binaryFile")
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    frame = None
-    for pattern in patterns:
-        try:
-            found = reader.load(pattern).select("path", "length")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            continue
-        frame = found if frame is None else frame.unionByName(found)
-    if frame is None:
-        return spark.createDataFrame([], "path string, length long")
-    return frame
+    return reader.load(present)
+
+
+def _filesystem(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _exists(spark: SparkSession, pattern: str) -> bool:
+    path, filesystem = _filesystem(spark, pattern)
+    found = filesystem.globStatus(path)
+    return found is not None and len(found) > 0
+
+
+def list_everything(spark: SparkSession, folders: Iterable[str]) -> DataFrame:
+    """``path``, ``length`` of every file below the folders, at any depth and of any name.
+
+    The listing is the driver's, one call per folder, through the file system Spark uses.
+    """
+    found = []
+    for folder in folders:
+        path, filesystem = _filesystem(spark, folder)
+        if filesystem.exists(path):
+            files = filesystem.listFiles(path, True)
+            while files.hasNext():
+                status = files.next()
+                found.append((status.getPath().toString(), status.getLen()))
+    return spark.createDataFrame(found, "path string, length long")
+
+
+def move_file(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a file; the target must not exist."""
+    source, filesystem = _filesystem(spark, path)
+    goal, _ = _filesystem(spark, target)
+    filesystem.mkdirs(goal.getParent())
+    if filesystem.exists(goal) or not filesystem.rename(source, goal):
+        raise SourceError(f"cannot write {target}")
 
 
 def discover_transactions(spark: SparkSession, root: str, dates: Iterable[date]) -> DataFrame:
-    """Files below the folders of the requested dates: ``source_file``, ``path``,
-    ``length``. One glob covers all dates; other folders are not listed."""
-    days = ",".join(f"{d:%Y-%m-%d}" for d in sorted(set(dates)))
-    base = f"{root}/transactions/business_date={{{days}}}"
-    found = list_files(spark, f"{base}/*.*", f"{base}/region=*/*.*")
-    return found.select(paths.source_name(F.col("path")).alias("source_file"), "path", "length")
+    """All files below the folders of the requested dates: ``source_file``, ``path``,
+    ``length``. Nested, hidden and undotted names count, so that none goes unseen."""
+    found = list_everything(
+        spark, [f"{root}/{paths.transaction_folder(d)}" for d in sorted(set(dates))])
+    return found.select(paths.below_landing(F.col("path")).alias("source_file"), "path", "length")
 
 
 def discover_fx(spark: SparkSession, root: str, dates: Iterable[date]) -> DataFrame:
@@ -112,46 +140,16 @@ def fx_status(dates: DataFrame, discovered_fx: DataFrame) -> DataFrame:
         F.when(F.col("files").isNull(), "NO_NEW_RATE").otherwise("LOADED").alias("fx_status"))
 
 
-def _hash_stream(frames):
-    from pyarrow.fs import FileSystem
-
-    for frame in frames:
-        digests = []
-        for path in frame["path"]:
-            filesystem, inner = FileSystem.from_uri(path)
-            digest = hashlib.sha256()
-            with filesystem.open_input_stream(inner, compression=None) as stream:
-                while chunk := stream.read(_CHUNK):
-                    digest.update(chunk)
-            digests.append(digest.hexdigest())
-        yield pd.DataFrame({"path": frame["path"], "length": frame["length"],
-                            "sha256": pd.Series(digests, dtype="object")})
-
-
-def file_hashes(spark: SparkSession, files: DataFrame, *patterns: str,
-                one_row_limit: int = ONE_ROW_LIMIT) -> DataFrame:
+def file_hashes(spark: SparkSession, *patterns: str) -> DataFrame:
     """SHA-256 over the stored bytes of the files under the globs in ``patterns``.
 
-    ``files`` is their listing. The size test reaches the scan, so the bytes of files
-    over the limit never enter a row: those are hashed chunk by chunk in a task each.
+    One scan for all patterns, with Spark's own file system and credentials. A file is
+    one row of the binary source, which holds up to 2 GiB; a larger one is an error.
     """
-    frames = []
-    for pattern in patterns:
-        try:
-            content = spark.read.format("binaryFile").load(pattern)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            continue
-        frames.append(content.where(F.col("length") <= one_row_limit).select(
-            "path", "length", F.sha2("content", 256).alias("sha256")))
-    large = files.where(F.col("length") > one_row_limit).select("path", "length")
-    if not large.isEmpty():
-        frames.append(large.repartition("path").mapInPandas(
-            _hash_stream, "path string, length long, sha256 string"))
-    if not frames:
+    content = _binary(spark, patterns)
+    if content is None:
         return spark.createDataFrame([], "path string, length long, sha256 string")
-    return reduce(DataFrame.unionByName, frames)
+    return content.select("path", "length", F.sha2("content", 256).alias("sha256"))
 
 
 def verify_checksums(hashed: DataFrame, registered: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ def landing_inventory(spark: SparkSession, root: str) -> DataFrame:
         if files.isEmpty():
             raise SourceError(f"nothing to land at {pattern}")
         kind = label.split()[0]
-        part = file_hashes(spark, files, pattern).select(
+        part = file_hashes(spark, pattern).select(
             F.lit(kind).alias("kind"),
             paths.landing_name(F.lit(kind), F.regexp_extract("path", relative, 1)).alias("object_name"),
             "path", "length", "sha256")

@@ -46,6 +46,11 @@ def source_name(path: Column) -> Column:
         r"((?:transactions/[^/]+/(?:region=[^/]+/)?|fx/[^/]+/[^/]+/|manifests/)[^/]+)\z", 1)
 
 
+def below_landing(path: Column) -> Column:
+    """As :func:`source_name`, for files at any depth and of any name."""
+    return F.regexp_extract(path, r"(?:.*/)?(transactions/business_date=[^/]*/.+)\z", 1)
+
+
 def matched(text: Column, pattern: str, group: int = 1) -> Column:
     """Group of a pattern that covers the whole text, NULL without a match."""
     return F.when(

@@ -13,8 +13,10 @@ from tillbridge.contracts import FX_HEADER, RAW_FX_RATES, RAW_TRANSACTIONS, TRAN
 from tillbridge.sources import paths
 
 
-def scan_csv(spark: SparkSession, files: str | Sequence[str], header: T.StructType) -> DataFrame:
-    """Read CSV files as text, exactly as written, plus ``path`` and the row's number.
+def scan_csv(spark: SparkSession, files: str | Sequence[str], header: T.StructType,
+             numbered: bool = True) -> DataFrame:
+    """Read CSV files as text, exactly as written, plus ``path`` and, if ``numbered``, the
+    row's number. Without numbers the scan runs in the JVM alone.
 
     A header that differs, or a row with a field too many or too few, fails the job. An
     empty field stays the empty string; CSV cannot express NULL.
@@ -27,7 +29,7 @@ def scan_csv(spark: SparkSession, files: str | Sequence[str], header: T.StructTy
         .select(*[F.coalesce(name, F.lit("")).alias(name) for name in header.names],
                 F.col("_metadata.file_path").alias("path"))
     )
-    return number_rows(rows, "path", "source_row_number")
+    return number_rows(rows, "path", "source_row_number") if numbered else rows
 
 
 def number_rows(rows: DataFrame, file_column: str, number_column: str) -> DataFrame:
