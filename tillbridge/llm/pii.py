@@ -148,6 +148,4 @@ def report(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Da
     return found.select(
         id_column, *[F.size(f"pii_{kind}").cast("long").alias(f"n_{kind}") for kind in BASE],
         F.sha2(spans.joined(F.concat(*[listed[k] for k in BASE])), 256).alias("base_sha256"),
-        spans.joined(F.concat(*listed.values())).alias("spans"),
-        F.aggregate(F.concat(*[F.col(f"pii_{k}") for k in RULES]), F.lit(0.0),
-                    lambda a, s: F.greatest(a, s["score"])).alias("highest_score"))
+        spans.joined(F.concat(*listed.values())).alias("spans"))

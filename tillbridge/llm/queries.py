@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillbridge.llm.common import table
+from tillbridge.llm.oracles import ORACLES  # noqa: F401
 
 
 def op1_neighbours(spark, sf_dir):
@@ -74,4 +75,3 @@ def op10_hmm_scores(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_neighbours, op2_secrets, op3_url_filter, op4_warc, op5_packing, op6_pii, op7_decontamination, op8_probminhash, op9_language, op10_hmm_scores)}
-ORACLES: dict[str, str] = {}
