@@ -1,7 +1,6 @@
 """Base rules, duplicates, skewed ids, reasons and outliers."""
 
 import random
-from collections import defaultdict
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
@@ -88,44 +87,39 @@ def test_duplicates(spark):
     assert outcome(spark, rows, hot_rows=2) == want
 
 
-def brute_force(rows):
-    groups = defaultdict(list)
-    for r in rows:
-        if r["amount"] != "N/A":
-            groups[r["batch_date"], r["txn"].strip()].append(r)
-    result = {r["source_row_id"]: ["INVALID_AMOUNT"] for r in rows if r["amount"] == "N/A"}
-    for members in groups.values():
-        members.sort(key=lambda r: (r["source_file"], r["source_row_number"]))
-        payloads = {(r["dtts"], Decimal(r["amount"]), r["currency"].strip().upper(), r["region"]) for r in members}
-        for n, r in enumerate(members):
-            result[r["source_row_id"]] = (
-                ["DUPLICATE_CONFLICT"] if len(payloads) > 1 else ["DUPLICATE_REPLAY"] if n else [])
-    return result
+def labelled_rows(ids, hot_copies, seed):
+    """Deliveries whose outcome is known from how they are made, in random order."""
+    rnd = random.Random(seed)
+    rows, want = [], {}
 
+    def deliver(txn, day, place, amount, reasons):
+        n = len(rows)
+        rows.append(raw_row(
+            n, txn=" " * rnd.randint(0, 1) + txn, batch_date=day, dtts=f"{day} 09:30:00", amount=amount,
+            source_file=f"f{place // 100}", source_row_number=1 + place % 100))
+        want[f"id-{n}"] = reasons
 
-def random_rows(n, hot_share, seed):
-    rnd = random.Random(seed)
-    rows = []
-    for i in range(n):
+    for k in range(ids):
         day = DAY + timedelta(rnd.randint(0, 1))
-        hot = rnd.random() < hot_share
-        txn = rnd.choice(["HOT-1", "HOT-2"]) if hot else f"T{rnd.randint(0, n // 2)}"
-        # One hot id always has the same payload, the other differs now and then.
-        amount = "5.00" if txn == "HOT-1" else rnd.choice(["5.00", "5.0", "7"])
-        if rnd.random() < 0.1:
-            amount = "N/A"
-        rows.append(raw_row(
-            i, txn=txn + " " * rnd.randint(0, 1), batch_date=day, dtts=f"{day} 09:30:00", amount=amount,
-            source_file=f"f{rnd.randint(0, 4)}", source_row_number=rnd.randint(1, 10**9)))
-    return rows
+        outcome_of = "conflict" if k == 0 else "replay" if k == 1 else rnd.choice(["one", "one", "conflict", "replay"])
+        copies = hot_copies if k < 2 else 1 if outcome_of == "one" else rnd.randint(2, 4)
+        odd = rnd.randrange(copies)
+        if rnd.random() < 0.3:  # delivered first, yet without influence
+            deliver(f"T{k}", day, 0, "N/A", ["INVALID_AMOUNT"])
+        for place in range(copies):
+            if outcome_of == "conflict":
+                deliver(f"T{k}", day, place + 1, "7" if place == odd else "5.00", ["DUPLICATE_CONFLICT"])
+            else:
+                deliver(f"T{k}", day, place + 1, rnd.choice(["5.00", "5.0"]), ["DUPLICATE_REPLAY"] if place else [])
+    rnd.shuffle(rows)
+    return rows, want
 
 
 @pytest.mark.parametrize("adaptive", ["true", "false"])
-def test_hot_ids_match_brute_force(spark, adaptive):
-    rows = random_rows(4000, 0.4, 7)
+def test_hot_ids_are_judged_as_made(spark, adaptive):
+    rows, want = labelled_rows(1200, 800, 7)
     spark.conf.set("spark.sql.adaptive.enabled", adaptive)
     try:
-        want = brute_force(rows)
         assert outcome(spark, rows, hot_rows=200) == want
         assert outcome(spark, rows) == want
     finally:
