@@ -11,10 +11,14 @@ Texts that agree in all rows of a band share a bucket. Candidates are verified e
 pair is linked if its probability Jaccard, or the Jaccard of its sets of shingles, is at
 least the threshold. Classes are the connected components of links.
 
-Pairs of a large bucket are not listed. Each round takes four times as many members of every
-bucket as centres (one at first) and verifies them against the members of other classes; a
-bucket is done once all its members are of one class or all have been centres, so that no
-link between classes is missed.
+Pairs of a large bucket are not listed. A few members of each bucket, its centres, are verified
+against the others. Where a larger bucket still holds several classes, its texts are looked at
+by shingle: ordered by rarity, a text whose unshared shingles carry a share u of its weight can
+be linked to one with share v only if (1 - u)(1 - v) >= t (1 - uv), for either measure; so two
+texts can only be linked if they share one of their first shingles, at places that satisfy
+this. Texts that share such a shingle are verified against more and more centres, those with
+the fewest unshared shingles first, until each group is of one class or all of it has been
+centre. No link between classes is missed.
 
 Equal texts are collapsed beforehand. A null text counts as the empty one. Texts without a
 word are alike only if equal. Ids may be null or repeated; of rows that are equal in id and
@@ -25,7 +29,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillbridge.llm.common import Scratch, mix, ngrams, slices, word_hashes
@@ -34,6 +38,7 @@ from tillbridge.llm.components import components
 WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 32, 4
+FEW = 4  # centres of each bucket at first
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -178,46 +183,17 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text", thre
     sets = scratch.keep(texts.mapInArrow(_sets(words), "node long, codes binary, counts binary")
                         .groupBy("node").agg(F.any_value("codes").alias("codes"), F.any_value("counts").alias("counts")), "sets")
 
-    labels, checked, centres = None, None, 1
-    while True:
-        if labels is None:
-            members = buckets.withColumn("label", F.col("node"))
-        else:
-            members = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
-        mixed = (members.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"))
-                 .where("least < most").select("key"))
-        live = scratch.keep(members.join(mixed, "key"), "live")
-        if live.isEmpty():
-            break
-        order = F.row_number().over(_by_key())
-        chosen = (live.withColumn("place", order).where(F.col("place") <= centres)
-                  .select("key", F.col("node").alias("centre"), F.col("label").alias("centre_label")))
-        pairs = (live.join(chosen, "key").where("label <> centre_label")
-                 .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"),
-                         F.when(F.col("node") < F.col("centre"), F.col("label")).otherwise(F.col("centre_label")).alias("la"),
-                         F.when(F.col("node") < F.col("centre"), F.col("centre_label")).otherwise(F.col("label")).alias("lb"))
-                 .distinct())
-        if checked is not None:
-            pairs = pairs.join(checked, ["a", "b"], "left_anti")
-        pairs = scratch.keep(pairs, "pairs")
-        checked = pairs.select("a", "b") if checked is None else checked.union(pairs.select("a", "b"))
-        side = lambda s: sets.select(F.col("node").alias(s), F.col("codes").alias(f"codes_{s}"), F.col("counts").alias(f"counts_{s}"))
-        links = (pairs.join(side("a"), "a").join(side("b"), "b")
-                 .select("la", "lb", "codes_a", "counts_a", "codes_b", "counts_b")
-                 .mapInArrow(_verify(threshold), "a long, b long"))
-        joined = components(links, scratch)  # of labels
-        if labels is None:
-            new = joined
-        else:
-            moved = labels.join(joined.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left")
-            new = moved.select("node", F.coalesce("to", "root").alias("root")).union(
-                joined.join(labels, "node", "left_anti"))
-        done = live.agg(F.max("members")).first()[0] <= centres
-        kept = scratch.keep(new, "labels")
-        scratch.drop(live, joined, *([labels] if labels is not None else []))
-        labels, centres = kept, centres * 4
-        if done:
-            break
+    search = _Links(scratch, sets, threshold)
+    search.round(buckets, [F.xxhash64("node"), F.col("node")], F.lit(True), 0, FEW)
+    large = search.mixed(buckets, FEW)
+    if not large.isEmpty():
+        shared = scratch.keep(_first_shingles(sets.join(large.select("node").distinct(), "node"), threshold), "shingles")
+        centres, before = 1, 0
+        while search.round(shared, [F.col("u"), F.xxhash64("node"), F.col("node")], _close(threshold), before, centres):
+            before, centres = centres, centres * 16
+        scratch.drop(shared)
+    labels = search.labels
+    scratch.drop(large)
     classed = nodes.drop("bands")
     classed = classed.withColumn("root", F.col("node")) if labels is None else (
         classed.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node")))
@@ -229,10 +205,97 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text", thre
     return result.withColumnRenamed("id", id_column)
 
 
-def _by_key():
-    from pyspark.sql import Window
+def _first_shingles(sets: DataFrame, threshold: float) -> DataFrame:
+    """(key, node, u, v, members): shingles that several texts share, among each text's first.
+
+    Shingles are ordered by the number of texts that have them; u is the share of a text's
+    weight that stands before, v the same with equal weights.
+    """
+
+    def run(batches):
+        for batch in batches:
+            codes = [np.frombuffer(c.as_buffer(), np.int64) for c in batch.column("codes")]
+            counts = [np.frombuffer(c.as_buffer(), np.int32) for c in batch.column("counts")]
+            if codes:
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.concatenate(codes)), pa.array(np.repeat(batch.column("node").to_numpy(), [len(c) for c in codes])),
+                    pa.array(np.concatenate([c / c.sum() for c in counts])),
+                    pa.array(np.concatenate([np.full(len(c), 1 / len(c)) for c in counts]))], ["key", "node", "weight", "one"])
+
+    rows = sets.mapInArrow(run, "key long, node long, weight double, one double")
+    members = rows.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
+    every = Window.partitionBy("node")
+    earlier = every.orderBy("members", "key").rowsBetween(Window.unboundedPreceding, -1)
+
+    def before(c):
+        return 1 - F.sum(c).over(every) + F.coalesce(F.sum(c).over(earlier), F.lit(0.0))
+
+    placed = rows.join(members, "key").select("key", "node", "members", before("weight").alias("u"), before("one").alias("v"))
+    return placed.where(F.least("u", "v") <= 1 - threshold + 1e-9)
 
-    return Window.partitionBy("key").orderBy(F.xxhash64("node"), "node")
+
+def _close(threshold: float):
+    def may(a, b):
+        return (1 - F.col(a)) * (1 - F.col(b)) >= threshold * (1 - F.col(a) * F.col(b)) - 1e-9
+
+    return may("u", "centre_u") | may("v", "centre_v")
+
+
+class _Links:
+    """Classes of nodes so far, and the pairs that were verified."""
+
+    def __init__(self, scratch: Scratch, sets: DataFrame, threshold: float):
+        self.scratch, self.sets, self.threshold = scratch, sets, threshold
+        self.labels = self.checked = None  # (node, root) of nodes that are not their own root; (a, b)
+
+    def labelled(self, buckets: DataFrame) -> DataFrame:
+        if self.labels is None:
+            return buckets.withColumn("label", F.col("node"))
+        return buckets.join(self.labels, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
+
+    def mixed(self, buckets: DataFrame, before: int) -> DataFrame:
+        """The buckets of several classes whose pairs were not all verified with ``before`` centres."""
+        members = self.labelled(buckets.where(F.col("members") > before + 1))
+        keys = (members.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"))
+                .where("least < most").select("key"))
+        return self.scratch.keep(members.join(keys, "key"), "mixed")
+
+    def round(self, buckets: DataFrame, order: list, close, before: int, centres: int) -> bool:
+        """Verify the next centres against the members of other classes; whether there was anything to do."""
+        live = self.mixed(buckets, before)
+        if live.isEmpty():
+            return False
+        place = F.row_number().over(Window.partitionBy("key").orderBy(*order))
+        chosen = live.withColumn("place", place).where(F.col("place") <= centres).drop("place", "members")
+        chosen = chosen.select(*[F.col(c).alias(c if c == "key" else f"centre_{c}") for c in chosen.columns])
+        first = F.col("node") < F.col("centre_node")
+        pairs = (live.join(chosen, (live["key"] == chosen["key"]) & (F.col("label") != F.col("centre_label")) & close)
+                 .select(F.least("node", "centre_node").alias("a"), F.greatest("node", "centre_node").alias("b"),
+                         F.when(first, F.col("label")).otherwise(F.col("centre_label")).alias("la"),
+                         F.when(first, F.col("centre_label")).otherwise(F.col("label")).alias("lb")).distinct())
+        if self.checked is not None:
+            pairs = pairs.join(self.checked, ["a", "b"], "left_anti")
+        pairs = self.scratch.keep(pairs, "pairs")
+        done = pairs.select("a", "b")
+        self.checked = done if self.checked is None else self.checked.union(done)
+
+        def side(s):
+            return self.sets.select(F.col("node").alias(s), F.col("codes").alias(f"codes_{s}"), F.col("counts").alias(f"counts_{s}"))
+
+        links = (pairs.join(side("a"), "a").join(side("b"), "b")
+                 .select("la", "lb", "codes_a", "counts_a", "codes_b", "counts_b")
+                 .mapInArrow(_verify(self.threshold), "a long, b long"))
+        joined = components(links, self.scratch)  # of labels
+        if self.labels is None:
+            new = joined
+        else:
+            moved = self.labels.join(joined.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left")
+            new = moved.select("node", F.coalesce("to", "root").alias("root")).union(
+                joined.join(self.labels, "node", "left_anti"))
+        kept = self.scratch.keep(new, "labels")
+        self.scratch.drop(live, joined, *([self.labels] if self.labels is not None else []))
+        self.labels = kept
+        return True
 
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **options) -> DataFrame:
