@@ -131,7 +131,7 @@ def matches_in(part: pa.Array, seeds: Seeds, threshold: float):
     text = np.searchsorted(ends, at, "right") - 1
     position = at - ends[text]
     lengths = items.offsets[item + 1] - items.offsets[item]
-    reach = lengths // 2 + GRAM
+    reach = np.ceil(MATCH * lengths * (1 - threshold)).astype(np.int64) + GRAM  # more gaps would cost too much
     diagonal = position - place
     order = np.lexsort((diagonal, item, text))
     text, item, diagonal, reach, lengths = (x[order] for x in (text, item, diagonal, reach, lengths))
