@@ -39,6 +39,7 @@ WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 32, 4
 FEW = 4  # centres of each bucket at first
+LAST = 8  # shingles before a shared one that tell whether a pair was met earlier
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -206,10 +207,11 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text", thre
 
 
 def _first_shingles(sets: DataFrame, threshold: float) -> DataFrame:
-    """(key, node, u, v, members): shingles that several texts share, among each text's first.
+    """(key, node, u, v, members, last): shingles that several texts share, among each text's first.
 
     Shingles are ordered by the number of texts that have them; u is the share of a text's
-    weight that stands before, v the same with equal weights.
+    weight that stands before, v the same with equal weights. ``last`` has the shared
+    shingles just before: two texts that agree in one of them meet there already.
     """
 
     def run(batches):
@@ -230,7 +232,9 @@ def _first_shingles(sets: DataFrame, threshold: float) -> DataFrame:
     def before(c):
         return 1 - F.sum(c).over(every) + F.coalesce(F.sum(c).over(earlier), F.lit(0.0))
 
-    placed = rows.join(members, "key").select("key", "node", "members", before("weight").alias("u"), before("one").alias("v"))
+    last = F.collect_list("key").over(every.orderBy("members", "key").rowsBetween(-LAST, -1))
+    placed = rows.join(members, "key").select(
+        "key", "node", "members", before("weight").alias("u"), before("one").alias("v"), last.alias("last"))
     return placed.where(F.least("u", "v") <= 1 - threshold + 1e-9)
 
 
@@ -238,7 +242,7 @@ def _close(threshold: float):
     def may(a, b):
         return (1 - F.col(a)) * (1 - F.col(b)) >= threshold * (1 - F.col(a) * F.col(b)) - 1e-9
 
-    return may("u", "centre_u") | may("v", "centre_v")
+    return (may("u", "centre_u") | may("v", "centre_v")) & ~F.arrays_overlap("last", "centre_last")
 
 
 class _Links:
