@@ -248,6 +248,29 @@ def test_matches_equal_brute_force(spark):
     assert {r.doc_id for r in clean.collect()} == set(range(len(texts))) - {i for i, _, _ in found}
 
 
+def test_edited_copies_equal_plain_alignment(spark):
+    rng = random.Random(12)
+    few = WORDS[:400]
+    items = [" ".join(rng.choices(few, k=k)) for k in (3, 4, 9, 16, 16, 18, 18, 19)]  # too short for a passage but by score
+    every_fifth = " ".join(rng.sample(WORDS[1000:], 40))
+    texts = [" ".join("gone" if p % 5 == 4 else w for p, w in enumerate(every_fifth.split()))]
+    for _ in range(240):
+        copy = items[rng.randrange(8)].split()
+        for _ in range(rng.randint(len(copy) // 5, len(copy) // 2)):  # 20 % of edits and more
+            at = rng.randrange(len(copy))
+            copy[at:at + 1] = rng.choice([[rng.choice(few)], [], [copy[at], rng.choice(few)]])
+        texts.append(" ".join([*rng.choices(few, k=rng.randint(0, 30)), *copy, *rng.choices(few, k=rng.randint(0, 30))]))
+    texts.append(" ".join(f"{w} between" for w in items[3].split()))  # no two words unbroken
+    texts += [" ".join(rng.choices(few, k=60)) for _ in range(100)]
+    items.append(every_fifth)
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    wanted = {(i, k, round(share, 9)) for i, text in enumerate(texts) for k, item in enumerate(items)
+              if (share := smith_waterman(item.split(), text.split()) / (2 * len(item.split()))) >= 0.5}
+    rows = contamination.matches(documents(spark, texts), benchmark).collect()
+    assert {(r.doc_id, r.item_id, round(r.score, 9)) for r in rows} == wanted and len(rows) == len(wanted)
+    assert {(0, 8, 0.7125), (241, 3, round(17 / 32, 9))} <= wanted and len(wanted) > 100
+
+
 def test_decontamination_of_empty_tables(spark):
     docs, none = documents(spark, ["a b c d e"]), spark.createDataFrame([], "item_id long, text string")
     assert contamination.matches(docs, none).count() == 0

@@ -1,11 +1,18 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: complete seeds, then Smith-Waterman alignment.
 
 Words are runs of letters and digits (lower-cased; other ASCII characters separate).
-Each window of ``WINDOW`` consecutive n-grams of a test item gives its rarest one, by
-occurrences in the training texts, as a seed; so every unbroken copy of ``GRAM + WINDOW - 1``
-words holds a seed, however often the passage was copied. Where a text has a seed, the words around
-it are aligned locally with the item: a match scores 2, a mismatch or a gap -1. The score is
-divided by that of the whole item; pairs at or above ``THRESHOLD`` are contaminated.
+Where a text has a seed of a test item, the words around it are aligned locally with the item: a
+match scores 2, a mismatch or a gap -1. The score is divided by that of the whole item; pairs at or
+above ``THRESHOLD`` are contaminated.
+
+The seeds leave out no such pair. If m of the n words of an item match and e columns do not, the
+score 2 m - e reaches T only if the matches lie in at most 2 m - T + 1 runs, so at least T - m - 1
+pairs of neighbouring words are unbroken. All word pairs of an item are seeds but its k most
+frequent ones, counted in the training texts; an alignment that holds none of the seeds has at
+least T - 1 - k matches, thus one of the n - T + 2 + k rarest single words, which are seeds too. Of
+all k each item takes the one whose seeds occur least often. Seeds that occur nowhere cost nothing
+and take no one's place. Windows are aligned only if the words they share with the item can
+reach the score at all.
 
 The benchmark goes to the tasks in blocks of at most ``BLOCK`` words, each with a pass of its
 own. Null and empty texts match nothing, nor do items of fewer than ``GRAM`` words. Ids may be
@@ -21,9 +28,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillbridge.llm.common import ngrams, slices, word_hashes
+from tillbridge.llm.common import mix, ngrams, slices, word_hashes
 
-GRAM, WINDOW = 3, 3
+GRAM, WINDOW = 3, 3  # items of fewer than GRAM words match nothing
+SIZES = (1, 2)  # words in a seed
 THRESHOLD = 0.5
 BLOCK = 1 << 20
 MATCH, MISS = 2, 1
@@ -49,27 +57,52 @@ class Grams:
 
 
 class Items:
-    """A block of test items: ids, words with offsets, and n-grams."""
+    """A block of test items: ids, words with offsets, and n-grams of each size."""
 
     def __init__(self, ids: list, texts: list):
         self.ids = ids
         self.words, self.offsets = word_hashes(
             pc.utf8_lower(pa.array([t or "" for t in texts], pa.large_string())), punctuation=False)
-        self.grams, self.ends = ngrams(self.words, self.offsets, GRAM)
+        self.parts = [ngrams(self.words, self.offsets, size) for size in SIZES]
+        self.grams = np.concatenate([grams for grams, _ in self.parts])
 
-    def seeds(self, count_of: dict[int, int]) -> "Seeds":
-        counts = np.array([count_of.get(int(g), 0) for g in self.grams.view(np.int64)], np.int64)
+    def seeds(self, codes: np.ndarray, counts: np.ndarray, threshold: float) -> "Seeds":
+        """The seeds by the counts of n-grams, given in ascending order of their hashes."""
+        numbers = [_counts(codes, counts, grams) for grams, _ in self.parts]
         gram, item, place = [], [], []
         for k in range(len(self.ids)):
-            own = counts[self.ends[k]:self.ends[k + 1]]
-            if not len(own):
+            length = int(self.offsets[k + 1] - self.offsets[k])
+            if length < GRAM:
                 continue
-            rarest = {int(p + own[p:p + WINDOW].argmin()) for p in range(max(1, len(own) - WINDOW + 1))}
-            for p in sorted(rarest):
-                gram.append(self.grams[self.ends[k] + p])
-                item.append(k)
-                place.append(p)
-        return Seeds(self, np.array(gram, np.uint64), np.array(item, np.int64), np.array(place, np.int64))
+            own = [n[ends[k]:ends[k + 1]] for n, (_, ends) in zip(numbers, self.parts)]
+            for part, (grams, ends), places in zip(own, self.parts, _chosen(*own, _least(length, threshold))):
+                places = places[part[places] > 0]
+                gram.append(grams[ends[k] + places])
+                item.append(np.full(len(places), k))
+                place.append(places)
+        return Seeds(self, *(np.concatenate([np.zeros(0, t), *x]) for x, t in ((gram, np.uint64), (item, np.int64), (place, np.int64))))
+
+
+def _counts(codes, counts, grams):
+    if not len(codes):
+        return np.zeros(len(grams), np.int64)
+    at = np.minimum(np.searchsorted(codes, grams), len(codes) - 1)
+    return np.where(codes[at] == grams, counts[at], 0)
+
+
+def _least(length, threshold: float):
+    """The least score that reaches the threshold for an item of so many words."""
+    return np.ceil(MATCH * length * threshold - 1e-9).astype(np.int64)
+
+
+def _chosen(words: np.ndarray, pairs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the words and of the word pairs, given by counts, that are seeds of an item."""
+    by_word, by_pair = np.argsort(words, kind="stable"), np.argsort(pairs, kind="stable")
+    sums, all_pairs = (np.concatenate([[0], np.cumsum(c)]) for c in (words[by_word], pairs[by_pair]))
+    left_out = np.arange(len(pairs) + 1)
+    many = np.clip(len(words) - least + 2 + left_out, 0, len(words))
+    k = int((sums[many] + all_pairs[::-1]).argmin())
+    return np.sort(by_word[:many[k]]), np.sort(by_pair[:len(pairs) - k])
 
 
 class Seeds:
@@ -120,16 +153,32 @@ def align(rows: list[np.ndarray], columns: list[np.ndarray]):
     return best >> 32, one - 1 - (best & (one - 1)), end
 
 
+def reachable(rows: list[np.ndarray], columns: list[np.ndarray]) -> np.ndarray:
+    """No alignment of a pair scores more: words of the row that the column lacks cost at least a miss."""
+    sizes = np.array([len(r) for r in rows])
+    key = [mix(np.arange(1, len(rows) + 1, dtype=np.uint64))[np.repeat(np.arange(len(rows)), [len(x) for x in side])]
+           + np.concatenate(side) for side in (rows, columns)]
+    shared = np.isin(mix(key[0]), mix(key[1]))
+    gain = np.zeros((len(rows), sizes.max() + 1), np.int64)
+    row = np.repeat(np.arange(len(rows)), sizes)
+    gain[row, np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + 1] = np.where(shared, MATCH, -MISS)
+    total = np.cumsum(gain, axis=1)
+    return (total - np.minimum.accumulate(total, axis=1)).max(1)
+
+
 def matches_in(part: pa.Array, seeds: Seeds, threshold: float):
     """(text, item, score, first word, end word) of a slice of texts, sorted."""
     items = seeds.items
     words, offsets = word_hashes(part, punctuation=False)
-    grams, ends = ngrams(words, offsets, GRAM)
-    at, item, place = seeds.hits(grams)
-    if not len(at):
+    hits = []
+    for size in SIZES:
+        grams, ends = ngrams(words, offsets, size)
+        at, item, place = seeds.hits(grams)
+        text = np.searchsorted(ends, at, "right") - 1
+        hits.append((text, at - ends[text], item, place))
+    text, position, item, place = (np.concatenate(x) for x in zip(*hits))
+    if not len(text):
         return []
-    text = np.searchsorted(ends, at, "right") - 1
-    position = at - ends[text]
     lengths = items.offsets[item + 1] - items.offsets[item]
     reach = np.ceil(MATCH * lengths * (1 - threshold)).astype(np.int64) + GRAM  # more gaps would cost too much
     diagonal = position - place
@@ -150,6 +199,10 @@ def matches_in(part: pa.Array, seeds: Seeds, threshold: float):
         at += len(take)
         rows = [items.words[items.offsets[item[group[g]]]:items.offsets[item[group[g]] + 1]] for g in take]
         columns = [words[offsets[text[group[g]]] + begin[g]:offsets[text[group[g]]] + stop[g]] for g in take]
+        may = np.flatnonzero(reachable(rows, columns) >= _least(lengths[group[take]], threshold))
+        if not len(may):
+            continue
+        take, rows, columns = take[may], [rows[k] for k in may], [columns[k] for k in may]
         for g, row, score, left, right in zip(take, rows, *align(rows, columns)):
             share = float(score) / (MATCH * len(row))
             if share >= threshold:
@@ -173,8 +226,8 @@ def _blocks(benchmark: DataFrame):
         yield ids, texts
 
 
-def seeds_of(docs: DataFrame, text: str, items: Items) -> Seeds:
-    """Rarest n-grams of the items, by a count over all texts."""
+def seeds_of(docs: DataFrame, text: str, items: Items, threshold: float = THRESHOLD) -> Seeds:
+    """Seeds of the items, by a count of their n-grams over all texts."""
     shared = docs.sparkSession.sparkContext.broadcast(Grams(items.grams))
 
     def run(batches):
@@ -183,15 +236,18 @@ def seeds_of(docs: DataFrame, text: str, items: Items) -> Seeds:
         for batch in batches:
             for _, part in slices(batch.column(0), lower=True):
                 words, offsets = word_hashes(part, punctuation=False)
-                _, number = grams.find(ngrams(words, offsets, GRAM)[0])
-                counts += np.bincount(number, minlength=len(counts))
+                for size in SIZES:
+                    _, number = grams.find(ngrams(words, offsets, size)[0])
+                    counts += np.bincount(number, minlength=len(counts))
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays(
             [pa.array(grams.codes[used].view(np.int64)), pa.array(counts[used])], ["gram", "n"])
 
     rows = (docs.select(F.col(text).cast("string")).mapInArrow(run, "gram long, n long")
             .groupBy("gram").agg(F.sum("n").alias("n")).toArrow())  # no more rows than the block has n-grams
-    return items.seeds(dict(zip(rows.column("gram").to_pylist(), rows.column("n").to_pylist())))
+    codes, counts = rows.column("gram").to_numpy().view(np.uint64), rows.column("n").to_numpy()
+    order = np.argsort(codes)
+    return items.seeds(codes[order], counts[order], threshold)
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text: str = "text",
@@ -201,7 +257,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", te
     frame = docs.select(F.col(id_column).cast("long"), F.col(text).cast("string").alias("text"))
     result = docs.sparkSession.createDataFrame([], schema)
     for ids, texts in _blocks(benchmark.select(F.col(item_id).cast("long"), F.col(item_text).cast("string"))):
-        seeds = docs.sparkSession.sparkContext.broadcast(seeds_of(frame, "text", Items(ids, texts)))
+        seeds = docs.sparkSession.sparkContext.broadcast(seeds_of(frame, "text", Items(ids, texts), threshold))
 
         def run(batches, seeds=seeds):
             names = seeds.value.items.ids
@@ -225,7 +281,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: st
           item_text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs that match no item, with all their columns."""
     for ids, texts in _blocks(benchmark.select(F.col(item_id).cast("long"), F.col(item_text).cast("string"))):
-        seeds = docs.sparkSession.sparkContext.broadcast(seeds_of(docs, text, Items(ids, texts)))
+        seeds = docs.sparkSession.sparkContext.broadcast(seeds_of(docs, text, Items(ids, texts), threshold))
 
         def run(batches, seeds=seeds):
             for batch in batches:
