@@ -271,6 +271,59 @@ def test_edited_copies_equal_plain_alignment(spark):
     assert {(0, 8, 0.7125), (241, 3, round(17 / 32, 9))} <= wanted and len(wanted) > 100
 
 
+def holds_passage(a, b):
+    """Whether an alignment has 16 matches or more, and misses in at most 7 and a fifth of its columns."""
+    last = [[-99] * 8 for _ in range(len(b) + 1)]  # most matches by number of misses
+    for x in a:
+        row = [[-99] * 8]
+        for j, y in enumerate(b, 1):
+            cell = [-99] * 8
+            for e in range(8):
+                if x == y:
+                    cell[e] = max(last[j - 1][e], 0 if e == 0 else -99) + 1
+                    if cell[e] >= 16 and cell[e] >= 4 * e:
+                        return True
+                if e:
+                    cell[e] = max(cell[e], last[j - 1][e - 1], last[j][e - 1], row[j - 1][e - 1])
+            row.append(cell)
+        last = row
+    return False
+
+
+def test_passages_equal_brute_force():
+    rng = random.Random(4)
+    rows, columns = [], []
+    for _ in range(150):
+        a = rng.choices(range(1, 90), k=rng.randint(1, 60))
+        copy = a[rng.randint(0, 20):][:rng.randint(15, 40)]
+        for _ in range(rng.randint(0, 8) if copy else 0):
+            at = rng.randrange(len(copy) or 1)
+            copy[at:at + 1] = rng.choice([[99], [], [99, 98]])
+        rows.append(np.array(a, np.uint64))
+        columns.append(np.array([*rng.choices(range(1, 90), k=rng.randint(1, 30)), *copy, *rng.choices(range(1, 90), k=9)], np.uint64))
+    many, first, last = contamination.passages(rows, columns)
+    wanted = [holds_passage(a.tolist(), b.tolist()) for a, b in zip(rows, columns)]
+    assert (many > 0).tolist() == wanted and 20 < sum(wanted) < 130
+    for a, b, n, left, right in zip(rows, columns, many, first, last):
+        assert not n or holds_passage(a.tolist(), b[left:right + 1].tolist())
+
+
+def test_passages_of_long_items_are_found(spark):
+    rng = random.Random(3)
+    long, item = rng.choices(WORDS, k=500), rng.choices(WORDS, k=59)
+    edited = ["gone" if p % 6 == 5 else w for p, w in enumerate(long[100:140])]
+    around = rng.choices(WORDS, k=60)
+    texts = [[*around, *item[10:39], *around], [*around, *long[200:400]], [*edited, *around],
+             [*around, *long[:15], *around], ["gone" if p % 4 == 3 else w for p, w in enumerate(long[:60])]]
+    docs = documents(spark, [" ".join(t) for t in texts])
+    benchmark = spark.createDataFrame([(0, " ".join(item)), (1, " ".join(long))], "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r for r in contamination.matches(docs, benchmark).collect()}
+    assert set(found) == {(0, 0), (1, 1), (2, 1)}
+    assert all(r.score < 0.5 for r in found.values())
+    assert found[0, 0].first_word <= 60 and found[0, 0].end_word >= 89
+    assert sorted(r.doc_id for r in contamination.clean(docs, benchmark).collect()) == [3, 4]
+
+
 def test_decontamination_of_empty_tables(spark):
     docs, none = documents(spark, ["a b c d e"]), spark.createDataFrame([], "item_id long, text string")
     assert contamination.matches(docs, none).count() == 0

@@ -3,16 +3,20 @@
 Words are runs of letters and digits (lower-cased; other ASCII characters separate).
 Where a text has a seed of a test item, the words around it are aligned locally with the item: a
 match scores 2, a mismatch or a gap -1. The score is divided by that of the whole item; pairs at or
-above ``THRESHOLD`` are contaminated.
+above ``THRESHOLD`` are contaminated. So are pairs with a passage, whatever the item's length: an
+alignment of at least ``PASSAGE`` matching words, in which at most ``EDITS`` columns and at most a
+fifth of them do not match (as in 20 words at an identity of 0.8). For a pair below the threshold the score is that of its best
+alignment, and the words are those of its passage with the most matches.
 
 The seeds leave out no such pair. If m of the n words of an item match and e columns do not, the
 score 2 m - e reaches T only if the matches lie in at most 2 m - T + 1 runs, so at least T - m - 1
 pairs of neighbouring words are unbroken. All word pairs of an item are seeds but its k most
 frequent ones, counted in the training texts; an alignment that holds none of the seeds has at
 least T - 1 - k matches, thus one of the n - T + 2 + k rarest single words, which are seeds too. Of
-all k each item takes the one whose seeds occur least often. Seeds that occur nowhere cost nothing
-and take no one's place. Windows are aligned only if the words they share with the item can
-reach the score at all.
+all k each item takes the one whose seeds occur least often. A passage holds four unbroken words,
+so the rarer of any two consecutive runs of three, if both occur, is a seed as well. Seeds that
+occur nowhere cost nothing and take no one's place. Windows are aligned only if the words they
+share with the item can reach the score at all.
 
 The benchmark goes to the tasks in blocks of at most ``BLOCK`` words, each with a pass of its
 own. Null and empty texts match nothing, nor do items of fewer than ``GRAM`` words. Ids may be
@@ -31,10 +35,13 @@ from pyspark.sql import functions as F
 from tillbridge.llm.common import mix, ngrams, slices, word_hashes
 
 GRAM, WINDOW = 3, 3  # items of fewer than GRAM words match nothing
-SIZES = (1, 2)  # words in a seed
+SIZES = (1, 2, 3)  # words in a seed
+PASSAGE, EDITS = 16, 7
+NEEDED = [max(4 * edits, PASSAGE) for edits in range(EDITS + 1)]  # matches of a passage
 THRESHOLD = 0.5
 BLOCK = 1 << 20
 MATCH, MISS = 2, 1
+_PASSAGE_SCORE = min(MATCH * matches - MISS * edits for edits, matches in enumerate(NEEDED))
 _BITS = 22
 
 
@@ -75,7 +82,7 @@ class Items:
             if length < GRAM:
                 continue
             own = [n[ends[k]:ends[k + 1]] for n, (_, ends) in zip(numbers, self.parts)]
-            for part, (grams, ends), places in zip(own, self.parts, _chosen(*own, _least(length, threshold))):
+            for part, (grams, ends), places in zip(own, self.parts, _chosen(*own, _least(length, threshold), length >= PASSAGE)):
                 places = places[part[places] > 0]
                 gram.append(grams[ends[k] + places])
                 item.append(np.full(len(places), k))
@@ -95,14 +102,16 @@ def _least(length, threshold: float):
     return np.ceil(MATCH * length * threshold - 1e-9).astype(np.int64)
 
 
-def _chosen(words: np.ndarray, pairs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the words and of the word pairs, given by counts, that are seeds of an item."""
+def _chosen(words: np.ndarray, pairs: np.ndarray, runs: np.ndarray, least: int, passages: bool):
+    """Places of the words, of the word pairs and of the runs of three, given by counts, that are seeds of an item."""
     by_word, by_pair = np.argsort(words, kind="stable"), np.argsort(pairs, kind="stable")
     sums, all_pairs = (np.concatenate([[0], np.cumsum(c)]) for c in (words[by_word], pairs[by_pair]))
     left_out = np.arange(len(pairs) + 1)
     many = np.clip(len(words) - least + 2 + left_out, 0, len(words))
     k = int((sums[many] + all_pairs[::-1]).argmin())
-    return np.sort(by_word[:many[k]]), np.sort(by_pair[:len(pairs) - k])
+    first = np.flatnonzero((runs[:-1] > 0) & (runs[1:] > 0)) if passages else np.zeros(0, np.int64)
+    return (np.sort(by_word[:many[k]]), np.sort(by_pair[:len(pairs) - k]),
+            np.unique(first + (runs[first + 1] < runs[first])) if len(first) else first)
 
 
 class Seeds:
@@ -153,6 +162,46 @@ def align(rows: list[np.ndarray], columns: list[np.ndarray]):
     return best >> 32, one - 1 - (best & (one - 1)), end
 
 
+def passages(rows: list[np.ndarray], columns: list[np.ndarray]):
+    """Of many pairs at once: most matches of a passage (0 if there is none), its first and last column.
+
+    One layer for each number of columns that do not match; cells are as in ``align``, with
+    the matches in place of the score.
+    """
+    pairs, height, width = len(rows), max(map(len, rows)), max(map(len, columns))
+    first, second = np.zeros((pairs, height), np.uint64), np.zeros((pairs, width), np.uint64)
+    tall, wide = np.zeros((pairs, height), bool), np.zeros((pairs, width), bool)
+    for k, (r, c) in enumerate(zip(rows, columns)):
+        first[k, :len(r)], tall[k, :len(r)] = r, True
+        second[k, :len(c)], wide[k, :len(c)] = c, True
+    one, none = 1 << 32, -1 << 60
+    begins = one - 1 - np.arange(width + 1, dtype=np.int64)
+    layers = [np.full((pairs, width), none) for _ in NEEDED]
+    best, end = np.zeros(pairs, np.int64), np.zeros(pairs, np.int64)
+
+    def after(cells):
+        return np.concatenate([np.full((pairs, 1), none), cells[:, :-1]], axis=1)
+
+    for i in range(height):
+        same = (second == first[:, i:i + 1]) & wide & tall[:, i:i + 1]
+        before, fewer = None, None  # the layer with one miss less: at the row above, and at this one
+        for edits, least in enumerate(NEEDED):
+            last = layers[edits]
+            match = after(last)
+            if not edits:
+                match = np.maximum(match, begins[:-1])
+            match = np.where(same, match + one, none)
+            cell = match
+            if edits:
+                cell = np.maximum(np.maximum(cell, after(before)), np.maximum(before, after(fewer)))
+            top = match.argmax(1)
+            value = match[np.arange(pairs), top]
+            better = ((value >> 32) >= least) & ((value >> 32) > (best >> 32))
+            best[better], end[better] = value[better], top[better]
+            layers[edits], before, fewer = cell, last, cell
+    return best >> 32, np.where(best > 0, one - 1 - (best & (one - 1)), 0), end
+
+
 def reachable(rows: list[np.ndarray], columns: list[np.ndarray]) -> np.ndarray:
     """No alignment of a pair scores more: words of the row that the column lacks cost at least a miss."""
     sizes = np.array([len(r) for r in rows])
@@ -180,7 +229,7 @@ def matches_in(part: pa.Array, seeds: Seeds, threshold: float):
     if not len(text):
         return []
     lengths = items.offsets[item + 1] - items.offsets[item]
-    reach = np.ceil(MATCH * lengths * (1 - threshold)).astype(np.int64) + GRAM  # more gaps would cost too much
+    reach = np.ceil(MATCH * lengths * (1 - threshold)).astype(np.int64) + GRAM + EDITS  # more gaps would cost too much
     diagonal = position - place
     order = np.lexsort((diagonal, item, text))
     text, item, diagonal, reach, lengths = (x[order] for x in (text, item, diagonal, reach, lengths))
@@ -199,16 +248,22 @@ def matches_in(part: pa.Array, seeds: Seeds, threshold: float):
         at += len(take)
         rows = [items.words[items.offsets[item[group[g]]]:items.offsets[item[group[g]] + 1]] for g in take]
         columns = [words[offsets[text[group[g]]] + begin[g]:offsets[text[group[g]]] + stop[g]] for g in take]
-        may = np.flatnonzero(reachable(rows, columns) >= _least(lengths[group[take]], threshold))
+        most, wanted = reachable(rows, columns), _least(lengths[group[take]], threshold)
+        may = np.flatnonzero(most >= np.minimum(wanted, _PASSAGE_SCORE))
         if not len(may):
             continue
-        take, rows, columns = take[may], [rows[k] for k in may], [columns[k] for k in may]
-        for g, row, score, left, right in zip(take, rows, *align(rows, columns)):
-            share = float(score) / (MATCH * len(row))
-            if share >= threshold:
-                key = (int(text[group[g]]), int(item[group[g]]))
-                value = (share, -int(begin[g] + left), -int(begin[g] + right + 1))
-                found[key] = max(found.get(key, (0.0, 0, 0)), value)
+        take, rows, columns, wanted = take[may], [rows[k] for k in may], [columns[k] for k in may], wanted[may]
+        score, left, right = align(rows, columns)
+        held = score >= wanted
+        short = np.flatnonzero(~held & (score >= _PASSAGE_SCORE))
+        if len(short):
+            many, left[short], right[short] = passages([rows[k] for k in short], [columns[k] for k in short])
+            held[short] = many > 0
+        for k in np.flatnonzero(held):
+            g, share = take[k], float(score[k]) / (MATCH * len(rows[k]))
+            key = (int(text[group[g]]), int(item[group[g]]))
+            value = (share, -int(begin[g] + left[k]), -int(begin[g] + right[k] + 1))
+            found[key] = max(found.get(key, (0.0, 0, 0)), value)
     return [(*key, share, -left, -right) for key, (share, left, right) in sorted(found.items())]
 
 
