@@ -155,6 +155,18 @@ def test_classes_equal_brute_force(spark, monkeypatch, few):
     assert [found[i] for i in range(len(texts))] == brute_classes(texts)
 
 
+def test_copies_that_repeat_a_line_are_found(spark):
+    rng = random.Random(9)
+    texts = []
+    for _ in range(12):
+        words, line = rng.sample(WORDS, 120), " ".join(rng.sample(WORDS, 8))
+        texts += [" ".join([*words, *[line] * many]) for many in (2, 100)]
+    x, y = shingle_counts(texts[0]), shingle_counts(texts[1])
+    assert alike(x, y) and probability_jaccard(x, y) < 0.3
+    found = {r.doc_id: r.class_id for r in near_duplicates.classes(documents(spark, texts)).collect()}
+    assert [found[i] for i in range(24)] == [i - i % 2 for i in range(24)]
+
+
 def test_one_row_of_each_class_is_kept(spark):
     texts = ["a b c d e f"] * 3 + ["q r s t u v w", None, ""]
     docs = documents(spark, texts)

@@ -7,7 +7,9 @@ component keeps the element that arrives first. An element is followed no furthe
 latest component's first arrival, which is where all later arrivals are too late. Two texts
 agree in a component with the probability Jaccard of their weights.
 
-Texts that agree in all rows of a band share a bucket. Candidates are verified exactly: a
+Texts that agree in all rows of a band share a bucket. Each text has a second signature with all
+weights 1 and bands of its own, so both measures that define a link generate candidates; for a text
+without a repeated shingle the two are the same. Candidates are verified exactly: a
 pair is linked if its probability Jaccard, or the Jaccard of its sets of shingles, is at
 least the threshold. Classes are the connected components of links.
 
@@ -89,6 +91,24 @@ def signatures(codes, counts, offsets, size: int) -> np.ndarray:
     return element.reshape(texts, size)
 
 
+def both_bands(codes, counts, offsets, bands: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct band keys of each text, by its weights and by weights of 1, and their offsets."""
+    held = np.diff(offsets) > 0
+    keys = band_keys(signatures(codes, counts, offsets, bands * rows), bands, rows)
+    text = np.repeat(np.arange(len(held)), np.diff(offsets))
+    again = np.zeros(len(held), bool)
+    again[text[counts > 1]] = True
+    plain = keys.copy()
+    if again.any():
+        own, sizes = again[text], np.diff(offsets)[again]
+        plain[again] = band_keys(signatures(codes[own], np.ones(int(own.sum()), np.int64),
+                                            np.concatenate([[0], np.cumsum(sizes)]), bands * rows), bands, rows)
+    every = np.stack([keys, plain], 2).reshape(len(held), -1)
+    first = np.tile([True, False], bands) | (every != np.repeat(keys, 2, axis=1))
+    first &= held[:, None]
+    return every[first], np.concatenate([[0], np.cumsum(first.sum(1))])
+
+
 def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     keys = np.broadcast_to(mix(np.arange(1, bands + 1, dtype=np.uint64)), (len(signature), bands)).copy()
     parts = signature.reshape(len(signature), bands, rows)
@@ -102,12 +122,10 @@ def _sign(bands, rows, words):
         for batch in batches:
             for at, part in slices(batch.column("text"), lower=True):
                 codes, counts, offsets = shingles(*word_hashes(part), words)
-                keys = band_keys(signatures(codes, counts, offsets, bands * rows), bands, rows)
-                held = np.diff(offsets) > 0
-                ends = np.concatenate([[0], np.cumsum(held * bands)]).astype(np.int32)
+                keys, ends = both_bands(codes, counts, offsets, bands, rows)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").slice(at, len(part)), batch.column("digest").slice(at, len(part)),
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[held].ravel()))],
+                     pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(keys))],
                     ["id", "digest", "bands"])
 
     return run
