@@ -85,6 +85,35 @@ def test_recall_among_clusters(spark):
     assert hits / (5 * len(found)) >= 0.95
 
 
+@pytest.mark.parametrize("noise", [1e-2, 1e-3])
+def test_recall_among_thousands_of_near_copies(spark, noise):
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=64)
+    data = (base + noise * rng.normal(size=(4000, 64))).astype(np.float32)
+    frame = vectors(spark, [(i, v.tolist(), "x") for i, v in enumerate(data)])
+    found = {}
+    for r in neighbours.nearest_rows(frame, frame.where("vec_id % 50 = 0")).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    unit = data.astype(float) / np.linalg.norm(data.astype(float), axis=1, keepdims=True)
+    hits = 0
+    for i in range(0, len(data), 50):
+        apart = ((unit - unit[i]) ** 2).sum(1)
+        apart[i] = 9
+        hits += len(set(np.argsort(apart, kind="stable")[:5].tolist()) & found[i])
+    assert hits / (5 * len(found)) >= 0.9
+
+
+def test_scaled_copies_are_one_node(spark):
+    rng = np.random.default_rng(7)
+    base = rng.normal(size=8)
+    rows = [(i, (base * (1 + i)).tolist(), "x") for i in range(3000)] + [(0, (base * k).tolist(), "x") for k in range(2, 30)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, query string")
+    assert neighbours.nodes_of(neighbours.usable(frame, "vec_id", "embedding"), 6).count() <= 2
+    found = neighbours.nearest_rows(frame, frame.where("vec_id IN (0, 2950)")).collect()
+    assert [r.vec_id for r in sorted(found, key=lambda r: r["rank"]) if r.query_id == 0] == [1, 2, 3, 4, 5]
+    assert all(r.score == pytest.approx(1, abs=1e-12) for r in found)
+
+
 # ---- language model
 
 def tokens(text):

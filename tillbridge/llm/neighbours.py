@@ -1,6 +1,9 @@
 """Approximate nearest neighbours: an NN-descent graph and greedy search on it.
 
-Equal vectors are one node, which keeps its smallest ids. The first graph takes each node's best
+Vectors of one direction (to 2**-40 in each component) are one node, which keeps its smallest ids.
+Nodes carry their vectors unrounded: single precision if the column is of that type, else double.
+All ranking is by the distance of unit vectors in double precision, so near copies are told apart
+as far as the cosine tells them apart in doubles. The first graph takes each node's best
 among its block: nodes sorted by the signs of a few random projections and cut into blocks of
 ``BLOCK``, ``TABLES`` times over. NN-descent then repeats: a node's neighbours and reverse
 neighbours (``SAMPLE`` of them, those not tried yet first) are compared with each other, as
@@ -14,15 +17,18 @@ The best of the beam are scored again on the original vectors in double precisio
 Blocks, samples, lists and beams bound every group, whatever the number of rows that share a
 vector. Nearness is the cosine. Vectors that are null, zero or hold null or non-finite
 components take no part, nor do those whose length is not the most frequent one. Rows that
-repeat id and vector count once; an id never finds itself. Ties go to the smaller id, null ids last.
+repeat id and vector count once, and ask once if they repeat id and direction; an id never finds itself. Ties go to the smaller id, null ids last.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from tillbridge.llm.common import Scratch
 
@@ -32,61 +38,88 @@ ITERATIONS, LEAST_CHANGE = 6, 0.02
 DEGREE = 56  # neighbours and reverse neighbours that the search sees
 BEAM, EXPAND, ENTRIES, STARTS = 384, 64, 512, 16
 MOST_STEPS = 60
-AGAIN = 64  # of the beam, scored on the original vectors
+AGAIN = 64  # of the beam, whose cosines are computed
+FAR = -9.0  # less than any similarity, which is minus the squared distance of unit vectors
 
 
 def usable(rows: DataFrame, id_column: str, vector: str) -> DataFrame:
-    """Distinct (id, vector) whose vectors take part; the vector as array<double>."""
+    """Distinct (id, vector, direction) whose vectors take part; the vector as array<double>."""
     v = F.col("vector")
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     found = (rows.select(F.col(id_column).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector"))
              .where(v.isNotNull()).where(~bad).where(F.exists(v, lambda x: x != 0)))
     length = found.groupBy(F.size(v).alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    return found.where(F.size(v) == (length[0] if length else 0)).distinct()
+    return found.where(F.size(v) == (length[0] if length else 0)).distinct().mapInArrow(
+        _directed, "id long, vector array<double>, direction binary")
+
+
+def _directed(batches):
+    for batch in batches:
+        grid = np.rint(_unit(_matrix(batch.column("vector"))) * 2.0**40).astype(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array([hashlib.md5(row.tobytes()).digest() for row in grid], pa.binary())],
+            [*batch.schema.names, "direction"])
+
 
+def _matrix(lists) -> np.ndarray:
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1) if len(lists) else np.zeros((0, 1))
 
-def nodes_of(rows: DataFrame, ids: int) -> DataFrame:
-    """(node, vector, unit, ids): each distinct vector with its smallest ids; unit is half precision."""
-    order = Window.partitionBy("vector").orderBy(F.col("id").asc_nulls_last())
-    small = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= ids)
-    distinct = small.groupBy("vector").agg(F.collect_list(F.struct("place", "id")).alias("ids"))
-    distinct = distinct.select("vector", F.transform(F.array_sort("ids"), lambda s: s["id"]).alias("ids"),
+
+def nodes_of(rows: DataFrame, ids: int, single: bool = False) -> DataFrame:
+    """(node, direction, vector, unit, ids): each direction with its smallest ids; ``unit`` holds the vector.
+
+    An id that comes with several vectors of the direction is listed for each, ``ids`` times at most.
+    """
+    of_id = Window.partitionBy("direction", F.col("id")).orderBy("vector")
+    order = Window.partitionBy("direction").orderBy(F.col("id").asc_nulls_last())
+    small = rows.withColumn("copy", F.row_number().over(of_id)).where(F.col("copy") <= ids)
+    small = small.withColumn("place", F.dense_rank().over(order)).where(F.col("place") <= ids)
+    distinct = small.groupBy("direction").agg(F.min(F.struct("place", "copy", "vector"))["vector"].alias("vector"),
+                                              F.collect_list(F.struct("place", "id")).alias("ids"))
+    distinct = distinct.select("direction", "vector", F.transform(F.array_sort("ids"), lambda s: s["id"]).alias("ids"),
                                F.monotonically_increasing_id().alias("node"))
+    kind = np.float32 if single else np.float64
 
     def run(batches):
         for batch in batches:
-            units = [_unit(v.values.to_numpy(zero_copy_only=False)).astype(np.float16).tobytes() for v in batch.column("vector")]
+            mark = bytes([np.dtype(kind).itemsize])
+            units = [v.astype(kind).tobytes() + mark for v in _matrix(batch.column("vector"))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(units, pa.binary())], [*batch.schema.names, "unit"])
 
-    return distinct.mapInArrow(run, "vector array<double>, ids array<long>, node long, unit binary")
+    return distinct.mapInArrow(run, "direction binary, vector array<double>, ids array<long>, node long, unit binary")
 
 
 def _unit(x):
-    x = x / np.abs(x).max()
-    return x / np.sqrt(x @ x)
+    x = x / np.abs(x).max(1, keepdims=True, initial=0)
+    return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
 def _units(column) -> np.ndarray:
-    """A binary column, or the values of a list of binaries, as a float32 matrix."""
+    """The unit vectors of a binary column, or of the values of a list of binaries, as a matrix of doubles."""
     column = column.cast(pa.large_binary())
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
-    if not len(column):
-        return np.zeros((0, 1), np.float32)
-    data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
-    return data.view(np.float16).reshape(len(column), -1).astype(np.float32)
+    if not len(column) or offsets[0] == offsets[-1]:
+        return np.zeros((len(column), 1))
+    data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0]:offsets[-1]].reshape(len(column), -1)
+    return _unit(np.ascontiguousarray(data[:, :-1]).view(f"f{data[0, -1]}").astype(np.float64))
+
+
+def _near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Minus the squared distances of unit vectors, so that nearer is larger."""
+    return 2 * (a @ b.T) - (a * a).sum(1)[:, None] - (b * b).sum(1)
 
 
 def _pairs(a, b, s, names=("node", "nbr", "sim")):
     return pa.RecordBatch.from_arrays([pa.array(np.asarray(a, np.int64)), pa.array(np.asarray(b, np.int64)),
-                                       pa.array(np.asarray(s, np.float32))], list(names))
+                                       pa.array(np.asarray(s, np.float64))], list(names))
 
 
 def _best(sims: np.ndarray, many: int):
-    """Rows, columns and values of each row's best entries above -2."""
+    """Rows, columns and values of each row's best entries above FAR."""
     many = min(many, sims.shape[1])
     top = np.argpartition(-sims, many - 1, axis=1)[:, :many] if many < sims.shape[1] else np.tile(np.arange(many), (len(sims), 1))
     value = np.take_along_axis(sims, top, 1)
-    row, place = np.nonzero(value > -2)
+    row, place = np.nonzero(value > FAR)
     return row, top[row, place], value[row, place]
 
 
@@ -105,8 +138,8 @@ def first_graph(nodes: DataFrame, neighbours: int) -> DataFrame:
                      batch.column("node"), batch.column("unit")], ["part", "sign", "place", "node", "unit"])
 
     def block(ids, units):
-        sims = units @ units.T
-        np.fill_diagonal(sims, -9)
+        sims = _near(units, units)
+        np.fill_diagonal(sims, FAR)
         row, column, value = _best(sims, neighbours // 2 if len(ids) > neighbours else len(ids))
         return _pairs(ids[row], ids[column], value)
 
@@ -129,7 +162,7 @@ def first_graph(nodes: DataFrame, neighbours: int) -> DataFrame:
     spread = nodes.select("node", "unit").mapInArrow(signed, "part int, sign int, place double, node long, unit binary")
     parts = max(1, -(-nodes.count() * TABLES // (1 << 15)))
     return (spread.repartitionByRange(parts, "part", "sign", "place").sortWithinPartitions("part", "sign", "place")
-            .mapInArrow(blocks, "node long, nbr long, sim float"))
+            .mapInArrow(blocks, "node long, nbr long, sim double"))
 
 
 def _nearest(pairs: DataFrame, neighbours: int) -> DataFrame:
@@ -153,10 +186,10 @@ def _local_joins(proposals: int):
                 own, new = ids[at], fresh[at]
                 if len(own) < 2 or not new.any():
                     continue
-                sims = units[at] @ units[at].T
-                sims[~(new[:, None] | new)] = -9
-                np.fill_diagonal(sims, -9)
-                sims[sims <= worst[at][:, None]] = -9
+                sims = _near(units[at], units[at])
+                sims[~(new[:, None] | new)] = FAR
+                np.fill_diagonal(sims, FAR)
+                sims[sims <= worst[at][:, None]] = FAR
                 row, column, value = _best(sims, proposals)
                 a.append(own[row])
                 b.append(own[column])
@@ -178,11 +211,11 @@ def build(nodes: DataFrame, scratch: Scratch, neighbours: int = NEIGHBOURS, iter
         around = around.groupBy("node", "nbr").agg(F.max("fresh").alias("fresh"))
         order = Window.partitionBy("node").orderBy(F.desc("fresh"), F.xxhash64("node", "nbr", F.lit(turn)))
         around = around.withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLE).drop("place")
-        worst = graph.groupBy("node").agg(F.when(F.count("*") >= neighbours, F.min("sim")).otherwise(F.lit(-3.0)).cast("float").alias("worst"))
+        worst = graph.groupBy("node").agg(F.when(F.count("*") >= neighbours, F.min("sim")).otherwise(F.lit(FAR)).alias("worst"))
         known = nodes.select("node", "unit").join(worst, "node", "left").select(
-            F.col("node").alias("nbr"), "unit", F.coalesce("worst", F.lit(-3.0)).cast("float").alias("worst"))
+            F.col("node").alias("nbr"), "unit", F.coalesce("worst", F.lit(FAR)).alias("worst"))
         near = around.join(known, "nbr").groupBy("node").agg(F.collect_list(F.struct("nbr", "fresh", "worst", "unit")).alias("near"))
-        found = near.select("near").mapInArrow(_local_joins(PROPOSALS), "node long, nbr long, sim float")
+        found = near.select("near").mapInArrow(_local_joins(PROPOSALS), "node long, nbr long, sim double")
         pairs = graph.withColumn("fresh", F.lit(False)).unionByName(found.withColumn("fresh", F.lit(True)))
         better = scratch.keep(_nearest(pairs, neighbours), "graph")
         scratch.drop(graph)
@@ -212,7 +245,8 @@ def _expand(batches):
         size = np.diff(ends)
         row = np.repeat(np.arange(len(size)), size)
         at = slice(ends[0], ends[-1])
-        sims = np.einsum("ij,ij->i", units[at], queries[row]) if len(row) else np.zeros(0, np.float32)
+        apart = units[at] - queries[row] if len(row) else np.zeros((0, 1))
+        sims = -(apart * apart).sum(1)
         keep = sims > worst[row]
         q, n, s = query[row[keep]], ids[at][keep], sims[keep]
         order = np.lexsort((n, q))  # lists overlap: each pair once
@@ -233,12 +267,12 @@ def search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, scratch: Scra
         for batch in batches:
             if not len(batch) or not len(ids):
                 continue
-            row, column, value = _best(_units(batch.column("unit")) @ units.T, STARTS)
+            row, column, value = _best(_near(_units(batch.column("unit")), units), STARTS)
             yield _pairs(batch.column("query").to_numpy()[row], ids[column], value, ("query", "node", "sim"))
 
     queries = scratch.keep(queries.select("query", "unit", "node"), "queries")
-    found = queries.select("query", "unit").mapInArrow(start, "query long, node long, sim float")
-    own = queries.where("node IS NOT NULL").select("query", "node", F.lit(1.0).cast("float").alias("sim"))
+    found = queries.select("query", "unit").mapInArrow(start, "query long, node long, sim double")
+    own = queries.where("node IS NOT NULL").select("query", "node", F.lit(0.0).alias("sim"))
     state = found.union(own).withColumn("expanded", F.lit(False))
     best = Window.partitionBy("query").orderBy(F.desc("sim"), "node")
     first = Window.partitionBy("query").orderBy("expanded", F.desc("sim"), "node")
@@ -253,11 +287,11 @@ def search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, scratch: Scra
         kept = step
         if kept.where("turn").isEmpty():
             break
-        worst = kept.groupBy("query").agg(F.when(F.count("*") >= beam, F.min("sim")).otherwise(F.lit(-3.0)).cast("float").alias("worst"))
+        worst = kept.groupBy("query").agg(F.when(F.count("*") >= beam, F.min("sim")).otherwise(F.lit(FAR)).alias("worst"))
         frontier = (kept.where("turn").select("query", "node").join(worst, "query")
                     .join(queries.select("query", F.col("unit").alias("query_unit")), "query"))
         met = frontier.join(lists, "node").select("query", "query_unit", "worst", "near").mapInArrow(
-            _expand, "query long, node long, sim float")
+            _expand, "query long, node long, sim double")
         state = kept.select("query", "node", "sim", (F.col("expanded") | F.col("turn")).alias("expanded")).union(met.withColumn("expanded", F.lit(False)))
     scratch.drop(lists, queries)
     return kept.select("query", "node", "sim")
@@ -278,11 +312,12 @@ def nearest_rows(rows: DataFrame, wanted: DataFrame, id_column: str = "vec_id",
     """(query_id, rank, id, score): for every row of ``wanted``, a subset of rows, its nearest other rows."""
     scratch = Scratch(rows.sparkSession, "neighbours")
     known = scratch.keep(usable(rows, id_column, vector), "vectors")
-    nodes = scratch.keep(nodes_of(known, many + 1), "nodes")
+    single = isinstance(rows.schema[vector].dataType.elementType, FloatType)
+    nodes = scratch.keep(nodes_of(known, many + 1, single), "nodes")
     graph = build(nodes, scratch, **options)
     asked = known.join(wanted.select(F.col(id_column).cast("long").alias("id")).distinct(), "id").select(
-        F.col("id").alias("query_id"), "vector")
-    asked = scratch.keep(asked.join(nodes.select("vector", "node"), "vector").select("query_id", "node"), "asked")
+        F.col("id").alias("query_id"), "direction").distinct()
+    asked = scratch.keep(asked.join(nodes.select("direction", "node"), "direction").select("query_id", "node"), "asked")
     queries = nodes.join(asked.select("node").distinct(), "node").select(F.col("node").alias("query"), "unit", "node")
     beams = search(queries, graph, nodes, scratch)
     order = Window.partitionBy("query").orderBy(F.desc("sim"), "node")
@@ -292,7 +327,9 @@ def nearest_rows(rows: DataFrame, wanted: DataFrame, id_column: str = "vec_id",
              .select("query", "ids", "a", "b").mapInArrow(_cosines, "query long, ids array<long>, score double")
              .select("query", F.explode("ids").alias("id"), "score"))
     nearest = Window.partitionBy("query").orderBy(F.desc("score"), F.col("id").asc_nulls_last())
-    few = exact.withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= many + 1).drop("place")
+    of_id = Window.partitionBy("query", F.col("id")).orderBy(F.desc("score"))
+    few = exact.withColumn("copy", F.row_number().over(of_id)).where(F.col("copy") <= many).drop("copy")
+    few = few.withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= 2 * many).drop("place")
     of_row = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), F.col("id").asc_nulls_last())
     result = (asked.join(few, asked["node"] == few["query"]).where("NOT (query_id <=> id)")
               .withColumn("rank", F.row_number().over(of_row)).where(F.col("rank") <= many)
