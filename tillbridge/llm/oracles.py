@@ -115,9 +115,43 @@ apart AS (
 best AS (SELECT r, arg_min(lang, (d, lang)) AS lang_pred, 1 - min(d)::DOUBLE / (400 * any_value(many)) AS score FROM apart GROUP BY r)
 SELECT doc_id, held_out, coalesce(lang_pred, 'und') AS lang_pred, coalesce(score, 0.0)::DOUBLE AS score FROM docs LEFT JOIN best USING (r)"""
 
+FILTER_AUDIT = """
+WITH RECURSIVE texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+marks AS (
+  SELECT doc_id, part, [len(words) < 200, 100 * len(list_distinct(words)) < 50 * len(words),
+    100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t), regexp_matches(t, '[#$%&*|]'),
+    coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)] AS f FROM texts),
+docs AS (
+  SELECT part, f, list_sum(list_transform(f, lambda x: x::INT)) AS fails, count(*) AS n,
+    count(*) FILTER (EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = m.doc_id AND quality = 1)) AS good,
+    count(*) FILTER (EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = m.doc_id AND toxic = 1)) AS toxic
+  FROM marks m GROUP BY ALL),
+orders AS (
+  SELECT '' AS o UNION ALL
+  SELECT o || x FROM orders, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x) WHERE NOT contains(o, x)),
+steps AS (SELECT o, s, substr(o, s, 1) AS x FROM orders, (SELECT unnest(range(1, 6))::INT AS s) WHERE length(o) = 5),
+rows AS (
+  SELECT part, o, s, x, n, good, toxic, fails, f[ascii(x) - 64] AS here,
+    list_bool_or(list_transform(range(1, s), lambda k: f[ascii(substr(o, k::INT, 1)) - 64])) IS NOT DISTINCT FROM true AS before
+  FROM steps, docs),
+counted AS (
+  SELECT part, o, s, x,
+    sum(CASE WHEN NOT before AND NOT here THEN n ELSE 0 END)::BIGINT AS kept,
+    sum(CASE WHEN NOT before AND here THEN n ELSE 0 END)::BIGINT AS removed,
+    sum(CASE WHEN before AND here THEN n ELSE 0 END)::BIGINT AS redundant,
+    sum(CASE WHEN here AND fails = 1 THEN n ELSE 0 END)::BIGINT AS unique_fails,
+    sum(CASE WHEN NOT before AND here THEN good ELSE 0 END)::BIGINT AS good_lost,
+    sum(CASE WHEN NOT before AND here THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+  FROM rows GROUP BY ALL)
+SELECT part, o AS filter_order, s AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley FROM counted"""
+
 ORACLES = {
     "op2_secrets": scan(SECRETS, 3, True),
     "op4_warc": WARC,
     "op6_pii": scan(PII, 4, False),
     "op9_language": LANGUAGE,
+    "op13_filter_audit": FILTER_AUDIT,
 }

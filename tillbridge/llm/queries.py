@@ -74,4 +74,24 @@ def op10_hmm_scores(spark, sf_dir):
     return markov.score_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_neighbours, op2_secrets, op3_url_filter, op4_warc, op5_packing, op6_pii, op7_decontamination, op8_probminhash, op9_language, op10_hmm_scores)}
+def op11_suffix_dedup(spark, sf_dir):
+    from tillbridge.llm import suffixes
+
+    return suffixes.repeats(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark, sf_dir):
+    from tillbridge.llm import spelling
+
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark, sf_dir):
+    from tillbridge.llm import filter_audit
+
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_neighbours, op2_secrets, op3_url_filter, op4_warc, op5_packing, op6_pii, op7_decontamination, op8_probminhash,
+    op9_language, op10_hmm_scores, op11_suffix_dedup, op12_spelling_variants, op13_filter_audit)}
