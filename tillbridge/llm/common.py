@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillbridge.session import shared_folder
+from tillbridge.session import drop_folder, shared_folder
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 SLICE_BYTES = 1 << 20  # text bytes handled at once by the numpy kernels
@@ -39,6 +39,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.root = spark, f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
         self.folders: dict[int, str] = {}
+        self.frames: list[DataFrame] = []
 
     def folder(self, name: str) -> str:
         return f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
@@ -53,15 +54,20 @@ class Scratch:
             self.spark.conf.set(CLEANUP, before)
         kept = self.spark.read.schema(frame.schema).parquet(folder)
         self.folders[id(kept)] = folder
-        kept._scratch = self  # the ids stay unique while the frames live
+        self.frames.append(kept)  # the ids stay unique while the frames live
         return kept
 
+    def drop_all_but(self, *frames: DataFrame) -> None:
+        """Delete every table of this scratch folder, but for those the frames named read."""
+        kept = {id(f) for f in frames}
+        for folder in [self.folders.pop(k) for k in list(self.folders) if k not in kept]:
+            drop_folder(self.spark, folder)
+
     def drop(self, *frames: DataFrame) -> None:
         for frame in frames:
             folder = self.folders.pop(id(frame), None)
             if folder:
-                path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
-                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+                drop_folder(self.spark, folder)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -115,6 +115,55 @@ apart AS (
 best AS (SELECT r, arg_min(lang, (d, lang)) AS lang_pred, 1 - min(d)::DOUBLE / (400 * any_value(many)) AS score FROM apart GROUP BY r)
 SELECT doc_id, held_out, coalesce(lang_pred, 'und') AS lang_pred, coalesce(score, 0.0)::DOUBLE AS score FROM docs LEFT JOIN best USING (r)"""
 
+
+
+def nibble_table() -> list[int]:
+    """Remainders of the sixteen half bytes for CRC-32."""
+    table = []
+    for value in range(16):
+        for _ in range(4):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        table.append(value)
+    return table
+
+
+def crc32_latin(text: str) -> str:
+    """CRC-32 of the UTF-8 bytes of a string of code points below 256, by half bytes."""
+    points = f"list_transform(string_split({text}, ''), lambda c: unicode(c))"
+    octets = f"flatten(list_transform({points}, lambda p: CASE WHEN p < 128 THEN [p] ELSE [192 + p // 64, 128 + p % 64] END))"
+    halves = f"flatten(list_transform({octets}, lambda o: [o % 16, o // 16]))::BIGINT[]"
+    table = "[" + ", ".join(f"{v}::BIGINT" for v in nibble_table()) + "]"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {halves}), lambda a, h: xor(a >> 4, {table}[(xor(a, h) & 15) + 1])), 4294967295::BIGINT)"
+
+
+SPELLING = f"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') || ':' AS id,
+    translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{{7,}}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents),
+distinct_runs AS (SELECT id, run, count(*) AS many FROM runs GROUP BY ALL),
+hashed AS (SELECT run, many, {crc32_latin('id || run')} AS h FROM distinct_runs),
+spelled AS (
+  SELECT CASE WHEN h % 31 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run) + 2)::INT) ELSE run END AS word, many
+  FROM hashed),
+words AS (SELECT word, sum(many)::BIGINT AS n FROM spelled WHERE length(word) >= 7 GROUP BY word HAVING sum(many) >= 2),
+cut AS (
+  SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1))::INT AS i FROM words)),
+pairs AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, arg_min(near, (-near_n, encode(near))) AS near, max(near_n) AS near_n FROM pairs GROUP BY word),
+formed AS (
+  SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN near_n >= 10 * n THEN near END AS form,
+    CASE WHEN near_n >= 10 * n THEN near_n END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+walk AS (
+  SELECT word, word AS root FROM formed UNION ALL SELECT walk.word, form FROM walk JOIN formed ON formed.word = root WHERE form IS NOT NULL),
+roots AS (SELECT walk.word, root FROM walk JOIN formed ON formed.word = root WHERE form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN roots USING (word)"""
+
 FILTER_AUDIT = """
 WITH RECURSIVE texts AS (
   SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
@@ -153,5 +202,6 @@ ORACLES = {
     "op4_warc": WARC,
     "op6_pii": scan(PII, 4, False),
     "op9_language": LANGUAGE,
+    "op12_spelling_variants": SPELLING,
     "op13_filter_audit": FILTER_AUDIT,
 }
