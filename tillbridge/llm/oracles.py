@@ -197,11 +197,35 @@ counted AS (
 SELECT part, o AS filter_order, s AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
   (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley FROM counted"""
 
+REPEATS = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+pieces AS (
+  SELECT doc_id, p, least(500, n - 99 - p) AS many, h[2 * p + 1:2 * p + 1200] AS h
+  FROM (SELECT doc_id, n, h, unnest(range(0, n - 99, 500)) AS p FROM d)),
+w AS (
+  SELECT doc_id, p + k AS s, md5(h[2 * k + 1:2 * k + 200]) AS m FROM (SELECT doc_id, p, h, unnest(range(0, many)) AS k FROM pieces)),
+gone AS (
+  SELECT doc_id, s FROM w QUALIFY (doc_id, s) <> min((doc_id, s)) OVER (PARTITION BY m)),
+islands AS (
+  SELECT doc_id, s, sum(CASE WHEN s <= before + 100 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY s) AS island
+  FROM (SELECT doc_id, s, lag(s) OVER (PARTITION BY doc_id ORDER BY s) AS before FROM gone)),
+spans AS (SELECT doc_id, min(s) AS a, max(s) + 100 AS b FROM islands GROUP BY doc_id, island),
+cuts AS (
+  SELECT doc_id, list(a ORDER BY a) AS starts, list(b ORDER BY a) AS ends, sum(b - a) AS removed, count(*) AS many
+  FROM spans GROUP BY doc_id),
+kept AS (
+  SELECT d.doc_id, n, coalesce(removed, 0) AS removed, coalesce(many, 0) AS many,
+    CASE WHEN many IS NULL THEN h ELSE array_to_string(list_transform(range(0, many + 1), lambda k:
+      h[2 * CASE WHEN k = 0 THEN 0 ELSE ends[k] END + 1:2 * CASE WHEN k = many THEN n ELSE starts[k + 1] END]), '') END AS rest
+  FROM d LEFT JOIN cuts ON d.doc_id IS NOT DISTINCT FROM cuts.doc_id)
+SELECT doc_id, n::BIGINT AS n_bytes, removed::BIGINT AS n_removed, many::BIGINT AS n_spans, sha256(unhex(rest)) AS kept_sha256 FROM kept"""
+
 ORACLES = {
     "op2_secrets": scan(SECRETS, 3, True),
     "op4_warc": WARC,
     "op6_pii": scan(PII, 4, False),
     "op9_language": LANGUAGE,
+    "op11_suffix_dedup": REPEATS,
     "op12_spelling_variants": SPELLING,
     "op13_filter_audit": FILTER_AUDIT,
 }

@@ -77,7 +77,7 @@ def op10_hmm_scores(spark, sf_dir):
 def op11_suffix_dedup(spark, sf_dir):
     from tillbridge.llm import suffixes
 
-    return suffixes.repeats(table(spark, sf_dir, "documents"))
+    return suffixes.repeats(table(spark, sf_dir, "documents")).drop("spans")
 
 
 def op12_spelling_variants(spark, sf_dir):
