@@ -6,11 +6,11 @@ window that repeats is removed. Windows are judged on the input and never cross
 
 Not every suffix can be sent to be sorted. Each window has an anchor, the 32-byte string in it
 with the least hash (the first of equal ones), so equal windows have equal anchors at equal places.
-One anchor serves some 35 windows in a row; with the bytes they span it is a context. Contexts
-whose anchor's hash occurs once in the corpus hold no window that repeats and go no further.
-Equal contexts are collapsed to the earliest, which combines before the shuffle: in all others every
-window repeats. What is left meets by anchor, and the suffixes at the windows of all contexts of an
-anchor are sorted deep-shallow, to 100 bytes:
+One anchor serves some 30 windows in a row; with the bytes they span these are a context. Runs of some
+16 anchors, cut where a hash is a multiple of 16, are chunks. Equal chunks, by 128 bits of
+SHA-256, are collapsed to the earliest, which combines before the shuffle: in all others every
+window repeats. The contexts of the chunks left meet by anchor; equal ones are collapsed as well, and
+the suffixes at the windows of the others are sorted deep-shallow, to 100 bytes:
 
 * multikey quicksort, eight bytes as one character, to ``SHALLOW`` bytes; groups of one suffix are
   done as soon as they appear;
@@ -18,8 +18,9 @@ anchor are sorted deep-shallow, to 100 bytes:
   characters alone, is compared once with the leaf it meets, and branches off where they differ.
 
 Suffixes equal to 100 bytes end in one leaf, and all but the earliest repeat. An anchor of more than
-``CONTEXTS`` contexts (a short line that many documents share) has its windows grouped one by one
-by their bytes instead, as these combine before the shuffle.
+``CONTEXTS`` contexts has equal ones collapsed before the shuffle; if as many different ones are left (a
+short line that many documents share), its windows are grouped one by one by their bytes, which
+combine before the shuffle as well.
 
 Defined results: a null text is empty. Documents are ordered by id, null first; rows of one id but
 different texts by a 64-bit hash of the row; rows equal in both are one document and get equal
@@ -30,6 +31,7 @@ ignored. A text is held whole by one task; nothing else in memory grows with the
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -45,10 +47,10 @@ WIDTH = 100
 ANCHOR = 32
 SHALLOW = 32
 CONTEXTS = 1000
-SORT_BYTES = 1 << 22  # context bytes sorted together
+CHUNK = 16  # anchors of a chunk, on average
+SORT_BYTES = 1 << 21  # context bytes sorted together
 
 
-_SPOT = "hash long, at int, first int, windows int"
 
 
 def _hashes(data: np.ndarray) -> np.ndarray:
@@ -87,6 +89,8 @@ def anchors(data: np.ndarray, starts: np.ndarray):
             kept = froms < tos
             parts.append((places[kept], froms[kept], (tos - froms)[kept]))
         place, first, count = map(np.concatenate, zip(*parts))
+        order = np.argsort(first)
+        place, first, count = place[order], first[order], count[order]
     return hashes[place], place, first, count
 
 
@@ -107,20 +111,28 @@ def _parts(texts: pa.Array):
                 yield row, piece, np.array([0, len(piece)]), at
 
 
-def _anchors(batches):
+def _rows(batch, row: int, own: np.ndarray) -> list:
+    rows = pa.array(row + own)
+    return [batch.column("doc_id").take(rows), batch.column("row").take(rows)]
+
+
+def _chunks(batches):
+    """Runs of some ``CHUNK`` anchors: first window, number of windows, and a digest of their bytes."""
     for batch in batches:
         for row, data, offsets, at in _parts(batch.column("text")):
             windows = np.maximum(np.diff(offsets) - WIDTH + 1, 0)
             if not windows.any():
                 continue
-            starts = np.repeat(offsets[:-1] - np.cumsum(windows) + windows, windows) + np.arange(windows.sum())
-            hashes, place, first, count = anchors(data, starts)
+            hashes, _, first, count = anchors(data, np.repeat(offsets[:-1] - np.cumsum(windows) + windows, windows) + np.arange(windows.sum()))
             own = np.searchsorted(offsets, first, "right") - 1
-            rows = pa.array(row + own)
+            new = np.flatnonzero(np.concatenate([[True], (hashes[1:] % CHUNK == 0) | (np.diff(own) != 0)]))
+            first, own, count = first[new], own[new], np.add.reduceat(count, new)
+            view = memoryview(data)
+            digests = [hashlib.sha256(view[a:b]).digest()[:16] for a, b in zip(first.tolist(), (first + count + WIDTH - 1).tolist())]
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id").take(rows), batch.column("row").take(rows), pa.array(hashes.view(np.int64)),
-                *[pa.array((x - offsets[own] + at if k < 2 else x).astype(np.int32)) for k, x in enumerate((place, first, count))],
-            ], ["doc_id", "row", "hash", "at", "first", "windows"])
+                *_rows(batch, row, own), pa.array((first - offsets[own] + at).astype(np.int32)),
+                pa.array(count.astype(np.int32)), pa.array(digests, pa.binary()),
+            ], ["doc_id", "row", "begin", "windows", "digest"])
 
 
 def _gathered(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> pa.Array:
@@ -129,8 +141,8 @@ def _gathered(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> pa.A
     return pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(taken)])
 
 
-def _spots(column):
-    """Offsets of each row's spots, and their fields."""
+def _lists(column):
+    """Offsets of each row's list of structs, and the fields of all."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     ends = np.concatenate([[0], np.cumsum(pc.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False))])
@@ -138,22 +150,31 @@ def _spots(column):
     return ends.astype(np.int64), {f.name: flat.field(k).to_numpy(zero_copy_only=False) for k, f in enumerate(flat.type)}
 
 
-def _contexts(batches):
-    """The bytes that the windows of each spot span."""
+def _contexts(batches, with_bytes: bool):
+    """The anchors of the kept windows; with the bytes that the windows of each span, or hashes alone."""
     for batch in batches:
-        ends, spots = _spots(batch.column("spots"))
-        texts = batch.column("text")
-        for k in range(batch.num_rows):
-            data = np.frombuffer(texts[k].as_buffer(), np.uint8)
-            for at in range(ends[k], ends[k + 1], 1 << 13):
-                part = {name: x[at:min(at + (1 << 13), ends[k + 1])].astype(np.int64) for name, x in spots.items()}
-                many = len(part["at"])
-                rows = pa.array(np.full(many, k))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(part["hash"]), pa.array((part["at"] - part["first"]).astype(np.int32)),
-                    _gathered(data, part["first"], part["windows"] + WIDTH - 1).cast(pa.binary()),
-                    batch.column("doc_id").take(rows), batch.column("row").take(rows), pa.array(part["first"].astype(np.int32)),
-                ], ["hash", "back", "bytes", "doc_id", "row", "first"])
+        ends, kept = _lists(batch.column("kept"))
+        for row, data, offsets, at in _parts(batch.column("text")):
+            own = np.repeat(np.arange(len(offsets) - 1), np.diff(ends[row:row + len(offsets)]))
+            ranges = slice(ends[row], ends[row + len(offsets) - 1])
+            begin = kept["begin"][ranges].astype(np.int64) + offsets[own] - at
+            end = np.minimum(begin + kept["windows"][ranges], len(data) - WIDTH + 1)
+            begin = np.maximum(begin, 0)
+            order = np.argsort(begin)
+            begin, many = begin[order], np.maximum(end - begin, 0)[order]
+            if not many.any():
+                continue
+            starts = np.repeat(begin - np.cumsum(many) + many, many) + np.arange(many.sum())
+            hashes, place, first, count = anchors(data, starts)
+            if not with_bytes:
+                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], ["hash"])
+                continue
+            own = np.searchsorted(offsets, first, "right") - 1
+            yield pa.RecordBatch.from_arrays([
+                pa.array(hashes.view(np.int64)), pa.array((place - first).astype(np.int32)),
+                _gathered(data, first, count + WIDTH - 1).cast(pa.binary()), *_rows(batch, row, own),
+                pa.array((first - offsets[own] + at).astype(np.int32)),
+            ], ["hash", "back", "bytes", "doc_id", "row", "first"])
 
 
 def trie_order(blob: bytes, suffixes: list[int], depth: int) -> list[list[int]]:
@@ -227,47 +248,62 @@ def earliest(blob: bytes, places: np.ndarray, groups: np.ndarray, rank: np.ndarr
     return first
 
 
-def _fresh(table: pa.Table) -> pa.RecordBatch:
-    """Runs of windows that occur first in their own context, of whole anchors sorted by hash."""
+def _repeated(table: pa.Table) -> pa.RecordBatch:
+    """Runs of windows that occur earlier, among whole anchors sorted by hash, place in the context, and bytes."""
     table = table.combine_chunks()
     hashes, back, lo = (table[c].to_numpy().astype(np.int64) for c in ("hash", "back", "first"))
-    column = table["bytes"].combine_chunks().cast(pa.large_binary()) if table.num_rows else None
+    column = table["bytes"].combine_chunks().cast(pa.large_binary())
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
-    blob = column.buffers()[2].to_pybytes()[offsets[0]:offsets[-1]]
-    offsets = offsets - offsets[0]
-    windows = np.diff(offsets) - WIDTH + 1
-    anchor = np.cumsum(np.concatenate([[True], hashes[1:] != hashes[:-1]])) - 1
-    shared = np.flatnonzero(np.bincount(anchor)[anchor] > 1)
-    starts = np.concatenate([[0], np.cumsum(windows)])
-    fresh = np.ones(starts[-1], bool)
-    if len(shared):
-        own = table.select(["doc_id", "row"]).take(pa.array(shared)).append_column("at", pa.array((lo + back)[shared]))
-        order = pc.sort_indices(own, [("doc_id", "ascending"), ("row", "ascending"), ("at", "ascending")], null_placement="at_start").to_numpy()
-        rank = np.empty(len(shared), np.int64)
-        rank[order] = np.arange(len(shared))
-        many = windows[shared]
-        within = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        ahead = np.repeat(back[shared], many) - within  # equal windows lie alike around their anchor
-        fresh[np.repeat(starts[shared], many) + within] = earliest(
-            blob, np.repeat(offsets[shared], many) + within, np.repeat(anchor[shared], many) * (WIDTH + 1) + ahead,
-            np.repeat(rank, many))
-    edge = np.zeros(len(fresh) + 1, np.int8)
-    edge[:-1] += fresh
-    edge[1:] -= fresh
-    cut = np.zeros(len(fresh) + 1, bool)
-    cut[starts[:-1]] = True
-    begins = np.flatnonzero((edge[:-1] > 0) | (cut[:-1] & fresh))
-    ends = np.flatnonzero((edge < 0) | np.concatenate([[False], cut[1:] & fresh]))
-    context = np.searchsorted(starts, begins, "right") - 1
-    rows = pa.array(context)
+    ids, rows = table["doc_id"].combine_chunks(), table["row"].combine_chunks()
+    order = pc.sort_indices(
+        pa.table({"doc_id": ids, "row": rows, "at": lo + back}),
+        [("doc_id", "ascending"), ("row", "ascending"), ("at", "ascending")], null_placement="at_start").to_numpy()
+    by_place = pa.table({"doc_id": ids, "row": rows, "at": lo + back}).take(pa.array(order))
+    moved = np.zeros(len(order), bool)
+    for name in by_place.column_names:  # one document's place has one rank, though rows may be repeated
+        c = by_place[name].combine_chunks()
+        equal = pc.equal(c[1:], c[:-1]).fill_null(False).to_numpy(zero_copy_only=False)
+        both_null = pc.and_(pc.is_null(c[1:]), pc.is_null(c[:-1])).to_numpy(zero_copy_only=False)
+        moved[1:] |= ~(equal | both_null)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.cumsum(moved)
+    # Equal contexts are neighbours; of each, the earliest goes on.
+    new = np.ones(len(hashes), bool)
+    if len(hashes) > 1:
+        new[1:] = (hashes[1:] != hashes[:-1]) | (back[1:] != back[:-1]) | ~pc.equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+    context = np.cumsum(new) - 1
+    least = np.minimum.reduceat(rank, np.flatnonzero(new))
+    again = rank > least[context]
+    first = np.flatnonzero(~again)
+    first = first[np.concatenate([[True], context[first][1:] != context[first][:-1]])]
+    anchor = np.cumsum(np.concatenate([[True], hashes[first][1:] != hashes[first][:-1]])) - 1
+    first = first[np.bincount(anchor)[anchor] > 1]
+    out = [np.flatnonzero(again), lo[again], lo[again] + np.diff(offsets)[again] - WIDTH + 1]
+    if len(first):
+        many = np.diff(offsets)[first] - WIDTH + 1
+        starts = np.concatenate([[0], np.cumsum(many)])
+        within = np.arange(starts[-1]) - np.repeat(starts[:-1], many)
+        anchor = np.cumsum(np.concatenate([[True], hashes[first][1:] != hashes[first][:-1]]))
+        ahead = np.repeat(back[first], many) - within  # equal windows lie alike around their anchor
+        blob = column.buffers()[2].to_pybytes()[offsets[0]:offsets[-1]]
+        repeats = ~earliest(
+            blob, np.repeat(offsets[first] - offsets[0], many) + within,
+            np.repeat(anchor, many) * (WIDTH + 1) + ahead, np.repeat(rank[first], many))
+        cut = np.zeros(len(repeats) + 1, bool)
+        cut[starts] = True
+        begins = np.flatnonzero(repeats & (cut[:-1] | ~np.concatenate([[False], repeats[:-1]])))
+        ends = np.flatnonzero(repeats & (cut[1:] | ~np.concatenate([repeats[1:], [False]]))) + 1
+        k = np.searchsorted(starts, begins, "right") - 1
+        out = [np.concatenate([a, b]) for a, b in zip(
+            out, (first[k], begins - starts[k] + lo[first[k]], ends - starts[k] + lo[first[k]]))]
+    taken = pa.array(out[0])
     return pa.RecordBatch.from_arrays([
-        table["doc_id"].combine_chunks().take(rows), table["row"].combine_chunks().take(rows),
-        *[pa.array((x - starts[context] + lo[context]).astype(np.int32)) for x in (begins, ends)],
-    ], ["doc_id", "row", "begin", "end"])
+        ids.take(taken), rows.take(taken), *[pa.array(x.astype(np.int32)) for x in out[1:]],
+        pa.array(np.ones(len(taken), np.int32))], ["doc_id", "row", "begin", "end", "sign"])
 
 
-def _sorted_fresh(batches):
-    """Rows come sorted by hash; whole anchors are sorted together, some ``SORT_BYTES`` at a time."""
+def _sorted(batches):
+    """Rows come sorted; whole anchors are sorted together, some ``SORT_BYTES`` at a time."""
     held, size = [], 0
     for batch in batches:
         if not batch.num_rows:
@@ -280,44 +316,42 @@ def _sorted_fresh(batches):
         hashes = table["hash"].to_numpy()
         cut = int(np.searchsorted(hashes, hashes[-1]))
         if cut:
-            yield _fresh(table.slice(0, cut))
+            yield _repeated(table.slice(0, cut))
         held = table.slice(cut).to_batches()
         size = sum(b.nbytes for b in held)
     if held:
-        yield _fresh(pa.Table.from_batches(held))
+        yield _repeated(pa.Table.from_batches(held))
 
 
 def _judged(batches, keep_text: bool):
     for batch in batches:
-        ends, spots = _spots(batch.column("spots"))
-        fresh_ends, fresh = _spots(batch.column("fresh"))
+        kept_ends, first = _lists(batch.column("kept"))
+        mark_ends, marks = _lists(batch.column("marks"))
         texts, out = batch.column("text"), []
         for k in range(batch.num_rows):
             data = texts[k].as_buffer()
-            own = slice(ends[k], ends[k + 1])
-            spans = np.zeros((0, 2), np.int64)
-            if own.stop > own.start:
-                step = np.zeros(len(data) + 1, np.int32)
-                first = spots["first"][own]
-                np.add.at(step, first, 1)
-                np.add.at(step, first + spots["windows"][own], -1)
-                seen = slice(fresh_ends[k], fresh_ends[k + 1])
-                np.add.at(step, fresh["begin"][seen], -1)
-                np.add.at(step, fresh["end"][seen], 1)
+            view, windows, spans = memoryview(data), len(data) - WIDTH + 1, np.zeros((0, 2), np.int64)
+            if windows > 0:
+                step = np.zeros(windows + 1, np.int32)
+                step[0] = 1
+                own, seen = slice(kept_ends[k], kept_ends[k + 1]), slice(mark_ends[k], mark_ends[k + 1])
+                np.add.at(step, first["begin"][own], -1)
+                np.add.at(step, first["begin"][own] + first["windows"][own], 1)
+                np.add.at(step, marks["begin"][seen], marks["sign"][seen])
+                np.add.at(step, marks["end"][seen], -marks["sign"][seen])
                 spans = _runs(np.cumsum(step[:-1]) > 0)
                 if len(spans):  # windows to the bytes they cover
                     cover = np.zeros(len(data) + 1, np.int32)
                     np.add.at(cover, spans[:, 0], 1)
                     np.add.at(cover, spans[:, 1] + WIDTH - 1, -1)
                     spans = _runs(np.cumsum(cover[:-1]) > 0)
-            kept, at, view = [], 0, memoryview(data)
+            at, left = 0, []
             for begin, end in spans.tolist():
-                kept.append(view[at:begin])
+                left.append(view[at:begin])
                 at = end
-            kept.append(view[at:])
-            kept = b"".join(kept)
-            out.append((len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(),
-                        [{"start": a, "end": b} for a, b in spans.tolist()], kept if keep_text else None))
+            left = b"".join([*left, view[at:]])
+            out.append((len(data), len(data) - len(left), len(spans), hashlib.sha256(left).hexdigest(),
+                        [{"start": a, "end": b} for a, b in spans.tolist()], left if keep_text else None))
         columns = list(zip(*out)) or [[]] * 6
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary()]
         yield pa.RecordBatch.from_arrays(
@@ -330,25 +364,41 @@ def _runs(flags: np.ndarray) -> np.ndarray:
     return np.stack([np.flatnonzero(edge > 0), np.flatnonzero(edge < 0)], axis=1)
 
 
-def fresh_windows(contexts: DataFrame, scratch: Scratch, most: int) -> DataFrame:
-    """``doc_id``, ``row``, ``begin``, ``end``: runs of the windows that occur nowhere earlier, as far as
-    the earliest of equal contexts goes; the windows of the others all repeat."""
-    place = F.struct("doc_id", "row", "first")
-    unique = scratch.keep(contexts.groupBy("hash", "back", "bytes").agg(F.min(place).alias("p")).select(
-        "hash", "back", "bytes", "p.*"), "contexts")
-    hot = scratch.keep(hot_keys(unique, F.col("hash"), most + 1), "hot")
-    few = broadcast_if_small(hot)
-    few_contexts = unique.join(few, unique.hash == few.k, "left_anti")
-    schema = f"doc_id {unique.schema['doc_id'].dataType.simpleString()}, row long, begin int, end int"
-    fresh = few_contexts.repartition("hash").sortWithinPartitions("hash").mapInArrow(_sorted_fresh, schema)
+def _marks(texts: DataFrame, scratch: Scratch, most: int) -> DataFrame:
+    """``doc_id``, ``row``, ``begin``, ``end``, ``sign``: runs of kept windows that repeat (1), and of those that
+    do not although another run says so (-1)."""
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    marks = f"doc_id {kind}, row long, begin int, end int, sign int"
+    hot = scratch.keep(hot_keys(
+        texts.mapInArrow(lambda batches: _contexts(batches, False), "hash long"), F.col("hash"), most + 1), "hot")
+    contexts = texts.mapInArrow(
+        lambda batches: _contexts(batches, True), f"hash long, back int, bytes binary, doc_id {kind}, row long, first int")
+
+    def ordered(frame):
+        return frame.repartition("hash").sortWithinPartitions("hash", "back", "bytes").mapInArrow(_sorted, marks)
+
     if hot.isEmpty():
-        return fresh
-    windows = unique.join(few, unique.hash == few.k, "left_semi").select(
+        return ordered(contexts)
+    # Every window of a hot anchor is marked; the earliest of equal contexts are unmarked, whole where
+    # no other context has their anchor's windows, else as far as the sorting finds nothing earlier.
+    few = broadcast_if_small(hot)
+    place, end = F.struct("doc_id", "row", "first"), f"first + length(bytes) - {WIDTH - 1} AS end"
+    often = scratch.keep(contexts.join(few, contexts.hash == few.k, "left_semi"), "often")
+    single = scratch.keep(often.groupBy("hash", "back", "bytes").agg(F.min(place).alias("p")).select(
+        "hash", "back", "bytes", "p.*"), "single")
+    still = scratch.keep(hot_keys(single, F.col("hash"), most + 1), "still")
+    fewer = broadcast_if_small(still)
+    sortable = single.join(fewer, single.hash == fewer.k, "left_anti")
+    windows = single.join(fewer, single.hash == fewer.k, "left_semi").select(
         "doc_id", "row", "first", "bytes", F.expr(f"explode(sequence(0, length(bytes) - {WIDTH})) AS k")).selectExpr(
         "doc_id", "row", "first + k AS first", f"substring(bytes, k + 1, {WIDTH}) AS bytes")
-    single = windows.groupBy("bytes").agg(F.min(place).alias("p")).selectExpr(
-        "p.doc_id", "p.row", "p.first AS begin", "p.first + 1 AS end")
-    return fresh.unionByName(single)
+    parts = [
+        ordered(contexts.join(few, contexts.hash == few.k, "left_anti").unionByName(sortable)),
+        often.selectExpr("doc_id", "row", "first AS begin", end, "2 AS sign"),
+        sortable.selectExpr("doc_id", "row", "first AS begin", end, "-2 AS sign"),
+        windows.groupBy("bytes").agg(F.min(place).alias("p")).selectExpr(
+            "p.doc_id", "p.row", "p.first AS begin", "p.first + 1 AS end", "-2 AS sign")]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def repeats(docs: DataFrame, keep_text: bool = False, most: int = CONTEXTS) -> DataFrame:
@@ -359,17 +409,14 @@ def repeats(docs: DataFrame, keep_text: bool = False, most: int = CONTEXTS) -> D
     scratch = Scratch(docs.sparkSession, "suffixes")
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("row", F.xxhash64("doc_id", "text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    found = scratch.keep(rows.mapInArrow(_anchors, f"doc_id {kind}, row long, {_SPOT}"), "anchors")
-    again = found.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
-    spots = found.join(again, "hash", "left_semi").groupBy("doc_id", "row").agg(
-        F.collect_set(F.struct("hash", "at", "first", "windows")).alias("spots"))
-    joined = scratch.keep(_joined(rows, spots), "texts")
-    scratch.drop(found)
-    contexts = joined.where("spots IS NOT NULL").mapInArrow(
-        _contexts, f"hash long, back int, bytes binary, doc_id {kind}, row long, first int")
-    fresh = scratch.keep(fresh_windows(contexts, scratch, most).groupBy("doc_id", "row").agg(
-        F.collect_list(F.struct("begin", "end")).alias("fresh")), "fresh")
-    whole = scratch.keep(_joined(joined, fresh).mapInArrow(
+    chunks = rows.mapInArrow(_chunks, f"doc_id {kind}, row long, begin int, windows int, digest binary")
+    kept = chunks.groupBy("digest").agg(
+        F.min(F.struct("doc_id", "row", "begin")).alias("p"), F.max("windows").alias("windows"),
+    ).groupBy("p.doc_id", "p.row").agg(F.collect_list(F.struct("p.begin", "windows")).alias("kept"))
+    texts = scratch.keep(_joined(rows, kept), "texts")
+    marks = _marks(texts.where("kept IS NOT NULL"), scratch, most).groupBy("doc_id", "row").agg(
+        F.collect_set(F.struct("begin", "end", "sign")).alias("marks"))
+    whole = scratch.keep(_joined(texts, marks).mapInArrow(
         lambda batches: _judged(batches, keep_text),
         f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string,"
         " spans array<struct<start: bigint, end: bigint>>, kept binary"), "repeats")
