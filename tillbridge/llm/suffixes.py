@@ -6,11 +6,11 @@ window that repeats is removed. Windows are judged on the input and never cross
 
 Not every suffix can be sent to be sorted. Each window has an anchor, the 32-byte string in it
 with the least hash (the first of equal ones), so equal windows have equal anchors at equal places.
-One anchor serves some 30 windows in a row; with the bytes they span these are a context. Runs of some
-16 anchors, cut where a hash is a multiple of 16, are chunks. Equal chunks, by 128 bits of
-SHA-256, are collapsed to the earliest, which combines before the shuffle: in all others every
-window repeats. The contexts of the chunks left meet by anchor; equal ones are collapsed as well, and
-the suffixes at the windows of the others are sorted deep-shallow, to 100 bytes:
+One anchor serves some 30 windows in a row; with the bytes they span these are a context. An anchor
+whose hash occurs once in the corpus has no window that repeats, and its context is never made:
+documents first send hashes alone, and get those back that occur again. The contexts left meet
+by anchor; equal ones are collapsed to the earliest, as in all others every window repeats, and the
+suffixes at the windows of the others are sorted deep-shallow, to 100 bytes:
 
 * multikey quicksort, eight bytes as one character, to ``SHALLOW`` bytes; groups of one suffix are
   done as soon as they appear;
@@ -47,7 +47,6 @@ WIDTH = 100
 ANCHOR = 32
 SHALLOW = 32
 CONTEXTS = 1000
-CHUNK = 16  # anchors of a chunk, on average
 SORT_BYTES = 1 << 21  # context bytes sorted together
 
 
@@ -111,28 +110,20 @@ def _parts(texts: pa.Array):
                 yield row, piece, np.array([0, len(piece)]), at
 
 
-def _rows(batch, row: int, own: np.ndarray) -> list:
-    rows = pa.array(row + own)
-    return [batch.column("doc_id").take(rows), batch.column("row").take(rows)]
+def _all_windows(offsets: np.ndarray) -> np.ndarray:
+    windows = np.maximum(np.diff(offsets) - WIDTH + 1, 0)
+    return np.repeat(offsets[:-1] - np.cumsum(windows) + windows, windows) + np.arange(windows.sum())
 
 
-def _chunks(batches):
-    """Runs of some ``CHUNK`` anchors: first window, number of windows, and a digest of their bytes."""
+def _anchor_hashes(batches):
     for batch in batches:
-        for row, data, offsets, at in _parts(batch.column("text")):
-            windows = np.maximum(np.diff(offsets) - WIDTH + 1, 0)
-            if not windows.any():
-                continue
-            hashes, _, first, count = anchors(data, np.repeat(offsets[:-1] - np.cumsum(windows) + windows, windows) + np.arange(windows.sum()))
-            own = np.searchsorted(offsets, first, "right") - 1
-            new = np.flatnonzero(np.concatenate([[True], (hashes[1:] % CHUNK == 0) | (np.diff(own) != 0)]))
-            first, own, count = first[new], own[new], np.add.reduceat(count, new)
-            view = memoryview(data)
-            digests = [hashlib.sha256(view[a:b]).digest()[:16] for a, b in zip(first.tolist(), (first + count + WIDTH - 1).tolist())]
-            yield pa.RecordBatch.from_arrays([
-                *_rows(batch, row, own), pa.array((first - offsets[own] + at).astype(np.int32)),
-                pa.array(count.astype(np.int32)), pa.array(digests, pa.binary()),
-            ], ["doc_id", "row", "begin", "windows", "digest"])
+        for row, data, offsets, _ in _parts(batch.column("text")):
+            starts = _all_windows(offsets)
+            if len(starts):
+                hashes, _, first, _ = anchors(data, starts)
+                own = np.searchsorted(offsets, first, "right") - 1
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("row").take(pa.array(row + own)), pa.array(hashes.view(np.int64))], ["row", "hash"])
 
 
 def _gathered(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> pa.Array:
@@ -142,38 +133,38 @@ def _gathered(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> pa.A
 
 
 def _lists(column):
-    """Offsets of each row's list of structs, and the fields of all."""
+    """Offsets of each row's list, and the items of all."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     ends = np.concatenate([[0], np.cumsum(pc.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False))])
-    flat = column.flatten()
-    return ends.astype(np.int64), {f.name: flat.field(k).to_numpy(zero_copy_only=False) for k, f in enumerate(flat.type)}
+    return ends.astype(np.int64), column.flatten()
 
 
 def _contexts(batches, with_bytes: bool):
-    """The anchors of the kept windows; with the bytes that the windows of each span, or hashes alone."""
+    """The anchors whose hash is among those of the row, ``again``; with the bytes that the windows of each span, or
+    hashes alone."""
     for batch in batches:
-        ends, kept = _lists(batch.column("kept"))
+        ends, again = _lists(batch.column("again"))
+        again = again.to_numpy(zero_copy_only=False).view(np.uint64)
         for row, data, offsets, at in _parts(batch.column("text")):
             own = np.repeat(np.arange(len(offsets) - 1), np.diff(ends[row:row + len(offsets)]))
-            ranges = slice(ends[row], ends[row + len(offsets) - 1])
-            begin = kept["begin"][ranges].astype(np.int64) + offsets[own] - at
-            end = np.minimum(begin + kept["windows"][ranges], len(data) - WIDTH + 1)
-            begin = np.maximum(begin, 0)
-            order = np.argsort(begin)
-            begin, many = begin[order], np.maximum(end - begin, 0)[order]
-            if not many.any():
+            starts = _all_windows(offsets)
+            if not len(own) or not len(starts):
                 continue
-            starts = np.repeat(begin - np.cumsum(many) + many, many) + np.arange(many.sum())
             hashes, place, first, count = anchors(data, starts)
+            text = np.searchsorted(offsets, first, "right") - 1
+            step = np.uint64(0x9E3779B97F4A7C15)  # tells the rows' hashes apart
+            kept = np.isin(hashes + text.astype(np.uint64) * step, again[ends[row]:ends[row + len(offsets) - 1]] + own.astype(np.uint64) * step)
+            hashes, place, first, count, text = (x[kept] for x in (hashes, place, first, count, text))
             if not with_bytes:
                 yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], ["hash"])
                 continue
-            own = np.searchsorted(offsets, first, "right") - 1
+            rows = pa.array(row + text)
             yield pa.RecordBatch.from_arrays([
                 pa.array(hashes.view(np.int64)), pa.array((place - first).astype(np.int32)),
-                _gathered(data, first, count + WIDTH - 1).cast(pa.binary()), *_rows(batch, row, own),
-                pa.array((first - offsets[own] + at).astype(np.int32)),
+                _gathered(data, first, count + WIDTH - 1).cast(pa.binary()),
+                batch.column("doc_id").take(rows), batch.column("row").take(rows),
+                pa.array((first - offsets[text] + at).astype(np.int32)),
             ], ["hash", "back", "bytes", "doc_id", "row", "first"])
 
 
@@ -325,26 +316,21 @@ def _sorted(batches):
 
 def _judged(batches, keep_text: bool):
     for batch in batches:
-        kept_ends, first = _lists(batch.column("kept"))
-        mark_ends, marks = _lists(batch.column("marks"))
+        ends, marks = _lists(batch.column("marks"))
+        marks = {f.name: marks.field(k).to_numpy(zero_copy_only=False) for k, f in enumerate(marks.type)}
         texts, out = batch.column("text"), []
         for k in range(batch.num_rows):
             data = texts[k].as_buffer()
-            view, windows, spans = memoryview(data), len(data) - WIDTH + 1, np.zeros((0, 2), np.int64)
-            if windows > 0:
-                step = np.zeros(windows + 1, np.int32)
-                step[0] = 1
-                own, seen = slice(kept_ends[k], kept_ends[k + 1]), slice(mark_ends[k], mark_ends[k + 1])
-                np.add.at(step, first["begin"][own], -1)
-                np.add.at(step, first["begin"][own] + first["windows"][own], 1)
-                np.add.at(step, marks["begin"][seen], marks["sign"][seen])
-                np.add.at(step, marks["end"][seen], -marks["sign"][seen])
+            view, own, spans = memoryview(data), slice(ends[k], ends[k + 1]), np.zeros((0, 2), np.int64)
+            if own.stop > own.start:
+                step = np.zeros(len(data) + 1, np.int32)
+                np.add.at(step, marks["begin"][own], marks["sign"][own])
+                np.add.at(step, marks["end"][own], -marks["sign"][own])
                 spans = _runs(np.cumsum(step[:-1]) > 0)
-                if len(spans):  # windows to the bytes they cover
-                    cover = np.zeros(len(data) + 1, np.int32)
-                    np.add.at(cover, spans[:, 0], 1)
-                    np.add.at(cover, spans[:, 1] + WIDTH - 1, -1)
-                    spans = _runs(np.cumsum(cover[:-1]) > 0)
+                cover = np.zeros(len(data) + 1, np.int32)  # windows to the bytes they cover
+                np.add.at(cover, spans[:, 0], 1)
+                np.add.at(cover, spans[:, 1] + WIDTH - 1, -1)
+                spans = _runs(np.cumsum(cover[:-1]) > 0)
             at, left = 0, []
             for begin, end in spans.tolist():
                 left.append(view[at:begin])
@@ -365,8 +351,7 @@ def _runs(flags: np.ndarray) -> np.ndarray:
 
 
 def _marks(texts: DataFrame, scratch: Scratch, most: int) -> DataFrame:
-    """``doc_id``, ``row``, ``begin``, ``end``, ``sign``: runs of kept windows that repeat (1), and of those that
-    do not although another run says so (-1)."""
+    """``doc_id``, ``row``, ``begin``, ``end``, ``sign``: runs of windows; those with a positive sum repeat."""
     kind = texts.schema["doc_id"].dataType.simpleString()
     marks = f"doc_id {kind}, row long, begin int, end int, sign int"
     hot = scratch.keep(hot_keys(
@@ -409,21 +394,21 @@ def repeats(docs: DataFrame, keep_text: bool = False, most: int = CONTEXTS) -> D
     scratch = Scratch(docs.sparkSession, "suffixes")
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("row", F.xxhash64("doc_id", "text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    chunks = rows.mapInArrow(_chunks, f"doc_id {kind}, row long, begin int, windows int, digest binary")
-    kept = chunks.groupBy("digest").agg(
-        F.min(F.struct("doc_id", "row", "begin")).alias("p"), F.max("windows").alias("windows"),
-    ).groupBy("p.doc_id", "p.row").agg(F.collect_list(F.struct("p.begin", "windows")).alias("kept"))
-    texts = scratch.keep(_joined(rows, kept), "texts")
-    marks = _marks(texts.where("kept IS NOT NULL"), scratch, most).groupBy("doc_id", "row").agg(
-        F.collect_set(F.struct("begin", "end", "sign")).alias("marks"))
-    whole = scratch.keep(_joined(texts, marks).mapInArrow(
+    found = rows.mapInArrow(_anchor_hashes, "row long, hash long")
+    twice = found.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
+    again = scratch.keep(found.join(twice, "hash", "left_semi").groupBy("row").agg(
+        F.collect_set("hash").alias("again")), "again")
+    texts = scratch.keep(rows.join(again, "row", "left"), "texts")
+    scratch.drop(again)
+    marks = scratch.keep(_marks(texts.where("again IS NOT NULL"), scratch, most).groupBy("doc_id", "row").agg(
+        F.collect_set(F.struct("begin", "end", "sign")).alias("marks")), "marks")
+    scratch.drop(texts)
+    marked = rows.join(
+        marks.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), "marks"),
+        (F.col("row") == F.col("_row")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id", "_row")
+    whole = scratch.keep(marked.mapInArrow(
         lambda batches: _judged(batches, keep_text),
         f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string,"
         " spans array<struct<start: bigint, end: bigint>>, kept binary"), "repeats")
     scratch.drop_all_but(whole)
     return whole if keep_text else whole.drop("kept")
-
-
-def _joined(rows: DataFrame, found: DataFrame) -> DataFrame:
-    found = found.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), found.columns[-1])
-    return rows.join(found, (F.col("row") == F.col("_row")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id", "_row")
