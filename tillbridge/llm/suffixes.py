@@ -5,7 +5,7 @@ bytes also start earlier: in a document of smaller id, or before it in its own.
 window that repeats is removed. Windows are judged on the input and never cross documents.
 
 Not every suffix can be sent to be sorted. Each window has an anchor, the 32-byte string in it
-with the least hash (the first of equal ones), so equal windows have equal anchors at equal places.
+with the least hash (by its upper half; the first of equal ones), so equal windows have equal anchors at equal places.
 One anchor serves some 30 windows in a row; with the bytes they span these are a context. An anchor
 whose hash occurs once in the corpus has no window that repeats, and its context is never made:
 documents first send hashes alone, and get those back that occur again. The contexts left meet
@@ -39,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillbridge.llm.common import _BYTE, _powers, SLICE_BYTES, Scratch, mix, slices
+from tillbridge.llm.common import Scratch, slices
 from tillbridge.operators.hotkeys import hot_keys
 from tillbridge.sinks.store import broadcast_if_small
 
@@ -47,42 +47,46 @@ WIDTH = 100
 ANCHOR = 32
 SHALLOW = 32
 CONTEXTS = 1000
+PIECE = 1 << 17  # bytes of text at once; their arrays stay in the cache
 SORT_BYTES = 1 << 21  # context bytes sorted together
+_ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93], np.uint64)
 
 
 
 
 def _hashes(data: np.ndarray) -> np.ndarray:
     """64-bit hash of the ``ANCHOR`` bytes from each place on."""
-    powers, inverses = _powers(1 << int(len(data)).bit_length())
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * powers[:len(data)])])
-    return mix((sums[ANCHOR:] - sums[:-ANCHOR]) * inverses[:len(data) - ANCHOR + 1])
+    eight = np.ndarray((len(data) - 7,), "<u8", np.ascontiguousarray(data), strides=(1,)).astype(np.uint64)
+    sixteen = eight[:-8] * _ODD[0] + eight[8:]
+    x = sixteen[:-16] * _ODD[1] + sixteen[16:]
+    x ^= x >> np.uint64(32)
+    return x * _ODD[2]
 
 
 def anchors(data: np.ndarray, starts: np.ndarray):
     """Anchors of the windows that start at ``starts``, ascending: hash, place, first window, windows."""
     hashes, span = _hashes(data), WIDTH - ANCHOR + 1
-    # Least hash of each run of ``span``: of the end of one block and the beginning of the next.
-    blocks = -(-len(hashes) // span)
-    padded = np.full(blocks * span, np.iinfo(np.uint64).max)
-    padded[:len(hashes)] = hashes
-    padded = padded.reshape(blocks, span)
-    ahead = np.minimum.accumulate(padded, axis=1).ravel()
-    behind = np.minimum.accumulate(padded[:, ::-1], axis=1)[:, ::-1].ravel()
-    least = np.minimum(behind[starts], ahead[starts + span - 1])
+    # Least upper half of each run of ``span`` hashes, by runs of twice the length each time.
+    upper = (hashes >> np.uint64(32)).astype(np.uint32)
+    least, length = upper, 1
+    while length < span:
+        step = min(length, span - length)
+        least = np.minimum(least[:-step], least[step:])
+        length += step
+    least = least[starts]
     new = np.flatnonzero(np.concatenate([[True], (least[1:] != least[:-1]) | (np.diff(starts) != 1)]))
     first, value = starts[new], least[new]
     count = np.diff(np.append(new, len(starts)))
     place = np.empty(len(new), np.int64)
     for k in range(0, len(new), 1 << 14):
-        near = np.lib.stride_tricks.sliding_window_view(hashes, span)[first[k:k + (1 << 14)]]
+        near = np.lib.stride_tricks.sliding_window_view(upper, span)[first[k:k + (1 << 14)]]
         place[k:k + (1 << 14)] = first[k:k + (1 << 14)] + np.argmax(near == value[k:k + (1 << 14), None], axis=1)
     again = np.flatnonzero(place < first + count - 1)  # the same bytes once more before the run ends
     if len(again):
         parts = [(np.delete(place, again), np.delete(first, again), np.delete(count, again))]
         for k in again:
             end = first[k] + count[k]
-            places = first[k] + np.flatnonzero(hashes[first[k]:end + span - 1] == value[k])
+            places = first[k] + np.flatnonzero(upper[first[k]:end + span - 1] == value[k])
             froms = np.concatenate([[first[k]], places[:-1] + 1])
             tos = np.minimum(places + 1, end)
             kept = froms < tos
@@ -94,19 +98,19 @@ def anchors(data: np.ndarray, starts: np.ndarray):
 
 
 def _parts(texts: pa.Array):
-    """(first row, bytes, offsets of its rows, place in the first row) of about ``SLICE_BYTES``; a longer
+    """(first row, bytes, offsets of its rows, place in the first row) of about ``PIECE`` bytes; a longer
     text comes in pieces that overlap so that each window is in one."""
-    for row, part in slices(texts):
+    for row, part in slices(texts, PIECE):
         offsets = np.frombuffer(part.buffers()[1], np.int64)[part.offset:part.offset + len(part) + 1]
         if offsets[-1] == offsets[0]:
             continue
         data = np.frombuffer(part.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
         offsets = offsets - offsets[0]
-        if len(data) <= 2 * SLICE_BYTES:
+        if len(data) <= 2 * PIECE:
             yield row, data, offsets, 0
         else:
-            for at in range(0, len(data) - WIDTH + 1, SLICE_BYTES):
-                piece = data[at:at + SLICE_BYTES + WIDTH - 1]
+            for at in range(0, len(data) - WIDTH + 1, PIECE):
+                piece = data[at:at + PIECE + WIDTH - 1]
                 yield row, piece, np.array([0, len(piece)]), at
 
 
@@ -140,9 +144,8 @@ def _lists(column):
     return ends.astype(np.int64), column.flatten()
 
 
-def _contexts(batches, with_bytes: bool):
-    """The anchors whose hash is among those of the row, ``again``; with the bytes that the windows of each span, or
-    hashes alone."""
+def _contexts(batches):
+    """The anchors whose hash is among those of the row, ``again``, with the bytes that their windows span."""
     for batch in batches:
         ends, again = _lists(batch.column("again"))
         again = again.to_numpy(zero_copy_only=False).view(np.uint64)
@@ -156,9 +159,6 @@ def _contexts(batches, with_bytes: bool):
             step = np.uint64(0x9E3779B97F4A7C15)  # tells the rows' hashes apart
             kept = np.isin(hashes + text.astype(np.uint64) * step, again[ends[row]:ends[row + len(offsets) - 1]] + own.astype(np.uint64) * step)
             hashes, place, first, count, text = (x[kept] for x in (hashes, place, first, count, text))
-            if not with_bytes:
-                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], ["hash"])
-                continue
             rows = pa.array(row + text)
             yield pa.RecordBatch.from_arrays([
                 pa.array(hashes.view(np.int64)), pa.array((place - first).astype(np.int32)),
@@ -350,14 +350,11 @@ def _runs(flags: np.ndarray) -> np.ndarray:
     return np.stack([np.flatnonzero(edge > 0), np.flatnonzero(edge < 0)], axis=1)
 
 
-def _marks(texts: DataFrame, scratch: Scratch, most: int) -> DataFrame:
+def _marks(texts: DataFrame, hot: DataFrame, scratch: Scratch, most: int) -> DataFrame:
     """``doc_id``, ``row``, ``begin``, ``end``, ``sign``: runs of windows; those with a positive sum repeat."""
     kind = texts.schema["doc_id"].dataType.simpleString()
     marks = f"doc_id {kind}, row long, begin int, end int, sign int"
-    hot = scratch.keep(hot_keys(
-        texts.mapInArrow(lambda batches: _contexts(batches, False), "hash long"), F.col("hash"), most + 1), "hot")
-    contexts = texts.mapInArrow(
-        lambda batches: _contexts(batches, True), f"hash long, back int, bytes binary, doc_id {kind}, row long, first int")
+    contexts = texts.mapInArrow(_contexts, f"hash long, back int, bytes binary, doc_id {kind}, row long, first int")
 
     def ordered(frame):
         return frame.repartition("hash").sortWithinPartitions("hash", "back", "bytes").mapInArrow(_sorted, marks)
@@ -395,12 +392,13 @@ def repeats(docs: DataFrame, keep_text: bool = False, most: int = CONTEXTS) -> D
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("row", F.xxhash64("doc_id", "text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     found = rows.mapInArrow(_anchor_hashes, "row long, hash long")
-    twice = found.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
-    again = scratch.keep(found.join(twice, "hash", "left_semi").groupBy("row").agg(
+    twice = scratch.keep(found.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1"), "twice")
+    again = scratch.keep(found.join(twice.select("hash"), "hash", "left_semi").groupBy("row").agg(
         F.collect_set("hash").alias("again")), "again")
     texts = scratch.keep(rows.join(again, "row", "left"), "texts")
     scratch.drop(again)
-    marks = scratch.keep(_marks(texts.where("again IS NOT NULL"), scratch, most).groupBy("doc_id", "row").agg(
+    marks = scratch.keep(_marks(
+        texts.where("again IS NOT NULL"), twice.where(F.col("n") > most).select(F.col("hash").alias("k")), scratch, most).groupBy("doc_id", "row").agg(
         F.collect_set(F.struct("begin", "end", "sign")).alias("marks")), "marks")
     scratch.drop(texts)
     marked = rows.join(
