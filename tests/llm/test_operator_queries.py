@@ -38,7 +38,7 @@ def test_query_equals_its_sql(spark, duck, name):
 
 
 def test_every_operator_has_its_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) <= set(entry.queries()) and "pipeline" in entry.queries()
     assert set(ORACLES) <= set(entry.oracle_sql())
 
