@@ -14,7 +14,7 @@ from tillbridge.operators.classification import (
     accepted_rows, canonicalize, classify, flag_outliers, mark_duplicates, quarantine_rows,
     reason_counts,
 )
-from tillbridge.operators.hotkeys import hot_keys
+from tillbridge.operators.hotkeys import heavy_hitters, hot_keys
 
 
 def outcome(spark, rows, **options):
@@ -145,6 +145,37 @@ def test_every_hot_key_is_found(spark):
     assert hot_keys(many, F.col("k"), 5).count() == 4000 and hot_keys(many, F.col("k"), 6).isEmpty()
 
 
+def test_heavy_hitters_are_the_hot_keys(spark):
+    rows = skewed(spark)
+    key = F.when(F.trim("txn") != "", F.xxhash64("txn"))
+    hot = rows.where("txn = 'HOT'").select(F.xxhash64("txn")).first()[0]
+    for counters in (1, 64, 4096, 100_000):  # counted whole, lowered, counted whole by each task
+        assert [r.k for r in heavy_hitters(rows, key, 1000, counters).collect()] == [hot]
+    assert heavy_hitters(rows.where("txn <> 'HOT'"), key, 1000, 64).isEmpty()
+    assert heavy_hitters(rows.limit(0), key, 1000).isEmpty()
+    many = spark.range(0, 20_000, 1, 8).select((F.col("id") % 4000).alias("k"))
+    for counters in (8, 1000, 4000):
+        assert heavy_hitters(many, F.col("k"), 5, counters).count() == 4000
+        assert heavy_hitters(many, F.col("k"), 6, counters).isEmpty()
+
+
+def test_heavy_hitters_at_the_bound(spark):
+    # Counts around the bound, in an order that lowers them again and again.
+    sizes = {k: 90 + k % 25 for k in range(60)}
+    rows = [(k,) for r in range(115) for k, n in sizes.items() if r < n] + [(1000 + k,) for k in range(3000)]
+    frame = spark.createDataFrame(rows, "k long").repartition(7)
+    expected = sorted(k for k, n in sizes.items() if n >= 100)
+    for counters in (20, 50, 200, 300):
+        assert sorted(r.k for r in heavy_hitters(frame, F.col("k"), 100, counters).collect()) == expected
+
+
+def test_no_shuffle_of_all_ids(spark):
+    frame = spark.range(0, 100_000, 1, 8).select(F.expr("IF(id % 4 = 0, -1, id)").alias("k"))
+    found = heavy_hitters(frame, F.col("k"), 20_000, 64)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and [r.k for r in found.collect()] == [-1]
+
+
 def test_skewed_rows_are_spread_over_partitions(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:

@@ -15,7 +15,7 @@ from tillbridge.functions.numeric import (
     multiply_divide_decimal, to_units, units_to_numeric, with_amount,
 )
 from tillbridge.functions.text import canonical_code, strip
-from tillbridge.operators.hotkeys import hot_keys
+from tillbridge.operators.hotkeys import heavy_hitters
 from tillbridge.sinks.store import broadcast_if_small
 from tillbridge.sources.scan import instant
 
@@ -78,7 +78,7 @@ def mark_duplicates(canonical: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame
     payload = F.struct(*_PAYLOAD)
     order = F.struct("source_file", "source_row_number")
     # Invalid rows may make an id look hot; that only picks the method.
-    hot = hot_keys(canonical, F.when(F.col("txn_id") != "", key), hot_rows)
+    hot = heavy_hitters(canonical, F.when(F.col("txn_id") != "", key), hot_rows)
 
     alone, judged = ~valid, canonical
     any_hot = not hot.isEmpty()
