@@ -12,6 +12,7 @@ from tillbridge.contracts import (
     ACCEPTED, FACT, FILE_AUDIT, PIPELINE_RUNS, QUARANTINE, RAW_FX_RATES, RAW_TRANSACTIONS,
 )
 from tillbridge.errors import BatchError, ContractError
+from tillbridge.plans import pipeline
 from tillbridge.plans.pipeline import build_fact, classify_and_load, load_raw, run_batches
 from tillbridge.plans.publication import create_public_views, latest_runs
 from tillbridge.sinks.store import Store, append_new, ensure_namespace, ensure_store, ensure_table
@@ -138,6 +139,41 @@ def test_malformed_file_fails_its_own_date(spark, store, landed):
         load_raw(spark, store, str(landed), [NEXT], known, AT)
 
 
+def test_files_are_parsed_once(spark, store, landed):
+    write_gz(landed / f"transactions/business_date={LATER}/sales_bkk_{LATER:%Y%m%d}.csv.gz", "txn,dtts,amount,currency\nT,1\n")
+    write_day(landed, LATER, {"bkk": [f"T,{LATER} 09:30:00,1,THB", "T,1", "T,1,2,3,4"], "south": []})
+    calls = []
+    original = pipeline.read_transactions
+
+    def read(session, locations, *rest, **more):
+        calls.append(len(locations))
+        return original(session, locations, *rest, **more)
+
+    pipeline.read_transactions = read
+    try:
+        summary = load_raw(spark, store, str(landed), [DAY, NEXT, LATER], register(spark, landed), AT, on_error="return")
+    finally:
+        pipeline.read_transactions = original
+    assert calls == [15]  # one job for all dates, the bad one included
+    assert [(r.status, r.tx_source_rows, r.tx_inserted_rows) for r in summary] == [
+        ("SUCCESS", 11, 11), ("SUCCESS", 5, 5), ("FAILED", 0, 0)]
+    assert "2 malformed rows in" in summary[2].error and "sales_bkk" in summary[2].error
+
+
+def test_empty_file_fails_its_own_date(spark, store, landed):
+    (landed / f"transactions/business_date={NEXT}/sales_bkk_{NEXT:%Y%m%d}.csv.gz").write_bytes(b"")
+    summary = load_raw(spark, store, str(landed), [DAY, NEXT], register(spark, landed), AT, on_error="return")
+    assert [(r.status, r.tx_inserted_rows) for r in summary] == [("SUCCESS", 11), ("FAILED", 0)]
+    assert "header of" in summary[1].error
+
+
+def test_file_that_is_no_gzip_fails_its_own_date(spark, store, landed):
+    (landed / f"transactions/business_date={NEXT}/sales_bkk_{NEXT:%Y%m%d}.csv.gz").write_bytes(b"\x1f\x8bno gzip")
+    summary = load_raw(spark, store, str(landed), [DAY, NEXT], register(spark, landed), AT, on_error="return")
+    assert [(r.status, r.tx_inserted_rows) for r in summary] == [("SUCCESS", 11), ("FAILED", 0)]
+    assert "cannot load" in summary[1].error
+
+
 def test_stray_file_fails_the_date(spark, store, landed):
     write_gz(landed / f"transactions/business_date={DAY}/sub/EXTRA", "x")
     summary = load_raw(spark, store, str(landed), [DAY, NEXT], register(spark, landed), AT, on_error="return")
@@ -191,7 +227,7 @@ def test_later_run_decides_whatever_its_name(spark, store, landed):
     latest = latest_runs(spark.table(store.table(PIPELINE_RUNS))).first()
     assert (latest.run_id, latest.status) == ("run-10", "FAILED")
     left = [p for p in Path(spark.conf.get("spark.checkpoint.dir")).glob("*-*")
-            if p.name.split("-")[0] in ("classified", "transactions", "fx", "counted")]
+            if p.name.split("-")[0] in ("classified", "transactions", "fx", "staged")]
     assert left == []
 
 

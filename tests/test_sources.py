@@ -12,7 +12,7 @@ from tillbridge.contracts import FX_HEADER, REGIONS, SOURCE_MANIFEST, TRANSACTIO
 from tillbridge.errors import SourceError
 from tillbridge.sinks.store import write_manifest
 from tillbridge.sources import daily, files, landing, paths
-from tillbridge.sources.scan import instant, number_rows, read_transactions, scan_csv
+from tillbridge.sources.scan import file_verdicts, instant, number_rows, read_transactions, scan_checked, scan_csv
 
 NEXT = DAY + timedelta(1)
 
@@ -121,6 +121,44 @@ def test_checksums(spark, tmp_path):
                     "central": None, "northeast": None}
 
 
+def test_long_files_are_streamed(spark, tmp_path):
+    texts = {f"f {n}%20.bin": bytes([n % 256]) * n for n in (1, 99, 100, 101, 5000)}
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text)
+    found = files.file_hashes(spark, f"{tmp_path}/*.bin", streamed_bytes=100).collect()
+    assert {(r.path.rsplit("/", 1)[1], r.length, r.sha256) for r in found} == {
+        (name, len(text), hashlib.sha256(text).hexdigest()) for name, text in texts.items()}
+
+
+def test_a_file_above_two_gibibytes(spark, tmp_path):
+    path = tmp_path / "large.bin"
+    with path.open("wb") as out:  # takes no room on disk
+        out.truncate((1 << 31) + 5)
+    digest, zeros = hashlib.sha256(), bytes(1 << 20)
+    for _ in range(1 << 11):
+        digest.update(zeros)
+    digest.update(bytes(5))
+    assert [(r.length, r.sha256) for r in files.file_hashes(spark, str(path)).collect()] == [((1 << 31) + 5, digest.hexdigest())]
+
+
+def test_one_pass_judges_files(spark, tmp_path):
+    texts = {
+        "good": 'txn,dtts,amount,currency\n a ,"b\nc",,"q ""x"""\n,,,\n', "only-header": "txn,dtts,amount,currency\n",
+        "turned": "txn,amount,dtts,currency\n1,2,3,4\n", "no-header": "1,2,3,4\n5,6,7,8\n", "empty": "",
+        "short": "txn,dtts,amount,currency\n1,2,3\n1,2,3,4\n", "long": "txn,dtts,amount,currency\n1,2,3,4,5\n",
+        "long-header": "txn,dtts,amount,currency,more\n1,2,3,4\n"}
+    for name, text in texts.items():
+        write_gz(tmp_path / f"{name}.csv.gz", text)
+    rows = scan_checked(spark, str(tmp_path), TRANSACTION_HEADER).withColumn("name", F.regexp_extract("path", r"([a-z-]+)\.csv", 1))
+    verdicts = {r.name: (r.rows, r.malformed_rows, r.header_ok) for r in file_verdicts(rows, "name").collect()}
+    assert verdicts == {
+        "good": (2, 0, True), "only-header": (0, 0, True), "turned": (1, 0, False), "no-header": (1, 0, False),
+        "short": (2, 1, True), "long": (1, 1, True), "long-header": (1, 0, False)}
+    good = rows.where("name = 'good' and source_row_number > 0").orderBy("source_row_number")
+    assert [tuple(r) for r in good.select("source_row_number", *TRANSACTION_HEADER.names).collect()] == [
+        (1, " a ", "b\nc", "", 'q "x"'), (2, "", "", "", "")]
+
+
 def test_discovery_sees_every_name(spark, tmp_path):
     write_day(tmp_path, DAY, {})
     folder = tmp_path / paths.transaction_folder(DAY)
@@ -140,7 +178,8 @@ def test_many_dates_are_one_scan(spark, tmp_path):
     listed = files.discover_transactions(spark, str(tmp_path), days)
     hashed = files.file_hashes(spark, *[r.path for r in listed.collect()])
     plan = hashed._jdf.queryExecution().executedPlan().toString()
-    assert hashed.count() == 100 and plan.count("FileScan") == 1 and "Union" not in plan
+    assert hashed.count() == 100 and plan.count("FileScan") == 2  # of the contents, and of the lengths
+    assert plan.count("ReadSchema: struct<path:string,length:bigint,content:binary>") == 1
 
 
 def test_missing_folder_lists_nothing(spark, tmp_path):

@@ -17,8 +17,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from tillbridge.contracts import (
-    ACCEPTED, FACT, FILE_AUDIT, FX_HEADER, PIPELINE_RUNS, QUARANTINE, RAW_FX_RATES,
-    RAW_TRANSACTIONS, REGIONS, TRANSACTION_HEADER,
+    ACCEPTED, FACT, FILE_AUDIT, PIPELINE_RUNS, QUARANTINE, RAW_FX_RATES, RAW_TRANSACTIONS, REGIONS,
 )
 from tillbridge.errors import BatchError
 from tillbridge.operators.classification import HOT_ROWS, accepted_rows, classify, quarantine_rows
@@ -33,10 +32,11 @@ from tillbridge.sinks.store import (
 )
 from tillbridge.sources import files as sources
 from tillbridge.sources import paths
-from tillbridge.sources.scan import read_fx, read_transactions, scan_csv
+from tillbridge.sources.scan import file_verdicts, read_fx, read_transactions
 
 FAILED = "FAILED"
 EMPTY = "EMPTY"
+_COUNTED = "source_file string, source_checksum string, batch_date date, rows long"
 
 
 @dataclass
@@ -85,9 +85,11 @@ def _fail_by_file(days: _Dates, problems: DataFrame) -> None:
 
 def _hashed(spark, files: DataFrame, registered: DataFrame) -> DataFrame:
     """Hash the listed files and compare; one row per file. At most a few files per date
-    pass the checks before, so their paths are few."""
+    pass the checks before, so their paths are few. Spark's scans leave out empty files, so those
+    are hashed from the listing."""
     locations = [r.path for r in files.select("path").collect()]
-    hashed = sources.file_hashes(spark, *locations).withColumn(
+    empty = files.where("length = 0").select("path", "length", F.sha2(F.lit("").cast("binary"), 256).alias("sha256"))
+    hashed = sources.file_hashes(spark, *locations).unionByName(empty).withColumn(
         "source_file", paths.source_name(F.col("path")))
     return sources.verify_checksums(hashed, registered)
 
@@ -98,49 +100,57 @@ def _cause(error: Exception) -> str:
     return " ".join((causes or lines or [type(error).__name__])[0].split())[:300]
 
 
-def _append_dates(spark, store, contract, read, verified: DataFrame, dates) -> dict[date, int]:
-    wanted = verified.where(F.col("batch_date").isin(dates))
-    locations = [r.path for r in wanted.select("path").toLocalIterator()]
-    rows = read(spark, locations, broadcast_if_small(wanted.select("source_file", "source_checksum")))
-    return append_new(rows, store, contract, dates)
-
+def _load_dates(spark, store, contract, read, verified: DataFrame, days: _Dates, dates):
+    """Parse the verified files of the dates once, into a staged table; judge each file by what is
+    staged, and append the rows of the dates whose files are all well-formed.
 
-def _append_files(spark, store, contract, read, verified: DataFrame, days: _Dates, dates) -> dict[date, int]:
-    """Append the rows of verified files. Dates with stored rows are read and looked up
-    apart from the others, so each file is parsed once. A malformed file fails the job of
-    all dates; then each date is loaded by itself, and only its own date fails."""
-    before = partition_counts(spark, store, contract, dates)
-    inserted = {}
-    for group in ([d for d in dates if not before[d]], [d for d in dates if before[d]]):
-        if not group:
-            continue
-        try:
-            inserted.update(_append_dates(spark, store, contract, read, verified, group))
-        except (PySparkException, Py4JJavaError):
-            for d in group:
-                try:
-                    inserted.update(_append_dates(spark, store, contract, read, verified, [d]))
-                except (PySparkException, Py4JJavaError) as error:
-                    days.fail(d, f"cannot load: {_cause(error)}")
-    return inserted
-
-
-def _count_source(spark, header, verified: DataFrame, dates) -> DataFrame:
-    """Rows of each file, counted in the files themselves: ``source_file``,
-    ``source_checksum``, ``batch_date``, ``rows``."""
+    Inserted rows per date, and one row per file: ``source_file``, ``source_checksum``, ``batch_date``,
+    ``rows``.
+    """
+    day = contract.partition_column
     wanted = verified.where(F.col("batch_date").isin(dates))
     locations = [r.path for r in wanted.select("path").toLocalIterator()]
-    rows = scan_csv(spark, locations, header, numbered=False).groupBy(
-        paths.source_name(F.col("path")).alias("source_file")).agg(F.count("*").alias("rows"))
-    return wanted.select("source_file", "source_checksum", "batch_date").join(
-        rows, "source_file", "left").fillna(0, ["rows"])
-
-
-def _check_counts(spark, store, contract, days: _Dates, counted: DataFrame, dates) -> dict[date, int]:
+    known = broadcast_if_small(wanted.select("source_file", "source_checksum"))
+    with stored({"staged": read(spark, locations, known)}, [day]) as kept:
+        staged = kept["staged"]
+        judged = wanted.select("source_file", "source_checksum", "batch_date").join(
+            file_verdicts(staged, "source_file"), "source_file", "left").fillna(0, ["rows"]).collect()
+        for r in sorted(judged, key=lambda r: r.source_file):
+            if not r.header_ok:
+                days.fail(r.batch_date, f"cannot load: header of {r.source_file} differs or is missing")
+            elif r.malformed_rows:
+                days.fail(r.batch_date, f"cannot load: {r.malformed_rows} malformed rows in {r.source_file}")
+        good = [d for d in dates if d in days.good]
+        rows = staged.where(F.col(day).isin(good) & (F.col("source_row_number") > 0)).drop("malformed")
+        inserted = append_new(rows, store, contract, good) if good else {}
+    return inserted, [(r.source_file, r.source_checksum, r.batch_date, r.rows) for r in judged]
+
+
+def _load_files(spark, store, contract, read, verified: DataFrame, days: _Dates, dates):
+    """:func:`_load_dates` for all dates together. Only a file that cannot be read at all, such as one
+    that is no gzip file, fails that job; then each date is loaded by itself, and its own date fails."""
+    try:
+        return _load_dates(spark, store, contract, read, verified, days, dates)
+    except (PySparkException, Py4JJavaError):
+        inserted, counted = {}, []
+        for d in dates:
+            try:
+                done, files = _load_dates(spark, store, contract, read, verified, days, [d])
+            except (PySparkException, Py4JJavaError) as error:
+                days.fail(d, f"cannot load: {_cause(error)}")
+            else:
+                inserted.update(done)
+                counted += files
+        return inserted, counted
+
+
+def _check_counts(spark, store, contract, days: _Dates, files: list[tuple], dates) -> dict[date, int]:
     """Source rows per date; a date whose stored rows of these files differ in number fails."""
     day = contract.partition_column
-    expected = {r.batch_date: r.rows for r in counted.groupBy("batch_date").agg(
-        F.sum("rows").alias("rows")).collect()}
+    expected = {}
+    for _, _, d, rows in files:
+        expected[d] = expected.get(d, 0) + rows
+    counted = spark.createDataFrame(files, _COUNTED)
     stored = {d: n for d, n in read_partitions(
         spark, store, contract, dates, [day, "source_file", "source_checksum"],
     ).join(broadcast_if_small(counted.select("source_file", "source_checksum")),
@@ -166,7 +176,7 @@ def load_raw(spark: SparkSession, store: Store, root: str, dates: Iterable[date]
     return days.finish("raw load", summary, on_error)
 
 
-def _load_raw(spark, store, root, days: _Dates, registered, at) -> tuple[list[Row], list[Row]]:
+def _load_raw(spark, store, root, days: _Dates, registered, at) -> tuple[list[Row], list[tuple]]:
     """Summary rows, and the counted source files."""
     found = sources.discover_transactions(spark, root, days.requested)
     _fail_by_file(days, sources.completeness(sources.date_frame(spark, days.requested), found))
@@ -179,14 +189,13 @@ def _load_raw(spark, store, root, days: _Dates, registered, at) -> tuple[list[Ro
             verified = kept["transactions"]
             _fail_by_file(days, verified.where("problem is not null").withColumn("region", F.lit("")))
             if days.good:
-                tx_inserted = _append_files(
+                tx_inserted, files = _load_files(
                     spark, store, RAW_TRANSACTIONS,
-                    lambda s, where, known: read_transactions(s, where, known, at),
+                    lambda s, where, known: read_transactions(s, where, known, at, checked=True),
                     verified, days, days.good)
-            if days.good:
-                with stored({"counted": _count_source(spark, TRANSACTION_HEADER, verified, days.good)}) as c:
-                    tx_source = _check_counts(spark, store, RAW_TRANSACTIONS, days, c["counted"], days.good)
-                    counted += c["counted"].collect()
+                counted += files
+                if days.good:
+                    tx_source = _check_counts(spark, store, RAW_TRANSACTIONS, days, files, days.good)
     tx_stored = partition_counts(spark, store, RAW_TRANSACTIONS, days.requested)
 
     fx_source, fx_inserted, fx_state = {}, {}, {}
@@ -203,15 +212,14 @@ def _load_raw(spark, store, root, days: _Dates, registered, at) -> tuple[list[Ro
                 _fail_by_file(days, verified.where("problem is not null").withColumn("region", F.lit("")))
                 published = [d for d in published if d in days.good]
                 if published:
-                    fx_inserted = _append_files(
+                    fx_inserted, files = _load_files(
                         spark, store, RAW_FX_RATES,
-                        lambda s, where, known: read_fx(s, where, known, at),
+                        lambda s, where, known: read_fx(s, where, known, at, checked=True),
                         verified, days, published)
-                published = [d for d in published if d in days.good]
-                if published:
-                    with stored({"counted": _count_source(spark, FX_HEADER, verified, published)}) as c:
-                        fx_source = _check_counts(spark, store, RAW_FX_RATES, days, c["counted"], published)
-                        counted += c["counted"].collect()
+                    counted += files
+                    published = [d for d in published if d in days.good]
+                    if published:
+                        fx_source = _check_counts(spark, store, RAW_FX_RATES, days, files, published)
     fx_stored = partition_counts(spark, store, RAW_FX_RATES, days.requested)
 
     summary = [
@@ -348,9 +356,7 @@ def run_batches(spark: SparkSession, store: Store, root: str, dates: Iterable[da
                 days.fail(r.batch_date, r.error)
 
     summary, counted = _load_raw(spark, store, root, days, registered, started)
-    files = spark.createDataFrame(
-        [tuple(r) for r in counted],
-        "source_file string, source_checksum string, batch_date date, rows long")
+    files = spark.createDataFrame(counted, _COUNTED)
     step(summary)
     if days.good:
         step(classify_and_load(spark, store, days.good, at, on_error="return"))

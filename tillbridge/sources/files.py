@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Iterable
 from datetime import date
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillbridge.contracts import REGIONS
 from tillbridge.errors import SourceError
 from tillbridge.sources import paths
 
+# Longer files are streamed through the digest; a row of the binary source ends at 2 GiB.
+STREAMED_BYTES = 1 << 30
+_PIECE = 1 << 22
+
 
 def date_frame(spark: SparkSession, dates: Iterable[date]) -> DataFrame:
     """One row per requested business date."""
@@ -140,16 +148,45 @@ def fx_status(dates: DataFrame, discovered_fx: DataFrame) -> DataFrame:
         F.when(F.col("files").isNull(), "NO_NEW_RATE").otherwise("LOADED").alias("fx_status"))
 
 
-def file_hashes(spark: SparkSession, *patterns: str) -> DataFrame:
-    """SHA-256 over the stored bytes of the files under the globs in ``patterns``.
+def file_hashes(spark: SparkSession, *patterns: str, streamed_bytes: int = STREAMED_BYTES) -> DataFrame:
+    """SHA-256 over the stored bytes of the files under the globs in ``patterns``, of any length.
 
-    One scan for all patterns, with Spark's own file system and credentials. A file is
-    one row of the binary source, which holds up to 2 GiB; a larger one is an error.
+    Files of up to ``streamed_bytes`` are rows of the binary source, with Spark's own file system
+    and credentials; the filter on the length reaches that source, which then does not open
+    the others. Larger files are read piece by piece by the task that has their path, through
+    pyarrow's file systems. Spark's scans leave out empty files, and so does this.
     """
-    content = _binary(spark, patterns)
-    if content is None:
+    files = _binary(spark, patterns)
+    if files is None:
         return spark.createDataFrame([], "path string, length long, sha256 string")
-    return content.select("path", "length", F.sha2("content", 256).alias("sha256"))
+    large = F.col("length") > streamed_bytes
+    whole = files.where(~large).select("path", "length", F.sha2("content", 256).alias("sha256"))
+    # A number of its own keeps adaptive execution from gathering the few short rows in one task.
+    streamed = files.where(large).select("path", "length").repartition(
+        spark.sparkContext.defaultParallelism, "path").mapInArrow(_streamed, whole.schema)
+    return whole.unionByName(streamed)
+
+
+def _streamed(batches):
+    for batch in batches:
+        digests = []
+        for path in batch.column("path").to_pylist():
+            digest = hashlib.sha256()
+            with open_stream(path) as stream:
+                while piece := stream.read(_PIECE):
+                    digest.update(piece)
+            digests.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.string())], ["path", "length", "sha256"])
+
+
+def open_stream(path: str):
+    """A file that Spark has listed, opened for reading on an executor."""
+    scheme, _, rest = path.partition(":")
+    if scheme == "file" or not rest:
+        filesystem, name = pafs.LocalFileSystem(), "/" + (rest or scheme).lstrip("/")
+    else:
+        filesystem, name = pafs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", path))
+    return filesystem.open_input_stream(name, compression=None)
 
 
 def verify_checksums(hashed: DataFrame, registered: DataFrame) -> DataFrame:

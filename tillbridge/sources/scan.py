@@ -32,6 +32,36 @@ def scan_csv(spark: SparkSession, files: str | Sequence[str], header: T.StructTy
     return number_rows(rows, "path", "source_row_number") if numbered else rows
 
 
+def scan_checked(spark: SparkSession, files: str | Sequence[str], header: T.StructType) -> DataFrame:
+    """Read CSV files as text like :func:`scan_csv`, but judge them instead of failing.
+
+    Header lines come as row 0. ``malformed`` says that a header line differs from ``header``,
+    or that a row has a field too many or too few. One pass gives the rows and the verdicts.
+    """
+    schema = T.StructType([*header.fields, T.StructField("_malformed", T.StringType())])
+    rows = (
+        spark.read.schema(schema)
+        .options(header=False, mode="PERMISSIVE", columnNameOfCorruptRecord="_malformed", escape='"',
+                 multiLine=True, encoding="UTF-8")
+        .csv(files)
+        .select(*[F.coalesce(name, F.lit("")).alias(name) for name in header.names],
+                F.col("_malformed").isNotNull().alias("malformed"), F.col("_metadata.file_path").alias("path"))
+    )
+    differs = F.array(*header.names) != F.array(*map(F.lit, header.names))
+    return number_rows(rows, "path", "source_row_number").withColumns({
+        "source_row_number": F.col("source_row_number") - 1,
+        "malformed": F.col("malformed") | (F.col("source_row_number") == 1) & differs})
+
+
+def file_verdicts(checked: DataFrame, *file_columns: str) -> DataFrame:
+    """``rows``, ``malformed_rows`` and ``header_ok`` of each file of checked rows. An empty file
+    has no row, so it has no verdict either."""
+    row = F.col("source_row_number") > 0
+    return checked.groupBy(*file_columns).agg(
+        F.count_if(row).alias("rows"), F.count_if(row & F.col("malformed")).alias("malformed_rows"),
+        (F.count_if(~row & F.col("malformed")) == 0).alias("header_ok"))
+
+
 def number_rows(rows: DataFrame, file_column: str, number_column: str) -> DataFrame:
     """Number the rows of each file from 1, in file order, without a shuffle.
 
@@ -84,20 +114,25 @@ def _with_identity(rows: DataFrame, files: DataFrame, at: datetime) -> DataFrame
     })
 
 
-def read_transactions(spark, locations: Sequence[str], files: DataFrame, at: datetime) -> DataFrame:
+def read_transactions(spark, locations: Sequence[str], files: DataFrame, at: datetime,
+                      checked: bool = False) -> DataFrame:
     """Raw transaction rows. ``files`` has ``source_file`` and ``source_checksum``; the
-    caller marks it for broadcast when its size allows."""
-    rows = scan_csv(spark, locations, TRANSACTION_HEADER)
+    caller marks it for broadcast when its size allows. ``checked`` rows include header lines and
+    tell whether they are ``malformed``."""
+    rows = (scan_checked if checked else scan_csv)(spark, locations, TRANSACTION_HEADER)
     name = F.col("source_file")
     return _with_identity(rows, files, at).withColumns({
         "region": paths.region_of(name),
         "batch_date": paths.day_of(name),
-    }).select(*RAW_TRANSACTIONS.columns)
+    }).select(*RAW_TRANSACTIONS.columns, *["malformed"] * checked)
 
 
-def read_fx(spark, locations: Sequence[str], files: DataFrame, at: datetime) -> DataFrame:
+def read_fx(spark, locations: Sequence[str], files: DataFrame, at: datetime,
+            checked: bool = False) -> DataFrame:
     """Raw FX rows. The partition date is that of the file; the row's own date text is
     kept next to it for the resolver to compare."""
-    rows = scan_csv(spark, locations, FX_HEADER).withColumnRenamed("rate_date", "rate_date_raw")
+    rows = (scan_checked if checked else scan_csv)(spark, locations, FX_HEADER).withColumnRenamed(
+        "rate_date", "rate_date_raw")
     return _with_identity(rows, files, at).withColumn(
-        "rate_date", paths.fx_day_of(F.col("source_file"))).select(*RAW_FX_RATES.columns)
+        "rate_date", paths.fx_day_of(F.col("source_file"))).select(
+        *RAW_FX_RATES.columns, *["malformed"] * checked)
