@@ -236,6 +236,16 @@ ORACLES = {
     "src_checksums": _with("""
         SELECT source_file, CASE n % 5 WHEN 0 THEN 'MISSING_CHECKSUM' WHEN 2 THEN 'MISSING_CHECKSUM'
           WHEN 1 THEN 'CHECKSUM_MISMATCH' ELSE 'OK' END AS problem FROM inventory""", _EVENTS, _INVENTORY),
+    "src_file_hashes": _with("""
+        SELECT batch_date::VARCHAR AS business_date, region, strlen(whole)::BIGINT AS length, sha256(whole) AS sha256 FROM (
+          SELECT batch_date, region, string_agg(concat_ws(',', txn, dtts, amount, currency) || chr(10), '' ORDER BY source_row_number) AS whole
+          FROM raw WHERE region <> 'unknown' GROUP BY ALL)""", _EVENTS),
+    "src_file_verdicts": _with("""
+        SELECT batch_date::VARCHAR AS business_date, region,
+          count(*) AS rows,
+          count(*) FILTER (source_row_number % 50 IN (0, 1)) AS malformed_rows,
+          NOT (region = 'north' AND day(batch_date) % 5 = 0) AS header_ok
+        FROM raw WHERE region <> 'unknown' GROUP BY ALL""", _EVENTS),
     "src_landing_diff": _with("""
         SELECT source_file AS object_name, CASE n % 4 WHEN 0 THEN 'UPLOAD' WHEN 1 THEN 'CONFLICT_CHECKSUM'
           WHEN 2 THEN 'CONFLICT_NO_CHECKSUM' ELSE 'SKIP' END AS action
@@ -280,7 +290,7 @@ ORACLES = {
         "SELECT batch_date::VARCHAR AS batch_date, source_row_id FROM raw WHERE isodow(batch_date) = 1", _EVENTS),
     "src_read_through": _with(
         "SELECT rate_date::VARCHAR AS rate_date, currency, mid_rate, source_row_id FROM raw_fx "
-        "WHERE rate_date <= (SELECT max(batch_date) FROM dates) - 30", _EVENTS, _FX),
+        "WHERE rate_date <= (SELECT max(batch_date) FROM dates) - 10", _EVENTS, _FX),
     "sink_anti_join": _with(
         "SELECT batch_date::VARCHAR AS batch_date, source_row_id FROM accepted", _ORDERS, _CLASSIFIED),
     "sink_idempotent_append": _with("""

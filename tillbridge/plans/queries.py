@@ -21,7 +21,7 @@ from tillbridge.sinks.store import (
 from tillbridge.contracts import RAW_FX_RATES, RAW_TRANSACTIONS, REGIONS, TRANSACTION_HEADER
 from tillbridge.session import new_folder, write_and_read
 from tillbridge.sources import daily, files, landing, paths
-from tillbridge.sources.scan import row_identity, scan_csv
+from tillbridge.sources.scan import file_verdicts, row_identity, scan_checked, scan_csv
 
 
 def plain(frame: DataFrame) -> DataFrame:
@@ -42,9 +42,11 @@ def _classified(spark, sf_dir, base="orders"):
     return cls.classify(derive.raw_transactions(spark, sf_dir, base))
 
 
-def _kept(spark, sf_dir, base="orders"):
-    """Classified rows, stored once for queries that use them more than once."""
-    return write_and_read(_classified(spark, sf_dir, base), "classified", ["accepted"])
+def _kept(spark, sf_dir, base="orders", columns=()):
+    """Classified rows, stored once for queries that use them more than once; only the named
+    columns, if any are named."""
+    rows = _classified(spark, sf_dir, base)
+    return write_and_read(rows.select(*columns, "accepted") if columns else rows, "classified", ["accepted"])
 
 
 def _halves(kept):
@@ -119,6 +121,46 @@ def src_checksums(spark, sf_dir):
     return checked.select("source_file", F.coalesce("problem", F.lit("OK")).alias("problem"))
 
 
+def _write_lines(rows: DataFrame) -> str:
+    """One uncompressed text file per business date and region below a new folder: the column
+    ``line``, in order of ``n``."""
+    folder = new_folder(rows.sparkSession, "lines")
+    rows.repartition("business_date", "region").sortWithinPartitions("business_date", "region", "n").select(
+        "line", "business_date", "region").write.partitionBy("business_date", "region").text(folder)
+    return folder
+
+
+def _delivered_lines(spark, sf_dir) -> DataFrame:
+    """CSV lines of the valid-region deliveries of the events."""
+    return derive.delivered(spark, sf_dir, "events").where(F.col("region").isin(*REGIONS)).selectExpr(
+        "batch_date AS business_date", "region", "source_row_number AS n",
+        "concat_ws(',', txn, dtts, amount, currency) AS line")
+
+
+def _file_of():
+    return [F.regexp_extract("path", f"{name}=([^/]+)/", 1).alias(name) for name in ("business_date", "region")]
+
+
+def src_file_hashes(spark, sf_dir):
+    """Digests of written files; those above 2,000 bytes are streamed."""
+    folder = _write_lines(_delivered_lines(spark, sf_dir))
+    hashed = files.file_hashes(spark, f"{folder}/business_date=*/region=*/*.txt", streamed_bytes=2000)
+    return hashed.select(*_file_of(), "length", "sha256")
+
+
+def src_file_verdicts(spark, sf_dir):
+    """Files with turned headers, and rows of three or five fields, judged in one pass."""
+    lines = _delivered_lines(spark, sf_dir).withColumn("line", F.expr(
+        "CASE n % 50 WHEN 0 THEN concat(line, ',more') WHEN 1 THEN substring_index(line, ',', 3) ELSE line END"))
+    turned = "region = 'north' AND day(business_date) % 5 = 0"
+    headers = lines.select("business_date", "region").distinct().selectExpr(
+        "business_date", "region", "CAST(0 AS BIGINT) AS n",
+        f"IF({turned}, 'txn,dtts,currency,amount', 'txn,dtts,amount,currency') AS line")
+    folder = _write_lines(lines.unionByName(headers))
+    checked = scan_checked(spark, f"{folder}/business_date=*/region=*/*.txt", TRANSACTION_HEADER)
+    return file_verdicts(checked, "path").select(*_file_of(), "rows", "malformed_rows", "header_ok")
+
+
 def src_landing_diff(spark, sf_dir):
     local = _inventory(spark, sf_dir).select(
         paths.landing_name(F.lit("transaction"), F.regexp_replace("source_file", "^transactions/", ""))
@@ -229,11 +271,11 @@ def src_partition_read(spark, sf_dir):
 
 
 def src_read_through(spark, sf_dir):
-    """Stored FX history up to 30 days before the last business date."""
+    """Stored FX history up to ten days before the last business date."""
     rows = derive.raw_fx(spark, sf_dir, "events")
     store = _stored(spark, RAW_FX_RATES)
     append_new(rows, store, RAW_FX_RATES, _dates(rows, "rate_date"), spread=True)
-    last = derive.batch_dates(spark, sf_dir, "events").agg(F.date_sub(F.max("batch_date"), 30)).first()[0]
+    last = derive.batch_dates(spark, sf_dir, "events").agg(F.date_sub(F.max("batch_date"), 10)).first()[0]
     return plain(read_through(
         spark, store, RAW_FX_RATES, last, ["rate_date", "currency", "mid_rate", "source_row_id"]))
 
@@ -242,8 +284,8 @@ def src_read_through(spark, sf_dir):
 
 def sink_anti_join(spark, sf_dir):
     """Quarantined ids removed from the raw rows."""
-    raw, _, quarantine = _halves(_kept(spark, sf_dir))
-    return plain(anti_filter(raw, quarantine).select("batch_date", "source_row_id"))
+    kept = _kept(spark, sf_dir, columns=["batch_date", "source_row_id"])
+    return plain(anti_filter(kept, kept.where("not accepted")).select("batch_date", "source_row_id"))
 
 
 def sink_idempotent_append(spark, sf_dir):
@@ -436,8 +478,8 @@ def fact_prechecks(spark, sf_dir):
 
 def set_except_both(spark, sf_dir):
     """Ids of raw rows against ids of accepted rows, both directions."""
-    raw, accepted, _ = _halves(_kept(spark, sf_dir))
-    return plain(reconcile.id_differences(raw, accepted))
+    kept = _kept(spark, sf_dir, columns=["batch_date", "source_row_id"])
+    return plain(reconcile.id_differences(kept, kept.where("accepted")))
 
 
 def set_except_right(spark, sf_dir):
