@@ -155,6 +155,29 @@ def test_classes_equal_brute_force(spark, monkeypatch, few):
     assert [found[i] for i in range(len(texts))] == brute_classes(texts)
 
 
+def test_a_large_group_below_the_threshold(spark, monkeypatch):
+    """Copies some 0.7 alike have few links, and few of their pairs are verified."""
+    rng = random.Random(11)
+    base = [rng.choice(WORDS) + str(k % 7) for k in range(100)]
+    texts = []
+    for k in range(260):
+        words = list(base)
+        for place in rng.sample(range(100), 1 if k % 25 == 0 else 2):
+            words[place] = f"new{k}"
+        texts.append(" ".join(words))
+    sets = [set(shingle_counts(t)) for t in texts]
+    links = {(i, j) for i, j in itertools.combinations(range(260), 2) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    least = list(range(260))
+    for _ in range(260):
+        for i, j in links:
+            least[i] = least[j] = min(least[i], least[j])
+    verified, original = [], near_duplicates._Links.round
+    monkeypatch.setattr(near_duplicates._Links, "round", lambda self, *a: (original(self, *a), verified.append(self.checked.count()))[0])
+    found = {r.doc_id: r.class_id for r in near_duplicates.classes(documents(spark, texts).repartition(4)).collect()}
+    assert [found[i] for i in range(260)] == least
+    assert len(set(least)) > 20 and verified[-1] < 260 * 259 / 2 / 4
+
+
 def test_copies_that_repeat_a_line_are_found(spark):
     rng = random.Random(9)
     texts = []

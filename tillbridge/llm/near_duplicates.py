@@ -18,7 +18,8 @@ against the others. Where a larger bucket still holds several classes, its texts
 by shingle: ordered by rarity, a text whose unshared shingles carry a share u of its weight can
 be linked to one with share v only if (1 - u)(1 - v) >= t (1 - uv), for either measure; so two
 texts can only be linked if they share one of their first shingles, at places that satisfy
-this. Texts that share such a shingle are verified against more and more centres, those with
+this. Common shingles are bounded further by hash group: in each there are no more than the fewer
+of the two texts' shared ones. Texts that share such a shingle are verified against more and more centres, those with
 the fewest unshared shingles first, until each group is of one class or all of it has been
 centre. No link between classes is missed.
 
@@ -41,6 +42,8 @@ WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 32, 4
 FEW = 4  # centres of each bucket at first
+GROUPS = 64  # hash groups by which common shingles are bounded
+_MOST = 32_000
 LAST = 8  # shingles before a shared one that tell whether a pair was met earlier
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -251,16 +254,54 @@ def _first_shingles(sets: DataFrame, threshold: float) -> DataFrame:
         return 1 - F.sum(c).over(every) + F.coalesce(F.sum(c).over(earlier), F.lit(0.0))
 
     last = F.collect_list("key").over(every.orderBy("members", "key").rowsBetween(-LAST, -1))
-    placed = rows.join(members, "key").select(
+    shared = rows.join(members, "key")
+    placed = shared.select(
         "key", "node", "members", before("weight").alias("u"), before("one").alias("v"), last.alias("last"))
-    return placed.where(F.least("u", "v") <= 1 - threshold + 1e-9)
+    profile = shared.groupBy("node").agg(F.collect_list("key").alias("keys"), F.collect_list("weight").alias("weights")).join(
+        sets.select("node", "counts"), "node").mapInArrow(
+        _profiles, "node long, size int, having array<smallint>, mass array<float>")
+    return placed.where(F.least("u", "v") <= 1 - threshold + 1e-9).join(profile, "node")
+
+
+def _profiles(batches):
+    """Number of shingles of a text; how many of the shared ones each hash group has; and if any is repeated,
+    the groups' shares of the weight."""
+    for batch in batches:
+        out = []
+        for keys, weights, counts in zip(*(batch.column(c) for c in ("keys", "weights", "counts"))):
+            group = keys.values.to_numpy() % GROUPS
+            own, having = np.frombuffer(counts.as_buffer(), np.int32), np.bincount(group, minlength=GROUPS)
+            if having.max() > _MOST:  # bounds nothing, so the other text does
+                having[:] = _MOST
+            out.append((len(own), having.tolist(), None if (own == 1).all() else np.bincount(
+                group, weights.values.to_numpy(), GROUPS).tolist()))
+        columns = list(zip(*out)) or [[]] * 3
+        kinds = (pa.int32(), pa.list_(pa.int16()), pa.list_(pa.float32()))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("node"), *[pa.array(c, k) for c, k in zip(columns, kinds)]], ["node", "size", "having", "mass"])
 
 
 def _close(threshold: float):
+    """Whether texts that meet at a shingle can be linked and do not meet earlier.
+
+    Their common shingles are at most, in each hash group, the fewer of the two. Of sets that bounds the
+    Jaccard; where no shingle is repeated the probability Jaccard is the same, and otherwise it is
+    at most the common mass, as no coupling of two distributions agrees more often.
+    """
+
     def may(a, b):
         return (1 - F.col(a)) * (1 - F.col(b)) >= threshold * (1 - F.col(a) * F.col(b)) - 1e-9
 
-    return (may("u", "centre_u") | may("v", "centre_v")) & ~F.arrays_overlap("last", "centre_last")
+    def common(one, other):
+        return f"aggregate(zip_with({one}, {other}, (x, y) -> least(x, y)), 0D, (s, x) -> s + x)"
+
+    def mass(side):
+        return f"coalesce({side}mass, transform({side}having, x -> CAST(x / {side}size AS FLOAT)))"
+
+    sets = F.expr(f"{common('having', 'centre_having')} * {1 + threshold} >= {threshold} * (size + centre_size) - 1e-6")
+    weights = F.expr("(mass IS NOT NULL OR centre_mass IS NOT NULL)"
+                     f" AND {common(mass(''), mass('centre_'))} >= {threshold} - 1e-4")
+    return (may("u", "centre_u") | may("v", "centre_v")) & ~F.arrays_overlap("last", "centre_last") & (sets | weights)
 
 
 class _Links:
