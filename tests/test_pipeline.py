@@ -9,12 +9,16 @@ from pyspark.sql import functions as F
 
 from fixtures import AT, DAY, register, write_day, write_fx, write_gz
 from tillbridge.contracts import (
-    ACCEPTED, FACT, FILE_AUDIT, PIPELINE_RUNS, QUARANTINE, RAW_FX_RATES, RAW_TRANSACTIONS,
+    ACCEPTED, FACT, FILE_AUDIT, MARTS, PIPELINE_RUNS, PUBLISHED, PUBLISHED_VERSIONS, QUARANTINE, RAW_FX_RATES,
+    RAW_TRANSACTIONS,
 )
 from tillbridge.errors import BatchError, ContractError
 from tillbridge.plans import pipeline
 from tillbridge.plans.pipeline import build_fact, classify_and_load, load_raw, run_batches
-from tillbridge.plans.publication import create_public_views, latest_runs
+from tillbridge.plans.marts import refresh_marts
+from tillbridge.plans.publication import (
+    create_public_views, current_versions, expire_versions, last_good, latest_runs, publish,
+)
 from tillbridge.sinks.store import Store, append_new, ensure_namespace, ensure_store, ensure_table
 
 NEXT = date(2025, 7, 23)
@@ -219,6 +223,49 @@ def test_run_batches_audits_and_publishes(spark, store, landed):
     assert tuple(audit.agg(F.sum("loaded_rows"), F.sum("expected_rows")).first()) == (18, 18)
 
 
+def test_failed_rerun_leaves_the_published_state(spark, store, landed):
+    run_batches(spark, store, str(landed), [DAY, NEXT], register(spark, landed), "run-1", None, AT)
+    transactions, daily = create_public_views(spark, store)
+    before = sorted(map(tuple, spark.table(transactions).collect()), key=str)
+    marts_before = {c.name: sorted(map(tuple, spark.table(store.table(c)).collect()), key=str) for c in MARTS}
+    assert len(before) == 13 and len(marts_before["mart_data_quality"]) == 2
+    # A later run of one date finds one row more, stores it, and fails at the gate.
+    write_day(landed, NEXT, {"bkk": [f"bkk-1,{NEXT} 10:00:00,10.00,THB", f"bkk-2,{NEXT} 10:00:00,20.00,THB"]})
+    known = register(spark, landed)
+    bad = spark.createDataFrame([(NEXT, 99)], "batch_date date, rows long")
+    failed = run_batches(spark, store, str(landed), [NEXT], known, "run-2", bad, AT, on_error="return")
+    assert [r.status for r in failed] == ["FAILED"]
+    assert sorted(map(tuple, spark.table(transactions).collect()), key=str) == before
+    assert {c.name: sorted(map(tuple, spark.table(store.table(c)).collect()), key=str) for c in MARTS} == marts_before
+
+
+def test_versions_move_with_changed_dates_only(spark, store, landed):
+    run_batches(spark, store, str(landed), [DAY, NEXT], register(spark, landed), "run-1", None, AT)
+    rows = spark.table(store.table(FACT))
+    assert publish(rows, store, "run-2", 2, AT) == []
+    more = rows.unionByName(rows.where(F.col("batch_date") == NEXT).limit(1).withColumn("source_row_id", F.lit("new")))
+    assert publish(more, store, "run-3", 3, AT) == [NEXT]
+    assert {(r.batch_date, r.version) for r in current_versions(spark.table(store.table(PUBLISHED_VERSIONS))).collect()} == {
+        (DAY, 1), (NEXT, 3)}
+    assert last_good(spark, store).count() == 14 and spark.table(store.table(PUBLISHED)).count() == 19
+    expire_versions(spark, store, [NEXT])
+    assert last_good(spark, store).count() == 14 == spark.table(store.table(PUBLISHED)).count()
+
+
+def test_a_mart_of_one_date_rewrites_one_partition(spark, store, landed):
+    run_batches(spark, store, str(landed), [DAY, NEXT], register(spark, landed), "run-1", None, AT)
+    folder = Path(store.location) / "analytics" / "mart_daily_sales"
+    files = {p: p.stat().st_mtime_ns for p in folder.glob("batch_date=*/*.parquet")}
+    refresh_marts(spark, store, [NEXT])
+    after = {p: p.stat().st_mtime_ns for p in folder.glob("batch_date=*/*.parquet")}
+    same = {p for p in files if files[p] == after.get(p)}
+    assert {p.parent.name for p in same} == {f"batch_date={DAY}"} and len(after) == len(files)
+    _, daily = create_public_views(spark, store)
+    plan = spark.table(daily)._jdf.queryExecution().executedPlan().toString()
+    assert "fct_transactions" not in plan and "published_fact" not in plan
+    assert {(r.batch_date, r.transactions) for r in spark.table(daily).collect()} == {(DAY, 8), (NEXT, 5)}
+
+
 def test_later_run_decides_whatever_its_name(spark, store, landed):
     known = register(spark, landed)
     bad = spark.createDataFrame([(DAY, 1)], "batch_date date, rows long")

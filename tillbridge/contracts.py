@@ -43,6 +43,7 @@ def _struct(text: str) -> T.StructType:
         "datetime": T.TimestampNTZType(),
         "timestamp": T.TimestampType(),
         "numeric": NUMERIC,
+        "money": T.DecimalType(38, 2),
         "boolean": T.BooleanType(),
         "strings": T.ArrayType(T.StringType()),
     }
@@ -200,8 +201,54 @@ FILE_AUDIT = TableContract(
     """),
     "batch_date",
 )
+PUBLISHED = TableContract(
+    "public", "published_fact",
+    T.StructType([*FACT.schema, T.StructField("version", T.LongType(), False)]), "batch_date",
+)
+PUBLISHED_VERSIONS = TableContract(
+    "public", "published_versions",
+    _struct("""
+        version long!
+        run_id string!
+        rows long!
+        published_at timestamp!
+        batch_date date!
+    """),
+    "batch_date",
+)
+_TOTALS = """
+    transactions long!
+    total_thb numeric
+    total_usd numeric
+    total_eur numeric
+    report_thb money
+    report_usd money
+    report_eur money
+    batch_date date!
+"""
+MART_DAILY_SALES = TableContract("analytics", "mart_daily_sales", _struct(_TOTALS), "batch_date")
+MART_REGION_SALES = TableContract(
+    "analytics", "mart_region_sales", _struct("region string!\n" + _TOTALS), "batch_date")
+MART_CURRENCY_SUMMARY = TableContract(
+    "analytics", "mart_currency_summary", _struct("currency string!\ntotal_original numeric\n" + _TOTALS), "batch_date")
+MART_DATA_QUALITY = TableContract(
+    "analytics", "mart_data_quality",
+    _struct("""
+        raw_rows long!
+        accepted_rows long!
+        quarantine_rows long!
+        invalid_rows long!
+        replay_rows long!
+        conflict_rows long!
+        warning_rows long!
+        batch_date date!
+    """),
+    "batch_date",
+)
+MARTS = (MART_DAILY_SALES, MART_REGION_SALES, MART_CURRENCY_SUMMARY, MART_DATA_QUALITY)
 TABLES = (
-    RAW_TRANSACTIONS, RAW_FX_RATES, ACCEPTED, QUARANTINE, FACT, PIPELINE_RUNS, FILE_AUDIT,
+    RAW_TRANSACTIONS, RAW_FX_RATES, ACCEPTED, QUARANTINE, FACT, PIPELINE_RUNS, FILE_AUDIT, PUBLISHED,
+    PUBLISHED_VERSIONS, *MARTS,
 )
 
 

@@ -24,7 +24,8 @@ from tillbridge.operators.classification import HOT_ROWS, accepted_rows, classif
 from tillbridge.operators.conversion import accepted_violations, fact_rows
 from tillbridge.operators.fx import publications, resolve_effective_fx, snapshots
 from tillbridge.operators.reconcile import full_chain, id_differences
-from tillbridge.plans.publication import SUCCESS
+from tillbridge.plans.marts import refresh_marts
+from tillbridge.plans.publication import SUCCESS, publish
 from tillbridge.session import stored
 from tillbridge.sinks.store import (
     Store, append, append_new, broadcast_if_small, partition_counts, read_partitions,
@@ -375,6 +376,14 @@ def run_batches(spark: SparkSession, store: Store, root: str, dates: Iterable[da
         for row in gate.where("not quality_gate").collect():
             days.fail(row.batch_date, f"quality gate: {row.asDict()}")
 
+    done = [d for d in days.good if counts.get(d, {}).get("raw_rows")]
+    if done:
+        try:
+            refresh_marts(spark, store, done)
+            publish(read_partitions(spark, store, FACT, done), store, run_id, sequence, started)
+        except (PySparkException, Py4JJavaError) as error:
+            for d in done:
+                days.fail(d, f"cannot publish: {_cause(error)}")
     _audit_files(spark, store, root, days, registered, files, run_id)
     ended = datetime.now(timezone.utc) if at is None else at
     runs = []

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tillbridge.contracts import NAMESPACES, TABLES, TableContract
 from tillbridge.errors import ContractError
 
+_OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 # File tables keep no NOT NULL; the comment of a column records it.
 _REQUIRED = "required"
 # Largest row count of a stored frame that is broadcast, checked by counting it.
@@ -153,6 +154,17 @@ def append(frame: DataFrame, store: Store, contract: TableContract) -> None:
         "maxRecordsPerFile", _RECORDS_PER_FILE).insertInto(table)
 
 
+def replace_partitions(frame: DataFrame, store: Store, contract: TableContract) -> None:
+    """Put the rows of ``frame`` in place of the partitions it has rows for; others stay as they are."""
+    spark, table = frame.sparkSession, store.table(contract)
+    before = spark.conf.get(_OVERWRITE)
+    spark.conf.set(_OVERWRITE, "dynamic")
+    try:
+        checked(frame, contract).select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(_OVERWRITE, before)
+
+
 def clustered(frame: DataFrame, contract: TableContract) -> DataFrame:
     """Bring the rows of a date together before a write, so a date gets few files.
 
