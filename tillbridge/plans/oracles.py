@@ -457,4 +457,11 @@ calendar AS (
     "pub_daily_sales": _with(
         f"SELECT batch_date::VARCHAR AS batch_date, {_TOTALS} FROM shown GROUP BY batch_date", *_FULL, _RUNS),
 }
+_EVENTS_FULL = (_EVENTS, *_FULL[1:])
+ORACLES["pub_last_good"] = _with(
+    f"SELECT batch_date::VARCHAR AS batch_date, source_row_id, {_text('thb')} AS amount_thb FROM fact "
+    "WHERE day(batch_date) % 3 <> 0 OR source_row_number % 2 = 0", *_EVENTS_FULL)
+ORACLES["mart_stored_daily_sales"] = _with(
+    f"SELECT batch_date::VARCHAR AS batch_date, {_TOTALS} FROM fact "
+    "WHERE day(batch_date) % 3 = 0 OR source_row_number % 2 = 0 GROUP BY batch_date", *_EVENTS_FULL)
 ORACLES["cls_hot_ids"] = ORACLES["cls_classified"]

@@ -18,7 +18,10 @@ from tillbridge.sinks.store import (
     Store, anti_filter, append_new, as_json, ensure_namespace, ensure_table, read_partitions,
     read_through,
 )
-from tillbridge.contracts import RAW_FX_RATES, RAW_TRANSACTIONS, REGIONS, TRANSACTION_HEADER
+from tillbridge.contracts import (
+    MART_CURRENCY_SUMMARY, MART_DAILY_SALES, MART_REGION_SALES, PUBLISHED, PUBLISHED_VERSIONS, RAW_FX_RATES,
+    RAW_TRANSACTIONS, REGIONS, TRANSACTION_HEADER,
+)
 from tillbridge.session import new_folder, write_and_read
 from tillbridge.sources import daily, files, landing, paths
 from tillbridge.sources.scan import file_verdicts, row_identity, scan_checked, scan_csv
@@ -554,6 +557,33 @@ def pub_daily_sales(spark, sf_dir):
     return plain(marts.daily_sales(shown))
 
 
+def _shared_store(spark, *contracts) -> Store:
+    store = Store("t" + new_folder(spark, "s").rsplit("-", 1)[-1], new_folder(spark, "store"))
+    for contract in contracts:
+        ensure_namespace(spark, store, contract.namespace)
+        ensure_table(spark, store, contract)
+    return store
+
+
+def pub_last_good(spark, sf_dir):
+    """The published rows after two runs: the first stores every other row of all dates, the second all
+    rows, but fails on every third date."""
+    store = _shared_store(spark, PUBLISHED, PUBLISHED_VERSIONS)
+    fact = write_and_read(_fact(spark, sf_dir, "events"), "fact")
+    publication.publish(fact.where("source_row_number % 2 = 0"), store, "run-1", 1, derive.AT)
+    publication.publish(fact.where("day(batch_date) % 3 <> 0"), store, "run-2", 2, derive.AT)
+    return plain(publication.last_good(spark, store).select("batch_date", "source_row_id", "amount_thb"))
+
+
+def mart_stored_daily_sales(spark, sf_dir):
+    """The stored mart of all dates, from every other row; then of every third date from all rows."""
+    store = _shared_store(spark, MART_DAILY_SALES, MART_REGION_SALES, MART_CURRENCY_SUMMARY)
+    fact = write_and_read(_fact(spark, sf_dir, "events"), "fact")
+    marts.refresh_sales(fact.where("source_row_number % 2 = 0"), store)
+    marts.refresh_sales(fact.where("day(batch_date) % 3 = 0"), store)
+    return plain(spark.table(store.table(MART_DAILY_SALES)))
+
+
 QUERIES = {name: f for name, f in list(globals().items())
            if name.split("_")[0] in ("src", "sink", "fn", "cls", "fx", "fact", "set", "rec", "mart", "pub")
            and callable(f)}
