@@ -46,7 +46,7 @@ from tillbridge.sinks.store import broadcast_if_small
 WIDTH = 100
 ANCHOR = 32
 SHALLOW = 32
-CONTEXTS = 1000
+CONTEXTS = 2000
 PIECE = 1 << 17  # bytes of text at once; their arrays stay in the cache
 SORT_BYTES = 1 << 21  # context bytes sorted together
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93], np.uint64)
