@@ -18,7 +18,7 @@ suffixes at the windows of the others are sorted deep-shallow, to 100 bytes:
   characters alone, is compared once with the leaf it meets, and branches off where they differ.
 
 Suffixes equal to 100 bytes end in one leaf, and all but the earliest repeat. An anchor of more than
-``CONTEXTS`` contexts has equal ones collapsed before the shuffle; if as many different ones are left (a
+``CONTEXTS`` contexts has equal ones collapsed before the shuffle; if twice as many different ones are left (a
 short line that many documents share), its windows are grouped one by one by their bytes, which
 combine before the shuffle as well.
 
@@ -46,7 +46,7 @@ from tillbridge.sinks.store import broadcast_if_small
 WIDTH = 100
 ANCHOR = 32
 SHALLOW = 32
-CONTEXTS = 2000
+CONTEXTS = 1000
 PIECE = 1 << 17  # bytes of text at once; their arrays stay in the cache
 SORT_BYTES = 1 << 21  # context bytes sorted together
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93], np.uint64)
@@ -368,7 +368,7 @@ def _marks(texts: DataFrame, hot: DataFrame, scratch: Scratch, most: int) -> Dat
     often = scratch.keep(contexts.join(few, contexts.hash == few.k, "left_semi"), "often")
     single = scratch.keep(often.groupBy("hash", "back", "bytes").agg(F.min(place).alias("p")).select(
         "hash", "back", "bytes", "p.*"), "single")
-    still = scratch.keep(hot_keys(single, F.col("hash"), most + 1), "still")
+    still = scratch.keep(hot_keys(single, F.col("hash"), 2 * most + 1), "still")  # sorted up to here
     fewer = broadcast_if_small(still)
     sortable = single.join(fewer, single.hash == fewer.k, "left_anti")
     windows = single.join(fewer, single.hash == fewer.k, "left_semi").select(
