@@ -33,11 +33,12 @@ class Scratch:
     """Tables in the shared folder that cut lineage and survive lost executors.
 
     ``keep`` writes a frame and returns one that reads it back; ``drop`` deletes what was
-    written so far, but for the frames named.
+    written so far, but for the frames named. ``settings`` hold while a frame is written.
     """
 
-    def __init__(self, spark: SparkSession, label: str):
+    def __init__(self, spark: SparkSession, label: str, settings: dict[str, str] | None = None):
         self.spark, self.root = spark, f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+        self.settings = {CLEANUP: "true", **(settings or {})}  # the table stands in for the shuffles behind it
         self.folders: dict[int, str] = {}
         self.frames: list[DataFrame] = []
 
@@ -46,12 +47,14 @@ class Scratch:
 
     def keep(self, frame: DataFrame, name: str) -> DataFrame:
         folder = self.folder(name)
-        before = self.spark.conf.get(CLEANUP, "false")
-        self.spark.conf.set(CLEANUP, "true")  # the table stands in for the shuffles behind it
+        before = {key: self.spark.conf.get(key, None) for key in self.settings}
+        for key, value in self.settings.items():
+            self.spark.conf.set(key, value)
         try:
             frame.write.parquet(folder)
         finally:
-            self.spark.conf.set(CLEANUP, before)
+            for key, value in before.items():
+                self.spark.conf.unset(key) if value is None else self.spark.conf.set(key, value)
         kept = self.spark.read.schema(frame.schema).parquet(folder)
         self.folders[id(kept)] = folder
         self.frames.append(kept)  # the ids stay unique while the frames live

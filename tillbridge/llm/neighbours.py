@@ -12,12 +12,15 @@ neighbours of neighbours are likely neighbours, and every node keeps its best ``
 The search keeps a beam of the best nodes met for each query, expands the best ones not expanded
 yet by their neighbours and reverse neighbours, and ends when the beam has none left. It
 starts at the nearest of ``ENTRIES`` sampled nodes, and at the query's own node if it has one.
+Lists and beams hold ids; a step joins each vector once to a query that meets it for the first time.
 The best of the beam are scored again on the original vectors in double precision.
 
 Blocks, samples, lists and beams bound every group, whatever the number of rows that share a
-vector. Nearness is the cosine. Vectors that are null, zero or hold null or non-finite
-components take no part, nor do those whose length is not the most frequent one. Rows that
-repeat id and vector count once, and ask once if they repeat id and direction; an id never finds itself. Ties go to the smaller id, null ids last.
+vector; record batches are bounded by ``BATCH_BYTES``. Nearness is the cosine. Vectors that are
+null, zero or hold null or non-finite components take no part. A cosine needs vectors of one
+length, so each length has a graph of its own, one after the other, and its queries find vectors
+of that length. Rows that repeat id and vector count once, and ask once if they repeat id and
+direction; an id never finds itself. Ties go to the smaller id, null ids last.
 """
 
 from __future__ import annotations
@@ -39,26 +42,29 @@ DEGREE = 56  # neighbours and reverse neighbours that the search sees
 BEAM, EXPAND, ENTRIES, STARTS = 384, 64, 512, 16
 MOST_STEPS = 60
 AGAIN = 64  # of the beam, whose cosines are computed
+BATCH_BYTES = 1 << 23
 FAR = -9.0  # less than any similarity, which is minus the squared distance of unit vectors
 
 
 def usable(rows: DataFrame, id_column: str, vector: str) -> DataFrame:
-    """Distinct (id, vector, direction) whose vectors take part; the vector as array<double>."""
+    """Distinct (id, vector, direction, size) whose vectors take part; the vector as array<double>."""
     v = F.col("vector")
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     found = (rows.select(F.col(id_column).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector"))
              .where(v.isNotNull()).where(~bad).where(F.exists(v, lambda x: x != 0)))
-    length = found.groupBy(F.size(v).alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    return found.where(F.size(v) == (length[0] if length else 0)).distinct().mapInArrow(
-        _directed, "id long, vector array<double>, direction binary")
+    return found.distinct().withColumn("size", F.size(v)).mapInArrow(
+        _directed, "id long, vector array<double>, size int, direction binary")
 
 
 def _directed(batches):
     for batch in batches:
-        grid = np.rint(_unit(_matrix(batch.column("vector"))) * 2.0**40).astype(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array([hashlib.md5(row.tobytes()).digest() for row in grid], pa.binary())],
-            [*batch.schema.names, "direction"])
+        sizes = batch.column("size").to_numpy()
+        for size in np.unique(sizes):
+            part = batch.filter(pa.array(sizes == size))
+            grid = np.rint(_unit(_matrix(part.column("vector"))) * 2.0**40).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns, pa.array([hashlib.md5(row.tobytes()).digest() for row in grid], pa.binary())],
+                [*part.schema.names, "direction"])
 
 
 def _matrix(lists) -> np.ndarray:
@@ -66,18 +72,18 @@ def _matrix(lists) -> np.ndarray:
 
 
 def nodes_of(rows: DataFrame, ids: int, single: bool = False) -> DataFrame:
-    """(node, direction, vector, unit, ids): each direction with its smallest ids; ``unit`` holds the vector.
+    """(node, direction, vector, unit, rows): each direction with the rows (id, vector) of its smallest ids.
 
-    An id that comes with several vectors of the direction is listed for each, ``ids`` times at most.
+    ``unit`` holds the vector. An id that comes with several vectors of the direction is listed for
+    each, ``ids`` times at most.
     """
     of_id = Window.partitionBy("direction", F.col("id")).orderBy("vector")
     order = Window.partitionBy("direction").orderBy(F.col("id").asc_nulls_last())
     small = rows.withColumn("copy", F.row_number().over(of_id)).where(F.col("copy") <= ids)
     small = small.withColumn("place", F.dense_rank().over(order)).where(F.col("place") <= ids)
     distinct = small.groupBy("direction").agg(F.min(F.struct("place", "copy", "vector"))["vector"].alias("vector"),
-                                              F.collect_list(F.struct("place", "id")).alias("ids"))
-    distinct = distinct.select("direction", "vector", F.transform(F.array_sort("ids"), lambda s: s["id"]).alias("ids"),
-                               F.monotonically_increasing_id().alias("node"))
+                                              F.collect_list(F.struct("id", "vector")).alias("rows"))
+    distinct = distinct.select("direction", "vector", "rows", F.monotonically_increasing_id().alias("node"))
     kind = np.float32 if single else np.float64
 
     def run(batches):
@@ -86,7 +92,7 @@ def nodes_of(rows: DataFrame, ids: int, single: bool = False) -> DataFrame:
             units = [v.astype(kind).tobytes() + mark for v in _matrix(batch.column("vector"))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(units, pa.binary())], [*batch.schema.names, "unit"])
 
-    return distinct.mapInArrow(run, "direction binary, vector array<double>, ids array<long>, node long, unit binary")
+    return distinct.mapInArrow(run, "direction binary, vector array<double>, rows array<struct<id:long,vector:array<double>>>, node long, unit binary")
 
 
 def _unit(x):
@@ -223,11 +229,10 @@ def build(nodes: DataFrame, scratch: Scratch, neighbours: int = NEIGHBOURS, iter
     return graph
 
 
-def adjacency(graph: DataFrame, nodes: DataFrame, degree: int = DEGREE) -> DataFrame:
-    """(node, near): the best of each node's neighbours and reverse neighbours, with their units."""
+def adjacency(graph: DataFrame, degree: int = DEGREE) -> DataFrame:
+    """(node, near): the best of each node's neighbours and reverse neighbours."""
     both = graph.select("node", "nbr", "sim").union(graph.select("nbr", "node", "sim")).withColumn("fresh", F.lit(False))
-    return (_nearest(both, degree).join(nodes.select(F.col("node").alias("nbr"), "unit"), "nbr")
-            .groupBy("node").agg(F.collect_list(F.struct("nbr", "unit")).alias("near")))
+    return _nearest(both, degree).groupBy("node").agg(F.collect_list("nbr").alias("near"))
 
 
 def _entries(nodes: DataFrame):
@@ -235,31 +240,20 @@ def _entries(nodes: DataFrame):
     return rows.column("node").to_numpy(), _units(rows.column("unit").combine_chunks())
 
 
-def _expand(batches):
-    """Rows of a query's unit and worst similarity with a node's list: the better ones of the list."""
+def _compare(batches):
+    """Rows of a query and a node: those nearer than the query's worst."""
     for batch in batches:
-        lists = batch.column("near")
-        ids, units, ends = lists.values.field("nbr").to_numpy(), _units(lists.values.field("unit")), lists.offsets.to_numpy()
-        query, queries = batch.column("query").to_numpy(), _units(batch.column("query_unit"))
-        worst = batch.column("worst").to_numpy()
-        size = np.diff(ends)
-        row = np.repeat(np.arange(len(size)), size)
-        at = slice(ends[0], ends[-1])
-        apart = units[at] - queries[row] if len(row) else np.zeros((0, 1))
+        apart = _units(batch.column("unit")) - _units(batch.column("query_unit"))
         sims = -(apart * apart).sum(1)
-        keep = sims > worst[row]
-        q, n, s = query[row[keep]], ids[at][keep], sims[keep]
-        order = np.lexsort((n, q))  # lists overlap: each pair once
-        q, n, s = q[order], n[order], s[order]
-        new = np.ones(len(q), bool)
-        new[1:] = (q[1:] != q[:-1]) | (n[1:] != n[:-1])
-        yield _pairs(q[new], n[new], s[new], ("query", "node", "sim"))
+        keep = sims > batch.column("worst").to_numpy()
+        yield _pairs(batch.column("query").to_numpy()[keep], batch.column("node").to_numpy()[keep], sims[keep],
+                     ("query", "node", "sim"))
 
 
 def search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, scratch: Scratch, beam: int = BEAM) -> DataFrame:
     """(query, node, sim): the beam of each query at the end; queries have columns query, unit, node (or null)."""
     spark = nodes.sparkSession
-    lists = scratch.keep(adjacency(graph, nodes).repartition("node"), "adjacency")
+    lists = scratch.keep(adjacency(graph), "adjacency")
     shared = spark.sparkContext.broadcast(_entries(nodes))
 
     def start(batches):
@@ -288,52 +282,64 @@ def search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, scratch: Scra
         if kept.where("turn").isEmpty():
             break
         worst = kept.groupBy("query").agg(F.when(F.count("*") >= beam, F.min("sim")).otherwise(F.lit(FAR)).alias("worst"))
-        frontier = (kept.where("turn").select("query", "node").join(worst, "query")
-                    .join(queries.select("query", F.col("unit").alias("query_unit")), "query"))
-        met = frontier.join(lists, "node").select("query", "query_unit", "worst", "near").mapInArrow(
-            _expand, "query long, node long, sim double")
+        asking = queries.select("query", F.col("unit").alias("query_unit")).join(worst, "query")
+        met = (kept.where("turn").select("query", "node").join(lists, "node").select("query", F.explode("near").alias("node"))
+               .distinct().join(kept.select("query", "node"), ["query", "node"], "left_anti"))
+        met = met.join(nodes.select("node", "unit"), "node").join(asking, "query").mapInArrow(
+            _compare, "query long, node long, sim double")
         state = kept.select("query", "node", "sim", (F.col("expanded") | F.col("turn")).alias("expanded")).union(met.withColumn("expanded", F.lit(False)))
     scratch.drop(lists, queries)
-    return kept.select("query", "node", "sim")
+    return kept
 
 
 def _cosines(batches):
+    """Rows of two vectors a and b: the other columns and their cosine."""
     for batch in batches:
         size = len(batch)
         a, b = (batch.column(c).flatten().to_numpy().reshape(size, -1) if size else np.zeros((0, 1)) for c in ("a", "b"))
         with np.errstate(all="ignore"):
             a, b = a / np.abs(a).max(1, keepdims=True), b / np.abs(b).max(1, keepdims=True)
             score = (a * b).sum(1) / np.sqrt((a * a).sum(1) * (b * b).sum(1))
-        yield pa.RecordBatch.from_arrays([batch.column("query"), batch.column("ids"), pa.array(score)], ["query", "ids", "score"])
+        yield batch.drop_columns(["a", "b"]).append_column("score", pa.array(score))
 
 
 def nearest_rows(rows: DataFrame, wanted: DataFrame, id_column: str = "vec_id", vector: str = "embedding",
                  many: int = 5, **options) -> DataFrame:
     """(query_id, rank, id, score): for every row of ``wanted``, a subset of rows, its nearest other rows."""
-    scratch = Scratch(rows.sparkSession, "neighbours")
+    scratch = Scratch(rows.sparkSession, "neighbours", {"spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES)})
     known = scratch.keep(usable(rows, id_column, vector), "vectors")
     single = isinstance(rows.schema[vector].dataType.elementType, FloatType)
+    ids = wanted.select(F.col(id_column).cast("long").alias("id")).distinct()
+    found = [_nearest_of(known.where(F.col("size") == size), ids, scratch, single, many, options)
+             for size in sorted(r["size"] for r in known.select("size").distinct().collect())]
+    scratch.drop(known)
+    result = found[0] if found else rows.sparkSession.createDataFrame([], "query_id long, rank int, id long, score double")
+    for more in found[1:]:
+        result = result.unionByName(more)
+    return result.withColumnRenamed("id", id_column)
+
+
+def _nearest_of(known: DataFrame, ids: DataFrame, scratch: Scratch, single: bool, many: int, options: dict) -> DataFrame:
+    """The result among vectors of one length."""
     nodes = scratch.keep(nodes_of(known, many + 1, single), "nodes")
     graph = build(nodes, scratch, **options)
-    asked = known.join(wanted.select(F.col(id_column).cast("long").alias("id")).distinct(), "id").select(
-        F.col("id").alias("query_id"), "direction").distinct()
-    asked = scratch.keep(asked.join(nodes.select("direction", "node"), "direction").select("query_id", "node"), "asked")
-    queries = nodes.join(asked.select("node").distinct(), "node").select(F.col("node").alias("query"), "unit", "node")
+    asked = known.join(ids, "id").groupBy(F.col("id").alias("query_id"), "direction").agg(F.min("vector").alias("a"))
+    asked = scratch.keep(asked.join(nodes.select("direction", F.col("node").alias("query")), "direction").drop("direction"), "asked")
+    queries = nodes.join(asked.select(F.col("query").alias("node")).distinct(), "node").select(
+        F.col("node").alias("query"), "unit", "node")
     beams = search(queries, graph, nodes, scratch)
     order = Window.partitionBy("query").orderBy(F.desc("sim"), "node")
-    again = beams.withColumn("place", F.row_number().over(order)).where(F.col("place") <= AGAIN)
-    exact = (again.join(nodes.select("node", F.col("vector").alias("b"), "ids"), "node")
-             .join(nodes.select(F.col("node").alias("query"), F.col("vector").alias("a")), "query")
-             .select("query", "ids", "a", "b").mapInArrow(_cosines, "query long, ids array<long>, score double")
-             .select("query", F.explode("ids").alias("id"), "score"))
-    nearest = Window.partitionBy("query").orderBy(F.desc("score"), F.col("id").asc_nulls_last())
-    of_id = Window.partitionBy("query", F.col("id")).orderBy(F.desc("score"))
-    few = exact.withColumn("copy", F.row_number().over(of_id)).where(F.col("copy") <= many).drop("copy")
-    few = few.withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= 2 * many).drop("place")
-    of_row = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), F.col("id").asc_nulls_last())
-    result = (asked.join(few, asked["node"] == few["query"]).where("NOT (query_id <=> id)")
-              .withColumn("rank", F.row_number().over(of_row)).where(F.col("rank") <= many)
-              .select("query_id", "rank", F.col("id").alias(id_column), "score"))
+    again = beams.withColumn("place", F.row_number().over(order)).where(F.col("place") <= AGAIN).select("query", "node")
+    exact = (again.join(nodes.select("node", "rows"), "node")
+             .join(asked, "query").select("query", "query_id", "a", F.explode("rows").alias("row"))
+             .where("NOT (query_id <=> row.id)")
+             .select("query_id", "query", F.col("row.id").alias("id"), "a", F.col("row.vector").alias("b"))
+             .mapInArrow(_cosines, "query_id long, query long, id long, score double"))
+    of_id = Window.partitionBy("query_id", "query", "id").orderBy(F.desc("score"))
+    nearest = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), F.col("id").asc_nulls_last())
+    result = (exact.withColumn("copy", F.row_number().over(of_id)).where(F.col("copy") <= many)
+              .withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= many)
+              .select("query_id", "rank", "id", "score"))
     kept = scratch.keep(result, "nearest")
-    scratch.drop(known, nodes, graph, asked, beams)
+    scratch.drop(nodes, graph, asked, beams)
     return kept
