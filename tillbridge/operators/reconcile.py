@@ -43,15 +43,40 @@ def fact_balance(accepted: DataFrame, fact: DataFrame) -> DataFrame:
     ).withColumn("reconciled", F.col("accepted_rows") == F.col("fact_rows"))
 
 
+def _both_sides(left: DataFrame, right: DataFrame) -> DataFrame:
+    keys = ("batch_date", "source_row_id")
+    return left.select(*keys, F.lit(1).alias("l"), F.lit(0).alias("r")).unionAll(
+        right.select(*keys, F.lit(0).alias("l"), F.lit(1).alias("r")))
+
+
+def differing_dates(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Dates (``batch_date``) whose ids differ between the sides, each id as often as it is there.
+
+    128 hash bits of each id are added up by date, with the left side positive and the right
+    side negative, so order does not matter and equal sides cancel out. Tasks add up ahead of
+    the shuffle, which carries a row per date and task and no id. Sums are taken over pieces of
+    22 bits at most, so that 2**41 rows of a date cannot overflow. Null dates count as one date.
+    """
+    hashes = (F.xxhash64("source_row_id"), F.xxhash64(F.lit(1), "source_row_id"))
+    pieces = [F.shiftrightunsigned(h, shift).bitwiseAND((1 << bits) - 1)
+              for h in hashes for shift, bits in ((0, 21), (21, 21), (42, 22))]
+    sign = F.col("l") - F.col("r")
+    sums = _both_sides(left, right).groupBy("batch_date").agg(
+        F.sum(sign).alias("rows"), *[F.sum(sign * p).alias(f"piece{k}") for k, p in enumerate(pieces)])
+    return sums.where(reduce(lambda a, b: a | b, [F.col(c) != 0 for c in sums.columns[1:]])).select("batch_date")
+
+
 def id_differences(left: DataFrame, right: DataFrame) -> DataFrame:
     """Both directions of ``EXCEPT DISTINCT`` on ``(batch_date, source_row_id)``.
 
-    ``side`` is ``LEFT_ONLY`` or ``RIGHT_ONLY``. One shuffle answers both directions, and
-    ids that occur on a side more than once combine ahead of it.
+    ``side`` is ``LEFT_ONLY`` or ``RIGHT_ONLY``. Only ids of dates whose fingerprints differ
+    are shuffled; one shuffle answers both directions, and ids that occur on a side more than
+    once combine ahead of it. The broadcast side has one row per differing date. Both sides are
+    read twice, so they should be stored tables.
     """
     keys = ("batch_date", "source_row_id")
-    both = left.select(*keys, F.lit(1).alias("l"), F.lit(0).alias("r")).unionAll(
-        right.select(*keys, F.lit(0).alias("l"), F.lit(1).alias("r")))
+    dates = F.broadcast(differing_dates(left, right).withColumnRenamed("batch_date", "differing"))
+    both = _both_sides(left, right).join(dates, F.col("batch_date").eqNullSafe(F.col("differing")), "left_semi")
     seen = both.groupBy(*keys).agg(F.max("l").alias("l"), F.max("r").alias("r"))
     return seen.where("l <> r").select(
         *keys, F.when(F.col("l") == 1, "LEFT_ONLY").otherwise("RIGHT_ONLY").alias("side"))

@@ -412,6 +412,9 @@ calendar AS (
     "set_except_both": _with("""
         SELECT batch_date::VARCHAR AS batch_date, source_row_id, 'LEFT_ONLY' AS side
         FROM classified WHERE NOT accepted""", _ORDERS, _CLASSIFIED),
+    "set_differing_dates": _with("""
+        SELECT DISTINCT batch_date::VARCHAR AS batch_date FROM classified
+        WHERE NOT accepted AND day(batch_date) % 2 = 0""", _ORDERS, _CLASSIFIED),
     "set_except_right": _with("""
         SELECT batch_date::VARCHAR AS batch_date, source_row_id,
           CASE WHEN accepted THEN 'RIGHT_ONLY' ELSE 'LEFT_ONLY' END AS side

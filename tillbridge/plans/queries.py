@@ -485,6 +485,13 @@ def set_except_both(spark, sf_dir):
     return plain(reconcile.id_differences(kept, kept.where("accepted")))
 
 
+def set_differing_dates(spark, sf_dir):
+    """Dates whose ids differ by fingerprint: the other side lacks the rejected rows of even days only."""
+    kept = _kept(spark, sf_dir, columns=["batch_date", "source_row_id"])
+    other = kept.where(F.col("accepted") | (F.dayofmonth("batch_date") % 2 == 1))
+    return plain(reconcile.differing_dates(kept, other))
+
+
 def set_except_right(spark, sf_dir):
     """Rows of dates with usable rates against accepted rows: either side has ids of its own."""
     raw, accepted, _ = _halves(_kept(spark, sf_dir))
