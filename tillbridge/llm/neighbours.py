@@ -39,7 +39,7 @@ NEIGHBOURS, SAMPLE, PROPOSALS = 32, 40, 8
 BLOCK, TABLES, SIGNS = 256, 4, 16
 ITERATIONS, LEAST_CHANGE = 6, 0.02
 DEGREE = 56  # neighbours and reverse neighbours that the search sees
-BEAM, EXPAND, ENTRIES, STARTS = 256, 48, 512, 16
+BEAM, EXPAND, ENTRIES, STARTS = 128, 64, 512, 16
 MOST_STEPS = 60
 AGAIN = 64  # of the beam, whose cosines are computed
 BATCH_BYTES = 1 << 23
