@@ -103,6 +103,22 @@ def test_recall_among_thousands_of_near_copies(spark, noise):
     assert hits / (5 * len(found)) >= 0.9
 
 
+def test_each_length_of_vectors_is_searched(spark):
+    rng = np.random.default_rng(8)
+    sizes = {i: 3 + i % 3 for i in range(200)} | {200: 9}
+    data = {i: rng.normal(size=n) for i, n in sizes.items()}
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in data.items()], "vec_id long, embedding array<double>")
+    found = {}
+    for r in neighbours.nearest_rows(frame, frame.where("vec_id % 50 = 0")).collect():
+        found.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)
+    for i in (0, 50, 100, 150):
+        unit = data[i] / np.linalg.norm(data[i])
+        wanted = sorted(((-float(v @ unit / np.linalg.norm(v)), j) for j, v in data.items() if j != i and sizes[j] == sizes[i]))[:5]
+        assert [found[i][k + 1][0] for k in range(5)] == [j for _, j in wanted]
+        assert [found[i][k + 1][1] for k in range(5)] == pytest.approx([-s for s, _ in wanted], abs=1e-12)
+    assert 200 not in found  # no other vector is as long
+
+
 def test_scaled_copies_are_one_node(spark):
     rng = np.random.default_rng(7)
     base = rng.normal(size=8)
