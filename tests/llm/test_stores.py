@@ -187,3 +187,32 @@ def test_mined_rules_equal_brute_force(spark):
         sure = [c for p, c in rules.items() if set(p) <= set(sets[addresses[r.page_id]])]
         assert r.verdict == ("block" if sure else "allow")
         assert r.confidence == (pytest.approx(max(sure)) if sure else None)
+
+
+def test_remainders_of_one_length_do_not_fill_the_pool():
+    pool, sizes, kept = packing.Pool(1024), [], {}
+    for k in range(12000):
+        pool.add((k, 0, np.full(700, k, "<u4").tobytes(), 700))
+        if pool.tokens > 1 << 20:
+            sequences = list(pool.fills())
+            assert not sequences  # no multiple of 700 is 1024
+            for sequence in pool.down_to(1 << 19):
+                sizes.append(sum(len(p[2]) // 4 for p in sequence))
+                for id_, start, ids, _ in sequence:
+                    kept.setdefault(id_, []).append((start, ids))
+            assert pool.tokens <= 1 << 19
+    for sequence in pool.down_to(0):
+        sizes.append(sum(len(p[2]) // 4 for p in sequence))
+        for id_, start, ids, _ in sequence:
+            kept.setdefault(id_, []).append((start, ids))
+    assert sum(sizes) == 12000 * 700 and all(n == 1024 or n & (n - 1) == 0 for n in sizes)
+    assert sum(n != 1024 for n in sizes) <= 10
+    for id_, pieces in kept.items():
+        assert b"".join(ids for _, ids in sorted(pieces)) == np.full(700, id_, "<u4").tobytes()
+
+
+def test_archive_folders_lie_where_spark_puts_them(spark, tmp_path):
+    assert warc.qualified(spark, f"{tmp_path}/a") == f"file:{tmp_path}/a"
+    assert warc.qualified(spark, f"file://{tmp_path}/a") == f"file:{tmp_path}/a"
+    for path in (f"{tmp_path}/a", f"file:{tmp_path}/a", f"file://{tmp_path}/a"):
+        assert warc.open_store(path)[1] == f"{tmp_path}/a"

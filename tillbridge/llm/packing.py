@@ -4,12 +4,13 @@ A text's tokens, and a final separator, are cut into full windows and a remainde
 collects remainders by length; a bitset subset-sum over the lengths at hand (each as often as
 it is there) finds the multiset that comes closest to the capacity, backtracking gives the
 count of each length, and the same multiset is taken as often as the counts allow. While more
-texts follow, only exact fills are taken. At the end of a task, the slack of the closest fill
-is closed by a cut from one more remainder; the last tokens, less than one window, become
-sequences of descending powers of two. So no sequence needs padding.
+texts follow, only exact fills are taken, unless they leave the pool full, as remainders of one
+length would: then, and at the end of a task, the slack of the closest fill is closed by a cut
+from one more remainder. The last tokens, less than one window, become sequences of descending
+powers of two. So no sequence needs padding.
 
 Tasks work on their own partitions: nothing is shuffled, and a task holds ``POOL`` tokens of
-remainders and one record batch. Sequence ids are unique across tasks.
+remainders, those of 256 texts more, and one record batch. Sequence ids are unique across tasks.
 
 Null and empty texts consist of the separator alone. Ids may be null or repeated; each row is
 a text of its own. Text that spells a special token gets that token's id, as the tokenizer does.
@@ -142,10 +143,10 @@ class Pool:
             self.add((id_, start + length, ids[4 * length:], tokens))
         return id_, start, ids[:4 * length], tokens
 
-    def rest(self):
-        """Everything that is left."""
+    def down_to(self, most: int):
+        """Sequences, the last slack of each closed by cuts, until ``most`` tokens are left."""
         yield from self.fills()
-        while self.tokens:
+        while self.tokens > most:
             size = self.capacity if self.tokens >= self.capacity else 1 << (self.tokens.bit_length() - 1)
             counts = {length: len(p) for length, p in self.by_length.items()}
             sequence = [self.take(length) for length, n in closest_fill(counts, size).items() for _ in range(n)]
@@ -212,7 +213,9 @@ def pack(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text: str =
                 yield from rows(sequences)
                 if pool.tokens > pool_tokens:
                     yield from rows(pool.fills())
-        yield from rows(pool.rest())
+                if pool.tokens > pool_tokens:
+                    yield from rows(pool.down_to(pool_tokens // 2))
+        yield from rows(pool.down_to(0))
 
     frame = docs.select(F.col(id_column).cast("long"), F.col(text).cast("string").alias("text"))
     return frame.mapInArrow(run, f"`{id_column}` long, {PIECES}")

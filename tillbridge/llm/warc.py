@@ -49,10 +49,16 @@ def open_store(path: str):
     if not found:
         return fs.LocalFileSystem(), path.removeprefix("file:")
     if scheme == "file":
-        return fs.LocalFileSystem(), rest
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
     return fs.FileSystem.from_uri({"s3a": "s3", "s3n": "s3"}.get(scheme, scheme) + "://" + rest)
 
 
+def qualified(spark, folder: str) -> str:
+    """The folder with its scheme: one without names a place on Spark's default file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def record_id(page_id, digest: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}/{digest}')}>"
 
@@ -98,6 +104,7 @@ def base32(digest: bytes) -> str:
 def write(pages: DataFrame, folder: str, id_column: str = "page_id", url: str = "url", html: str = "html",
           least_bytes: int = 0, level: int = 5, opener=open_store) -> DataFrame:
     """Archive all rows below ``folder`` and return the index, stored there as Parquet."""
+    folder = qualified(pages.sparkSession, folder)
     text = F.coalesce(F.col(html).cast("string"), F.lit(""))
     source = pages.select(F.col(id_column).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"),
                           text.alias("html")).withColumn("digest", F.sha1("html"))
