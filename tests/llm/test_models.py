@@ -146,8 +146,9 @@ def test_unigram_part_equals_brute_force(spark):
     held = [zlib.crc32(str(i).encode()) % 10 == 0 for i in range(len(texts))]
     counts = Counter(t for i, text in enumerate(texts) if not held[i] for t in tokens(text))
     total = sum(counts.values())
-    for symbols, lookup in [(1 << 15, 1 << 21), (8, 40)]:  # the second: most words are joined
-        rows = {r.doc_id: r for r in markov.score_documents(docs, symbols=symbols, lookup=lookup, iterations=2).collect()}
+    scores = []
+    for lookup, chunk in [(1 << 16, 1 << 21), (8, 300)]:  # the second: most words are joined, texts lie in many chunks
+        rows = {r.doc_id: r for r in markov.score_documents(docs, lookup=lookup, chunk=chunk, iterations=2).collect()}
         assert len(rows) == len(texts)
         for i, text in enumerate(texts):
             own, row = tokens(text), rows[i]
@@ -155,6 +156,8 @@ def test_unigram_part_equals_brute_force(spark):
                 held[i], len(own), sum(counts[t] > 0 for t in own), total)
             assert row.base_score == pytest.approx(sum(math.log10((counts[t] + 0.1) / (total + 0.1 * (len(counts) + 1))) for t in own))
             assert math.isfinite(row.score) and row.score < 0
+        scores.append([rows[i].score for i in range(len(texts))])
+    assert scores[0] == pytest.approx(scores[1], rel=1e-9)  # where emissions lie changes nothing
 
 
 def every_path(symbols, model):
@@ -184,10 +187,42 @@ def test_recursions_equal_the_sum_over_paths():
     shuffled = np.concatenate([sequences[k] for k in order])
     ends = np.cumsum([0, *[len(sequences[k]) for k in order]])
     assert markov.log_likelihood(shuffled, ends, model) == pytest.approx([math.log(brute[k][0]) for k in order])
-    start, move, emit, log = markov.expected_counts(flat, offsets[:-1], np.diff(offsets), model)
-    assert log == pytest.approx(sum(math.log(b[0]) for b in brute))
-    for found, place in ((start, 1), (move, 2), (emit, 3)):
-        assert np.allclose(found, sum(b[place] for b in brute))
+    for segment in (1, 2, 4, 99):  # whole sequences, however few steps are held at once
+        start, move, emit, log = markov.expected_counts(flat, offsets[:-1], np.diff(offsets), model, segment)
+        assert log == pytest.approx(sum(math.log(b[0]) for b in brute))
+        for found, place in ((start, 1), (move, 2), (emit, 3)):
+            assert np.allclose(found, sum(b[place] for b in brute))
+
+
+def test_one_pass_of_training_equals_brute_force(spark, tmp_path):
+    rng = random.Random(3)
+    words = ["a", "b", "c", "d", "once"]
+    texts = [" ".join(rng.choices(words[:4], k=n)) for n in (4, 3, 5, 0, 4, 5, 5, 4)] + ["a once b"]
+    docs = spark.createDataFrame([(i, t, False) for i, t in enumerate(texts)], "id long, text string, held_out boolean").repartition(2)
+    scratch = markov.Scratch(spark, "test")
+    counts = scratch.keep(markov.token_counts(docs), "counts")
+    vocab = markov.vocabulary(counts, 1)  # the end token alone is shared
+    assert len(vocab.words) == 1 and (vocab.other_tokens, vocab.other_distinct) == (1, 1)
+    encoded = scratch.keep(markov.encode(docs, vocab, 8), "encoded")
+    listed = scratch.keep(markov.listed_words(encoded, counts), "listed")
+    first = markov.first_emissions(counts, vocab, 2).toPandas().set_index("word")
+    begin = markov.initial(vocab, markov.first_emissions(counts, vocab, 2), 2)
+    parameters, emissions, history = markov.train(encoded, listed, counts, vocab, scratch, 2, 1)
+    hashes = {w: int(markov.word_hashes(pa.array([w], pa.large_string()))[0].view(np.int64)[0]) for w in words}
+    order = [hashes[w] for w in "abcd"]
+    model = markov.Model(begin.start, begin.move, np.concatenate([begin.emit, first.loc[order].to_numpy()]) / begin.total)
+    assert np.allclose(model.emit.sum(0), 1)
+    sequences = [[1 if w == "once" else 2 + "abcd".index(w) for w in t.split()] + [0] for t in texts]
+    brute = [every_path(s, model) for s in sequences]
+    assert history == [pytest.approx(sum(math.log(b[0]) for b in brute))]
+    start, move, emit = (sum(b[k] for b in brute) for k in (1, 2, 3))
+    assert np.allclose(parameters.start, (start + 1) / (start + 1).sum())
+    assert np.allclose(parameters.move, (move + 1) / (move + 1).sum(1, keepdims=True))
+    n = np.bincount([s for q in sequences for s in q], minlength=6)
+    wanted = emit + 10 * ((n + 1) / (n + 1).sum())[:, None]
+    own = emissions.toPandas().set_index("word").loc[order].to_numpy()
+    assert np.allclose(np.concatenate([parameters.emit, own]), wanted) and np.allclose(parameters.total, wanted.sum(0))
+    scratch.drop_all_but()
 
 
 def test_training_finds_the_states(spark):

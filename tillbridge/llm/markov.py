@@ -1,19 +1,25 @@
 """Language-model scores from a hidden Markov model of words.
 
-Training counts every word of the training texts (Spark sums), then runs Baum-Welch: each
-partition computes expected counts of its texts, Spark adds them up, the driver normalizes.
-Only words above a share of the corpus have emissions of their own, so the parameters have a
-fixed bound; rarer words share the symbol OTHER, whose probability is split by their exact
+Training counts every word of the training texts (Spark sums), then runs Baum-Welch: texts are
+kept in chunks of about ``CHUNK`` tokens, each chunk computes expected counts, Spark adds them up.
+Every word that occurs ``LEAST`` times or more has emissions of its own, so the emissions grow
+with the corpus; rarer words share the symbol OTHER, whose probability is split by their exact
 counts. Texts are scored by the scaled forward recursion over the whole text, in double
-precision.
+precision. Training follows whole texts as well: of a long one, the states at every
+``SEGMENT``-th token are kept and what lies between is computed again on the way back.
 
-Words are identified by 64-bit hashes. The exact counts of frequent words go to the tasks
-(words above 1/``LOOKUP`` of all tokens, so at most ``LOOKUP`` of them); those of all other
-words are joined.
+Words are identified by 64-bit hashes. Words above 1/``LOOKUP`` of all tokens (at most
+``LOOKUP``, and the end token) lie in an array that tasks share; the emissions of all others are
+a stored table, joined to the distinct words of each chunk for every pass. Where a word lies
+does not change its treatment. As a chunk lists a word once, no word is a hot key.
+
+Training ends when a pass raises the log-likelihood by less than ``TOLERANCE`` of its amount, or
+after ``ITERATIONS`` passes.
 
 Null and empty texts consist of the end token alone. A null id counts as training data. With
 nothing to learn from, every count is 0 and the model gives each symbol the same probability.
-Repeated rows are scored each; columns other than id and text are ignored.
+Repeated rows are scored each; columns other than id and text are ignored, whatever their names.
+A text longer than a chunk is a chunk of its own.
 """
 
 from __future__ import annotations
@@ -29,18 +35,23 @@ from pyspark.sql import functions as F
 from tillbridge.llm.common import Scratch, crc_mod, mix, slices, word_hashes
 
 STATES = 8
-SYMBOLS = 1 << 15  # words above 1/SYMBOLS of all tokens have emissions of their own
-LOOKUP = 1 << 21  # words above 1/LOOKUP of all tokens are looked up without a join
-ITERATIONS = 3
-SEGMENT = 256  # training sequences; scoring never cuts a text
+LEAST = 5  # occurrences from which on a word has emissions of its own
+LOOKUP = 1 << 16  # words above 1/LOOKUP of all tokens are shared with the tasks, others joined
+ITERATIONS = 4
+TOLERANCE = 2e-3
+CHUNK = 1 << 21  # tokens
+SEGMENT = 1 << 10  # steps of a sequence held at once in training
+BLOCK = 1 << 18  # tokens held at once in training
+LISTED = 1 << 16  # words of a chunk in one row
 END = int(mix(np.array([12345], np.uint64)).view(np.int64)[0])
 ADD = 0.1
+PRIOR = 10.0  # pseudo-occurrences of a state, spread by the words' counts
 FLUSH = 1 << 21
 
 
 @dataclass
 class Model:
-    """start[k], move[j, k], emit[symbol, k]; the last symbol is OTHER."""
+    """start[k], move[j, k], emit[symbol, k]."""
 
     start: np.ndarray
     move: np.ndarray
@@ -49,16 +60,34 @@ class Model:
 
 @dataclass
 class Vocabulary:
-    """Sorted hashes of the frequent words, their counts, and their symbols (or OTHER)."""
+    """Sorted hashes of the shared words and their counts; OTHER is the symbol behind the last."""
 
     words: np.ndarray
     counts: np.ndarray
-    symbols: np.ndarray
-    size: int  # number of symbols with OTHER
     tokens: int
     distinct: int
     other_tokens: int
     other_distinct: int
+    lookup: int
+
+    @property
+    def other(self) -> int:
+        return len(self.words)
+
+    def joined(self):
+        """Condition on (word, n): a word with emissions of its own that is not shared."""
+        return (F.col("n") >= LEAST) & (F.col("n") * self.lookup < self.tokens) & (F.col("word") != END)
+
+
+@dataclass
+class Parameters:
+    """What the driver holds of a model: emissions of shared words and OTHER are not yet
+    divided by ``total``, the sums over all symbols; those of other words are in a table."""
+
+    start: np.ndarray
+    move: np.ndarray
+    emit: np.ndarray
+    total: np.ndarray
 
 
 def tokens_of(texts):
@@ -108,94 +137,142 @@ def token_counts(texts: DataFrame, text: str = "text") -> DataFrame:
             .groupBy("word").agg(F.sum("n").alias("n")))
 
 
-def vocabulary(counts: DataFrame, symbols: int = SYMBOLS, lookup: int = LOOKUP) -> Vocabulary:
+def vocabulary(counts: DataFrame, lookup: int = LOOKUP) -> Vocabulary:
     """The words that tasks hold; ``counts`` should be a stored table."""
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    frequent = counts.where((F.col("n") * lookup >= total) | (F.col("word") == END)).toArrow()
-    order = np.argsort(words := frequent.column("word").to_numpy())
-    words, n = words[order], frequent.column("n").to_numpy()[order]
+    rare = (F.col("n") < LEAST) & (F.col("word") != END)
+    total, distinct, other, other_distinct = counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)), F.count("*"),
+        F.coalesce(F.sum(F.when(rare, F.col("n"))), F.lit(0)), F.count_if(rare)).first()
+    shared = counts.where(((F.col("n") >= LEAST) & (F.col("n") * lookup >= total)) | (F.col("word") == END)).toArrow()
+    order = np.argsort(words := shared.column("word").to_numpy())
+    words, n = words[order], shared.column("n").to_numpy()[order]
     if END not in words:  # nothing to learn from
         at = int(np.searchsorted(words, END))
         words, n = np.insert(words, at, END), np.insert(n, at, 0)
-    own = (n * symbols >= total) | (words == END)
-    size = int(own.sum()) + 1
-    ids = np.full(len(words), size - 1, np.int64)
-    ids[own] = np.arange(size - 1)
-    return Vocabulary(words, n, ids, size, total, distinct,
-                      total - int(n[own].sum()), distinct - int((own & (n > 0)).sum()))
-
-
-ENCODED = ("row long, id long, held_out boolean, n_tokens long, known long, base double, rest double, "
-           "symbols binary, rare_words array<long>, rare_counts array<int>")
-
-
-def encode(frame: DataFrame, vocab: Vocabulary) -> DataFrame:
-    """Texts as symbols, with the sums over their frequent words and the list of their rare words.
-
-    ``base`` sums log10(c + 0.1) over frequent words, ``rest`` over those whose symbol is OTHER.
+    return Vocabulary(words, n, total, distinct, other, other_distinct, lookup)
+
+
+def _chunk(number, parts, vocab: Vocabulary):
+    """Rows of a chunk: its texts as symbols, then its words that are not shared."""
+    words = np.concatenate([p[2] for p in parts])
+    symbols = np.minimum(np.searchsorted(vocab.words, words), len(vocab.words) - 1)
+    own = vocab.words[symbols] == words
+    listed, place = np.unique(words[~own], return_inverse=True)
+    symbols[~own] = vocab.other + place
+    data, at = symbols.astype(np.uint32), 0
+    for ids, held, _, offsets in parts:
+        n, to = len(ids), at + int(offsets[-1])
+        texts = pa.Array.from_buffers(pa.large_binary(), n, [
+            None, pa.py_buffer((offsets * 4).astype(np.int64)), pa.py_buffer(data[at:to])])
+        yield pa.RecordBatch.from_arrays([
+            pa.array(np.full(n, number)), ids, held, texts.cast(pa.binary()), pa.nulls(n, pa.int32()),
+            pa.nulls(n, pa.list_(pa.int64()))], ENCODED_NAMES)
+        at = to
+    for at in range(0, len(listed), LISTED):
+        yield pa.RecordBatch.from_arrays([
+            pa.array([number], pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.bool_()), pa.nulls(1, pa.binary()),
+            pa.array([at], pa.int32()), pa.array([listed[at:at + LISTED]], pa.list_(pa.int64()))], ENCODED_NAMES)
+
+
+ENCODED = "chunk long, id long, held_out boolean, symbols binary, first int, words array<long>"
+ENCODED_NAMES = ["chunk", "id", "held_out", "symbols", "first", "words"]
+
+
+def encode(frame: DataFrame, vocab: Vocabulary, chunk: int = CHUNK) -> DataFrame:
+    """Texts as symbols, and in rows of their own (without symbols) the words of each chunk.
+
+    A symbol is the place of a shared word, or ``vocab.other`` and the word's place in the list
+    of its chunk.
     """
     shared = frame.sparkSession.sparkContext.broadcast(vocab)
 
     def run(batches):
-        v = shared.value
-        logs = np.log10(v.counts + ADD)
-        row = (TaskContext.get().partitionId()) << 40
+        number, parts, size = TaskContext.get().partitionId() << 32, [], 0
         for batch in batches:
             for at, words, offsets in tokens_of(batch.column("text")):
-                place = np.minimum(np.searchsorted(v.words, words), len(v.words) - 1)
-                found = v.words[place] == words
-                seen = found & (v.counts[place] > 0)
-                symbols = np.where(found, v.symbols[place], v.size - 1)
-                base = np.where(found, logs[place], 0.0)
-                rest = np.where(symbols == v.size - 1, base, 0.0)
-                sums = [np.add.reduceat(x, offsets[:-1]) for x in (seen.astype(np.int64), base, rest)]
-                binary = symbols.astype(np.uint16)
-                text_of = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[~found]
-                rare, rare_of, rare_n = _rare(words[~found], text_of)
-                cuts = pa.array(np.searchsorted(rare_of, np.arange(len(offsets))).astype(np.int32))
                 n = len(offsets) - 1
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(row + np.arange(n)), batch.column("id").slice(at, n),
-                    batch.column("held_out").slice(at, n), pa.array(np.diff(offsets)),
-                    *[pa.array(x) for x in sums],
-                    pa.Array.from_buffers(pa.binary(), n, [
-                        None, pa.py_buffer((offsets * 2).astype(np.int32)), pa.py_buffer(binary)]),
-                    pa.ListArray.from_arrays(cuts, pa.array(rare)),
-                    pa.ListArray.from_arrays(cuts, pa.array(rare_n.astype(np.int32)))],
-                    ["row", "id", "held_out", "n_tokens", "known", "base", "rest", "symbols",
-                     "rare_words", "rare_counts"])
-                row += n
+                parts.append((batch.column("id").slice(at, n), batch.column("held_out").slice(at, n), words, offsets))
+                size += len(words)
+                if size >= chunk:
+                    yield from _chunk(number, parts, shared.value)
+                    number, parts, size = number + 1, [], 0
+        if parts:
+            yield from _chunk(number, parts, shared.value)
 
     return frame.mapInArrow(run, ENCODED)
 
 
-def _rare(words, text_of):
-    order = np.lexsort((words, text_of))
-    words, text_of = words[order], text_of[order]
-    new = np.ones(len(words), bool)
-    new[1:] = (words[1:] != words[:-1]) | (text_of[1:] != text_of[:-1])
-    at = np.flatnonzero(new)
-    return words[at], text_of[at], np.diff(np.append(at, len(words)))
+def listed_words(encoded: DataFrame, counts: DataFrame) -> DataFrame:
+    """(chunk, place, word, n) of all words in the chunks' lists; n is 0 for words not in training."""
+    listed = encoded.where("symbols IS NULL").select("chunk", "first", F.posexplode("words").alias("at", "word"))
+    return listed.join(counts, "word", "left").select(
+        "chunk", (F.col("first") + F.col("at")).alias("place"), "word", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def _names(states: int) -> list[str]:
+    return [f"s{k}" for k in range(states)]
+
+
+def _scattered(words: np.ndarray, n: np.ndarray, states: int) -> np.ndarray:
+    """Emissions to begin with: the counts times log-normal noise drawn from the words' hashes."""
+    out = np.empty((len(words), states))
+    for k in range(states):
+        one, two = (mix(words.view(np.uint64) ^ mix(np.array([2 * k + j], np.uint64))) >> np.uint64(11) for j in (1, 2))
+        normal = np.sqrt(-2 * np.log((one + np.uint64(1)) / 2.0 ** 53)) * np.cos(2 * np.pi * (two / 2.0 ** 53))
+        out[:, k] = (n + 1) * np.exp(2 * normal)
+    return out
+
+
+def _columns(values: np.ndarray):
+    return [pa.array(np.ascontiguousarray(values[:, k], np.float64)) for k in range(values.shape[1])]
+
+
+def first_emissions(counts: DataFrame, vocab: Vocabulary, states: int) -> DataFrame:
+    """(word, s0, s1, ...) of the words that are not shared."""
+    names = _names(states)
+
+    def run(batches):
+        for batch in batches:
+            values = _scattered(batch.column("word").to_numpy(), batch.column("n").to_numpy(), states)
+            yield pa.RecordBatch.from_arrays([batch.column("word"), *_columns(values)], ["word", *names])
+
+    return counts.where(vocab.joined()).select("word", "n").mapInArrow(
+        run, "word long, " + ", ".join(f"{n} double" for n in names))
+
+
+def _with_total(start, move, emit, emissions: DataFrame) -> Parameters:
+    names = _names(len(start))
+    rest = emissions.agg(*[F.coalesce(F.sum(n), F.lit(0.0)).alias(n) for n in names]).first()
+    return Parameters(start, move, emit, emit.sum(0) + np.array([rest[n] for n in names]))
 
 
-def initial(vocab: Vocabulary, states: int) -> Model:
+def initial(vocab: Vocabulary, emissions: DataFrame, states: int) -> Parameters:
     """Sticky states whose emissions scatter around the word frequencies."""
-    n = np.zeros(vocab.size)
-    np.add.at(n, vocab.symbols, vocab.counts)
-    n[-1] = vocab.other_tokens
-    noise = np.random.default_rng(7).normal(size=(vocab.size, states))
-    emit = (n + 1)[:, None] * np.exp(2 * noise)
     move = np.full((states, states), 0.1 / max(1, states - 1))
     np.fill_diagonal(move, 0.9 if states > 1 else 1.0)
-    return Model(np.full(states, 1 / states), move, emit / emit.sum(0))
+    words = np.append(vocab.words, [0]).astype(np.int64)  # OTHER takes the noise of hash 0
+    emit = _scattered(words, np.append(vocab.counts, vocab.other_tokens), states)
+    return _with_total(np.full(states, 1 / states), move, emit, emissions)
 
 
 def _symbols(column):
     """All symbols of a binary column, and each row's offsets."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.cast(pa.large_binary()).combine_chunks()
     column = column.cast(pa.large_binary())
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
-    data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0]:offsets[-1]].view(np.uint16)
-    return data, (offsets - offsets[0]) // 2
+    data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0]:offsets[-1]].view(np.uint32)
+    return data.astype(np.int64), (offsets - offsets[0]) // 4
+
+
+def _local(symbols, place, values, own, parameters: Parameters):
+    """Symbols and model of a chunk: shared words, OTHER, then the listed words that are ``own``."""
+    other = len(parameters.emit) - 1
+    size = max(int(symbols.max(initial=0)), other + int(place.max(initial=0))) + 1
+    number = np.concatenate([np.arange(other), np.full(size - other, other)])
+    number[other + place[own]] = other + 1 + np.arange(int(own.sum()))
+    emit = np.concatenate([parameters.emit, values[own]]) / parameters.total
+    return number[symbols], Model(parameters.start, parameters.move, emit)
 
 
 def log_likelihood(symbols, offsets, model: Model) -> np.ndarray:
@@ -217,141 +294,185 @@ def log_likelihood(symbols, offsets, model: Model) -> np.ndarray:
     return result
 
 
-def expected_counts(symbols, starts, lengths, model: Model):
-    """Baum-Welch sums of sequences in descending order of length: start, moves, emissions, log."""
-    states, longest = len(model.start), int(lengths[0])
-    active = np.searchsorted(-lengths, -np.arange(1, longest + 1), "right")
-    forward, scales, emits = [], [], []
-    for t, m in enumerate(active):
+def _forward(symbols, starts, active, state, t0, t1, model: Model):
+    """States, scales and emissions of the steps t0 to t1; ``state`` is that of the step before."""
+    states, scales, emits = [], [], []
+    for t in range(t0, t1):
+        m = active[t]
         emit = model.emit[symbols[starts[:m] + t]]
-        state = emit * model.start if t == 0 else (forward[-1][:m] @ model.move) * emit
+        state = emit * model.start if t == 0 else (state[:m] @ model.move) * emit
         scale = state.sum(1)
-        forward.append(state / scale[:, None])
+        state = state / scale[:, None]
+        states.append(state)
         scales.append(scale)
         emits.append(emit)
-    moves, weights, places = np.zeros((states, states)), [None] * longest, [None] * longest
-    backward = np.ones((active[-1], states))
-    for t in range(longest - 1, -1, -1):
-        m = active[t]
-        if len(backward) < m:
-            backward = np.concatenate([backward, np.ones((m - len(backward), states))])
-        weights[t] = forward[t] * backward
-        places[t] = symbols[starts[:m] + t]
-        if t:
-            pull = emits[t] * backward / scales[t][:, None]
-            moves += forward[t - 1][:m].T @ pull
-            backward = pull @ model.move.T
-    weight, place = np.concatenate(weights), np.concatenate(places)
-    emissions = np.stack([np.bincount(place, weight[:, k], len(model.emit)) for k in range(states)], 1)
-    return weights[0].sum(0), moves * model.move, emissions, sum(np.log(s).sum() for s in scales)
-
-
-def _expectations(encoded: DataFrame, model: Model) -> DataFrame:
-    states = len(model.start)
-    shared = encoded.sparkSession.sparkContext.broadcast(model)
-    names = [f"s{k}" for k in range(states)]
+    return states, scales, emits
 
-    def run(batches):
-        model, total = shared.value, None
-        for batch in batches:
-            symbols, offsets = _symbols(batch.column(0))
-            lengths = np.diff(offsets)
-            pieces = -(-lengths // SEGMENT)
-            first = np.repeat(np.cumsum(pieces) - pieces, pieces)
-            inside = (np.arange(len(first)) - first) * SEGMENT
-            starts = np.repeat(offsets[:-1], pieces) + inside
-            sizes = np.minimum(SEGMENT, np.repeat(lengths, pieces) - inside)
-            order = np.argsort(-sizes, kind="stable")
-            for at in range(0, len(order), 1024):
-                part = order[at:at + 1024]
-                found = expected_counts(symbols, starts[part], sizes[part], model)
-                total = found if total is None else [a + b for a, b in zip(total, found)]
-        if total is not None:
-            start, moves, emissions, log = total
-            used = np.flatnonzero(emissions.sum(1))
-            symbol = np.concatenate([[-1 - states, -2 - states], -1 - np.arange(states), used])
-            last = np.zeros(states)
-            last[0] = log
-            values = np.concatenate([[start, last], moves, emissions[used]])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(symbol), *[pa.array(values[:, k].copy()) for k in range(states)]], ["symbol", *names])
-
-    rows = encoded.where("NOT held_out").select("symbols").mapInArrow(
-        run, "symbol long, " + ", ".join(f"{n} double" for n in names))
-    return rows.groupBy("symbol").agg(*[F.sum(n).alias(n) for n in names])
-
-
-def train(encoded: DataFrame, vocab: Vocabulary, states: int = STATES, iterations: int = ITERATIONS):
-    """The model, and the training log-likelihood before each iteration."""
-    model, history = initial(vocab, states), []
-    prior = np.full(vocab.size, 1.0)
-    np.add.at(prior, vocab.symbols, vocab.counts)
-    prior[-1] += vocab.other_tokens
-    prior /= prior.sum()
+
+def expected_counts(symbols, starts, lengths, model: Model, segment: int = SEGMENT):
+    """Baum-Welch sums of sequences in descending order of length: start, moves, emissions, log.
+
+    Only ``segment`` steps are held at once; of the steps before, the states at their ends are.
+    """
+    size, longest = len(model.start), int(lengths[0])
+    active = np.searchsorted(-lengths, -np.arange(1, longest + 1), "right")
+    cuts = list(range(0, longest, segment))
+    entries, log = [None], 0.0
+    for at in cuts[:-1]:
+        states, scales, _ = _forward(symbols, starts, active, entries[-1], at, at + segment, model)
+        log += sum(np.log(s).sum() for s in scales)
+        entries.append(states[-1])
+    moves, emissions = np.zeros((size, size)), np.zeros_like(model.emit)
+    backward, first = np.ones((active[-1], size)), None
+    for at, entry in zip(reversed(cuts), reversed(entries)):
+        to = min(at + segment, longest)
+        forward, scales, emits = _forward(symbols, starts, active, entry, at, to, model)
+        if to == longest:
+            log += sum(np.log(s).sum() for s in scales)
+        weights, places = [], []
+        for t in range(to - 1, at - 1, -1):
+            m = active[t]
+            if len(backward) < m:
+                backward = np.concatenate([backward, np.ones((m - len(backward), size))])
+            first = forward[t - at] * backward
+            weights.append(first)
+            places.append(symbols[starts[:m] + t])
+            if t:
+                pull = emits[t - at] * backward / scales[t - at][:, None]
+                moves += (forward[t - at - 1] if t > at else entry)[:m].T @ pull
+                backward = pull @ model.move.T
+        weight, place = np.concatenate(weights), np.concatenate(places)
+        for k in range(size):
+            emissions[:, k] += np.bincount(place, weight[:, k], len(emissions))
+    return first.sum(0), moves * model.move, emissions, log
+
+
+def _arrays(known: pa.Table, states: int):
+    """Places and emissions (NaN without any) of a chunk's listed words."""
+    values = np.stack([known.column(n).to_numpy() for n in _names(states)], 1)
+    return known.column("place").to_numpy().astype(np.int64), values.astype(np.float64)
+
+
+def _expectations(encoded: DataFrame, listed: DataFrame, emissions: DataFrame, parameters: Parameters) -> DataFrame:
+    """(symbol, word, s0, s1, ...): sums for shared symbols, and with negative symbols those of the
+    moves, the start and the logarithm; sums for words that are not shared have no symbol."""
+    states, names = len(parameters.start), _names(len(parameters.start))
+    shared = encoded.sparkSession.sparkContext.broadcast(parameters)
+    schema = "symbol long, word long, " + ", ".join(f"{n} double" for n in names)
+
+    def run(texts: pa.Table, known: pa.Table) -> pa.Table:
+        place, values = _arrays(known, states)
+        symbols, offsets = _symbols(texts.column("symbols"))
+        symbols, model = _local(symbols, place, values, np.ones(len(place), bool), shared.value)
+        lengths = np.diff(offsets)
+        order = np.argsort(-lengths, kind="stable")
+        total, at = None, 0
+        while at < len(order):
+            part = order[at:at + max(1, BLOCK // min(SEGMENT, int(lengths[order[at]])))]
+            found = expected_counts(symbols, offsets[:-1][part], lengths[part], model)
+            total = found if total is None else [a + b for a, b in zip(total, found)]
+            at += len(part)
+        if total is None:
+            total = np.zeros(states), np.zeros((states, states)), np.zeros_like(model.emit), 0.0
+        start, moves, emit, log = total
+        used, other = np.flatnonzero(emit.sum(1)), shared.value.emit.shape[0] - 1
+        own, joined = used[used <= other], used[used > other]
+        last = np.zeros(states)
+        last[0] = log
+        codes = np.concatenate([[-1 - states, -2 - states], -1 - np.arange(states), own]).astype(np.int64)
+        words = known.column("word").to_numpy()[joined - other - 1]
+        rows = np.concatenate([[start, last], moves, emit[own], emit[joined]])
+        return pa.Table.from_arrays(
+            [pa.concat_arrays([pa.array(codes), pa.nulls(len(words), pa.int64())]),
+             pa.concat_arrays([pa.nulls(len(codes), pa.int64()), pa.array(words, pa.int64())]), *_columns(rows)],
+            ["symbol", "word", *names])
+
+    texts = encoded.where("symbols IS NOT NULL AND NOT held_out").select("chunk", "symbols")
+    known = listed.join(emissions, "word").select("chunk", "place", "word", *names)
+    rows = texts.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(run, schema)
+    return rows.groupBy("symbol", "word").agg(*[F.sum(n).alias(n) for n in names])
+
+
+def train(encoded: DataFrame, listed: DataFrame, counts: DataFrame, vocab: Vocabulary, scratch: Scratch,
+          states: int = STATES, iterations: int = ITERATIONS, tolerance: float = TOLERANCE):
+    """Parameters, the table of emissions, and the training log-likelihood before each pass."""
+    names, history = _names(states), []
+    emissions = scratch.keep(first_emissions(counts, vocab, states), "emissions")
+    parameters = initial(vocab, emissions, states)
+    symbols = vocab.other + 1 + emissions.count()
+    occurrences = np.append(vocab.counts, vocab.other_tokens)
+    spread = PRIOR / (vocab.tokens + symbols)
+    needed = listed.where(vocab.joined()).select("chunk", "place", "word")
     for _ in range(iterations):
-        found = _expectations(encoded, model).toArrow()
+        sums = scratch.keep(_expectations(encoded, needed, emissions, parameters), "sums")
+        found = sums.where("symbol IS NOT NULL").toArrow()
         if not found.num_rows:
+            scratch.drop(sums)
             break
         symbol = found.column("symbol").to_numpy()
-        values = np.stack([found.column(f"s{k}").to_numpy() for k in range(states)], 1)
-        start = values[symbol == -1 - states][0] + 1
+        values = np.stack([found.column(n).to_numpy() for n in names], 1)
         history.append(float(values[symbol == -2 - states][0][0]))
-        moves = np.ones((states, states))
-        for k in range(states):
-            moves[k] += values[symbol == -1 - k][0]
-        emit = np.repeat(prior[:, None] * 10, states, 1)
+        start = values[symbol == -1 - states][0] + 1
+        moves = 1 + np.concatenate([values[symbol == -1 - k] for k in range(states)])
+        emit = np.repeat((occurrences + 1)[:, None] * spread, states, 1)
         emit[symbol[symbol >= 0]] += values[symbol >= 0]
-        model = Model(start / start.sum(), moves / moves.sum(1, keepdims=True), emit / emit.sum(0))
-    return model, history
+        n = sum(F.col(c) for c in names)  # a token's states have probabilities that add up to 1
+        new = scratch.keep(sums.where("symbol IS NULL").select(
+            "word", *[(F.col(c) + (n + 1) * spread).alias(c) for c in names]), "emissions")
+        scratch.drop(emissions, sums)
+        emissions = new
+        parameters = _with_total(start / start.sum(), moves / moves.sum(1, keepdims=True), emit, emissions)
+        if len(history) > 1 and history[-1] - history[-2] < tolerance * abs(history[-2]):
+            break
+    return parameters, emissions, history
 
 
-def score(encoded: DataFrame, model: Model, counts: DataFrame, vocab: Vocabulary) -> DataFrame:
+def score(encoded: DataFrame, listed: DataFrame, emissions: DataFrame, parameters: Parameters,
+          vocab: Vocabulary) -> DataFrame:
     """One row per encoded text: token sums, unigram score and model score, both log10."""
-    shared = encoded.sparkSession.sparkContext.broadcast(model)
+    states, names = len(parameters.start), _names(len(parameters.start))
+    shared = encoded.sparkSession.sparkContext.broadcast((vocab, parameters))
+
+    def run(texts: pa.Table, known: pa.Table) -> pa.Table:
+        v, parameters = shared.value
+        place, values = _arrays(known, states)
+        n = np.concatenate([v.counts, np.zeros(len(place), np.int64)])
+        n[v.other + place] = known.column("n").to_numpy()
+        symbols, offsets = _symbols(texts.column("symbols"))
+        local, model = _local(symbols, place, values, ~np.isnan(values[:, 0]), parameters)
+        logs, rest = np.log10(n + ADD)[symbols], local == v.other
+        other = np.log10(v.other_tokens + ADD * (v.other_distinct + 1))
+        sums = [np.add.reduceat(x, offsets[:-1]) if len(texts) else np.zeros(0, x.dtype) for x in (
+            (n[symbols] > 0).astype(np.int64), logs, np.where(rest, logs - other, 0.0))]
+        lengths = np.diff(offsets)
+        base = sums[1] - lengths * np.log10(v.tokens + ADD * (v.distinct + 1))
+        scores = log_likelihood(local, offsets, model) / np.log(10) + sums[2]
+        return pa.Table.from_arrays(
+            [texts.column("id"), texts.column("held_out"), pa.array(lengths), pa.array(sums[0]),
+             pa.array(np.full(len(texts), v.tokens, np.int64)), pa.array(base), pa.array(scores)], SCORED_NAMES)
 
-    def run(batches):
-        for batch in batches:
-            symbols, offsets = _symbols(batch.column("symbols"))
-            logs = log_likelihood(symbols, offsets, shared.value) / np.log(10)
-            others = np.add.reduceat((symbols == len(shared.value.emit) - 1).astype(np.int64), offsets[:-1]) \
-                if len(batch) else np.zeros(0, np.int64)
-            kept = batch.select([c for c in batch.schema.names if c != "symbols"])
-            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(logs), pa.array(others)],
-                                             [*kept.schema.names, "hmm", "others"])
-
-    scored = encoded.drop("rare_words", "rare_counts").select(
-        "row", "id", "held_out", "n_tokens", "known", "base", "rest", "symbols").mapInArrow(
-        run, "row long, id long, held_out boolean, n_tokens long, known long, base double, rest double, "
-             "hmm double, others long")
-    rare = (encoded.select("row", F.explode(F.arrays_zip("rare_words", "rare_counts")).alias("r"))
-            .select("row", F.col("r.rare_words").alias("word"), F.col("r.rare_counts").alias("tf"))
-            .join(counts, "word", "left")
-            .groupBy("row").agg(
-                F.sum(F.when(F.col("n") > 0, F.col("tf")).otherwise(0)).alias("rare_known"),
-                F.sum(F.col("tf") * F.log10(F.coalesce("n", F.lit(0)) + ADD)).alias("rare_log")))
-    base = float(np.log10(vocab.tokens + ADD * (vocab.distinct + 1)))
-    other = float(np.log10(vocab.other_tokens + ADD * (vocab.other_distinct + 1)))
-    log, known = F.coalesce("rare_log", F.lit(0.0)), F.coalesce("rare_known", F.lit(0))
-    return scored.join(rare, "row", "left").select(
-        "id", "held_out", "n_tokens", (F.col("known") + known).alias("n_known"),
-        F.lit(vocab.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + log - F.col("n_tokens") * base).alias("base_score"),
-        (F.col("hmm") + F.col("rest") + log - F.col("others") * other).alias("score"))
+    texts = encoded.where("symbols IS NOT NULL").select("chunk", "id", "held_out", "symbols")
+    known = listed.join(emissions, "word", "left").select(
+        "chunk", "place", "n", *[F.coalesce(c, F.lit(float("nan"))).alias(c) for c in names])
+    return texts.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(run, SCORED)
+
+
+SCORED = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+SCORED_NAMES = ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
 
 def score_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "text", folds: int = 10,
                     held_fold: int = 0, states: int = STATES, iterations: int = ITERATIONS,
-                    symbols: int = SYMBOLS, lookup: int = LOOKUP) -> DataFrame:
+                    lookup: int = LOOKUP, chunk: int = CHUNK) -> DataFrame:
     """Score all texts with a model learned from those outside the held-out fold."""
-    if symbols > (1 << 16) - 2:
-        raise ValueError("symbols are stored in 16 bits")
     scratch = Scratch(docs.sparkSession, "markov")
     frame = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text).cast("string").alias("text"),
                         F.coalesce(crc_mod(id_column, folds) == held_fold, F.lit(False)).alias("held_out"))
     counts = scratch.keep(token_counts(frame.where("NOT held_out")), "counts")
-    vocab = vocabulary(counts, symbols, lookup)
-    encoded = scratch.keep(encode(frame, vocab), "encoded")
-    model, _ = train(encoded, vocab, states, iterations)
-    result = scratch.keep(score(encoded, model, counts, vocab), "scores")
-    scratch.drop(counts, encoded)
+    vocab = vocabulary(counts, lookup)
+    encoded = scratch.keep(encode(frame, vocab, chunk), "encoded")
+    listed = scratch.keep(listed_words(encoded, counts), "listed")
+    parameters, emissions, _ = train(encoded, listed, counts, vocab, scratch, states, iterations)
+    result = scratch.keep(score(encoded, listed, emissions, parameters, vocab), "scores")
+    scratch.drop_all_but(result)
     return result.withColumnRenamed("id", id_column)
