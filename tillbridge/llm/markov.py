@@ -11,7 +11,8 @@ precision. Training follows whole texts as well: of a long one, the states at ev
 Words are identified by 64-bit hashes. Words above 1/``LOOKUP`` of all tokens (at most
 ``LOOKUP``, and the end token) lie in an array that tasks share; the emissions of all others are
 a stored table, joined to the distinct words of each chunk for every pass. Where a word lies
-does not change its treatment. As a chunk lists a word once, no word is a hot key.
+does not change its treatment. As a chunk lists a word once, no word is a hot key. Emissions
+are rounded to single precision, sums and recursions are in double.
 
 Training ends when a pass raises the log-likelihood by less than ``TOLERANCE`` of its amount, or
 after ``ITERATIONS`` passes.
@@ -202,11 +203,60 @@ def encode(frame: DataFrame, vocab: Vocabulary, chunk: int = CHUNK) -> DataFrame
     return frame.mapInArrow(run, ENCODED)
 
 
-def listed_words(encoded: DataFrame, counts: DataFrame) -> DataFrame:
-    """(chunk, place, word, n) of all words in the chunks' lists; n is 0 for words not in training."""
-    listed = encoded.where("symbols IS NULL").select("chunk", "first", F.posexplode("words").alias("at", "word"))
-    return listed.join(counts, "word", "left").select(
-        "chunk", (F.col("first") + F.col("at")).alias("place"), "word", F.coalesce("n", F.lit(0)).alias("n"))
+PREPARED = ("chunk long, id long, held_out boolean, n_tokens long, n_known long, base double, rest double, "
+            "symbols binary, first int, words array<long>")
+PREPARED_NAMES = ["chunk", "id", "held_out", "n_tokens", "n_known", "base", "rest", "symbols", "first", "words"]
+
+
+def listed_words(encoded: DataFrame) -> DataFrame:
+    """(chunk, place, word) of the words in the chunks' lists."""
+    return encoded.where("symbols IS NULL").select("chunk", "first", F.posexplode("words").alias("at", "word")).select(
+        F.col("chunk").alias("chunk"), (F.col("first") + F.col("at")).alias("place"), "word")
+
+
+def prepare(encoded: DataFrame, counts: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """Encoded texts with their sums over words; words without emissions of their own become OTHER.
+
+    ``vocab.other`` is OTHER now, and the words still listed follow it. ``rest`` adds up what
+    the words that became OTHER have of it.
+    """
+    shared = encoded.sparkSession.sparkContext.broadcast(vocab)
+
+    def run(texts: pa.Table, known: pa.Table) -> pa.Table:
+        v, number = shared.value, texts.column("chunk")[0] if len(texts) else None
+        order = np.argsort(known.column("place").to_numpy())
+        words, n = (known.column(c).to_numpy()[order] for c in ("word", "n"))
+        own = np.flatnonzero(n >= LEAST)
+        symbol = np.concatenate([np.arange(v.other), np.full(len(n), v.other)])
+        symbol[v.other + own] = v.other + 1 + np.arange(len(own))
+        symbols, offsets = _symbols(texts.column("symbols"))
+        n = np.concatenate([v.counts, n])[symbols]
+        logs, symbols = np.log10(n + ADD), symbol[symbols]
+        other = np.log10(v.other_tokens + ADD * (v.other_distinct + 1))
+        sums = [np.add.reduceat(x, offsets[:-1]) if len(texts) else np.zeros(0, x.dtype) for x in (
+            (n > 0).astype(np.int64), logs, np.where(symbols == v.other, logs - other, 0.0))]
+        lengths = np.diff(offsets)
+        base = sums[1] - lengths * np.log10(v.tokens + ADD * (v.distinct + 1))
+        rows = len(texts)
+        binary = pa.Array.from_buffers(pa.large_binary(), rows, [
+            None, pa.py_buffer((offsets * 4).astype(np.int64)), pa.py_buffer(symbols.astype(np.uint32))])
+        out = [pa.Table.from_arrays([
+            texts.column("chunk"), texts.column("id"), texts.column("held_out"), pa.array(lengths), pa.array(sums[0]),
+            pa.array(base), pa.array(sums[2]), binary.cast(pa.binary()), pa.nulls(rows, pa.int32()),
+            pa.nulls(rows, pa.list_(pa.int64()))], PREPARED_NAMES)]
+        words = words[own]
+        for at in range(0, len(words) if rows else 0, LISTED):
+            nothing = [pa.nulls(1, t) for t in (
+                pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary())]
+            out.append(pa.Table.from_arrays([
+                pa.array([number.as_py()], pa.int64()), *nothing, pa.array([at], pa.int32()),
+                pa.array([words[at:at + LISTED]], pa.list_(pa.int64()))], PREPARED_NAMES))
+        return pa.concat_tables(out)
+
+    known = listed_words(encoded).join(counts, "word", "left").select(
+        "chunk", "place", "word", F.coalesce("n", F.lit(0)).alias("n"))
+    texts = encoded.where("symbols IS NOT NULL").select("chunk", "id", "held_out", "symbols")
+    return texts.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(run, PREPARED)
 
 
 def _names(states: int) -> list[str]:
@@ -223,26 +273,45 @@ def _scattered(words: np.ndarray, n: np.ndarray, states: int) -> np.ndarray:
     return out
 
 
-def _columns(values: np.ndarray):
-    return [pa.array(np.ascontiguousarray(values[:, k], np.float64)) for k in range(values.shape[1])]
+def _packed(words, values: np.ndarray) -> pa.RecordBatch:
+    """(word, e): the values of each word as single-precision bytes."""
+    size = 4 * values.shape[1]
+    packed = pa.Array.from_buffers(pa.binary(), len(values), [
+        None, pa.py_buffer((np.arange(len(values) + 1) * size).astype(np.int32)),
+        pa.py_buffer(np.ascontiguousarray(values, np.float32))])
+    return pa.RecordBatch.from_arrays([words, packed], ["word", "e"])
 
 
-def first_emissions(counts: DataFrame, vocab: Vocabulary, states: int) -> DataFrame:
-    """(word, s0, s1, ...) of the words that are not shared."""
-    names = _names(states)
+def _unpacked(column, states: int) -> np.ndarray:
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    if not len(column):
+        return np.zeros((0, states))
+    column = column.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0]:offsets[-1]].view(np.float32)
+    return data.reshape(-1, states).astype(np.float64)
+
 
+def first_emissions(counts: DataFrame, vocab: Vocabulary, states: int) -> DataFrame:
+    """(word, e) of the words that are not shared."""
     def run(batches):
         for batch in batches:
-            values = _scattered(batch.column("word").to_numpy(), batch.column("n").to_numpy(), states)
-            yield pa.RecordBatch.from_arrays([batch.column("word"), *_columns(values)], ["word", *names])
+            n = batch.column("n").to_numpy()
+            yield _packed(batch.column("word"), _scattered(batch.column("word").to_numpy(), n, states))
 
-    return counts.where(vocab.joined()).select("word", "n").mapInArrow(
-        run, "word long, " + ", ".join(f"{n} double" for n in names))
+    return counts.where(vocab.joined()).select("word", "n").mapInArrow(run, "word long, e binary")
 
 
 def _with_total(start, move, emit, emissions: DataFrame) -> Parameters:
-    names = _names(len(start))
-    rest = emissions.agg(*[F.coalesce(F.sum(n), F.lit(0.0)).alias(n) for n in names]).first()
+    states, names = len(start), _names(len(start))
+
+    def run(batches):
+        total = sum((_unpacked(batch.column(0), states).sum(0) for batch in batches), np.zeros(states))
+        yield pa.RecordBatch.from_arrays([pa.array([float(x)]) for x in total], names)
+
+    rest = emissions.select("e").mapInArrow(run, ", ".join(f"{n} double" for n in names)).agg(
+        *[F.coalesce(F.sum(n), F.lit(0.0)).alias(n) for n in names]).first()
+    emit = emit.astype(np.float32).astype(np.float64)
     return Parameters(start, move, emit, emit.sum(0) + np.array([rest[n] for n in names]))
 
 
@@ -265,14 +334,17 @@ def _symbols(column):
     return data.astype(np.int64), (offsets - offsets[0]) // 4
 
 
-def _local(symbols, place, values, own, parameters: Parameters):
-    """Symbols and model of a chunk: shared words, OTHER, then the listed words that are ``own``."""
-    other = len(parameters.emit) - 1
-    size = max(int(symbols.max(initial=0)), other + int(place.max(initial=0))) + 1
-    number = np.concatenate([np.arange(other), np.full(size - other, other)])
-    number[other + place[own]] = other + 1 + np.arange(int(own.sum()))
-    emit = np.concatenate([parameters.emit, values[own]]) / parameters.total
-    return number[symbols], Model(parameters.start, parameters.move, emit)
+def _model(known: pa.Table, parameters: Parameters) -> tuple[Model, np.ndarray]:
+    """A chunk's model: shared words, OTHER, then the listed words; and the hashes of the last."""
+    states, shared = len(parameters.start), len(parameters.emit)
+    place = known.column("place").to_numpy()
+    emit = np.empty((shared + len(place), states))
+    emit[:shared] = parameters.emit
+    emit[shared + place] = _unpacked(known.column("e"), states)
+    emit /= parameters.total
+    words = np.empty(len(place), np.int64)
+    words[place] = known.column("word").to_numpy()
+    return Model(parameters.start, parameters.move, emit), words
 
 
 def log_likelihood(symbols, offsets, model: Model) -> np.ndarray:
@@ -342,58 +414,61 @@ def expected_counts(symbols, starts, lengths, model: Model, segment: int = SEGME
                 moves += (forward[t - at - 1] if t > at else entry)[:m].T @ pull
                 backward = pull @ model.move.T
         weight, place = np.concatenate(weights), np.concatenate(places)
-        for k in range(size):
-            emissions[:, k] += np.bincount(place, weight[:, k], len(emissions))
+        order = np.argsort(place)
+        place = place[order]
+        new = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+        emissions[place[new]] += np.add.reduceat(weight[order], new)
     return first.sum(0), moves * model.move, emissions, log
 
 
-def _arrays(known: pa.Table, states: int):
-    """Places and emissions (NaN without any) of a chunk's listed words."""
-    values = np.stack([known.column(n).to_numpy() for n in _names(states)], 1)
-    return known.column("place").to_numpy().astype(np.int64), values.astype(np.float64)
-
-
-def _expectations(encoded: DataFrame, listed: DataFrame, emissions: DataFrame, parameters: Parameters) -> DataFrame:
+def _expectations(prepared: DataFrame, emissions: DataFrame, parameters: Parameters) -> DataFrame:
     """(symbol, word, s0, s1, ...): sums for shared symbols, and with negative symbols those of the
     moves, the start and the logarithm; sums for words that are not shared have no symbol."""
     states, names = len(parameters.start), _names(len(parameters.start))
-    shared = encoded.sparkSession.sparkContext.broadcast(parameters)
-    schema = "symbol long, word long, " + ", ".join(f"{n} double" for n in names)
+    shared = prepared.sparkSession.sparkContext.broadcast(parameters)
+    schema = "symbol long, word long, " + ", ".join(f"{n} float" for n in names)
 
     def run(texts: pa.Table, known: pa.Table) -> pa.Table:
-        place, values = _arrays(known, states)
+        model, words = _model(known, shared.value)
         symbols, offsets = _symbols(texts.column("symbols"))
-        symbols, model = _local(symbols, place, values, np.ones(len(place), bool), shared.value)
         lengths = np.diff(offsets)
         order = np.argsort(-lengths, kind="stable")
-        total, at = None, 0
+        total, at = [np.zeros(states), np.zeros((states, states)), np.zeros_like(model.emit), 0.0], 0
         while at < len(order):
             part = order[at:at + max(1, BLOCK // min(SEGMENT, int(lengths[order[at]])))]
-            found = expected_counts(symbols, offsets[:-1][part], lengths[part], model)
-            total = found if total is None else [a + b for a, b in zip(total, found)]
+            for k, found in enumerate(expected_counts(symbols, offsets[:-1][part], lengths[part], model)):
+                total[k] += found
             at += len(part)
-        if total is None:
-            total = np.zeros(states), np.zeros((states, states)), np.zeros_like(model.emit), 0.0
         start, moves, emit, log = total
-        used, other = np.flatnonzero(emit.sum(1)), shared.value.emit.shape[0] - 1
-        own, joined = used[used <= other], used[used > other]
+        used, others = np.flatnonzero(emit.sum(1)), len(shared.value.emit)
+        own, joined = used[used < others], used[used >= others]
         last = np.zeros(states)
         last[0] = log
         codes = np.concatenate([[-1 - states, -2 - states], -1 - np.arange(states), own]).astype(np.int64)
-        words = known.column("word").to_numpy()[joined - other - 1]
-        rows = np.concatenate([[start, last], moves, emit[own], emit[joined]])
+        rows = np.concatenate([[start, last], moves, emit[own], emit[joined]]).astype(np.float32)
         return pa.Table.from_arrays(
-            [pa.concat_arrays([pa.array(codes), pa.nulls(len(words), pa.int64())]),
-             pa.concat_arrays([pa.nulls(len(codes), pa.int64()), pa.array(words, pa.int64())]), *_columns(rows)],
-            ["symbol", "word", *names])
+            [pa.concat_arrays([pa.array(codes), pa.nulls(len(joined), pa.int64())]),
+             pa.concat_arrays([pa.nulls(len(codes), pa.int64()), pa.array(words[joined - others])]),
+             *[pa.array(np.ascontiguousarray(rows[:, k])) for k in range(states)]], ["symbol", "word", *names])
 
-    texts = encoded.where("symbols IS NOT NULL AND NOT held_out").select("chunk", "symbols")
-    known = listed.join(emissions, "word").select("chunk", "place", "word", *names)
+    texts = prepared.where("symbols IS NOT NULL AND NOT held_out").select("chunk", "symbols")
+    known = listed_words(prepared).join(emissions, "word").select("chunk", "place", "word", "e")
     rows = texts.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(run, schema)
     return rows.groupBy("symbol", "word").agg(*[F.sum(n).alias(n) for n in names])
 
 
-def train(encoded: DataFrame, listed: DataFrame, counts: DataFrame, vocab: Vocabulary, scratch: Scratch,
+def _maximized(sums: DataFrame, states: int, spread: float) -> DataFrame:
+    """(word, e) from the sums of words that are not shared."""
+    def run(batches):
+        for batch in batches:
+            values = np.stack([batch.column(n).to_numpy() for n in _names(states)], 1)
+            n = values.sum(1, keepdims=True)  # a token's states have probabilities that add up to 1
+            yield _packed(batch.column("word"), values + (n + 1) * spread)
+
+    return sums.where("symbol IS NULL").drop("symbol").mapInArrow(run, "word long, e binary")
+
+
+def train(prepared: DataFrame, counts: DataFrame, vocab: Vocabulary, scratch: Scratch,
           states: int = STATES, iterations: int = ITERATIONS, tolerance: float = TOLERANCE):
     """Parameters, the table of emissions, and the training log-likelihood before each pass."""
     names, history = _names(states), []
@@ -402,9 +477,8 @@ def train(encoded: DataFrame, listed: DataFrame, counts: DataFrame, vocab: Vocab
     symbols = vocab.other + 1 + emissions.count()
     occurrences = np.append(vocab.counts, vocab.other_tokens)
     spread = PRIOR / (vocab.tokens + symbols)
-    needed = listed.where(vocab.joined()).select("chunk", "place", "word")
     for _ in range(iterations):
-        sums = scratch.keep(_expectations(encoded, needed, emissions, parameters), "sums")
+        sums = scratch.keep(_expectations(prepared, emissions, parameters), "sums")
         found = sums.where("symbol IS NOT NULL").toArrow()
         if not found.num_rows:
             scratch.drop(sums)
@@ -416,9 +490,7 @@ def train(encoded: DataFrame, listed: DataFrame, counts: DataFrame, vocab: Vocab
         moves = 1 + np.concatenate([values[symbol == -1 - k] for k in range(states)])
         emit = np.repeat((occurrences + 1)[:, None] * spread, states, 1)
         emit[symbol[symbol >= 0]] += values[symbol >= 0]
-        n = sum(F.col(c) for c in names)  # a token's states have probabilities that add up to 1
-        new = scratch.keep(sums.where("symbol IS NULL").select(
-            "word", *[(F.col(c) + (n + 1) * spread).alias(c) for c in names]), "emissions")
+        new = scratch.keep(_maximized(sums, states, spread), "emissions")
         scratch.drop(emissions, sums)
         emissions = new
         parameters = _with_total(start / start.sum(), moves / moves.sum(1, keepdims=True), emit, emissions)
@@ -427,33 +499,20 @@ def train(encoded: DataFrame, listed: DataFrame, counts: DataFrame, vocab: Vocab
     return parameters, emissions, history
 
 
-def score(encoded: DataFrame, listed: DataFrame, emissions: DataFrame, parameters: Parameters,
-          vocab: Vocabulary) -> DataFrame:
-    """One row per encoded text: token sums, unigram score and model score, both log10."""
-    states, names = len(parameters.start), _names(len(parameters.start))
-    shared = encoded.sparkSession.sparkContext.broadcast((vocab, parameters))
+def score(prepared: DataFrame, emissions: DataFrame, parameters: Parameters, tokens: int) -> DataFrame:
+    """One row per text: token sums, unigram score and model score, both log10."""
+    shared = prepared.sparkSession.sparkContext.broadcast(parameters)
 
     def run(texts: pa.Table, known: pa.Table) -> pa.Table:
-        v, parameters = shared.value
-        place, values = _arrays(known, states)
-        n = np.concatenate([v.counts, np.zeros(len(place), np.int64)])
-        n[v.other + place] = known.column("n").to_numpy()
+        model, _ = _model(known, shared.value)
         symbols, offsets = _symbols(texts.column("symbols"))
-        local, model = _local(symbols, place, values, ~np.isnan(values[:, 0]), parameters)
-        logs, rest = np.log10(n + ADD)[symbols], local == v.other
-        other = np.log10(v.other_tokens + ADD * (v.other_distinct + 1))
-        sums = [np.add.reduceat(x, offsets[:-1]) if len(texts) else np.zeros(0, x.dtype) for x in (
-            (n[symbols] > 0).astype(np.int64), logs, np.where(rest, logs - other, 0.0))]
-        lengths = np.diff(offsets)
-        base = sums[1] - lengths * np.log10(v.tokens + ADD * (v.distinct + 1))
-        scores = log_likelihood(local, offsets, model) / np.log(10) + sums[2]
+        scores = log_likelihood(symbols, offsets, model) / np.log(10) + texts.column("rest").to_numpy()
         return pa.Table.from_arrays(
-            [texts.column("id"), texts.column("held_out"), pa.array(lengths), pa.array(sums[0]),
-             pa.array(np.full(len(texts), v.tokens, np.int64)), pa.array(base), pa.array(scores)], SCORED_NAMES)
+            [*[texts.column(c) for c in SCORED_NAMES[:4]], pa.array(np.full(len(texts), tokens, np.int64)),
+             texts.column("base"), pa.array(scores)], SCORED_NAMES)
 
-    texts = encoded.where("symbols IS NOT NULL").select("chunk", "id", "held_out", "symbols")
-    known = listed.join(emissions, "word", "left").select(
-        "chunk", "place", "n", *[F.coalesce(c, F.lit(float("nan"))).alias(c) for c in names])
+    texts = prepared.where("symbols IS NOT NULL").select("chunk", *SCORED_NAMES[:4], "base", "rest", "symbols")
+    known = listed_words(prepared).join(emissions, "word").select("chunk", "place", "word", "e")
     return texts.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(run, SCORED)
 
 
@@ -471,8 +530,9 @@ def score_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     counts = scratch.keep(token_counts(frame.where("NOT held_out")), "counts")
     vocab = vocabulary(counts, lookup)
     encoded = scratch.keep(encode(frame, vocab, chunk), "encoded")
-    listed = scratch.keep(listed_words(encoded, counts), "listed")
-    parameters, emissions, _ = train(encoded, listed, counts, vocab, scratch, states, iterations)
-    result = scratch.keep(score(encoded, listed, emissions, parameters, vocab), "scores")
+    prepared = scratch.keep(prepare(encoded, counts, vocab), "prepared")
+    scratch.drop(encoded)
+    parameters, emissions, _ = train(prepared, counts, vocab, scratch, states, iterations)
+    result = scratch.keep(score(prepared, emissions, parameters, vocab.tokens), "scores")
     scratch.drop_all_but(result)
     return result.withColumnRenamed("id", id_column)
