@@ -5,8 +5,10 @@ kept in chunks of about ``CHUNK`` tokens, each chunk computes expected counts, S
 Every word that occurs ``LEAST`` times or more has emissions of its own, so the emissions grow
 with the corpus; rarer words share the symbol OTHER, whose probability is split by their exact
 counts. Texts are scored by the scaled forward recursion over the whole text, in double
-precision. Training follows whole texts as well: of a long one, the states at every
-``SEGMENT``-th token are kept and what lies between is computed again on the way back.
+precision. Training follows whole texts as well: a long one is computed in pieces of ``SEGMENT``
+tokens side by side, after products of their transition matrices have told the states each
+begins with and what follows it. Chunks take turns in ``ROUNDS`` groups, which bounds the shuffle
+files on disk.
 
 Words are identified by 64-bit hashes. Words above 1/``LOOKUP`` of all tokens (at most
 ``LOOKUP``, and the end token) lie in an array that tasks share; the emissions of all others are
@@ -26,6 +28,7 @@ A text longer than a chunk is a chunk of its own.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +41,11 @@ from tillbridge.llm.common import Scratch, crc_mod, mix, slices, word_hashes
 STATES = 8
 LEAST = 5  # occurrences from which on a word has emissions of its own
 LOOKUP = 1 << 16  # words above 1/LOOKUP of all tokens are shared with the tasks, others joined
-ITERATIONS = 4
+ITERATIONS = 3
 TOLERANCE = 2e-3
 CHUNK = 1 << 21  # tokens
-SEGMENT = 1 << 10  # steps of a sequence held at once in training
+SEGMENT = 1 << 10  # tokens of a piece in training; pieces know what lies before and behind
+ROUNDS = 3  # groups of chunks in a training pass
 BLOCK = 1 << 18  # tokens held at once in training
 LISTED = 1 << 16  # words of a chunk in one row
 END = int(mix(np.array([12345], np.uint64)).view(np.int64)[0])
@@ -366,59 +370,89 @@ def log_likelihood(symbols, offsets, model: Model) -> np.ndarray:
     return result
 
 
-def _forward(symbols, starts, active, state, t0, t1, model: Model):
-    """States, scales and emissions of the steps t0 to t1; ``state`` is that of the step before."""
-    states, scales, emits = [], [], []
-    for t in range(t0, t1):
-        m = active[t]
-        emit = model.emit[symbols[starts[:m] + t]]
-        state = emit * model.start if t == 0 else (state[:m] @ model.move) * emit
-        scale = state.sum(1)
-        state = state / scale[:, None]
-        states.append(state)
+def _pieces(starts, lengths, segment: int):
+    """Places and sizes of the pieces of each sequence, and whether they are its first."""
+    many = -(-lengths // segment)
+    text = np.repeat(np.arange(len(lengths)), many)
+    inside = (np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many)) * segment
+    return starts[text] + inside, np.minimum(segment, lengths[text] - inside), inside == 0
+
+
+def _surroundings(symbols, starts, sizes, first, model: Model):
+    """For each piece the state before it (0 before a first one), and the backward values behind it."""
+    states = len(model.start)
+    before, behind = np.zeros((len(starts), states)), np.ones((len(starts), states))
+    last = np.append(first[1:], True)
+    cut = np.flatnonzero(~(first & last))
+    if not len(cut):
+        return before, behind
+    order = cut[np.argsort(-sizes[cut], kind="stable")]
+    matrix = np.where(first[order][:, None, None], np.eye(states), model.move) * model.emit[symbols[starts[order]]][:, None, :]
+    for t in range(1, int(sizes[order[0]])):
+        m = int(np.searchsorted(-sizes[order], -t, "left"))
+        step = (matrix[:m].reshape(-1, states) @ model.move).reshape(m, states, states)
+        step *= model.emit[symbols[starts[order[:m]] + t]][:, None, :]
+        matrix[:m] = step / step.sum((1, 2), keepdims=True)
+    place = np.empty(len(starts), np.int64)
+    place[order] = np.arange(len(order))
+    for p in cut[~last[cut]]:
+        state = (model.start if first[p] else before[p]) @ matrix[place[p]]
+        before[p + 1] = state / state.sum()
+    for p in cut[~first[cut]][::-1]:
+        values = matrix[place[p]] @ behind[p]
+        behind[p - 1] = values / (before[p] @ values)
+    return before, behind
+
+
+def _piece_counts(symbols, starts, sizes, before, behind, first, model: Model):
+    """Baum-Welch sums of pieces in descending order of size."""
+    longest = int(sizes[0])
+    active = np.searchsorted(-sizes, -np.arange(1, longest + 1), "right")
+    forward, scales, emits, places = [], [], [], []
+    state = np.where(first[:, None], model.start, before @ model.move)
+    for t, m in enumerate(active):
+        place = symbols[starts[:m] + t]
+        emit = model.emit[place]
+        state = emit * state if t == 0 else (state[:m] @ model.move) * emit
+        scale = state.sum(1, keepdims=True)
+        state = state / scale
+        forward.append(state)
         scales.append(scale)
         emits.append(emit)
-    return states, scales, emits
+        places.append(place)
+    moves, weights = np.zeros((len(model.start),) * 2), [None] * longest
+    backward = behind[:0]
+    for t in range(longest - 1, -1, -1):
+        m = active[t]
+        if len(backward) < m:
+            backward = np.concatenate([backward, behind[len(backward):m]])
+        weights[t] = forward[t] * backward
+        pull = emits[t] * backward / scales[t]
+        moves += (forward[t - 1][:m] if t else before).T @ pull
+        if t:
+            backward = pull @ model.move.T
+    weight, place = np.concatenate(weights), np.concatenate(places)
+    order = np.argsort(place)
+    place = place[order]
+    new = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+    return (weights[0][first].sum(0), moves, place[new], np.add.reduceat(weight[order], new),
+            float(np.log(np.concatenate(scales)).sum()))
 
 
 def expected_counts(symbols, starts, lengths, model: Model, segment: int = SEGMENT):
-    """Baum-Welch sums of sequences in descending order of length: start, moves, emissions, log.
-
-    Only ``segment`` steps are held at once; of the steps before, the states at their ends are.
-    """
-    size, longest = len(model.start), int(lengths[0])
-    active = np.searchsorted(-lengths, -np.arange(1, longest + 1), "right")
-    cuts = list(range(0, longest, segment))
-    entries, log = [None], 0.0
-    for at in cuts[:-1]:
-        states, scales, _ = _forward(symbols, starts, active, entries[-1], at, at + segment, model)
-        log += sum(np.log(s).sum() for s in scales)
-        entries.append(states[-1])
-    moves, emissions = np.zeros((size, size)), np.zeros_like(model.emit)
-    backward, first = np.ones((active[-1], size)), None
-    for at, entry in zip(reversed(cuts), reversed(entries)):
-        to = min(at + segment, longest)
-        forward, scales, emits = _forward(symbols, starts, active, entry, at, to, model)
-        if to == longest:
-            log += sum(np.log(s).sum() for s in scales)
-        weights, places = [], []
-        for t in range(to - 1, at - 1, -1):
-            m = active[t]
-            if len(backward) < m:
-                backward = np.concatenate([backward, np.ones((m - len(backward), size))])
-            first = forward[t - at] * backward
-            weights.append(first)
-            places.append(symbols[starts[:m] + t])
-            if t:
-                pull = emits[t - at] * backward / scales[t - at][:, None]
-                moves += (forward[t - at - 1] if t > at else entry)[:m].T @ pull
-                backward = pull @ model.move.T
-        weight, place = np.concatenate(weights), np.concatenate(places)
-        order = np.argsort(place)
-        place = place[order]
-        new = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-        emissions[place[new]] += np.add.reduceat(weight[order], new)
-    return first.sum(0), moves * model.move, emissions, log
+    """Baum-Welch sums of whole sequences: start, moves, emissions, logarithm of the likelihood."""
+    starts, sizes, first = _pieces(starts, lengths, segment)
+    before, behind = _surroundings(symbols, starts, sizes, first, model)
+    order = np.argsort(-sizes, kind="stable")
+    start, moves, emissions, log = np.zeros(len(model.start)), np.zeros_like(model.move), np.zeros_like(model.emit), 0.0
+    at = 0
+    while at < len(order):
+        part = order[at:at + max(1, BLOCK // int(sizes[order[at]]))]
+        a, b, used, sums, c = _piece_counts(symbols, starts[part], sizes[part], before[part], behind[part], first[part], model)
+        start, moves, log = start + a, moves + b, log + c
+        emissions[used] += sums
+        at += len(part)
+    return start, moves * model.move, emissions, log
 
 
 def _expectations(prepared: DataFrame, emissions: DataFrame, parameters: Parameters) -> DataFrame:
@@ -431,15 +465,7 @@ def _expectations(prepared: DataFrame, emissions: DataFrame, parameters: Paramet
     def run(texts: pa.Table, known: pa.Table) -> pa.Table:
         model, words = _model(known, shared.value)
         symbols, offsets = _symbols(texts.column("symbols"))
-        lengths = np.diff(offsets)
-        order = np.argsort(-lengths, kind="stable")
-        total, at = [np.zeros(states), np.zeros((states, states)), np.zeros_like(model.emit), 0.0], 0
-        while at < len(order):
-            part = order[at:at + max(1, BLOCK // min(SEGMENT, int(lengths[order[at]])))]
-            for k, found in enumerate(expected_counts(symbols, offsets[:-1][part], lengths[part], model)):
-                total[k] += found
-            at += len(part)
-        start, moves, emit, log = total
+        start, moves, emit, log = expected_counts(symbols, offsets[:-1], np.diff(offsets), model)
         used, others = np.flatnonzero(emit.sum(1)), len(shared.value.emit)
         own, joined = used[used < others], used[used >= others]
         last = np.zeros(states)
@@ -477,8 +503,12 @@ def train(prepared: DataFrame, counts: DataFrame, vocab: Vocabulary, scratch: Sc
     symbols = vocab.other + 1 + emissions.count()
     occurrences = np.append(vocab.counts, vocab.other_tokens)
     spread = PRIOR / (vocab.tokens + symbols)
+    turn = F.pmod(F.xxhash64("chunk"), F.lit(ROUNDS))
     for _ in range(iterations):
-        sums = scratch.keep(_expectations(prepared, emissions, parameters), "sums")
+        parts = [scratch.keep(_expectations(prepared.where(turn == k), emissions, parameters), "part") for k in range(ROUNDS)]
+        sums = scratch.keep(reduce(DataFrame.unionAll, parts).groupBy("symbol", "word").agg(
+            *[F.sum(n).alias(n) for n in names]), "sums")
+        scratch.drop(*parts)
         found = sums.where("symbol IS NOT NULL").toArrow()
         if not found.num_rows:
             scratch.drop(sums)
