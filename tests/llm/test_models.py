@@ -250,3 +250,30 @@ def test_token_slices_cover_all_words():
     texts = pa.array(["a b", None, "", "c"])
     found = [(at, len(words), offsets.tolist()) for at, words, offsets in markov.tokens_of(texts)]
     assert found == [(0, 7, [0, 3, 4, 5, 7])]
+
+
+def test_long_texts_null_ids_and_clashing_columns(spark):
+    rng = random.Random(9)
+    long = " ".join(rng.choices([f"w{n}" for n in range(50)], k=5000))  # many pieces, and a chunk of its own
+    rows = [(i, t, "x", "y") for i, t in enumerate([long, "", None, "w1 w2", long, "w1 w2"])] + [(None, "w3 unseen", "x", "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, chunk string, words string").repartition(2)
+    found = markov.score_documents(docs, chunk=1000).collect()
+    assert len(found) == 7 and all(math.isfinite(r.score) and math.isfinite(r.base_score) for r in found)
+    by_id = {r.doc_id: r for r in found}
+    assert (by_id[0].n_tokens, by_id[1].n_tokens, by_id[2].n_tokens) == (5001, 1, 1)
+    assert by_id[None].held_out is False  # so its words are training words
+    assert by_id[0].score == pytest.approx(by_id[4].score) and by_id[3].score == pytest.approx(by_id[5].score)
+    assert by_id[1].score == pytest.approx(by_id[2].score)
+    one = markov.score_documents(docs.unionByName(docs.where("doc_id = 3")), chunk=1000)
+    assert one.where("doc_id = 3").count() == 2
+
+
+def test_pieces_equal_one_sequence():
+    rng = np.random.default_rng(10)
+    model = markov.Model(rng.dirichlet(np.ones(4)), rng.dirichlet(np.ones(4), 4), rng.dirichlet(np.ones(30), 4).T)
+    lengths = np.array([3000, 1, 700, 64, 65])
+    symbols, starts = rng.integers(0, 30, lengths.sum()), np.cumsum(lengths) - lengths
+    whole = markov.expected_counts(symbols, starts, lengths, model, 1 << 20)
+    cut = markov.expected_counts(symbols, starts, lengths, model, 64)
+    for a, b in zip(whole, cut):
+        assert np.allclose(a, b, rtol=1e-9)
