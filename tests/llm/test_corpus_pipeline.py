@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,3 +57,23 @@ def test_stages_take_empty_tables(spark, corpus):
 def test_stage_names_and_order():
     assert [n for n, _ in pipeline.STAGES] == ["language", "near_duplicates", "decontamination", "pii", "packing"]
     assert near_duplicates.THRESHOLD == 0.8 and near_duplicates.WORDS == 5
+
+
+def test_record_batches_are_bounded(spark):
+    rows = spark.createDataFrame([(n, "the stone river " * 2000, "en") for n in range(400)], "doc_id long, text string, lang string").coalesce(1)
+    before = spark.conf.get(pipeline.BATCH)
+
+    def measured(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(batch)]), pa.array([batch.nbytes])], ["n", "size"])
+
+    try:
+        spark.conf.set(pipeline.BATCH, "64m")
+        kept = pipeline.keep_identified(spark, rows, "").mapInArrow(measured, "n long, size long").collect()
+        assert sum(r.n for r in kept) == 400
+        assert max(r.size for r in kept) <= pipeline.BATCH_BYTES + 100_000  # a batch ends with the row that passes the bound
+        spark.conf.set(pipeline.BATCH, "1m")
+        pipeline.keep_identified(spark, rows, "")
+        assert spark.conf.get(pipeline.BATCH) == "1m"
+    finally:
+        spark.conf.set(pipeline.BATCH, before)

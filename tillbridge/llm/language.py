@@ -31,7 +31,7 @@ LEAST_SCORE = 0.2  # below, a text's n-grams hardly occur in any language learne
 MOST_LANGUAGES = 2000
 UNKNOWN = "und"
 BLANK = 0x20
-FLUSH = 1 << 18
+FLUSH = 1 << 16
 
 
 @cache
@@ -117,10 +117,11 @@ def learn(labelled: DataFrame, size: int = PROFILE) -> dict[str, np.ndarray]:
     return {k: v[v != 0] for k, v in sorted(profiles.items())}
 
 
-def predict(frame: DataFrame, profiles: dict[str, np.ndarray], size: int = PROFILE) -> DataFrame:
+def predict(frame: DataFrame, profiles: dict[str, np.ndarray], size: int = PROFILE, within: str | None = None) -> DataFrame:
     """The frame, whose column text_ is replaced by lang_pred and score.
 
-    The score is 1 less the distance to the chosen profile over the largest possible one.
+    The score is 1 less the distance to the chosen profile over the largest possible one. With
+    ``within`` the texts are that field of the only column, a struct, so no text is sent twice.
     """
     languages = list(profiles)
     grams = np.unique(np.concatenate([np.zeros(0, np.int64), *profiles.values()]))
@@ -134,7 +135,7 @@ def predict(frame: DataFrame, profiles: dict[str, np.ndarray], size: int = PROFI
         languages, grams, places = shared.value
         for batch in batches:
             predicted, scores = [], []
-            for text in batch.column("text_"):
+            for text in batch.column("text_") if within is None else batch.column(0).field(within):
                 codes, counts = gram_counts(text.as_py()) if languages else ((), ())
                 if not len(codes):
                     predicted.append(UNKNOWN)
@@ -175,7 +176,7 @@ def keep_identified(docs: DataFrame, text: str = "text", lang: str = "lang", siz
     profiles = learn(docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")), size)
     if not profiles:
         return docs.where(F.col(text).rlike(r"\p{L}"))
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text).alias("text_"))
-    told = predict(row, profiles, size).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    told = predict(row, profiles, size, text).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
     return told.select("row.*")
 
