@@ -132,6 +132,21 @@ def test_scaled_copies_are_one_node(spark):
 
 # ---- language model
 
+def test_steps_take_few_exchanges(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    frame = vectors(spark, [(i, rng.normal(size=4).astype(np.float32).tolist(), "x") for i in range(600)])
+    plans, keep = {}, neighbours.Scratch.keep
+
+    def noted(self, table, name):
+        plan = table._jdf.queryExecution().executedPlan().toString()
+        plans.setdefault(name, []).append(plan.count("Exchange hashpartitioning") + plan.count("BroadcastExchange"))
+        return keep(self, table, name)
+
+    monkeypatch.setattr(neighbours.Scratch, "keep", noted)
+    assert neighbours.nearest_rows(frame, frame.where("vec_id % 50 = 0")).count() == 60
+    assert len(plans["beam"]) > 2 and max(plans["beam"]) <= 4  # nodes joined to those met, and the groups of the queries
+
+
 def tokens(text):
     low = "".join(c.lower() if c.isascii() else c for c in text or "")
     return [*re.findall(r"[^\x20\x09-\x0D]+", low), "\0end"]

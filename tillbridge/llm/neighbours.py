@@ -12,7 +12,8 @@ neighbours of neighbours are likely neighbours, and every node keeps its best ``
 The search keeps a beam of the best nodes met for each query, expands the best ones not expanded
 yet by their neighbours and reverse neighbours, and ends when the beam has none left. It
 starts at the nearest of ``ENTRIES`` sampled nodes, and at the query's own node if it has one.
-Lists and beams hold ids; a step joins each vector once to a query that meets it for the first time.
+Lists and beams hold ids; a step joins each vector, with its node's list, once to a query that meets it,
+and a query's beam advances in one group of its own, at most ``BEAM`` nodes and ``EXPAND`` lists.
 The best of the beam are scored again on the original vectors in double precision.
 
 Blocks, samples, lists and beams bound every group, whatever the number of rows that share a
@@ -29,6 +30,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType
@@ -173,7 +175,7 @@ def first_graph(nodes: DataFrame, neighbours: int) -> DataFrame:
 
 def _nearest(pairs: DataFrame, neighbours: int) -> DataFrame:
     """Each node's best distinct neighbours; fresh unless the pair was there before."""
-    once = pairs.groupBy("node", "nbr").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"))
+    once = pairs.repartition("node").groupBy("node", "nbr").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"))
     order = Window.partitionBy("node").orderBy(F.desc("sim"), "nbr")
     return once.withColumn("place", F.row_number().over(order)).where(F.col("place") <= neighbours).drop("place")
 
@@ -214,7 +216,7 @@ def build(nodes: DataFrame, scratch: Scratch, neighbours: int = NEIGHBOURS, iter
         if fresh <= LEAST_CHANGE * total:
             break
         around = graph.select("node", "nbr", "fresh").union(graph.select("nbr", "node", "fresh"))
-        around = around.groupBy("node", "nbr").agg(F.max("fresh").alias("fresh"))
+        around = around.repartition("node").groupBy("node", "nbr").agg(F.max("fresh").alias("fresh"))
         order = Window.partitionBy("node").orderBy(F.desc("fresh"), F.xxhash64("node", "nbr", F.lit(turn)))
         around = around.withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLE).drop("place")
         worst = graph.groupBy("node").agg(F.when(F.count("*") >= neighbours, F.min("sim")).otherwise(F.lit(FAR)).alias("worst"))
@@ -240,56 +242,75 @@ def _entries(nodes: DataFrame):
     return rows.column("node").to_numpy(), _units(rows.column("unit").combine_chunks())
 
 
-def _compare(batches):
-    """Rows of a query and a node: those nearer than the query's worst."""
-    for batch in batches:
-        apart = _units(batch.column("unit")) - _units(batch.column("query_unit"))
-        sims = -(apart * apart).sum(1)
-        keep = sims > batch.column("worst").to_numpy()
-        yield _pairs(batch.column("query").to_numpy()[keep], batch.column("node").to_numpy()[keep], sims[keep],
-                     ("query", "node", "sim"))
+STEP = "query long, node long, sim double, near array<long>, unit binary"
+STEP_NAMES = ["query", "node", "sim", "near", "unit"]
+LISTS = pa.list_(pa.int64())
+
+
+def _advance(beam: int):
+    """The next step of a query, from its rows of the last one and the nodes that it met.
+
+    Rows are of three kinds: the query's vector (without node), the beam (``near`` until the node is
+    expanded), and the nodes met next (without sim).
+    """
+    def run(held: pa.Table, met: pa.Table) -> pa.Table:
+        asks, held = held.filter(pc.is_null(held.column("node"))), held.filter(pc.is_valid(held.column("sim")))
+        apart = _units(met.column("unit").combine_chunks()) - _units(asks.column("unit").combine_chunks())
+        ids = np.concatenate([held.column("node").to_numpy(), met.column("node").to_numpy()])
+        sims = np.concatenate([held.column("sim").to_numpy(), -(apart * apart).sum(1)[:len(met)]])
+        best = np.lexsort((ids, -sims))[:beam]
+        near = pa.chunked_array([*held.column("near").chunks, *met.column("near").chunks], LISTS).take(pa.array(best))
+        ids, sims, queue, found = ids[best], sims[best], np.flatnonzero(near.is_valid().to_numpy()), np.zeros(0, np.int64)
+        while len(queue) and not len(found):
+            turn, queue = queue[:EXPAND], queue[EXPAND:]
+            found = np.setdiff1d(near.take(pa.array(turn)).combine_chunks().flatten().to_numpy(), ids)
+        waits = np.zeros(len(ids), bool)
+        waits[queue] = True
+        n, m = len(ids), len(found)
+        near = pc.if_else(pa.array(waits), near.combine_chunks(), pa.nulls(n, LISTS))
+        return pa.table([
+            pa.array(np.full(1 + n + m, asks.column("query")[0].as_py())),
+            pa.concat_arrays([pa.nulls(1, pa.int64()), pa.array(ids), pa.array(found)]),
+            pa.concat_arrays([pa.nulls(1, pa.float64()), pa.array(sims), pa.nulls(m, pa.float64())]),
+            pa.concat_arrays([pa.nulls(1, LISTS), near, pa.nulls(m, LISTS)]),
+            pa.concat_arrays([asks.column("unit").combine_chunks().cast(pa.binary()), pa.nulls(n + m, pa.binary())])], STEP_NAMES)
+
+    return run
 
 
 def search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, scratch: Scratch, beam: int = BEAM) -> DataFrame:
     """(query, node, sim): the beam of each query at the end; queries have columns query, unit, node (or null)."""
     spark = nodes.sparkSession
-    lists = scratch.keep(adjacency(graph), "adjacency")
+    points = scratch.keep(nodes.select("node", "unit").join(adjacency(graph), "node", "left"), "points")
     shared = spark.sparkContext.broadcast(_entries(nodes))
 
     def start(batches):
         ids, units = shared.value
         for batch in batches:
-            if not len(batch) or not len(ids):
+            if not len(batch):
                 continue
-            row, column, value = _best(_near(_units(batch.column("unit")), units), STARTS)
-            yield _pairs(batch.column("query").to_numpy()[row], ids[column], value, ("query", "node", "sim"))
-
-    queries = scratch.keep(queries.select("query", "unit", "node"), "queries")
-    found = queries.select("query", "unit").mapInArrow(start, "query long, node long, sim double")
-    own = queries.where("node IS NOT NULL").select("query", "node", F.lit(0.0).alias("sim"))
-    state = found.union(own).withColumn("expanded", F.lit(False))
-    best = Window.partitionBy("query").orderBy(F.desc("sim"), "node")
-    first = Window.partitionBy("query").orderBy("expanded", F.desc("sim"), "node")
-    kept = None
+            row, column, _ = _best(_near(_units(batch.column("unit")), units), STARTS)
+            query, own = batch.column("query").to_numpy(), batch.column("node").drop_null().to_numpy()
+            asks = query[batch.column("node").is_valid().to_numpy(zero_copy_only=False)]
+            pairs = np.unique(np.stack([np.append(query[row], asks), np.append(ids[column], own)], 1), axis=0)
+            n = len(pairs)
+            yield pa.RecordBatch.from_arrays([
+                pa.concat_arrays([batch.column("query"), pa.array(pairs[:, 0])]),
+                pa.concat_arrays([pa.nulls(len(batch), pa.int64()), pa.array(pairs[:, 1])]), pa.nulls(len(batch) + n, pa.float64()),
+                pa.nulls(len(batch) + n, LISTS), pa.concat_arrays([batch.column("unit"), pa.nulls(n, pa.binary())])], STEP_NAMES)
+
+    step = scratch.keep(queries.select("query", "unit", "node").mapInArrow(start, STEP), "beam")
     for _ in range(MOST_STEPS):
-        merged = state.groupBy("query", "node").agg(F.max("sim").alias("sim"), F.max("expanded").alias("expanded"))
-        merged = (merged.withColumn("place", F.row_number().over(best)).where(F.col("place") <= beam)
-                  .withColumn("turn", ~F.col("expanded") & (F.row_number().over(first) <= EXPAND)))
-        step = scratch.keep(merged, "beam")
-        if kept is not None:
-            scratch.drop(kept)
-        kept = step
-        if kept.where("turn").isEmpty():
+        asked = step.where("node IS NOT NULL AND sim IS NULL").select(F.col("query").alias("asks"), F.col("node").alias("node"))
+        if asked.isEmpty():
             break
-        worst = kept.groupBy("query").agg(F.when(F.count("*") >= beam, F.min("sim")).otherwise(F.lit(FAR)).alias("worst"))
-        asking = queries.select("query", F.col("unit").alias("query_unit")).join(worst, "query")
-        met = (kept.where("turn").select("query", "node").join(lists, "node").select("query", F.explode("near").alias("node"))
-               .distinct().join(kept.select("query", "node"), ["query", "node"], "left_anti"))
-        met = met.join(nodes.select("node", "unit"), "node").join(asking, "query").mapInArrow(
-            _compare, "query long, node long, sim double")
-        state = kept.select("query", "node", "sim", (F.col("expanded") | F.col("turn")).alias("expanded")).union(met.withColumn("expanded", F.lit(False)))
-    scratch.drop(lists, queries)
-    return kept
+        met = asked.join(points, "node")
+        held = step.where("node IS NULL OR sim IS NOT NULL")
+        after = scratch.keep(held.groupBy("query").cogroup(met.groupBy("asks")).applyInArrow(_advance(beam), STEP), "beam")
+        scratch.drop(step)
+        step = after
+    scratch.drop(points)
+    return step.where("sim IS NOT NULL").select("query", "node", "sim")
 
 
 def _cosines(batches):
