@@ -244,6 +244,34 @@ def test_one_pass_of_training_equals_brute_force(spark):
     scratch.drop_all_but()
 
 
+def test_emissions_are_dealt_in_bundles(spark):
+    rng = random.Random(12)
+    texts = [" ".join(rng.choices([f"w{n}" for n in range(40)], k=50)) for _ in range(60)]
+    docs = spark.createDataFrame([(i, t, False) for i, t in enumerate(texts)], "id long, text string, held_out boolean").repartition(2)
+    scratch = markov.Scratch(spark, "test")
+    counts = scratch.keep(markov.token_counts(docs), "counts")
+    vocab = markov.vocabulary(counts, 1)
+    prepared = scratch.keep(markov.prepare(markov.encode(docs, vocab, 500), counts, vocab), "prepared")
+    emissions = scratch.keep(markov.first_emissions(counts, vocab, 2), "emissions")
+    listed = {(r.chunk, r.place, r.word) for r in markov.listed_words(prepared).collect()}
+    wanted = {r.word: r.e for r in emissions.collect()}
+    bundles, found = markov.chunk_words(prepared, emissions).collect(), set()
+    for r in bundles:
+        places, words = np.frombuffer(r.place, np.int32).tolist(), np.frombuffer(r.word, np.int64).tolist()
+        found |= {(r.chunk, p, w) for p, w in zip(places, words)}
+        assert r.e == b"".join(wanted[w] for w in words)
+    assert found == listed and len(bundles) < len(listed) / 2
+    scratch.drop_all_but()
+
+
+def test_scoring_takes_turns(spark, monkeypatch):
+    kept, keep = [], markov.Scratch.keep
+    monkeypatch.setattr(markov.Scratch, "keep", lambda self, frame, name: kept.append(name) or keep(self, frame, name))
+    docs = spark.createDataFrame([(i, f"a b c{i % 7}") for i in range(50)], "doc_id long, text string")
+    assert sorted(r.doc_id for r in markov.score_documents(docs, chunk=10, lookup=1).collect()) == list(range(50))
+    assert kept.count("scores") == markov.ROUNDS  # so the shuffle files of one round lie on disk at once
+
+
 def test_training_finds_the_states(spark):
     rng = random.Random(2)
     groups = [[f"a{n}" for n in range(30)], [f"b{n}" for n in range(30)]]

@@ -7,8 +7,8 @@ with the corpus; rarer words share the symbol OTHER, whose probability is split
 counts. Texts are scored by the scaled forward recursion over the whole text, in double
 precision. Training follows whole texts as well: a long one is computed in pieces of ``SEGMENT``
 tokens side by side, after products of their transition matrices have told the states each
-begins with and what follows it. Chunks take turns in ``ROUNDS`` groups, which bounds the shuffle
-files on disk.
+begins with and what follows it. Chunks take turns in ``ROUNDS`` groups, in training and in scoring, which
+bounds the shuffle files on disk.
 
 Words are identified by 64-bit hashes. Words above 1/``LOOKUP`` of all tokens (at most
 ``LOOKUP``, and the end token) lie in an array that tasks share; the emissions of all others are
@@ -45,13 +45,14 @@ ITERATIONS = 3
 TOLERANCE = 2e-3
 CHUNK = 1 << 21  # tokens
 SEGMENT = 1 << 10  # tokens of a piece in training; pieces know what lies before and behind
-ROUNDS = 3  # groups of chunks in a training pass
+ROUNDS = 3  # groups of chunks in a pass over all
 BLOCK = 1 << 18  # tokens held at once in training
 LISTED = 1 << 16  # words of a chunk in one row
 END = int(mix(np.array([12345], np.uint64)).view(np.int64)[0])
 ADD = 0.1
 PRIOR = 10.0  # pseudo-occurrences of a state, spread by the words' counts
 FLUSH = 1 << 21
+BUNDLE = 1 << 17  # words joined to their emissions that are dealt to the chunks at once
 
 
 @dataclass
@@ -286,14 +287,18 @@ def _packed(words, values: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([words, packed], ["word", "e"])
 
 
-def _unpacked(column, states: int) -> np.ndarray:
+def _bytes(column) -> np.ndarray:
+    """The values of a binary column, one behind the other."""
+    column = column.cast(pa.large_binary())
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     if not len(column):
-        return np.zeros((0, states))
-    column = column.cast(pa.large_binary())
+        return np.zeros(0, np.uint8)
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
-    data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0]:offsets[-1]].view(np.float32)
-    return data.reshape(-1, states).astype(np.float64)
+    return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
+
+
+def _unpacked(column, states: int) -> np.ndarray:
+    return _bytes(column).view(np.float32).reshape(-1, states).astype(np.float64)
 
 
 def first_emissions(counts: DataFrame, vocab: Vocabulary, states: int) -> DataFrame:
@@ -341,13 +346,13 @@ def _symbols(column):
 def _model(known: pa.Table, parameters: Parameters) -> tuple[Model, np.ndarray]:
     """A chunk's model: shared words, OTHER, then the listed words; and the hashes of the last."""
     states, shared = len(parameters.start), len(parameters.emit)
-    place = known.column("place").to_numpy()
+    place = _bytes(known.column("place")).view(np.int32)
     emit = np.empty((shared + len(place), states))
     emit[:shared] = parameters.emit
     emit[shared + place] = _unpacked(known.column("e"), states)
     emit /= parameters.total
     words = np.empty(len(place), np.int64)
-    words[place] = known.column("word").to_numpy()
+    words[place] = _bytes(known.column("word")).view(np.int64)
     return Model(parameters.start, parameters.move, emit), words
 
 
@@ -455,6 +460,45 @@ def expected_counts(symbols, starts, lengths, model: Model, segment: int = SEGME
     return start, moves * model.move, emissions, log
 
 
+def _bundled(batches):
+    """Rows of ``chunk_words`` put together: those of a chunk as bytes, in rows of up to ``BUNDLE`` words."""
+    held, size = [], 0
+
+    def rows():
+        chunk = np.concatenate([b.column("chunk").to_numpy() for b in held])
+        order = np.argsort(chunk, kind="stable")
+        chunk = chunk[order]
+        first = np.flatnonzero(np.concatenate([[True], chunk[1:] != chunk[:-1]]))
+        columns = []
+        for name in ("place", "word", "e"):
+            values = np.concatenate([_bytes(b.column(name)) if name == "e" else b.column(name).to_numpy().view(np.uint8) for b in held])
+            values = values.reshape(len(chunk), -1)
+            offsets = (np.append(first, len(chunk)) * values.shape[1]).astype(np.int32)
+            columns.append(pa.Array.from_buffers(pa.binary(), len(first), [
+                None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values[order]))]))
+        return pa.RecordBatch.from_arrays([pa.array(chunk[first]), *columns], ["chunk", "place", "word", "e"])
+
+    for batch in batches:
+        if len(batch):
+            held.append(batch)
+            size += len(batch)
+        if size >= BUNDLE:
+            yield rows()
+            held, size = [], 0
+    if held:
+        yield rows()
+
+
+def chunk_words(prepared: DataFrame, emissions: DataFrame) -> DataFrame:
+    """(chunk, place, word, e) of the listed words: places, hashes and emissions as bytes of many words.
+
+    The emissions of a partition have each word once, so they are the smaller side of the join.
+    """
+    rows = listed_words(prepared).join(emissions.hint("shuffle_hash"), "word")
+    return rows.select("chunk", F.col("place").cast("int").alias("place"), "word", "e").mapInArrow(
+        _bundled, "chunk long, place binary, word binary, e binary")
+
+
 def _expectations(prepared: DataFrame, emissions: DataFrame, parameters: Parameters) -> DataFrame:
     """(symbol, word, s0, s1, ...): sums for shared symbols, and with negative symbols those of the
     moves, the start and the logarithm; sums for words that are not shared have no symbol."""
@@ -478,7 +522,7 @@ def _expectations(prepared: DataFrame, emissions: DataFrame, parameters: Paramet
              *[pa.array(np.ascontiguousarray(rows[:, k])) for k in range(states)]], ["symbol", "word", *names])
 
     texts = prepared.where("symbols IS NOT NULL AND NOT held_out").select("chunk", "symbols")
-    known = listed_words(prepared).join(emissions, "word").select("chunk", "place", "word", "e")
+    known = chunk_words(prepared, emissions)
     rows = texts.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(run, schema)
     return rows.groupBy("symbol", "word").agg(*[F.sum(n).alias(n) for n in names])
 
@@ -494,6 +538,11 @@ def _maximized(sums: DataFrame, states: int, spread: float) -> DataFrame:
     return sums.where("symbol IS NULL").drop("symbol").mapInArrow(run, "word long, e binary")
 
 
+def turn():
+    """The round of a row's chunk."""
+    return F.pmod(F.xxhash64("chunk"), F.lit(ROUNDS))
+
+
 def train(prepared: DataFrame, counts: DataFrame, vocab: Vocabulary, scratch: Scratch,
           states: int = STATES, iterations: int = ITERATIONS, tolerance: float = TOLERANCE):
     """Parameters, the table of emissions, and the training log-likelihood before each pass."""
@@ -503,9 +552,8 @@ def train(prepared: DataFrame, counts: DataFrame, vocab: Vocabulary, scratch: Sc
     symbols = vocab.other + 1 + emissions.count()
     occurrences = np.append(vocab.counts, vocab.other_tokens)
     spread = PRIOR / (vocab.tokens + symbols)
-    turn = F.pmod(F.xxhash64("chunk"), F.lit(ROUNDS))
     for _ in range(iterations):
-        parts = [scratch.keep(_expectations(prepared.where(turn == k), emissions, parameters), "part") for k in range(ROUNDS)]
+        parts = [scratch.keep(_expectations(prepared.where(turn() == k), emissions, parameters), "part") for k in range(ROUNDS)]
         sums = scratch.keep(reduce(DataFrame.unionAll, parts).groupBy("symbol", "word").agg(
             *[F.sum(n).alias(n) for n in names]), "sums")
         scratch.drop(*parts)
@@ -542,7 +590,7 @@ def score(prepared: DataFrame, emissions: DataFrame, parameters: Parameters, tok
              texts.column("base"), pa.array(scores)], SCORED_NAMES)
 
     texts = prepared.where("symbols IS NOT NULL").select("chunk", *SCORED_NAMES[:4], "base", "rest", "symbols")
-    known = listed_words(prepared).join(emissions, "word").select("chunk", "place", "word", "e")
+    known = chunk_words(prepared, emissions)
     return texts.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(run, SCORED)
 
 
@@ -563,6 +611,8 @@ def score_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     prepared = scratch.keep(prepare(encoded, counts, vocab), "prepared")
     scratch.drop(encoded)
     parameters, emissions, _ = train(prepared, counts, vocab, scratch, states, iterations)
-    result = scratch.keep(score(prepared, emissions, parameters, vocab.tokens), "scores")
-    scratch.drop_all_but(result)
+    turns = [prepared.where(turn() == k) for k in range(ROUNDS)]
+    scores = [scratch.keep(score(part, emissions, parameters, vocab.tokens), "scores") for part in turns]
+    result = reduce(DataFrame.unionAll, scores)
+    scratch.drop_all_but(*scores)
     return result.withColumnRenamed("id", id_column)
