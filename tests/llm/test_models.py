@@ -209,6 +209,20 @@ def test_recursions_equal_the_sum_over_paths():
             assert np.allclose(found, sum(b[place] for b in brute))
 
 
+@pytest.mark.parametrize("segment", [3, 99])
+def test_recursions_of_tiny_probabilities(segment):
+    rng = np.random.default_rng(13)
+    model = markov.Model(rng.dirichlet(np.ones(2)), rng.dirichlet(np.ones(2), 2), 10.0 ** rng.uniform(-30, -20, (4, 2)))
+    sequences = [rng.integers(0, 4, n) for n in (9, 7, 5, 4)]
+    brute = [every_path(s, model) for s in sequences]
+    flat, offsets = np.concatenate(sequences), np.cumsum([0, 9, 7, 5, 4])
+    assert markov.log_likelihood(flat, offsets, model) == pytest.approx([math.log(b[0]) for b in brute])
+    found = markov.expected_counts(flat, offsets[:-1], np.diff(offsets), model, segment)
+    for values, place in zip(found, (1, 2, 3)):
+        assert np.allclose(values, sum(b[place] for b in brute))
+    assert found[3] == pytest.approx(sum(math.log(b[0]) for b in brute))
+
+
 def test_one_pass_of_training_equals_brute_force(spark):
     rng = random.Random(3)
     words = ["a", "b", "c", "d", "once"]
@@ -272,6 +286,27 @@ def test_scoring_takes_turns(spark, monkeypatch):
     assert kept.count("scores") == markov.ROUNDS  # so the shuffle files of one round lie on disk at once
 
 
+def test_passes_move_rows_of_many_words(spark, monkeypatch):
+    rng = random.Random(14)
+    texts = [" ".join(rng.choices([f"w{n}" for n in range(60)], k=40)) for _ in range(40)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(2)
+    kept, plans, keep = [], [], markov.Scratch.keep
+
+    def noted(self, frame, name):
+        kept.append(name)
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return keep(self, frame, name)
+
+    monkeypatch.setattr(markov.Scratch, "keep", noted)
+    scores = []
+    for part in (1 << 21, 100):  # tokens for each part of the words: one part, and many
+        monkeypatch.setattr(markov, "PART", part)
+        scores.append({r.doc_id: r.score for r in markov.score_documents(docs, chunk=500, lookup=1).collect()})
+    assert scores[0] == pytest.approx(scores[1], rel=1e-6)
+    assert not any("Generate" in plan for plan in plans)  # no row for each word of a chunk
+    assert kept.count("prepared") == 2 * markov.ROUNDS  # so its shuffle files lie on disk for one round at once
+
+
 def test_training_finds_the_states(spark):
     rng = random.Random(2)
     groups = [[f"a{n}" for n in range(30)], [f"b{n}" for n in range(30)]]
